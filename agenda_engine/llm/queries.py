@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agenda_engine.llm import bpe, rules, tokens
+from agenda_engine.llm import bpe, packing, rules, simhash, tokens
 
 #: The folder of the tokenizer files, or None for the installed package's own.
 TOKENIZERS: str | None = None
@@ -36,6 +36,19 @@ def query(make):
     return make
 
 
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the SentencePiece model."""
