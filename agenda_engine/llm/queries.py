@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agenda_engine.llm import bpe, packing, rules, simhash, tokens
+from agenda_engine.llm import ann, bpe, packing, pii, rules, simhash, tokens
 
 #: The folder of the tokenizer files, or None for the installed package's own.
 TOKENIZERS: str | None = None
@@ -72,6 +72,31 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and disclosing terms of every document."""
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op10_nearest"] = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
+  FROM v AS q, v AS c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 ORACLES["op8_quality_rules"] = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
