@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agenda_engine.llm import ann, bpe, packing, pii, quality, rules, simhash, tokens
+from agenda_engine.llm import ann, bpe, packing, pii, quality, rules, simhash, tokens, toxicity
 
 #: The folder of the tokenizer files, or None for the installed package's own.
 TOKENIZERS: str | None = None
@@ -49,6 +49,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
