@@ -40,15 +40,16 @@ def _model(path: str):
 
 
 def pieces(pretokens: DataFrame, path: str) -> DataFrame:
-    """(pretoken, n_pieces): the model's pieces of each, behind one space as the model's dummy prefix gives it."""
+    """Adds n_pieces to rows of pretoken and n: the model's pieces behind the space that its dummy prefix gives.
+
+    The empty pre-token is that space alone, one piece; the model itself gives an empty text none.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = _model(path).encode(batch.column(0).to_pylist(), num_threads=1)
-        return pa.record_batch([batch.column(0), pa.array([*map(len, ids)], pa.int64())], ["pretoken", "n_pieces"])
+        return pa.record_batch([*batch.columns, pa.array([max(1, len(x)) for x in ids], pa.int64())], ["pretoken", "n", "n_pieces"])
 
-    return each_batch(pretokens.select("pretoken").where("pretoken <> ''"), work, "pretoken string, n_pieces long").unionByName(
-        pretokens.select("pretoken").where("pretoken = ''").select("pretoken", F.lit(1).cast("long").alias("n_pieces"))
-    )
+    return each_batch(pretokens.select("pretoken", "n"), work, "pretoken string, n long, n_pieces long")
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
@@ -60,17 +61,16 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     rows = pick(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     split = F.split("text", BOUNDARY)
     corpus = rows.where("text <> ''").select(F.explode(split).alias("pretoken")).groupBy("pretoken").agg(F.count(F.lit(1)).alias("n"))
-    corpus = cut(corpus)
     known = cut(pieces(corpus, path))
-    top = corpus.where((F.length("pretoken") <= LONGEST_HOT) & (F.col("n") > 1)).orderBy(F.col("n").desc(), "pretoken").limit(hot).select("pretoken")
-    top = cut(known.join(F.broadcast(top), "pretoken").select("pretoken", F.col("n_pieces").alias("hot_pieces")))
-    key = ["doc_id", "text_hash", "n_bytes"]
-    keyed = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").cast("long").alias("n_bytes"), F.posexplode(split).alias("i", "pretoken"))
+    often = known.where((F.length("pretoken") <= LONGEST_HOT) & (F.col("n") > 1)).orderBy(F.col("n").desc(), "pretoken").limit(hot)
+    top = cut(often.select("pretoken", F.col("n_pieces").alias("hot_pieces")))
+    key = ["doc_id", "text_hash"]
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").alias("size"), F.posexplode(split).alias("i", "pretoken"))
     met = keyed.join(F.broadcast(top), "pretoken", "left")
     first = F.when(F.col("i") == 0, 1).otherwise(0)
-    common = met.groupBy(key).agg(F.sum(F.coalesce("hot_pieces", F.lit(0))).alias("n"), F.sum(first).alias("copies"))
-    rare = met.where("hot_pieces is null and n_bytes > 0").select(*key, "pretoken").join(known, "pretoken")
-    rare = rare.groupBy(key).agg(F.sum("n_pieces").alias("n"), F.lit(0).cast("long").alias("copies"))
-    total = common.unionByName(rare).groupBy(key).agg(F.sum("n").alias("n"), F.sum("copies").alias("copies"))
+    common = met.groupBy(key).agg(F.sum(F.when(F.col("size") > 0, F.coalesce("hot_pieces", F.lit(0))).otherwise(0)).alias("n"), F.sum(first).alias("copies"), F.max("size").alias("size"))
+    rare = met.where("hot_pieces is null and size > 0").select(*key, "pretoken").join(known.select("pretoken", "n_pieces"), "pretoken")
+    rare = rare.groupBy(key).agg(F.sum("n_pieces").alias("n"), F.lit(0).cast("long").alias("copies"), F.lit(0).alias("size"))
+    total = common.unionByName(rare).groupBy(key).agg(F.sum("n").alias("n"), F.sum("copies").alias("copies"), F.max("size").cast("long").alias("n_bytes"))
     each = total.select("doc_id", "n_bytes", F.expr("n div copies").alias("n_tokens"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     return each.drop("copy")
