@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agenda_engine.llm import ann, bpe, packing, pii, quality, rules, simhash, tokens, toxicity
+from agenda_engine.llm import ann, bpe, packing, pii, quality, rules, simhash, suffix, tokens, toxicity
 
 #: The folder of the tokenizer files, or None for the installed package's own.
 TOKENIZERS: str | None = None
@@ -74,6 +74,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of every document an earlier one holds in passages of 50 bytes."""
+    return suffix.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger's base measurements and the current policy's verdict."""
