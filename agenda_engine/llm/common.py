@@ -39,7 +39,7 @@ def pick(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
 
-def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
     """mapInArrow with one batch out for each batch in."""
     ship(df.sparkSession)
 

@@ -149,19 +149,37 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     return fit(made, rows.column("label").to_numpy().astype(float))
 
 
-def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", batch: int = 256) -> DataFrame:
-    """doc_id and score of every row."""
+def _scorer(docs: DataFrame, machine: Machine, batch: int = 256):
+    """A function from texts to scores, for use in tasks."""
     packed = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weight.astype(np.float32), machine.factor.astype(np.float32)))
 
+    def scores(texts: list[str | None]) -> np.ndarray:
+        here = Machine(*packed.value)
+        return np.concatenate([here.score([features(t) for t in texts[lo : lo + batch]]) for lo in range(0, len(texts), batch)]).astype(float)
+
+    return scores
+
+
+def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and score of every row."""
+    scores = _scorer(docs, machine)
+
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
-        bias, weight, factor = packed.value
-        here, texts = Machine(bias, weight, factor), rows.column(1).to_pylist()
-        parts = [here.score([features(t) for t in texts[lo : lo + batch]]) for lo in range(0, len(texts), batch)]
-        return pa.record_batch([rows.column(0), pa.array(np.concatenate(parts).astype(float))], ["doc_id", "score"])
+        return pa.record_batch([rows.column(0), pa.array(scores(rows.column(1).to_pylist()))], ["doc_id", "score"])
 
     return each_batch(pick(docs, id_col, text_col), work, "doc_id long, score double")
 
 
+def keep(docs: DataFrame, machine: Machine, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows, with all columns, whose score reaches the threshold; one pass, no shuffle."""
+    scores, place = _scorer(docs, machine), docs.columns.index(text_col)
+
+    def work(rows: pa.RecordBatch) -> pa.RecordBatch:
+        return rows.filter(pa.array(scores(rows.column(place).to_pylist()) >= threshold))
+
+    return each_batch(docs, work, docs.schema)
+
+
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     scored = score(docs, train(docs, labels))

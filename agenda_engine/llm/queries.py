@@ -77,7 +77,7 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of every document an earlier one holds in passages of 50 bytes."""
-    return suffix.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix.deduplicate(table(spark, sf_dir, "documents")).drop("kept", "kept_text")
 
 
 @query

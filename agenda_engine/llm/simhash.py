@@ -54,13 +54,13 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (a signed long with the fingerprint's bits) of every row; one pass, no shuffle."""
+    """doc_id, text_hash and fp (a signed long with the fingerprint's bits) of every row; one pass, no shuffle."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t, words, seed) for t in batch.column(1).to_pylist()], np.uint64)
-        return pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        return pa.record_batch([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    return each_batch(pick(docs, id_col, text_col), work, "doc_id long, fp long")
+    return each_batch(pick(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text")), work, "doc_id long, text_hash long, fp long")
 
 
 def embedding(fp):
@@ -150,9 +150,23 @@ def links(distinct: DataFrame, radius: int = 3, groups: int = GROUPS) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id that links reach) of every row."""
+    """doc_id, text_hash, fp and component_id (the smallest doc_id that links reach) of every row."""
     marked = cut(fingerprints(docs, words, seed, id_col, text_col))
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
     linked = components(links(distinct.where("node is not null"), radius))
     known = distinct.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(known, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(known, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all columns, of the smallest id of each component; of equal rows one stays.
+
+    A row without an id goes if its component has an id.
+    """
+    marked = cut(near_duplicates(docs, words, radius, id_col=id_col, text_col=text_col))
+    same = marked.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id"))
+    known = same.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("rows") > 1))
+    known = known.select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    met = docs.join(known, docs[id_col].eqNullSafe(F.col("of_doc")) & (F.xxhash64(docs[text_col]) == F.col("of_text")), "left")
+    one = met.where("stays").dropDuplicates([id_col, "of_text"])
+    return met.where("of_text is null").unionByName(one).select(*docs.columns)

@@ -276,14 +276,17 @@ def _by_row(df: DataFrame) -> DataFrame:
 
 
 def zipped(rows: DataFrame) -> DataFrame:
-    """Rows with the text compressed, as it goes through a shuffle."""
+    """Rows with the text compressed, as column zipped, as it goes through a shuffle."""
+    place = rows.columns.index("text")
+    names = ["zipped" if c == "text" else c for c in rows.columns]
+    kinds = ", ".join("zipped binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [zlib.compress(t.encode(), 1) for t in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(data, pa.binary())], ["doc", "row", "zipped"])
+            data = pa.array([zlib.compress(t.encode(), 1) for t in batch.column(place).to_pylist()], pa.binary())
+            yield pa.record_batch([data if i == place else c for i, c in enumerate(batch.columns)], names)
 
-    return rows.select("doc", "row", "text").mapInArrow(run, "doc long, row long, zipped binary")
+    return rows.mapInArrow(run, kinds)
 
 
 def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
@@ -315,12 +318,20 @@ def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     return found, again.select("row", F.col("at").alias("starts"))
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay) of every input row."""
-    rows = pick(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(int(NO_ID))).alias("doc"), F.xxhash64("doc_id", "text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    found, again = spots(rows, length, gram)
+def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay) and kept_text of every input row.
+
+    kept_text leaves out bytes that no longer make a character. Columns to carry come along as they are.
+    """
+    carried = [docs[c].alias(f"carried_{i}") for i, c in enumerate(carry)]
+    key = [docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("body")]
+    rows = docs.select(*key, *carried).select(
+        F.coalesce("doc_id", F.lit(int(NO_ID))).alias("doc"), F.xxhash64("doc_id", "body").alias("row"), F.coalesce("body", F.lit("")).alias("text"), *(f"carried_{i}" for i in range(len(carry)))
+    )
+    found, again = spots(rows.select("doc", "row", "text"), length, gram)
     met = zipped(rows).join(found, "row", "left").join(again, "row", "left")
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    own = [f"carried_{i}" for i in range(len(carry))]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text", *own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,9 +342,13 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
                 gone = covered_bytes(len(text), contexts, np.frombuffer(starts or b"", "<i4").astype(np.int64), length, gram)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if gone.any() else text
                 runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                out.append((None if doc == NO_ID else doc, len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((None if doc == NO_ID else doc, len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept, kept.decode("utf-8", "ignore")))
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    return met.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
+                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.record_batch([*columns, *(batch.column(k) for k in own)], names)
+
+    kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
+    kinds += "".join(f", carried_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    done = met.mapInArrow(run, kinds)
+    return done.select(*names[:7], *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carry)))
