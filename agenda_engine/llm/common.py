@@ -2,38 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agenda_engine.functions.durable import cut
 from agenda_engine.functions.shipping import ship
 
+__all__ = ["JAVA_SPACES", "SPACES", "cut", "document_frequency", "each_batch", "pick", "words_of"]
+
 #: A word is a run of anything but these characters.
 SPACES = " \t\n\x0b\f\r"
 JAVA_SPACES = "[\\x20\\x09-\\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="agenda-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Writes a table into the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/agenda-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def pick(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that an operator works on, as doc_id and text; whatever else there is stays outside, so no name clashes."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from agenda_engine.functions.shipping import ship
 from agenda_engine.llm.common import cut, each_batch, pick
-from agenda_engine.llm.components import components
+from agenda_engine.operators.components import components
+
 
 GROUPS, BLOCK = 6, 2048
 EVEN = 0x5555555555555555
