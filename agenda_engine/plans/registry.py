@@ -4,39 +4,509 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from agenda_engine.functions import clock
+from agenda_engine.functions.text import fold, hits, jaccard, words
+from agenda_engine.operators import dates, extraction, resolve, rotation, serving, state
+from agenda_engine.operators.facets import list_facet, value_facet
+from agenda_engine.plans.lifted import CATALOGUE, NOW, catalogue, table, timed
+from agenda_engine.sources import sinks, web
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the test tables, lazily."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(name: str, sql: str | None = None):
-    """Registers a query, with its SQL where SQL can express it."""
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL where SQL can express it."""
 
     def add(make):
-        QUERIES[name] = make
+        QUERIES[make.__name__] = make
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[make.__name__] = sql
         return make
 
     return add
 
 
-@query(
-    "facet_value",
-    """
-    SELECT event_type AS key, count(*) AS count, min(event_id) AS first_pos
-    FROM events WHERE event_type IS NOT NULL AND event_type <> '' GROUP BY event_type
-    """,
-)
+# Facets, sections and coverage
+
+
+@query("SELECT event_type AS key, count(*) AS count, min(event_id) AS first_pos FROM events WHERE event_type IS NOT NULL AND event_type <> '' GROUP BY event_type")
 def facet_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by value, most frequent first, ties by first appearance."""
-    from agenda_engine.operators.facets import value_facet
-
     return value_facet(table(spark, sf_dir, "events"), "event_type", "event_id")
+
+
+@query("""
+    WITH e AS (SELECT p_partkey AS p, unnest(string_split(p_name, ' ')) AS key, generate_subscripts(string_split(p_name, ' '), 1) - 1 AS i FROM part),
+    c AS (SELECT key, count(*) AS count, min((p, i)) AS f FROM e WHERE key IS NOT NULL AND key <> '' GROUP BY key)
+    SELECT key, count, f[1] AS first_row, f[2]::INTEGER AS first_place FROM c ORDER BY count DESC, f LIMIT 24
+""".replace("f[1]", "struct_extract(f, 1)").replace("f[2]", "struct_extract(f, 2)"))
+def facet_list_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 24 most frequent words of part names."""
+    top = list_facet(table(spark, sf_dir, "part"), F.split("p_name", " "), "p_partkey", 24)
+    return top.select("key", "count", F.col("first_pos.p").alias("first_row"), F.col("first_pos.i").alias("first_place"))
+
+
+@query(CATALOGUE + """SELECT * FROM (VALUES (0, 'gratis', (SELECT count(*) FILTER (is_free) FROM cat)), (1, 'pagado', (SELECT count(*) FILTER (NOT is_free AND price_from IS NOT NULL) FROM cat)),
+    (2, 'por_confirmar', (SELECT count(*) FILTER (NOT is_free AND price_from IS NULL) FROM cat))) AS t(position, key, count)""")
+def facet_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free, paid and unknown prices."""
+    return serving.price_facet(catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE + "SELECT * FROM (VALUES (0, 'con_foto', (SELECT count(*) FILTER (has_image) FROM cat)), (1, 'con_video', (SELECT count(*) FILTER (has_video) FROM cat))) AS t(position, key, count)")
+def facet_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with photo and video."""
+    return serving.media_facet(catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE + """, c AS (SELECT count(*) FILTER (starts::DATE <= DATE '1997-06-14' AND last_day >= DATE '1997-06-14') AS a, count(*) FILTER (starts::DATE <= DATE '1997-06-21' AND last_day >= DATE '1997-06-14') AS b,
+    count(*) FILTER (starts::DATE <= DATE '1997-07-14' AND last_day >= DATE '1997-06-14') AS c, count(*) AS d FROM up)
+    SELECT unnest([0, 1, 2, 3])::INTEGER AS position, unnest(['hoy', 'esta_semana', 'este_mes', 'todos']) AS key, unnest([a, b, c, d]) AS count FROM c""")
+def facet_temporal_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping buckets of time."""
+    return serving.time_facet(catalogue(spark, sf_dir), NOW)
+
+
+@query(CATALOGUE + """SELECT count(*) AS events_total, count(*) FILTER (is_upcoming) AS events_upcoming, count(*) FILTER (is_upcoming AND lifecycle = 'hoy') AS events_hoy,
+    count(*) FILTER (is_upcoming AND lifecycle = 'en_curso') AS events_en_curso, count(*) FILTER (is_upcoming AND lifecycle = 'proximo') AS events_proximo,
+    count(*) FILTER (is_upcoming AND lifecycle = 'sin_fecha') AS events_sin_fecha, count(*) FILTER (lifecycle = 'finalizado') AS events_finalizado,
+    count(*) FILTER (is_upcoming AND is_free) AS events_free, count(*) FILTER (is_upcoming AND has_image) AS events_with_image, count(*) FILTER (is_upcoming AND has_video) AS events_with_video FROM up""")
+def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of the catalogue's head."""
+    return serving.summary(timed(spark, sf_dir))
+
+
+_SECTIONS = """, s AS (
+  SELECT 'today' AS section, position, event_id FROM up WHERE is_upcoming AND starts::DATE <= DATE '1997-06-14' AND last_day >= DATE '1997-06-14'
+  UNION ALL SELECT 'tomorrow', position, event_id FROM up WHERE is_upcoming AND starts::DATE <= DATE '1997-06-15' AND last_day >= DATE '1997-06-15'
+  UNION ALL SELECT 'this_weekend', position, event_id FROM up WHERE is_upcoming AND starts::DATE <= DATE '1997-06-15' AND last_day >= DATE '1997-06-14'
+  UNION ALL SELECT 'free', position, event_id FROM up WHERE is_upcoming AND is_free
+  UNION ALL SELECT 'featured', position, event_id FROM up WHERE is_upcoming AND has_image AND status = 'programado') SELECT * FROM s"""
+
+
+@query(CATALOGUE + _SECTIONS)
+def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five overlapping lists of upcoming events."""
+    rows = timed(spark, sf_dir).withColumn("is_featured", F.col("has_image") & (F.col("status") == "programado"))
+    return serving.sections(rows, NOW)
+
+
+@query(CATALOGUE + "SELECT event_id, lifecycle, days_until, is_upcoming FROM up")
+def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lifecycle, days until the start and whether an event is still ahead."""
+    return timed(spark, sf_dir).select("event_id", "lifecycle", "days_until", "is_upcoming")
+
+
+@query(CATALOGUE + """SELECT n_name AS department, count(event_id) AS events_total, count(*) FILTER (is_upcoming) AS events_upcoming,
+    count(*) FILTER (is_upcoming AND has_image) AS events_with_image, count(*) FILTER (is_upcoming AND has_video) AS events_with_video FROM nation LEFT JOIN up ON n_name = department GROUP BY n_name""")
+def coverage_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts for every nation, zero where there is none."""
+    return serving.coverage(timed(spark, sf_dir), table(spark, sf_dir, "nation").select(F.col("n_name").alias("department")), "department")
+
+
+@query(CATALOGUE + """SELECT category, count(*) AS events_total, count(*) FILTER (is_upcoming) AS events_upcoming, count(*) FILTER (is_upcoming AND has_image) AS events_with_image,
+    count(*) FILTER (is_upcoming AND has_video) AS events_with_video FROM up WHERE category IS NOT NULL AND category <> '' GROUP BY category""")
+def coverage_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts for every category that occurs."""
+    rows = timed(spark, sf_dir)
+    return serving.coverage(rows, rows.where("category <> ''").select("category").distinct(), "category")
+
+
+@query("""SELECT n_name AS region, count(s_suppkey) AS sources_total, count(*) FILTER (s_acctbal >= 0) AS sources_ok FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_name""")
+def coverage_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of every nation, and those in order."""
+    homes = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    sources = homes.select(F.col("n_name").alias("region"), F.when(F.col("s_acctbal") >= 0, "ok").otherwise("error").alias("status"))
+    return serving.source_coverage(sources, table(spark, sf_dir, "nation").select(F.col("n_name").alias("region")), "region")
+
+
+@query(CATALOGUE + """, q AS (SELECT *, 24 + CASE WHEN has_image THEN 14 ELSE 0 END + CASE WHEN city <> '' THEN 6 ELSE 0 END + CASE WHEN department <> '' THEN 10 ELSE 0 END + CASE WHEN has_video THEN 7 ELSE 0 END
+    + CASE WHEN is_free OR price_from IS NOT NULL THEN 8 ELSE 0 END + CASE source_tier WHEN 1 THEN 9 WHEN 2 THEN 5 ELSE 0 END + CASE WHEN n_items > 3 THEN 8 ELSE 0 END AS quality_score FROM up)
+    SELECT event_id, quality_score::INTEGER AS quality_score, is_upcoming AND status = 'programado' AND quality_score >= 65 AS is_featured FROM q""")
+def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How useful each card is, and whether it is featured."""
+    lists = {c: F.array().cast("array<string>") for c in ("ticket_urls", "showtimes", "occurrences", "formats")}
+    texts = {c: F.lit(None).cast("string") for c in ("organizer", "address", "location_query")}
+    rows = timed(spark, sf_dir).withColumns(lists | texts | {"starts_at": F.col("starts").cast("string"), "venue": F.col("department"), "corroborated": F.col("n_items") > 3})
+    scored = rows.withColumn("quality_score", serving.quality_score())
+    return scored.select("event_id", "quality_score", serving.featured(F.col("quality_score")).alias("is_featured"))
+
+
+@query(CATALOGUE + """, w AS (SELECT event_id, is_free, floor(price_from)::BIGINT AS low, floor(price_to)::BIGINT AS high FROM cat)
+    SELECT event_id, CASE WHEN is_free THEN 'Entrada libre' WHEN low IS NULL THEN NULL WHEN high <> 0 AND high <> low THEN 'Bs ' || low || ' - ' || high ELSE 'Bs ' || low END AS price_label FROM w""")
+def price_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price as a card shows it."""
+    low, high = F.floor("price_from").cast("double"), F.floor("price_to").cast("double")
+    return catalogue(spark, sf_dir).select("event_id", serving.price_label(F.col("is_free"), low, high).alias("price_label"))
+
+
+@query(CATALOGUE + """, n AS (SELECT ['lunes', 'martes', 'miércoles', 'jueves', 'viernes', 'sábado', 'domingo'] AS d, ['enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre'] AS m)
+    SELECT event_id, CASE WHEN ends IS NOT NULL THEN 'Del ' || day(starts) || CASE WHEN month(starts) = month(ends) AND year(starts) = year(ends) THEN '' ELSE ' de ' || m[month(starts)] END
+      || ' al ' || day(ends) || ' de ' || m[month(ends)]
+      ELSE upper(substr(d[isodow(starts)], 1, 1)) || substr(d[isodow(starts)], 2) || ' ' || day(starts) || ' de ' || m[month(starts)] || ' · ' || strftime(starts, '%H:%M') END AS display_date FROM cat, n""")
+def display_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as a card shows them."""
+    return catalogue(spark, sf_dir).select("event_id", clock.display_date(F.col("starts"), F.col("ends"), F.col("ends").isNotNull(), F.lit(False)).alias("display_date"))
+
+
+@query(CATALOGUE + "SELECT event_id, epoch_ms(starts) AS starts_at_ms, epoch_ms(ends) AS ends_at_ms FROM cat")
+def epoch_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start and end in milliseconds."""
+    return catalogue(spark, sf_dir).select("event_id", F.unix_millis(F.col("starts").cast("timestamp")).alias("starts_at_ms"), F.unix_millis(F.col("ends").cast("timestamp")).alias("ends_at_ms"))
+
+
+# Rotation
+
+_SOURCES = """
+WITH seen AS (SELECT c_custkey AS source_id, max(o_orderdate) AS last_success FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey), src AS (
+  SELECT source_id, last_success, CASE c_mktsegment WHEN 'BUILDING' THEN 'ticketera' WHEN 'MACHINERY' THEN 'venue' WHEN 'AUTOMOBILE' THEN 'municipio' ELSE 'media' END AS source_class,
+    (c_custkey % 4 + 1)::INTEGER AS tier, (c_custkey % 7)::INTEGER AS failures, CASE WHEN c_custkey % 9 = 0 THEN 'bloqueada' ELSE 'ok' END AS state
+  FROM customer JOIN seen ON c_custkey = source_id
+), h AS (
+  SELECT *, CASE WHEN last_success IS NULL THEN 100000.0::DOUBLE ELSE greatest(0.0, epoch_us(TIMESTAMP '1998-09-01 00:00:00') - epoch_us(last_success)) / 3.6e9 END AS hours FROM src
+), scored AS (
+  SELECT *, hours * CASE source_class WHEN 'ticketera' THEN 2.0::DOUBLE WHEN 'venue' THEN 1.5 WHEN 'municipio' THEN 1.1 ELSE 1.0 END * CASE tier WHEN 1 THEN 1.5::DOUBLE WHEN 2 THEN 1.2 ELSE 1.0 END
+    * CASE WHEN failures >= 5 THEN 0.15::DOUBLE WHEN failures >= 3 THEN 0.35 WHEN failures = 2 THEN 0.7 ELSE 1.0 END AS score FROM h)
+"""
+LATER = "1998-09-01 00:00:00"
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    seen = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_success"))
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", "ticketera").when(F.col("c_mktsegment") == "MACHINERY", "venue").when(F.col("c_mktsegment") == "AUTOMOBILE", "municipio").otherwise("media")
+    return customers.join(seen, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").alias("source_id"), "last_success", kind.alias("source_class"), (F.col("c_custkey") % 4 + 1).cast("int").alias("tier"),
+        (F.col("c_custkey") % 7).cast("int").alias("failures"), F.when(F.col("c_custkey") % 9 == 0, "bloqueada").otherwise("ok").alias("state"),
+    )
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = rotation.priority(F.col("last_success"), F.col("source_class"), F.col("tier"), F.col("failures"), clock.moment(LATER))
+    return _sources(spark, sf_dir).withColumn("score", score)
+
+
+@query(_SOURCES + "SELECT source_id, round(score, 6) AS score FROM scored")
+def rotation_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The priority of every source."""
+    return _scored(spark, sf_dir).select("source_id", F.round("score", 6).alias("score"))
+
+
+@query(_SOURCES + """, r AS (SELECT source_id, row_number() OVER (ORDER BY score DESC, source_id) AS rank, count(*) OVER () AS total FROM scored),
+    k AS (SELECT *, least(total, 6) AS solos, least(greatest(total - least(total, 6), 0), 28) AS shared FROM r), g AS (SELECT *, greatest(least(20 - solos, ceil(shared / 2.0)), 1)::BIGINT AS dealt FROM k)
+    SELECT source_id, rank::INTEGER AS rank, CASE WHEN rank <= solos THEN 'alone' WHEN rank <= solos + shared THEN 'shared' ELSE 'deferred' END AS slot,
+      (CASE WHEN rank <= solos THEN rank WHEN rank <= solos + shared THEN solos + (rank - solos - 1) % dealt + 1 END)::INTEGER AS group_no FROM g""")
+def wave_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next wave: some alone, some dealt round-robin, the rest deferred."""
+    return rotation.plan_wave(_scored(spark, sf_dir)).drop("score")
+
+
+@query(_SOURCES + """, t AS (SELECT * FROM h) SELECT count(*) AS sources_total, count(last_success) AS seen_ever, coalesce(list(source_id ORDER BY source_id) FILTER (last_success IS NULL), []) AS never_seen,
+    coalesce(list(source_id ORDER BY source_id) FILTER (state = 'bloqueada'), []) AS blocked_last_time, coalesce(list(source_id ORDER BY source_id) FILTER (failures >= 3), []) AS failing,
+    round(avg(hours) FILTER (last_success IS NOT NULL), 1) AS hours_mean, round(max(hours) FILTER (last_success IS NOT NULL), 1) AS hours_max FROM t""")
+def rotation_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the sources is reached."""
+    rows = _sources(spark, sf_dir)
+    return rotation.coverage(rows.select("source_id"), rows.select("source_id", "last_success", "state", "failures"), LATER)
+
+
+@query("""
+    WITH o AS (SELECT user_id AS source_id, count(*) FILTER (event_type = 'purchase') AS n_items, CASE user_id % 5 WHEN 0 THEN 'Omitida por turno' WHEN 1 THEN 'posible bloqueo' WHEN 2 THEN 'HTTP 500' END AS error FROM events GROUP BY user_id),
+    r AS (SELECT c_custkey AS source_id, TIMESTAMP '2024-01-10 00:00:00' - (c_custkey % 90)::INTEGER * INTERVAL 1 DAY AS last_try, 'ok' AS state, (c_custkey % 3)::INTEGER AS failures, 1 AS blocks, (c_custkey % 4)::INTEGER AS successes FROM customer),
+    s AS (SELECT *, CASE WHEN error LIKE 'Omitida%' THEN 'omitida' WHEN error LIKE '%bloque%' THEN 'bloqueada' WHEN error IS NOT NULL THEN 'error' WHEN n_items > 0 THEN 'ok' ELSE 'sin_publicaciones' END AS new_state FROM o),
+    m AS (SELECT coalesce(r.source_id, s.source_id) AS source_id, CASE WHEN new_state IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE last_try END AS last_try, coalesce(new_state, state) AS state,
+      CASE WHEN new_state IN ('ok', 'sin_publicaciones') THEN 0 ELSE coalesce(failures, 0) + CASE WHEN new_state = 'error' THEN 1 ELSE 0 END END AS failures,
+      coalesce(blocks, 0) + CASE WHEN new_state = 'bloqueada' THEN 1 ELSE 0 END AS blocks, coalesce(successes, 0) + CASE WHEN new_state = 'ok' THEN 1 ELSE 0 END AS successes,
+      CASE WHEN new_state = 'error' THEN error END AS last_error FROM r FULL JOIN s ON r.source_id = s.source_id)
+    SELECT source_id, last_try, state, failures::INTEGER AS failures, blocks::INTEGER AS blocks, successes::INTEGER AS successes, last_error FROM m
+    WHERE TIMESTAMP '2024-02-01 00:00:00' - last_try <= INTERVAL 45 DAY""")
+def outcome_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rotation after a wave."""
+    error = F.when(F.col("user_id") % 5 == 0, "Omitida por turno").when(F.col("user_id") % 5 == 1, "posible bloqueo").when(F.col("user_id") % 5 == 2, "HTTP 500")
+    outcomes = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("n_items")).select(F.col("user_id").alias("source_id"), "n_items", error.alias("error"))
+    before = clock.moment("2024-01-10 00:00:00") - F.make_dt_interval((F.col("c_custkey") % 90).cast("int"))
+    none = F.lit(None).cast("timestamp_ntz")
+    old = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("source_id"), before.alias("last_try"), none.alias("last_success"), F.lit("ok").alias("state"), (F.col("c_custkey") % 3).cast("int").alias("failures"),
+        F.lit(1).alias("blocks"), none.alias("last_block"), (F.col("c_custkey") % 4).cast("int").alias("successes"), F.lit(None).cast("string").alias("last_error"),
+    )
+    return rotation.update(old, outcomes, "2024-02-01 00:00:00").select("source_id", "last_try", "state", "failures", "blocks", "successes", "last_error")
+
+
+# Windows, order and sets
+
+
+@query("""SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value, min(event_id) AS first_pos FROM events GROUP BY user_id, event_type""")
+def last_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row of each key, at the place of its first."""
+    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max("event_id").alias("event_id"), F.max_by("value", "event_id").alias("value"), F.min("event_id").alias("first_pos"))
+
+
+@query("""SELECT user_id, event_id, n FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id)::INTEGER AS n FROM events WHERE event_type = 'click') WHERE n <= 3""")
+def first_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three rejects of each source."""
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    return table(spark, sf_dir, "events").where("event_type = 'click'").select("user_id", "event_id", rank.alias("n")).where("n <= 3")
+
+
+@query(CATALOGUE + "SELECT event_id, starts, price_from FROM cat ORDER BY starts NULLS LAST, price_from DESC NULLS LAST, position LIMIT 3000")
+def catalogue_order_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue's order and cap; the cap is the feature."""
+    return catalogue(spark, sf_dir).orderBy(F.col("starts").asc_nulls_last(), F.col("price_from").desc_nulls_last(), "position").limit(3000).select("event_id", "starts", "price_from")
+
+
+@query(CATALOGUE + """SELECT event_id, row_number() OVER (PARTITION BY department, city ORDER BY source_tier, price_from DESC NULLS LAST, position)::INTEGER AS rank FROM cat""")
+def version_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions in a cluster, the most official and complete first."""
+    order = Window.partitionBy("department", "city").orderBy("source_tier", F.col("price_from").desc_nulls_last(), "position")
+    return catalogue(spark, sf_dir).select("event_id", F.row_number().over(order).alias("rank"))
+
+
+# Text
+
+
+@query("""SELECT doc_id, trim(regexp_replace(strip_accents(lower(text)), '\\s+', ' ', 'g')) AS folded FROM documents""")
+def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folded texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
+
+
+@query("""SELECT doc_id, list_sort(list_distinct(list_filter(string_split(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 4))) AS tokens FROM documents""")
+def token_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct words of at least four letters."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_sort(words(fold(F.col("text")), 4)).alias("tokens"))
+
+
+_LEXICON = (r"\bthe\b", r"\bund\b", r"\bque\b", r"\bles\b", r"\btion", r"\bla (?:la|de)\b", r"ment\b")
+
+
+@query("WITH f AS (SELECT doc_id, trim(regexp_replace(strip_accents(lower(text)), '\\s+', ' ', 'g')) AS t FROM documents) SELECT doc_id, (" + " + ".join(f"regexp_matches(t, '{p}')::INTEGER" for p in _LEXICON) + ")::INTEGER AS hits FROM f")
+def pattern_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many patterns of a lexicon hit."""
+    return table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("t")).select("doc_id", hits(F.col("t"), list(_LEXICON)).alias("hits"))
+
+
+@query("""
+    WITH f AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'gran concierto y feria' WHEN 1 THEN 'feria del libro con recital' WHEN 2 THEN 'taller de danza y baile' WHEN 3 THEN 'nada que ver' ELSE 'Función de Teatro: obra de teatro' END AS t FROM orders)
+    SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'concierto' WHEN 1 THEN 'feria' WHEN 2 THEN 'danza' WHEN 3 THEN 'otro' ELSE 'teatro' END AS category,
+      CASE o_orderkey % 5 WHEN 0 THEN ['feria'] WHEN 1 THEN ['concierto'] WHEN 2 THEN ['taller'] ELSE [] END AS secondary FROM f""")
+def category_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category with the most patterns hit."""
+    k = F.col("o_orderkey") % 5
+    said = F.when(k == 0, "gran concierto y feria").when(k == 1, "feria del libro con recital").when(k == 2, "taller de danza y baile").when(k == 3, "nada que ver").otherwise("Función de Teatro: obra de teatro")
+    return table(spark, sf_dir, "orders").select("o_orderkey", fold(said).alias("t")).select("o_orderkey", extraction.category(F.col("t")).alias("c")).select("o_orderkey", "c.*")
+
+
+_POSTER = "'Preventa Bs ' || (o_orderkey % 90 + 10) || ', en puerta ' || (o_orderkey % 90 + 30) || ' bolivianos. Cel. ' || (70000000 + o_orderkey % 9999999) || ' #Poster' || (o_orderkey % 10)"
+
+
+@query(f"""SELECT o_orderkey, (o_orderkey % 90 + 10)::DOUBLE AS price_from, (o_orderkey % 90 + 30)::DOUBLE AS price_to, 'BOB' AS currency, false AS is_free, [(70000000 + o_orderkey % 9999999)::VARCHAR] AS phones,
+    ['Poster' || (o_orderkey % 10)] AS hashtags, ['Preventa', 'Venta en puerta'] AS outlets FROM (SELECT *, {_POSTER} AS text FROM orders)""")
+def price_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices, phones, hashtags and outlets read back from posters."""
+    posters = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_POSTER).alias("text"))
+    said = extraction.analyse(posters)
+    return said.select("o_orderkey", "price_from", "price_to", "currency", "is_free", "phones", "hashtags", "outlets")
+
+
+@query("""SELECT o_orderkey, o_orderdate::DATE + INTERVAL (CASE WHEN (o_orderkey % 24) BETWEEN 1 AND 11 THEN o_orderkey % 24 + 12 ELSE o_orderkey % 24 END) HOUR + INTERVAL 30 MINUTE AS starts,
+    NULL::TIMESTAMP AS ends, 'exacta' AS confidence FROM orders""")
+def spanish_date_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates and hours written as posters do and read back."""
+    month = F.element_at(F.array(*map(F.lit, clock.MONTHS)), F.month("o_orderdate"))
+    said = F.concat(F.lit("Gran evento el "), F.dayofmonth("o_orderdate"), F.lit(" de "), month, F.lit(" de "), F.year("o_orderdate"), F.lit(", "), F.format_string("%02d:30", (F.col("o_orderkey") % 24).cast("int")))
+    posters = table(spark, sf_dir, "orders").select("o_orderkey", fold(said).alias("plain"), F.lit("1998-01-01").cast("date").alias("anchor"))
+    return dates.when(posters, "plain", "anchor").select("o_orderkey", "starts", "ends", "confidence")
+
+
+@query("""SELECT o_orderkey, CASE WHEN suf = 'pm' AND h < 12 THEN h + 12 WHEN suf = 'am' AND h = 12 THEN 0 WHEN suf = '' AND h BETWEEN 1 AND 11 THEN h + 12 ELSE h END::INTEGER AS hour
+    FROM (SELECT o_orderkey, (o_orderkey % 12 + 1) AS h, CASE o_orderkey % 3 WHEN 0 THEN 'pm' WHEN 1 THEN 'am' ELSE '' END AS suf FROM orders)""")
+def hour_24(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve-hour times to the day's hours."""
+    suffix = F.when(F.col("o_orderkey") % 3 == 0, "pm").when(F.col("o_orderkey") % 3 == 1, "am").otherwise("")
+    stated = dates.hour_24((F.col("o_orderkey") % 12 + 1).cast("int"), F.lit(0), suffix, F.lit(None).cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.substring(stated, 1, 2).cast("int").alias("hour"))
+
+
+# Pages
+
+
+@query(r"""SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) AS host FROM pages""")
+def url_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The host of every page."""
+    return table(spark, sf_dir, "pages").select("page_id", web.host(F.col("url")).alias("host"))
+
+
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages""")
+def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The title of every page."""
+    return table(spark, sf_dir, "pages").select("page_id", web.title(F.col("html")).alias("title"))
+
+
+@query(r"""SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href=["'']([^"''#]+)', 1)) AS link FROM pages""")
+def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of every page, each once."""
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(web.links(F.col("html"))).alias("link"))
+
+
+@query("SELECT page_id, sha256(trim(regexp_replace(regexp_replace(" + "".join("regexp_replace(" for _ in web.DROPPED) + "html" + "".join(rf", '(?is)<{t}\b[^>]*>.*?</{t}>', ' ', 'g')" for t in web.DROPPED) + r", '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS body_sha256 FROM pages")
+def html_strip_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every page without its furniture."""
+    return table(spark, sf_dir, "pages").select("page_id", F.sha2(web.body_text(F.col("html")), 256).alias("body_sha256"))
+
+
+@query("""SELECT o_orderkey, 'Show ' || o_orderkey AS title, strftime(o_orderdate, '%Y-%m-%d') AS starts_at, 'Teatro ' || (o_orderkey % 7) AS venue, round(o_totalprice)::DOUBLE AS price_from,
+    CASE WHEN o_orderkey % 2 = 0 THEN (round(o_totalprice) + 50)::DOUBLE END AS price_to, 'BOB' AS currency, false AS is_free FROM orders WHERE round(o_totalprice) > 0""")
+def jsonld_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured events, nested in a graph, read back from pages."""
+    price = F.round("o_totalprice").cast("long")
+    one = F.struct(price.alias("price"), F.lit("BOB").alias("priceCurrency"))
+    two = F.struct(price.alias("lowPrice"), (price + 50).alias("highPrice"), F.lit("BOB").alias("priceCurrency"))
+    event = F.concat(
+        F.lit('{"@type":"MusicEvent","name":"Show '), F.col("o_orderkey"), F.lit('","startDate":"'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('","location":{"name":"Teatro '), F.col("o_orderkey") % 7,
+        F.lit('"},"offers":'), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("["), F.to_json(two), F.lit("]"))).otherwise(F.to_json(one)), F.lit("}"),
+    )
+    html = F.concat(F.lit('<html><script type="application/ld+json">{"@graph":[{"@type":"WebSite","name":"x"},'), event, F.lit(']}</script><script type="application/ld+json">{bad</script></html>'))
+    pages = table(spark, sf_dir, "orders").where(price > 0).select("o_orderkey", html.alias("html"))
+    found = web.flatten_events(pages, depth=2).select("o_orderkey", *web.event_columns(F.col("event")))
+    return found.select("o_orderkey", "title", "starts_at", "venue", "offer.price_from", "offer.price_to", "offer.currency", "offer.is_free")
+
+
+# Resolution and state
+
+_WORDS = "list_distinct(list_filter(string_split(regexp_replace(strip_accents(lower(p_name)), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 3))"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, p_brand, {_WORDS} AS w FROM part), j AS (SELECT a.p_partkey AS a, b.p_partkey AS b, len(list_intersect(a.w, b.w))::DOUBLE AS i, len(a.w) AS x, len(b.w) AS y
+    FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey) SELECT a, b, round(i / (x + y - i), 6) AS similarity FROM j WHERE i > 0 AND i / (x + y - i) >= 0.5""")
+def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar part names within a brand."""
+    t = table(spark, sf_dir, "part").select("p_partkey", "p_brand", words(fold(F.col("p_name")), 3).alias("w"))
+    each = t.select("p_partkey", "p_brand", "w", F.explode("w").alias("word"))
+    a, b = each.alias("a"), each.alias("b")
+    met = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
+    pairs = met.select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"), F.col("a.w").alias("x"), F.col("b.w").alias("y")).dropDuplicates(["a", "b"])
+    return pairs.select("a", "b", jaccard(F.col("x"), F.col("y")).alias("s")).where("s >= 0.5").select("a", "b", F.round("s", 6).alias("similarity"))
+
+
+@query(CATALOGUE + """, s AS (SELECT event_id, department, city, starts::DATE AS first, coalesce(ends::DATE, starts::DATE) AS last FROM cat)
+    SELECT department, count(*) AS pairs FROM (SELECT a.department FROM s a JOIN s b ON a.department = b.department AND a.city = b.city AND a.event_id <> b.event_id AND b.first BETWEEN a.first AND a.last) GROUP BY department""")
+def day_span_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that start within another's span in the same place, counted; spans are exploded to days for an equi-join."""
+    rows = catalogue(spark, sf_dir).select("event_id", "department", "city", F.to_date("starts").alias("first"), F.coalesce(F.to_date("ends"), F.to_date("starts")).alias("last"))
+    held = rows.select(F.col("event_id").alias("a"), "department", "city", F.explode(F.sequence("first", "last")).alias("day"))
+    met = held.join(rows.select(F.col("event_id").alias("b"), "department", "city", F.col("first").alias("day")), ["department", "city", "day"]).where("a <> b")
+    return met.groupBy("department").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as posts of several sources: alike names on one day and place tell of one happening."""
+    none = F.lit(None).cast("string")
+    name = F.concat(F.lit("Gran noche con "), F.col("p_name"))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("position"), name.alias("title"), F.array().cast("array<string>").alias("artists"), F.col("p_type").alias("description"), F.col("p_brand").alias("venue"),
+        F.lit("La Paz").alias("city"), none.alias("department"), F.when(F.col("p_partkey") % 10 != 0, F.concat(F.lit("2026-08-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"), F.lit("T20:00:00-04:00"))).alias("starts_at"),
+        none.alias("ends_at"), F.col("p_retailprice").alias("price_from"), (F.col("p_partkey") % 3 + 1).cast("int").alias("source_tier"), (F.col("p_partkey") % 6).cast("string").alias("source_id"),
+        F.lit(0.6).alias("confidence"), (F.col("p_partkey") % 100).cast("int").alias("relevance_score"), F.array().cast("array<string>").alias("image_urls"), F.lit("programado").alias("status"),
+        F.lit(False).alias("is_free"), F.array("p_type").alias("tags"),
+    )
+
+
+@query()
+def cluster_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every post: first fit in order of arrival, over the matches."""
+    return resolve.clusters(_posts(spark, sf_dir)).select("position", "cluster")
+
+
+@query("""SELECT p_brand AS cluster, arg_min(p_name, (p_partkey % 3, -(p_partkey % 100), p_partkey)) AS title, count(*) AS merged_count, count(DISTINCT p_partkey % 6) AS source_count,
+      least(60 + CASE WHEN count(DISTINCT p_partkey % 6) >= 2 THEN 8 ELSE 0 END + CASE WHEN count(DISTINCT p_partkey % 6) >= 3 THEN 5 ELSE 0 END + CASE WHEN bool_or(p_partkey % 3 = 0) THEN 4 ELSE 0 END, 99) / 100.0::DOUBLE AS confidence,
+      CASE WHEN count(DISTINCT p_partkey % 6) <= 1 THEN 'una_fuente' WHEN bool_or(p_partkey % 3 = 0) AND bool_or(p_partkey % 3 = 1) THEN 'oficial_y_especializada' WHEN bool_or(p_partkey % 3 = 0) THEN 'confirmado_por_fuente_oficial'
+        WHEN bool_or(p_partkey % 3 = 1) THEN 'confirmado_por_ticketera' ELSE 'varios_medios' END AS verification FROM part GROUP BY p_brand""")
+def merge_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of each cluster merged into one row; here a cluster is a brand."""
+    rows = _posts(spark, sf_dir).withColumns({"cluster": F.col("venue"), "title": F.substring("title", 16, 1000), "description": F.lit("")})
+    merged = resolve.merge(resolve.ranked(rows), ["title"], {"tags": 24})
+    return merged.select("cluster", "title", "merged_count", "source_count", "confidence", "verification")
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Posts as a current run and as an archive, with what each carries."""
+    posts = _posts(spark, sf_dir).withColumns({
+        "url": F.lit(None).cast("string"), "all_urls": F.array(F.concat(F.lit("https://x/"), F.col("position").cast("string"))), "category": F.when(F.col("position") % 2 == 0, "concierto"), "source_count": F.lit(1),
+    })
+    old = posts.where("position % 3 <> 0").withColumns({
+        "event_id": F.concat(F.lit("evt_old"), F.col("position").cast("string")), "first_seen_at": F.lit("2026-07-01T00:00:00"), "last_seen_at": F.lit("2026-08-01T00:00:00"), "history": F.array().cast(state.HISTORY),
+        "price_from": F.when(F.col("position") % 5 == 0, F.col("price_from") + 1).otherwise(F.col("price_from")),
+    })
+    return posts.where("position % 2 = 0"), old
+
+
+@query()
+def reconcile_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run against the archive: ids kept, changes noted, the rest carried or let go."""
+    new, old = _halves(spark, sf_dir)
+    return state.reconcile(new, old, "2026-08-14 10:00:00", cap=None).select("event_id", "first_seen_at", "seen_this_run", "changed_this_run", "lifecycle", "history_count")
+
+
+@query("""SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0) AND o_orderdate >= TIMESTAMP '1997-06-10 10:00:00'""")
+def carry_over_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive rows that no current row took and that are not long past."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm").alias("starts_at"), *(F.lit(None).cast("string").alias(c) for c in ("ends_at", "last_seen_at", "first_seen_at")))
+    used = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").select("o_orderkey")
+    return orders.join(used, "o_orderkey", "left_anti").where(state.alive(NOW)).select("o_orderkey", "o_orderdate")
+
+
+@query("""WITH w AS (SELECT p_partkey, list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(lower(p_name || ' ' || p_type || ' ' || p_brand), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: length(x) >= 4))) AS t,
+      lpad((p_size % 28 + 1)::VARCHAR, 2, '0') AS d, trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS v FROM part)
+    SELECT p_partkey AS position, 'evt_' || substr(sha1('2026-08-' || d || '|la paz|' || v || '|' || CASE WHEN p_partkey % 2 = 0 THEN 'concierto' ELSE '' END || '|' || array_to_string(t[1:6], ' ')), 1, 14) AS event_id FROM w""")
+def stable_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids from what announcements of one event share."""
+    day = F.concat(F.lit("2026-08-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"), F.lit("T20:00:00-04:00"))
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("position"), F.col("p_name").alias("title"), F.array().cast("array<string>").alias("artists"), F.col("p_type").alias("description"), F.col("p_brand").alias("venue"),
+        F.lit("La Paz").alias("city"), day.alias("starts_at"), F.when(F.col("p_partkey") % 2 == 0, "concierto").alias("category"), F.array().cast("array<string>").alias("all_urls"), F.lit(None).cast("string").alias("url"),
+    )
+    keyed = state.keyed(rows)
+    return keyed.select("position", state.stable_id(keyed).alias("event_id"))
+
+
+@query("""SELECT o_orderkey, list_filter([CASE WHEN o_orderstatus <> 'O' THEN 'estado:O->' || o_orderstatus END, CASE WHEN o_orderkey % 2 = 0 THEN 'fecha_cambiada' END, CASE WHEN o_orderkey % 3 = 0 THEN 'precio_cambiado' END,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'sede_cambiada' END], lambda x: x IS NOT NULL) AS changes FROM orders""")
+def change_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between an archived row and its current one."""
+    k = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    new = F.struct(F.col("o_orderstatus").alias("status"), day.alias("starts_at"), F.col("o_totalprice").alias("price_from"), F.lit("A").alias("venue"))
+    old = F.struct(
+        F.lit("O").alias("status"), F.when(k % 2 != 0, day).alias("starts_at"), F.when(k % 3 != 0, F.col("o_totalprice")).alias("price_from"), F.when(k % 5 == 0, "B").otherwise("A").alias("venue"),
+    )
+    return table(spark, sf_dir, "orders").select("o_orderkey", old.alias("old"), new.alias("new")).select("o_orderkey", state.changes("old", "new").alias("changes"))
+
+
+@query("""SELECT user_id, least(n + 1, 40)::INTEGER AS history_count, CASE WHEN n + 1 > 40 THEN l[n + 1 - 39] ELSE l[1] END AS oldest FROM (SELECT user_id, count(*) AS n, list(event_type ORDER BY event_id) AS l FROM events GROUP BY user_id)""")
+def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history with one more entry, the last forty kept."""
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))), lambda s: s["event_type"]).alias("h"))
+    kept = rows.select("user_id", state.appended(F.col("h"), F.lit("new"), F.lit(True)).alias("h"))
+    return kept.select("user_id", F.size("h").alias("history_count"), F.get("h", F.lit(0)).alias("oldest"))
+
+
+# Sinks
+
+
+@query(CATALOGUE + "SELECT event_id, category, starts, days_until, lifecycle, city, department, is_free, price_from, status FROM up WHERE is_upcoming")
+def lite_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compact columns of upcoming events that this catalogue has."""
+    rows = timed(spark, sf_dir)
+    return serving.lite(rows).select("event_id", "category", "days_until", "lifecycle", "city", "department", "is_free", "price_from", "status").join(rows.select("event_id", "starts"), "event_id")
+
+
+@query("""SELECT user_id::VARCHAR AS user_id, coalesce(array_to_string(list(event_type ORDER BY event_id), ' | '), '') AS kinds FROM events GROUP BY user_id""")
+def csv_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as the CSV file has them."""
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))), lambda s: s["event_type"]).alias("kinds"))
+    return sinks.csv_rows(rows, ["user_id", "kinds"])
