@@ -1,10 +1,12 @@
 """Nearest neighbours by largest inner product, over randomly rotated one-bit codes.
 
 A vector is stored as the signs of its randomly rotated direction, packed, with two correction scalars: its
-length, and the inner product of its direction with the sign vector. For a rotated query direction q and signs
-s / sqrt(D), <s, q> / <s, o> estimates <o, q> without bias, and the error exceeds
-EPS * sqrt((1 - <s, o>^2) / (<s, o>^2 * (D - 1))) with a chance that falls as exp(-c * EPS^2). So a vector whose upper bound
-is under the K-th best lower bound is no neighbour; all others are reranked with the original vectors.
+length, and the inner product of its direction with the sign vector. The rotation is that of a space of D = BITS
+dimensions, in which the vectors are padded with zeros, so a code has more bits than the vector has components
+and a smaller error. For a rotated query direction q and signs s / sqrt(D), <s, q> / <s, o> estimates <o, q>
+without bias, and the error exceeds EPS * sqrt((1 - <s, o>^2) / (<s, o>^2 * (D - 1))) with a chance that falls as
+exp(-c * EPS^2). The vectors that look best are scored exactly; whatever has an upper bound under the K-th
+best of these scores is no neighbour, and all others are reranked with the original vectors.
 
 Queries and vectors are dealt out in blocks of bounded size; a task holds one block of each and passes on the
 K best, exactly scored, of its block for each query.
@@ -26,13 +28,15 @@ from agenda_engine.functions.shipping import ship
 from agenda_engine.llm.common import cut
 
 #: Rows of a block of candidates and of queries; queries that are estimated at once; width of the bounds.
-CANDIDATES, QUERIES, STEP, EPS = 8192, 2048, 64, 4.0
+CANDIDATES, QUERIES, STEP, EPS = 16384, 2048, 64, 4.0
+#: Bits of a code, at least; vectors that set the bar for the others, as a multiple of k.
+BITS, FIRST = 256, 3
 
 
-def rotation(dim: int, seed: int = 7) -> np.ndarray:
-    """A random orthogonal matrix, the same everywhere."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+def rotation(dim: int, bits: int = BITS, seed: int = 7) -> np.ndarray:
+    """The first `dim` rows of a random orthogonal matrix of max(dim, bits) rows, the same everywhere."""
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((max(dim, bits), dim)))
+    return (q * np.sign(np.diag(r))).T
 
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,25 +56,27 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def search(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, eps: float = EPS) -> pd.DataFrame:
     """query_id, vec_id, score of the k best of one block for each query."""
-    dim = queries.shape[1]
-    turn = rotation(dim)
+    turn = rotation(queries.shape[1])
+    bits = turn.shape[1]
     codes, length, own = encode(vectors, turn)
-    signs = (np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1).T / np.sqrt(dim)
-    error = eps * np.sqrt(np.maximum(1 - own**2, 0) / (own**2 * max(dim - 1, 1))) * length
-    scale = length / own
+    signs = (np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1).T / np.float32(np.sqrt(bits))
+    error = (eps * np.sqrt(np.maximum(1 - own**2, 0) / (own**2 * max(bits - 1, 1))) * length).astype(np.float32)
+    scale = (length / own).astype(np.float32)
+    turned = (queries @ turn).astype(np.float32)
+    q_length = np.sqrt((queries * queries).sum(axis=1)).astype(np.float32)
+    first = min(FIRST * k, len(ids))
     out = []
     for lo in range(0, len(queries), STEP):
         q = queries[lo : lo + STEP]
-        q_length = np.sqrt((q * q).sum(axis=1))[:, None]
-        estimate = ((q @ turn).astype(np.float32) @ signs) * scale
+        estimate = (turned[lo : lo + STEP] @ signs) * scale
         estimate[q_ids[lo : lo + STEP, None] == ids[None, :]] = -np.inf
-        width = error * q_length
-        least = estimate - width
-        if least.shape[1] > k:
-            least = -np.partition(-least, k - 1, axis=1)[:, k - 1 : k]
-        else:
-            least = np.full((len(q), 1), -np.inf)
-        at, who = np.nonzero((estimate + width >= least) & (estimate > -np.inf))
+        likely = np.argpartition(-estimate, first - 1, axis=1)[:, :first]
+        scores = exact(np.repeat(q, first, axis=0), vectors[likely.ravel()]).reshape(likely.shape)
+        scores[np.take_along_axis(estimate, likely, axis=1) == -np.inf] = -np.inf
+        bar = np.partition(scores, first - k, axis=1)[:, first - k] if first >= k else np.full(len(q), -np.inf)
+        slack = 1e-4 * q_length[lo : lo + STEP] * length.max()  # estimates are in single precision
+        estimate += error * q_length[lo : lo + STEP, None]
+        at, who = np.nonzero((estimate >= (bar - slack)[:, None]) & (estimate > -np.inf))
         score = exact(q[at], vectors[who])
         order = np.lexsort((ids[who], -score, at))
         at, who, score = at[order], who[order], score[order]

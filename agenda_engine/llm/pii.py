@@ -1,16 +1,16 @@
 """Personal data, and terms that give it away, with DataFrame functions only.
 
 Base kinds are matched by patterns and checks. Around them works information-theoretic sanitisation: for a
-protected value v and a term t beside it, the corpus gives how many distinct texts hold v (k), hold t (m) and
-hold t beside v (j) among N. t discloses v to the degree PMI(v; t) / IC(v) = ln(jN / km) / ln(N / k): 1 if t is
-seen with v alone, 0 if they are independent. Terms that reach the threshold in enough distinct texts become
-spans of kind "term"; sanitising removes base values for the name of their kind and generalises such terms.
+protected value v and a term t beside it, the corpus gives how many documents hold v (k), hold t (m) and hold
+t beside v (j) among N. t discloses v to the degree PMI(v; t) / IC(v) = ln(jN / km) / ln(N / k): 1 if t is
+seen with v alone, 0 if they are independent. Terms that reach the threshold, and stand beside v in enough
+distinct texts, become spans of kind "term"; sanitising removes base values for the name of their kind and generalises such terms.
 
 The patterns run as they are defined, leftmost and non-overlapping, but written so that a long run is tried
 once: runs are possessive, and a match may only start where a run starts or where the match before ended.
 
-Defined results: a null or empty text has no spans; texts are searched whole; copies count once in the corpus
-statistics, and repeated rows keep a row each; an empty table gives an empty result; further columns stay as
+Defined results: a null or empty text has no spans; texts are searched whole; copies add no distinct text, and
+repeated rows keep a row each; an empty table gives an empty result; further columns stay as
 they are in sanitise() and are ignored in find().
 """
 
@@ -104,25 +104,19 @@ def _beside(rows: DataFrame) -> DataFrame:
     return terms.where(whole & clear).select("doc_id", "text_hash", "value", F.lower("t.value").alias("term"), start.alias("start"), end.alias("end"))
 
 
-def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT, broadcast_terms: int = 100_000) -> DataFrame:
+def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(doc_id, text_hash, terms): the spans of disclosing terms of each document that has any.
 
-    Term counts cover the whole corpus. Up to `broadcast_terms` candidate terms (terms beside a value in enough
-    distinct texts) are broadcast to filter the corpus before it is counted; beyond, the corpus is counted first.
+    Counts cover all documents, with map-side combine; only pairs of a value and a term beside it are formed.
     """
     near = cut(_beside(rows))
-    joint = near.select("value", "term", "text_hash").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("j")).where(F.col("j") >= support)
-    joint = cut(joint)
-    wanted = cut(joint.select("term").distinct())
-    texts = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    each = texts.select(F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    if wanted.count() <= broadcast_terms:
-        each = each.join(F.broadcast(wanted), "term", "left_semi").distinct()
-    m = each.groupBy("term").agg(F.count(F.lit(1)).alias("m"))
-    values = rows.select("text_hash", F.explode(F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in KINDS)))).alias("value"))
-    k = values.distinct().groupBy("value").agg(F.count(F.lit(1)).alias("k"))
-    n = docs.select(F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("h")).agg(F.count_distinct("h").alias("n"))
-    total = n.first()["n"]
+    held = near.groupBy("value", "term", "text_hash").agg(F.count_distinct("doc_id").alias("docs"))
+    joint = held.groupBy("value", "term").agg(F.sum(F.greatest("docs", F.lit(1))).alias("j"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    terms = F.array_distinct(F.regexp_extract_all(F.lower(docs[text_col]), F.lit(TERM), F.lit(0)))
+    m = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("m"))
+    values = rows.select(F.explode(F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in KINDS)))).alias("value"))
+    k = values.groupBy("value").agg(F.count(F.lit(1)).alias("k"))
+    total = rows.count()
     told = joint.join(k, "value").join(m, "term").where(F.lit(total) > F.col("k"))
     degree = F.log(F.col("j") * F.lit(float(total)) / (F.col("k") * F.col("m"))) / F.log(F.lit(float(total)) / F.col("k"))
     flagged = told.where(degree >= threshold).select("value", "term")
