@@ -16,7 +16,7 @@ those of the difference-cover algorithm, each a shuffle:
 4. join what is covered to the texts.
 
 Sampled suffixes travel as packed arrays, a few for each task and bucket of names. Buckets are as many as four
-times the shuffle partitions.
+times the shuffle partitions; what they find is dealt to half as many buckets of rows as there are partitions.
 
 Defined results: a null text counts as empty; matches never cross documents and are judged on the input; texts
 shorter than a match stay whole; rows without an id are one document, larger than any other; rows with one id are
@@ -245,17 +245,19 @@ def _of(key: np.ndarray, buckets: int) -> np.ndarray:
     return (_join(np.ascontiguousarray(key).view(np.uint64), np.zeros(1, np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
 
-def _buckets(df: DataFrame) -> int:
-    return 4 * max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _buckets(df: DataFrame) -> tuple[int, int]:
+    """Buckets of names and of rows. Spots are few and narrow beside suffixes, so fewer buckets of them hold as much, and blobs stay fewer."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 4 * max(1, partitions), max(1, partitions // 2)
 
 
 def _by_bucket(df: DataFrame, kinds: dict[str, str], work) -> DataFrame:
     """work() on the rows of all blobs of a bucket; what comes back is dealt out by row."""
-    buckets = _buckets(df)
+    _, by_row = _buckets(df)
 
     def run(table: pa.Table) -> pa.Table:
         found = work(unpack(table.column("data").to_pylist(), kinds))
-        return pa.Table.from_batches([_blobs(dealt(_of(found["row"], buckets), found))])
+        return pa.Table.from_batches([_blobs(dealt(_of(found["row"], by_row), found))])
 
     return df.groupBy("bucket").applyInArrow(run, BLOB)
 
@@ -292,7 +294,7 @@ def zipped(rows: DataFrame) -> DataFrame:
 def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """For rows of doc, row and text: (row, at, open) of sampled suffixes and (row, starts) of covered windows."""
     ship(rows.sparkSession)
-    buckets = _buckets(rows)
+    buckets, _ = _buckets(rows)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs, keys, texts in chunks(batches):
