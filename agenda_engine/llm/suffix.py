@@ -38,8 +38,8 @@ from agenda_engine.functions.shipping import ship
 from agenda_engine.llm.common import cut, pick
 
 LENGTH, GRAM = 50, 16
-#: Bytes of text that are hashed at once.
-CHUNK = 1 << 21
+#: Bytes of text that are hashed at once, at eight bytes for each length of string; rows that are dealt to buckets at once.
+CHUNK, GATHER = 1 << 18, 400_000
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hashes of single bytes; 256 stands for what is beyond a text.
 TABLE = np.random.default_rng(50).integers(1, 2**63, 257, dtype=np.uint64)
@@ -112,23 +112,54 @@ def sample(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[
     return number, at - starts[number], grams[at], whole[at - width + 1], left.astype(np.uint16), right.astype(np.uint16)
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
-    """Ids, row keys and texts in groups of about CHUNK bytes."""
+def slices(n: int, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:
+    """Parts of a text of n bytes: where each starts and ends with a margin, and the positions that it answers for.
+
+    All that tells whether a position is sampled, and its context, lies within two lengths of it.
+    """
+    for lo in range(0, n, CHUNK):
+        hi = min(lo + CHUNK, n)
+        yield max(0, lo - 2 * length), min(n, hi + 2 * length), lo, hi
+
+
+def chunks(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[list[tuple[int, int, int, int, int, bytes]]]:
+    """Groups of about CHUNK bytes of doc, row, start, first and last position to answer for, and bytes; a long text is several of these."""
     group, size = [], 0
     for batch in batches:
         for doc, row, text in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "text")), strict=True):
-            group.append((doc, row, text.encode()))
-            size += len(group[-1][2])
-            if size >= CHUNK:
-                yield _columns(group)
-                group, size = [], 0
+            data = text.encode()
+            for start, end, lo, hi in slices(len(data), length):
+                group.append((doc, row, start, lo, hi, data[start:end]))
+                size += end - start
+                if size >= CHUNK:
+                    yield group
+                    group, size = [], 0
     if group:
-        yield _columns(group)
+        yield group
 
 
-def _columns(group: list) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    docs, rows, texts = zip(*group, strict=True)
-    return np.array(docs, np.int64), np.array(rows, np.int64), list(texts)
+def suffixes(group: list[tuple[int, int, int, int, int, bytes]], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
+    """The sampled suffixes of a group, as the columns of SUFFIX."""
+    docs, keys, start, lo, hi = (np.array(c, np.int64) for c in list(zip(*group, strict=True))[:5])
+    number, at, name, context, left, right = sample([g[5] for g in group], length, gram)
+    at = at + start[number]
+    own = (at >= lo[number]) & (at < hi[number])
+    number, context = number[own], context[own]
+    found = (name[own], context.astype(np.uint32), (context >> np.uint64(32)).astype(np.uint16), left[own], right[own], docs[number], keys[number], at[own].astype(np.int32))
+    return dict(zip(SUFFIX, found, strict=True))
+
+
+def gathered(parts: Iterator[dict[str, np.ndarray]], most: int) -> Iterator[dict[str, np.ndarray]]:
+    """Columns put together until they have `most` rows, so that what is dealt to many buckets stays in few blobs."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(next(iter(part.values())))
+        if n >= most:
+            yield {k: np.concatenate([h[k] for h in held]) for k in part}
+            held, n = [], 0
+    if n:
+        yield {k: np.concatenate([h[k] for h in held]) for k in held[0]}
 
 
 def pack(columns: dict[str, np.ndarray]) -> bytes:
@@ -216,7 +247,20 @@ def repeated(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and names of the windows whose sampled suffix is one of some positions, on the sides that are asked for."""
+    """Starts and names of the windows whose sampled suffix is one of some sorted positions, on the sides that are asked for."""
+    parts = []
+    for start, end, lo, hi in slices(len(text), length):
+        a, b = np.searchsorted(at, [lo, hi])
+        if a < b:
+            starts, names = _windows(text[start:end], at[a:b] - start, sides[a:b], length, gram)
+            parts.append((starts + start, names))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    starts, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
+    return starts, np.concatenate([p[1] for p in parts])[first]
+
+
+def _windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     width, half = length - gram + 1, (length - gram) // 2
     hashes = Hashes(np.frombuffer(text, np.uint8).astype(np.int16))
     grams = hashes.of(gram)
@@ -297,19 +341,18 @@ def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     buckets, _ = _buckets(rows)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, keys, texts in chunks(batches):
-            number, at, name, context, left, right = sample(texts, length, gram)
-            columns = {"name": name, "context": context.astype(np.uint32), "more": (context >> np.uint64(32)).astype(np.uint16), "left": left, "right": right}
-            yield _blobs(dealt(_of(name, buckets), columns | {"doc": docs[number], "row": keys[number], "at": at.astype(np.int32)}))
+        for columns in gathered((suffixes(g, length, gram) for g in chunks(batches, length)), GATHER):
+            yield _blobs(dealt(_of(columns["name"], buckets), columns))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for doc, row, text, at, opened in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "zipped", "at", "open")), strict=True):
-                where, sides = np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(opened, "u1")
-                starts, names = windows(zlib.decompress(text), where[sides > 0], sides[sides > 0], length, gram)
-                parts.append((names, np.full(len(starts), doc), np.full(len(starts), row), starts.astype(np.int32)))
-            columns = dict(zip(WINDOW, map(np.concatenate, zip(*parts, strict=True)), strict=True))
+        def each() -> Iterator[dict[str, np.ndarray]]:
+            for batch in batches:
+                for doc, row, text, at, opened in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "zipped", "at", "open")), strict=True):
+                    where, sides = np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(opened, "u1")
+                    starts, names = windows(zlib.decompress(text), where[sides > 0], sides[sides > 0], length, gram)
+                    yield dict(zip(WINDOW, (names, np.full(len(starts), doc), np.full(len(starts), row), starts.astype(np.int32)), strict=True))
+
+        for columns in gathered(each(), GATHER):
             yield _blobs(dealt(_of(columns["name"], buckets), columns))
 
     long = rows.where(F.octet_length("text") >= length)

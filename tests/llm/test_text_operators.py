@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from agenda_engine.llm import bpe, packing, pii, rules, simhash, suffix, tokens
@@ -209,6 +210,23 @@ def test_repeated_passages_equal_brute_force(spark):
     assert got == brute_removed([(r[0], r[1]) for r in rows])
 
 
+def test_passages_of_long_texts_are_found_in_slices(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    long = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    rows = [(1, long[:500] + passage + long[500:]), (2, "x" + long[200:2600]), (3, passage[:70] + long[900:1000] + "é" * 90 + passage[40:])]
+    whole = suffix.sample([r[1].encode() for r in rows])
+    monkeypatch.setattr(suffix, "CHUNK", 256)
+    parts = [suffix.suffixes(g) for g in suffix.chunks([pa.record_batch([pa.array([i for i, _ in rows]), pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["doc", "row", "text"])])]
+    assert sorted((int(d), int(a), int(n)) for p in parts for d, a, n in zip(p["doc"], p["at"], p["name"], strict=True)) == sorted((rows[k][0], int(a), int(n)) for k, a, n in zip(*whole[:3], strict=True))
+    for text in (r[1].encode() for r in rows):
+        at = suffix.sample([text])[1]
+        monkeypatch.setattr(suffix, "CHUNK", 1 << 18)
+        want = suffix.windows(text, at, np.full(len(at), 3))
+        monkeypatch.setattr(suffix, "CHUNK", 256)
+        assert all((a == b).all() for a, b in zip(want, suffix.windows(text, at, np.full(len(at), 3)), strict=True))
+
+
 def test_rules_measure_and_ablate(spark, odd):
     got = by_id(rules.ledger(odd))
     assert len(got) == len(ODD)
