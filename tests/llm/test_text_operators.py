@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -268,10 +269,18 @@ def test_disclosing_terms_are_found_and_generalised(spark):
     rows.append((99, None, None, None, None))
     docs = spark.createDataFrame(rows, SCHEMA)
     found = {r.doc_id: r for r in pii.find(docs).collect()}
-    assert [rows[0][1][s.start : s.end] for s in found[0].terms] == ["then", "Quixoteman", "wrote"]
+    n, value, holds = len(rows), "boss@corp.example.com", [set(re.findall(r"[^\W\d_]{4,}", (r[1] or "").lower())) for r in rows]
+    k = sum(value in (r[1] or "") for r in rows)
+
+    def degree(term):
+        j, m = sum(term in h and value in (r[1] or "") for h, r in zip(holds, rows, strict=True)), sum(term in h for h in holds)
+        return math.log(j * n / (k * m)) / math.log(n / k)
+
+    want = [t for t in re.findall(r"[^\W\d_]{4,}", rows[0][1].replace(value, "")) if degree(t.lower()) >= pii.THRESHOLD]
+    assert [rows[0][1][s.start : s.end] for s in found[0].terms] == want == ["text", "number", "then", "Quixoteman", "wrote"]
     assert found[55].terms == []
     clean = {r.doc_id: r for r in pii.sanitise(docs).collect()}
-    assert clean[2].text == "filler2 text number2 [TERM] [TERM] [TERM] [EMAIL] about thing2" and clean[2].piece == 2
+    assert clean[2].text == "filler2 [TERM] [TERM]2 [TERM] [TERM] [TERM] [EMAIL] about thing2" and clean[2].piece == 2
     assert clean[99].text is None and clean[60].text == rows[16][1]
 
 
