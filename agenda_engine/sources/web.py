@@ -23,31 +23,28 @@ def ld_blocks(html: Column) -> Column:
 def flatten_events(pages: DataFrame, html: str = "html", depth: int = DEEPEST) -> DataFrame:
     """Adds event (a VARIANT), a row for each structured event with a name, nested ones included; blocks that are no JSON are skipped.
 
-    Nesting is unrolled level by level with native variant functions, up to `depth`.
+    Nesting is unrolled level by level with native variant functions, up to `depth`, in one pass over the pages.
     """
     own = [c for c in pages.columns if c != html]
-    level = pages.select(*own, F.explode(ld_blocks(F.col(html))).alias("block")).select(*own, F.try_parse_json("block").alias("v")).where("v is not null")
-
-    def spread(rows: DataFrame) -> DataFrame:
-        """Arrays to their elements."""
-        kinds = F.schema_of_variant("v")
-        single = rows.where(~F.startswith(kinds, F.lit("ARRAY")))
-        many = rows.where(F.startswith(kinds, F.lit("ARRAY"))).select(*own, F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v"))
-        return single.unionByName(many)
-
-    level = spread(level)
-    found = level
-    for _ in range(depth):
-        inner = F.array_compact(F.array(*(F.try_variant_get("v", f"$['{k}']", "variant") for k in NESTING)))
-        level = spread(level.select(*own, F.explode(inner).alias("v")))
-        found = found.unionByName(level)
+    found = pages.select(*own, F.explode(ld_blocks(F.col(html))).alias("block")).select(*own, F.try_parse_json("block").alias("v"), F.lit(True).alias("fresh")).where("v is not null")
+    for _ in range(depth + 1):
+        # one step: a fresh array becomes its elements, a fresh object stays and brings what it nests, all else stays
+        elements = F.transform(F.try_variant_get("v", "$", "array<variant>"), lambda x: F.struct(x.alias("v"), F.lit(True).alias("fresh")))
+        inner = F.flatten(F.array_compact(F.array(*(F.coalesce(F.try_variant_get("v", f"$['{k}']", "array<variant>"), F.array_compact(F.array(F.try_variant_get("v", f"$['{k}']", "variant")))) for k in NESTING))))
+        itself = F.array(F.struct(F.col("v").alias("v"), F.lit(False).alias("fresh")))
+        nested = F.concat(itself, F.transform(inner, lambda x: F.struct(x.alias("v"), F.lit(True).alias("fresh"))))
+        is_array = F.startswith(F.schema_of_variant("v"), F.lit("ARRAY"))
+        step = F.when(~F.col("fresh"), itself).when(is_array, elements).otherwise(nested)
+        found = found.select(*own, F.explode(step).alias("s")).select(*own, "s.v", "s.fresh").where("v is not null")
     kind = F.coalesce(F.try_variant_get("v", "$['@type']", "array<string>"), F.array(F.try_variant_get("v", "$['@type']", "string")))
     named = F.trim(F.coalesce(F.try_variant_get("v", "$.name", "string"), F.lit(""))) != ""
     return found.where(F.exists(kind, lambda t: F.lower(t).isin(*EVENT_TYPES)) & named).select(*own, F.col("v").alias("event"))
 
 
 def _text(v: Column, path: str) -> Column:
-    return F.nullif(F.trim(F.try_variant_get(v, path, "string")), F.lit(""))
+    """The text or number at a path; null where an object or a list stands there."""
+    nested = F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    return F.when(~nested, F.nullif(F.trim(F.try_variant_get(v, path, "string")), F.lit("")))
 
 
 def offers(v: Column) -> Column:
@@ -69,7 +66,7 @@ def event_columns(v: Column) -> list[Column]:
     """The fields of a structured event; location, image and organizer may be texts, objects or lists."""
     place = F.try_variant_get(v, "$.location", "variant")
     address = F.concat_ws(", ", *(F.try_variant_get(place, f"$.address.{k}", "string") for k in ("streetAddress", "addressLocality", "addressRegion")))
-    image = F.coalesce(F.try_variant_get(v, "$.image.url", "string"), F.try_variant_get(v, "$.image[0].url", "string"), F.try_variant_get(v, "$.image[0]", "string"), F.try_variant_get(v, "$.image", "string"))
+    image = F.coalesce(*(_text(v, p) for p in ("$.image.url", "$.image[0].url", "$.image[0]", "$.image")))
     offer = offers(v)
     return [
         _text(v, "$.name").alias("title"), _text(v, "$.startDate").alias("starts_at"), _text(v, "$.endDate").alias("ends_at"), _text(v, "$.url").alias("url"),
