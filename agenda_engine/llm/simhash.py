@@ -34,20 +34,28 @@ GROUPS, BLOCK = 6, 2048
 EVEN = 0x5555555555555555
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """The 64-bit fingerprint of a text: a bit is set if over half of the shingles' XXH64 have it."""
+def shingles(text: str | None, words: int = 3, seed: int = 42) -> np.ndarray:
+    """The XXH64 of each shingle of a text, in order."""
     import xxhash
 
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
     count = max(len(tokens) - words + 1, 1)
     stop = (ends[words - 1 :] if len(tokens) >= words else ends[-1:]) - 1
     start = np.concatenate([[0], ends[: count - 1]])
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter([digest(joined[a:b], seed) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], np.uint64, count)
+    return np.fromiter([digest(joined[a:b], seed) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], np.uint64, count)
+
+
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """The 64-bit fingerprint of a text: a bit is set if over half of the shingles' XXH64 have it."""
+    hashes = shingles(text, words, seed)
+    count = len(hashes)
+    if not count:
+        return 0
     ones = np.zeros(64, np.int64)
     for lo in range(0, count, 65536):
         ones += np.unpackbits(hashes[lo : lo + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from agenda_engine.llm import bpe, packing, pii, rules, simhash, suffix, tokens
+from agenda_engine.llm import bpe, copies, packing, pii, rules, simhash, suffix, tokens
 from agenda_engine.llm.queries import tokenizer
 
 BPE, PIECES = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
@@ -182,6 +182,38 @@ def test_keep_one_keeps_columns_and_one_of_each(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 9]
 
 
+def brute_near_copies(rows):
+    """Ids that stay: one of each component of five-word Jaccard 0.8."""
+    sets = []
+    for _, t, *_ in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                label = [label[j] if x == label[i] else x for x in label]
+    return sorted(min(rows[k][0] for k in range(len(rows)) if label[k] == x) for x in set(label))
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_near_copies_with_changed_words_go(spark, monkeypatch, block):
+    monkeypatch.setattr(copies, "BLOCK", block)
+    rng = random.Random(11)
+    rows = []
+    for g in range(8):
+        base = [f"w{rng.randint(0, 900)}" for _ in range(200)]
+        for k in range(12):
+            changed = set(rng.sample(range(200), (0, 1, 2, 3, 4, 5, 6, 8, 10, 14, 20, 40)[k]))
+            rows.append((1000 - 12 * g - k, " ".join(f"Z{g}{k}{i}" if i in changed else w for i, w in enumerate(base)), None, None, None))
+    rows += [(1, None, "a", None, None), (2, "", "b", None, None), (3, "few words", "c", None, None), (4, " Few  WORDS ", "d", None, None)]
+    kept = copies.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert kept.columns == ["doc_id", "text", "lang", "word", "piece"]
+    got, want = sorted(r.doc_id for r in kept.collect()), brute_near_copies(rows)
+    assert got == want and len(want) < len(rows) - 30
+    assert len(simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()) > len(want)
+
+
 def brute_removed(rows, n=50):
     first: dict[bytes, float] = {}
     for i, t in rows:
