@@ -3,19 +3,23 @@
 Base kinds are matched by patterns and checks. Around them works information-theoretic sanitisation: for a
 protected value v and a term t beside it, the corpus gives how many documents hold v (k), hold t (m) and hold
 t beside v (j) among N. t discloses v to the degree PMI(v; t) / IC(v) = ln(jN / km) / ln(N / k): 1 if t is
-seen with v alone, 0 if they are independent. Terms that reach the threshold, and stand beside v in enough
-distinct texts, become spans of kind "term"; sanitising removes base values for the name of their kind and generalises such terms.
+seen with v alone, 0 if they are independent. Terms that reach the threshold, and whose j is no chance, become
+spans of kind "term"; sanitising removes base values for the name of their kind and generalises such terms. Chance is
+bounded by Chernoff: j or more of independent v and t have a probability of at most exp(j - e + j ln(e / j)) with e = km / N. A
+value of a single document can thus disclose too, in a corpus that is large enough to tell.
 
 The patterns run as they are defined, leftmost and non-overlapping, but written so that a long run is tried
 once: runs are possessive, and a match may only start where a run starts or where the match before ended.
 
-Defined results: a null or empty text has no spans; texts are searched whole; copies add no distinct text, and
+Defined results: a null or empty text has no spans; texts are searched whole; copies count as documents;
 repeated rows keep a row each; an empty table gives an empty result; further columns stay as
 they are in sanitise() and are ignored in find().
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +44,8 @@ CHECKS = {
 }
 KINDS = tuple(PATTERNS)
 TERM = "\\p{L}{4,}"
-#: Code points beside a value in which terms count; least share of a value's information; least number of distinct texts.
-REACH, THRESHOLD, SUPPORT = 64, 0.8, 3
+#: Code points beside a value in which terms count; least share of a value's information; largest probability of chance.
+REACH, THRESHOLD, DOUBT = 64, 0.8, 0.01
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -104,14 +108,14 @@ def _beside(rows: DataFrame) -> DataFrame:
     return terms.where(whole & clear).select("doc_id", "text_hash", "value", F.lower("t.value").alias("term"), start.alias("start"), end.alias("end"))
 
 
-def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """(doc_id, text_hash, terms): the spans of disclosing terms of each document that has any.
 
     Counts cover all documents, with map-side combine; only pairs of a value and a term beside it are formed.
     """
     near = cut(_beside(rows))
     held = near.groupBy("value", "term", "text_hash").agg(F.count_distinct("doc_id").alias("docs"))
-    joint = held.groupBy("value", "term").agg(F.sum(F.greatest("docs", F.lit(1))).alias("j"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    joint = held.groupBy("value", "term").agg(F.sum(F.greatest("docs", F.lit(1))).alias("j"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(docs[text_col]), F.lit(TERM), F.lit(0)))
     m = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("m"))
     values = rows.select(F.explode(F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in KINDS)))).alias("value"))
@@ -119,15 +123,17 @@ def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresho
     total = rows.count()
     told = joint.join(k, "value").join(m, "term").where(F.lit(total) > F.col("k"))
     degree = F.log(F.col("j") * F.lit(float(total)) / (F.col("k") * F.col("m"))) / F.log(F.lit(float(total)) / F.col("k"))
-    flagged = told.where(degree >= threshold).select("value", "term")
+    chance = F.col("k") * F.col("m") / F.lit(float(total))
+    unlikely = F.col("j") * (1 + F.log(chance / F.col("j"))) - chance <= math.log(doubt)
+    flagged = told.where((degree >= threshold) & (F.col("j") > chance) & unlikely).select("value", "term")
     hits = near.join(flagged, ["value", "term"]).select("doc_id", "text_hash", "start", "end").distinct()
     return hits.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """doc_id, the spans of each base kind and those of disclosing terms, for every input row."""
     rows = cut(_base_rows(docs, id_col, text_col).withColumn("text", F.when(F.greatest(*(F.size(k) for k in KINDS)) > 0, F.col("text"))))
-    extra = disclosing(docs, rows, text_col, threshold, support).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    extra = disclosing(docs, rows, text_col, threshold, doubt).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
     joined = rows.drop("text").join(extra, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")), "left")
     return joined.select("doc_id", *KINDS, F.coalesce("terms", F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")).alias("terms"))
 
@@ -144,13 +150,13 @@ def digests(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(told(KINDS), 256).alias("base_sha256"), told((*KINDS, "terms")).alias("spans"))
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """The input with every base value replaced by [KIND] and every disclosing term by [TERM]; a null text stays null.
 
     Overlapping spans are replaced together, by the name of the one that starts first. Other columns stay.
     """
     found = cut(_base_rows(docs, id_col, text_col).withColumn("text", F.when(F.greatest(*(F.size(k) for k in KINDS)) > 0, F.col("text"))))
-    extra = cut(disclosing(docs, found, text_col, threshold, support)).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    extra = cut(disclosing(docs, found, text_col, threshold, doubt)).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
     base_spans = F.concat(*(F.expr(f"transform({k}, s -> struct(s.start as start, s.end as end, '[{k.upper()}]' as name))") for k in KINDS))
     known = found.where("text is not null").select("doc_id", "text_hash", base_spans.alias("base_spans")).dropDuplicates(["doc_id", "text_hash"])
     joined = known.join(extra, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")), "left")

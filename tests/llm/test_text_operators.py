@@ -316,6 +316,16 @@ def test_disclosing_terms_are_found_and_generalised(spark):
     assert clean[99].text is None and clean[60].text == rows[16][1]
 
 
+def test_a_value_of_one_document_is_disclosed(spark):
+    rows = [(k, f"common words and thing about other filler {k}", None, None, None) for k in range(400)]
+    rows[7] = (7, "common words Quixoteman wrote rare@corp.example.com about other", None, None, None)
+    found = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in pii.find(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[7] == ["Quixoteman", "wrote"]
+    assert not any(v for k, v in found.items() if k != 7)
+    few = spark.createDataFrame(rows[:20], SCHEMA)  # too few documents to tell
+    assert not any(r.terms for r in pii.find(few).collect())
+
+
 def test_packed_ids_are_the_documents(odd):
     row = packing.pack(odd.where("doc_id = 4"), BPE, keep_ids=True).first()
     assert bpe.encoder(BPE).decode([i for i in row.ids if i != 2]) == "Hello  world"
