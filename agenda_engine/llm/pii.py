@@ -1,10 +1,10 @@
 """Personal data, and terms that give it away, with DataFrame functions only.
 
 Base kinds are matched by patterns and checks. Around them works information-theoretic sanitisation: for a
-protected value v and a term t beside it, the corpus gives how many documents hold v (k), hold t (m) and hold
-t beside v (j) among N. t discloses v to the degree PMI(v; t) / IC(v) = ln(jN / km) / ln(N / k): 1 if t is
+protected value v and a term t, the corpus gives how many documents hold v (k), hold t (m) and hold
+both (j) among N. t discloses v to the degree PMI(v; t) / IC(v) = ln(jN / km) / ln(N / k): 1 if t is
 seen with v alone, 0 if they are independent. Terms that reach the threshold, and whose j is no chance, become
-spans of kind "term"; sanitising removes base values for the name of their kind and generalises such terms. Chance is
+spans of kind "term" wherever they stand in a document that holds v; sanitising removes base values for the name of their kind and generalises such terms. Chance is
 bounded by Chernoff: j or more of independent v and t have a probability of at most exp(j - e + j ln(e / j)) with e = km / N. A
 value of a single document can thus disclose too, in a corpus that is large enough to tell.
 
@@ -19,6 +19,7 @@ they are in sanitise() and are ignored in find().
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,13 +45,13 @@ CHECKS = {
 }
 KINDS = tuple(PATTERNS)
 TERM = "\\p{L}{4,}"
-#: Code points beside a value in which terms count; least share of a value's information; largest probability of chance.
-REACH, THRESHOLD, DOUBT = 64, 0.8, 0.01
+#: Least share of a value's information; largest probability of chance.
+THRESHOLD, DOUBT = 0.8, 0.01
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """The matches of a pattern as structs of start, end (code points, end exclusive) and value."""
+def spans(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """The matches of a pattern, or those of wanted values, as structs of start, end (code points, end exclusive) and value."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
     pairs = F.zip_with(gaps, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
@@ -59,7 +60,8 @@ def spans(text: Column, pattern: str) -> Column:
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.length(x["value"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
+        more = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))
+        return F.struct(end.alias("at"), (F.when(wanted(x["value"]), more).otherwise(acc["out"]) if wanted else more).alias("out"))
 
     return F.when(F.size(found) > 0, F.aggregate(pairs, empty, add, lambda acc: acc["out"])).otherwise(F.from_json(F.lit("[]"), SPAN))
 
@@ -86,48 +88,61 @@ def _base_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc_id", "text", "text_hash", *map(_checked, KINDS))
 
 
-def _beside(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, value, term, start, end): whole terms within reach of base values, outside any base span."""
-    every = F.concat(*(F.expr(f"transform({k}, s -> struct('{k}' as kind, s.start as start, s.end as end, s.value as value))") for k in KINDS))
-    held = rows.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("doc_id", "text", "text_hash", every.alias("every"))
-    one = held.select("doc_id", "text", "text_hash", "every", F.explode("every").alias("s"))
-    low = F.greatest(F.col("s.start") - REACH, F.lit(0))
-    left = F.substring("text", low + 1, F.col("s.start") - low)
-    right = F.substring("text", F.col("s.end") + 1, F.lit(REACH))
-    sides = one.select(
-        "doc_id", "text_hash", "every", F.col("s.value").alias("value"), F.length("text").alias("n"),
-        F.explode(F.array(F.struct(low.alias("at"), left.alias("part")), F.struct(F.col("s.end").alias("at"), right.alias("part")))).alias("side"),
-    )
-    terms = sides.select("doc_id", "text_hash", "every", "value", "n", "side", F.explode(spans(F.col("side.part"), TERM)).alias("t"))
-    # a term that the reach cuts through is no whole term; one at an end of the text or of the value is
-    start, end = F.col("side.at") + F.col("t.start"), F.col("side.at") + F.col("t.end")
-    whole = ((F.col("t.start") > 0) | (F.col("side.at") == 0) | F.expr("exists(every, s -> s.end = side.at)")) & (
-        (F.col("t.end") < F.length("side.part")) | (end == F.col("n")) | F.exists("every", lambda s: s["start"] == end)
-    )
-    clear = ~F.exists("every", lambda s: (s["start"] < end) & (s["end"] > start))
-    return terms.where(whole & clear).select("doc_id", "text_hash", "value", F.lower("t.value").alias("term"), start.alias("start"), end.alias("end"))
+def _blanked(text: Column) -> Column:
+    """The text with every base span as blanks, so that places stay."""
+    for kind in KINDS:
+        text = _without(text, kind)
+    return text
+
+
+def _without(text: Column, kind: str) -> Column:
+    """The text with the spans of one kind, which do not overlap, as blanks."""
+    found, last = F.col(kind), F.element_at(kind, -1)["end"]
+
+    def piece(s: Column, i: Column) -> Column:
+        after = F.when(i == 0, F.lit(0)).otherwise(F.element_at(found, F.greatest(i, F.lit(1)))["end"])
+        return F.concat(F.substring(text, after + 1, s["start"] - after), F.repeat(F.lit(" "), s["end"] - s["start"]))
+
+    rest = F.substring(text, last + 1, F.lit(2**31 - 1) - last)
+    return F.when(F.size(found) > 0, F.concat(F.array_join(F.transform(found, piece), ""), rest)).otherwise(text)
+
+
+def _words(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """(doc_id, text_hash, terms): the spans of disclosing terms of each document that has any.
 
-    Counts cover all documents, with map-side combine; only pairs of a value and a term beside it are formed.
+    Counts cover all documents, with map-side combine. A pair of a value and a term of its document is formed only if m
+    lets it reach the threshold: j is at most k, so m is at most N (k / N) ** threshold.
     """
-    near = cut(_beside(rows))
-    held = near.groupBy("value", "term", "text_hash").agg(F.count_distinct("doc_id").alias("docs"))
-    joint = held.groupBy("value", "term").agg(F.sum(F.greatest("docs", F.lit(1))).alias("j"))
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(docs[text_col]), F.lit(TERM), F.lit(0)))
-    m = docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("m"))
-    values = rows.select(F.explode(F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in KINDS)))).alias("value"))
-    k = values.groupBy("value").agg(F.count(F.lit(1)).alias("k"))
-    total = rows.count()
-    told = joint.join(k, "value").join(m, "term").where(F.lit(total) > F.col("k"))
+    key = ["doc_id", "text_hash"]
+    held = rows.where(" or ".join(f"size({k}) > 0" for k in KINDS))
+    every = F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in KINDS)))
+    values = cut(held.select(*key, F.explode(every).alias("value")).groupBy(*key, "value").agg(F.count(F.lit(1)).alias("rows")))
+    k = cut(values.groupBy("value").agg(F.sum("rows").alias("k")))
+    total, most = rows.count(), k.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]
+
+    def bound(k: Column) -> Column:
+        return F.lit(total * (1 + 1e-9)) * F.pow(k / F.lit(float(max(total, 1))), F.lit(threshold))
+
+    m = docs.select(F.explode(_words(docs[text_col])).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") <= bound(F.lit(most)))
+    terms = held.withColumn("blanked", _blanked(F.col("text"))).select(*key, F.explode(_words(F.col("blanked"))).alias("term"))
+    terms = terms.join(m, "term").dropDuplicates([*key, "term"]).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text"))
+    told = values.join(k, "value").where(F.lit(total) > F.col("k"))
+    pairs = cut(told.join(terms, same & (F.col("m") <= bound(F.col("k")))).select(*key, "rows", "value", "k", "term", "m"))
+    joint = pairs.groupBy("value", "term").agg(F.sum("rows").alias("j"), F.max("k").alias("k"), F.max("m").alias("m"))
     degree = F.log(F.col("j") * F.lit(float(total)) / (F.col("k") * F.col("m"))) / F.log(F.lit(float(total)) / F.col("k"))
     chance = F.col("k") * F.col("m") / F.lit(float(total))
     unlikely = F.col("j") * (1 + F.log(chance / F.col("j"))) - chance <= math.log(doubt)
-    flagged = told.where((degree >= threshold) & (F.col("j") > chance) & unlikely).select("value", "term")
-    hits = near.join(flagged, ["value", "term"]).select("doc_id", "text_hash", "start", "end").distinct()
-    return hits.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms"))
+    flagged = joint.where((degree >= threshold) & (F.col("j") > chance) & unlikely).select("value", "term")
+    hits = pairs.join(flagged, ["value", "term"]).groupBy(*key).agg(F.collect_set("term").alias("flagged")).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    found = held.join(hits, same).withColumn("blanked", _blanked(F.col("text")))
+    found = found.select(*key, spans(F.col("blanked"), TERM, lambda value: F.array_contains("flagged", F.lower(value))).alias("all"))
+    return found.select(*key, F.transform("all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("terms")).dropDuplicates(key)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:

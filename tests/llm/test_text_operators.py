@@ -326,6 +326,18 @@ def test_a_value_of_one_document_is_disclosed(spark):
     assert not any(r.terms for r in pii.find(few).collect())
 
 
+def test_disclosing_terms_are_found_throughout_the_document(spark):
+    rows = [(k, f"common words and thing about other filler {k}", None, None, None) for k in range(400)]
+    rows[7] = (7, "QuixotemaN ñ 10.0.0.1 " + "common words about " * 20 + "rare@corp.example.com+44 20 7946 0958 " + "about other thing " * 20 + "quixoteman", None, None, None)
+    text, docs = rows[7][1], spark.createDataFrame([*rows, rows[7]], SCHEMA)
+    found = [r for r in pii.find(docs).collect() if r.doc_id == 7]
+    assert len(found) == 2
+    for r in found:
+        assert [text[s.start : s.end] for s in r.terms] == ["QuixotemaN", "quixoteman"]
+    clean = [r.text for r in pii.sanitise(docs).collect() if r.doc_id == 7]
+    assert len(clean) == 2 and all(t.startswith("[TERM] ñ [IP] common") and t.endswith("thing [TERM]") and "[EMAIL][PHONE]" in t for t in clean)
+
+
 def test_packed_ids_are_the_documents(odd):
     row = packing.pack(odd.where("doc_id = 4"), BPE, keep_ids=True).first()
     assert bpe.encoder(BPE).decode([i for i in row.ids if i != 2]) == "Hello  world"
