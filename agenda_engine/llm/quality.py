@@ -5,8 +5,9 @@ interactions cost one pass over the features of a document. Features are the dis
 text with damped, length-normalised counts, buckets of structure statistics, and a bucket of the text's size
 as the only metadata; labels, language, source and id are never features.
 
-The machine is fitted on a bounded sample of the labelled rows: at most SAMPLE documents, chosen by a hash of
-their id, with at most FEATURES words each by hash order, so that what reaches the driver has a fixed bound.
+The machine is fitted on a bounded sample of the labelled rows: documents in the order of a hash of their id, at most
+SAMPLE of them and no more than have VALUES features together. A document of the sample counts with all its features,
+as in scoring, and what reaches the driver has a fixed bound.
 Scoring reads every document whole and is one pass without a shuffle.
 
 Defined results: a null text counts as empty and gets a score like any other; a label that is null or no 0 or
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agenda_engine.llm.common import SPACES, each_batch, pick
+from agenda_engine.llm.common import SPACES, cut, each_batch, pick
 
 #: Bounds of the sample, the hashed space, and the fit.
-SAMPLE, FEATURES, SPACE, RANK = 6_000, 400, 1 << 16, 6
+SAMPLE, VALUES, SPACE, RANK = 6_000, 8_000_000, 1 << 16, 6
 EPOCHS, RATE, DECAY, BATCH = 6, 0.15, 2e-5, 64
 EDGES = np.array([0.002, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9])
 STATS = ("upper", "digit", "mark", "symbol", "pipe", "shout", "space", "repeat_words", "repeat_windows", "repeat_lines", "line_length", "word_length", "size")
@@ -56,8 +57,8 @@ def structure(text: str, words: list[bytes]) -> list[float]:
     ]
 
 
-def features(text: str | None, limit: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and values of a text's features; with a limit, that many words of the lowest hash."""
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and values of a text's features."""
     text = text or ""
     words = text.encode().lower().split()
     known, crc = _slots, zlib.crc32
@@ -70,8 +71,6 @@ def features(text: str | None, limit: int | None = None) -> tuple[np.ndarray, np
             slot = known[w] = crc(w) % SPACE
         slots.append(slot)
     index, count = np.unique(np.array(slots, np.int64), return_counts=True)
-    if limit is not None:
-        index, count = index[:limit], count[:limit]
     value = np.sqrt(count)
     value = value / max(1e-9, np.sqrt((value * value).sum()))
     stats = structure(text, words)
@@ -133,18 +132,21 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
     return machine
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, limit: int = FEATURES, id_col: str = "doc_id", text_col: str = "text") -> Machine:
-    """Fits a machine on the labelled rows that are not held out, at most `sample` of them."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, values: int = VALUES, id_col: str = "doc_id", text_col: str = "text") -> Machine:
+    """Fits a machine on the labelled rows that are not held out, at most `sample` of them and at most `values` features."""
     known = labels.where(F.col(label).isin(0, 1) & ~held_out("doc_id")).select(F.col("doc_id").alias("of"), F.col(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("of"), "of", "label").limit(sample)
     met = pick(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("doc_id", "text", "label")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [features(t, limit) for t in batch.column(1).to_pylist()]
+        made = [features(t) for t in batch.column(1).to_pylist()]
         columns = [pa.array([i.astype(np.int32) for i, _ in made], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in made], pa.list_(pa.float32()))]
         return pa.record_batch([batch.column(0), batch.column(2), *columns], ["doc_id", "label", "i", "v"])
 
-    rows = each_batch(met, work, "doc_id long, label int, i array<int>, v array<float>").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * sample).toArrow()
+    order = [F.xxhash64("doc_id"), "doc_id", "label"]
+    featured = cut(each_batch(met, work, "doc_id long, label int, i array<int>, v array<float>"))
+    sizes = featured.orderBy(*order).limit(2 * sample).select(F.size("i").alias("n")).toPandas()["n"]
+    rows = featured.orderBy(*order).limit(int((sizes.cumsum() <= values).sum())).toArrow()
     made = [(np.asarray(i, np.int64), np.asarray(v, np.float64)) for i, v in zip((x.values.to_numpy() for x in rows.column("i")), (x.values.to_numpy() for x in rows.column("v")), strict=True)]
     return fit(made, rows.column("label").to_numpy().astype(float))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -55,6 +56,19 @@ def test_factorisation_uses_the_sum_of_squares_identity():
     assert machine.score([(index, value)])[0] == pytest.approx(want)
 
 
+def test_training_sees_all_features_of_a_text(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: seen.append((rows, labels)))
+    texts = {k: " ".join(f"w{k}x{i}" for i in range(1200)) for k in range(30)}
+    docs, labels = spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame([(k, k % 2) for k in texts], "doc_id long, quality int")
+    quality.train(docs, labels)
+    quality.train(docs, labels, values=5000)
+    (whole, _), (few, _) = seen
+    want = sorted(tuple(quality.features(t)[0]) for k, t in texts.items() if zlib.crc32(str(k).encode()) % 5)
+    assert sorted(map(tuple, (i for i, _ in whole))) == want and min(map(len, want)) > 1000
+    assert len(few) == 4 and all((a == b).all() for (a, _), (b, _) in zip(few, whole, strict=False))
+
+
 def test_search_equals_brute_force(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(600, 16))
