@@ -4,22 +4,59 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that this process has written and not dropped, by scope; the outermost list is the process itself.
+_scopes: list[list[str]] = [[]]
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset and all runs in this process."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="agenda-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes a table into the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
+def _write(df: DataFrame, scope: list[str]) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/agenda-{uuid.uuid4().hex}"
+    scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes a table into the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
+    return _write(df, _scopes[-1])
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    while paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Drops the tables that are cut inside it at its end, but for those that the function it gives writes: these belong to the scope around it."""
+    outer = _scopes[-1]
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield lambda df: _write(df, outer)
+    finally:
+        _scopes.remove(own)
+        _drop(spark, own)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Drops every table that this process has cut; results that were made from them and not written are lost."""
+    for scope in _scopes:
+        _drop(spark, scope)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agenda_engine.functions.durable import cut
+from agenda_engine.functions.durable import cut, scratch
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -17,20 +17,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     """(node, component): the smallest node that each node of an edge reaches.
 
     A round hangs larger neighbours, and then smaller ones, on the smallest neighbour, so long chains shorten
-    by a factor; each round is a table in the shared folder. Ends when a round changes nothing.
+    by a factor; each round is a table in the shared folder, and the last one stays. Ends when a round changes nothing.
     """
-    now = cut(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    print_of = None
-    for _ in range(rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = large.join(_smallest(large), "u")
-        pairs = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        now = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        seen = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.count_distinct("u")).first())
-        if seen == print_of or seen[0] == 0:
-            break
-        print_of = seen
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    with scratch(edges.sparkSession) as keep:
+        now = cut(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+        print_of = None
+        for _ in range(rounds):
+            both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            large = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            small = large.join(_smallest(large), "u")
+            pairs = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+            now = cut(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+            seen = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.count_distinct("u")).first())
+            if seen == print_of or seen[0] == 0:
+                break
+            print_of = seen
+        else:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
+        return keep(now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")))
