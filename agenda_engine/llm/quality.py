@@ -7,7 +7,8 @@ as the only metadata; labels, language, source and id are never features.
 
 The machine is fitted on a bounded sample of the labelled rows: documents in the order of a hash of their id, at most
 SAMPLE of them and no more than have VALUES features together. A document of the sample counts with all its features,
-as in scoring, and what reaches the driver has a fixed bound.
+as in scoring, and what reaches the driver has a fixed bound. A quarter of the sample is not fitted but calibrates the
+margins, with both classes weighted alike, so that a cut means the same whatever share of the labels is low.
 Scoring reads every document whole and is one pass without a shuffle.
 
 Defined results: a null text counts as empty and gets a score like any other; a label that is null or no 0 or
@@ -25,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agenda_engine.llm.common import SPACES, cut, each_batch, pick
+from agenda_engine.llm.common import SPACES, cut, each_batch, pick, scratch
 
 #: Bounds of the sample, the hashed space, and the fit.
 SAMPLE, VALUES, SPACE, RANK = 6_000, 8_000_000, 1 << 16, 6
 EPOCHS, RATE, DECAY, BATCH = 6, 0.15, 2e-5, 64
+#: Words that a worker remembers the slots of.
+MEMORY = 100_000
 EDGES = np.array([0.002, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9])
 STATS = ("upper", "digit", "mark", "symbol", "pipe", "shout", "space", "repeat_words", "repeat_windows", "repeat_lines", "line_length", "word_length", "size")
 WIDTH = len(EDGES) + 1
@@ -66,7 +69,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     for w in words:
         slot = known.get(w)
         if slot is None:
-            if len(known) > 500_000:
+            if len(known) > MEMORY:
                 known.clear()
             slot = known[w] = crc(w) % SPACE
         slots.append(slot)
@@ -83,23 +86,52 @@ _slots: dict[bytes, int] = {}
 
 @dataclass
 class Machine:
-    """The parameters of a factorisation machine."""
+    """The parameters of a factorisation machine, and the calibration of its margins."""
 
     bias: float
     weight: np.ndarray
     factor: np.ndarray
+    slope: float = 1.0
+    offset: float = 0.0
 
-    def score(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """The probability of label 1 for each row of features, in time linear in their number."""
+    def margins(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The machine's sum for each row of features, in time linear in their number."""
         start = np.cumsum([0, *(len(i) for i, _ in rows)])[:-1]
         index, value = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])
         linear = np.add.reduceat(self.weight[index] * value, start)
         each = self.factor[index] * value[:, None]
         total, square = np.add.reduceat(each, start), np.add.reduceat(each * each, start)
-        return 1 / (1 + np.exp(-np.clip(self.bias + linear + 0.5 * (total**2 - square).sum(axis=1), -30, 30)))
+        return self.bias + linear + 0.5 * (total**2 - square).sum(axis=1)
+
+    def score(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The calibrated probability of label 1 for each row of features."""
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(rows) + self.offset, -30, 30)))
+
+
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and offset by Newton steps, with both classes weighted alike and a small penalty on the standardised slope."""
+    mean, spread = x.mean(), max(1e-9, x.std())
+    z = np.stack([(x - mean) / spread, np.ones(len(x))])
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    b = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(b @ z, -30, 30)))
+        grad = z @ (weight * (y - p)) - np.array([0.1, 0.0]) * b
+        hess = (z * (weight * p * (1 - p) + 1e-9)) @ z.T + np.diag([0.1, 1e-6])
+        b = b + np.clip(np.linalg.solve(hess, grad), -2, 2)
+    return float(b[0] / spread), float(b[1] - b[0] * mean / spread)
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Machine:
+    """Fits a machine on three of four rows and calibrates it on the fourth, where both parts hold both classes."""
+    tuning = np.arange(len(rows)) % 4 == 1
+    machine = descend([r for r, t in zip(rows, tuning, strict=True) if not t], labels[~tuning])
+    if 0 < labels[tuning].sum() < tuning.sum() and 0 < labels[~tuning].sum() < (~tuning).sum():
+        machine.slope, machine.offset = logistic(machine.margins([r for r, t in zip(rows, tuning, strict=True) if t]), labels[tuning])
+    return machine
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> Machine:
+def descend(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> Machine:
     """Fits a machine by AdaGrad on mini-batches."""
     n = SPACE + len(STATS) * WIDTH
     rng = np.random.default_rng(seed)
@@ -144,16 +176,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         return pa.record_batch([batch.column(0), batch.column(2), *columns], ["doc_id", "label", "i", "v"])
 
     order = [F.xxhash64("doc_id"), "doc_id", "label"]
-    featured = cut(each_batch(met, work, "doc_id long, label int, i array<int>, v array<float>"))
-    sizes = featured.orderBy(*order).limit(2 * sample).select(F.size("i").alias("n")).toPandas()["n"]
-    rows = featured.orderBy(*order).limit(int((sizes.cumsum() <= values).sum())).toArrow()
+    with scratch(docs.sparkSession):
+        featured = cut(each_batch(met, work, "doc_id long, label int, i array<int>, v array<float>"))
+        sizes = featured.orderBy(*order).limit(2 * sample).select(F.size("i").alias("n")).toPandas()["n"]
+        rows = featured.orderBy(*order).limit(int((sizes.cumsum() <= values).sum())).toArrow()
     made = [(np.asarray(i, np.int64), np.asarray(v, np.float64)) for i, v in zip((x.values.to_numpy() for x in rows.column("i")), (x.values.to_numpy() for x in rows.column("v")), strict=True)]
     return fit(made, rows.column("label").to_numpy().astype(float))
 
 
 def _scorer(docs: DataFrame, machine: Machine, batch: int = 256):
     """A function from texts to scores, for use in tasks."""
-    packed = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weight.astype(np.float32), machine.factor.astype(np.float32)))
+    packed = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weight.astype(np.float32), machine.factor.astype(np.float32), machine.slope, machine.offset))
 
     def scores(texts: list[str | None]) -> np.ndarray:
         here = Machine(*packed.value)
