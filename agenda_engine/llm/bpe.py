@@ -29,7 +29,7 @@ from agenda_engine.llm.common import each_batch, pick
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.int64(2**62)
 #: Widths of the trees that are merged many at a time, rows in one such step, and segments that a worker remembers.
-WIDTHS, ROWS, MEMORY = (8, 16, 32, 64), 20_000, 400_000
+WIDTHS, ROWS, MEMORY = (8, 16, 32, 64), 20_000, 100_000
 
 
 def byte_letters() -> list[str]:

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from agenda_engine.functions.durable import cut
+from agenda_engine.functions.durable import cut, scratch
 from agenda_engine.functions.shipping import ship
 
-__all__ = ["JAVA_SPACES", "SPACES", "cut", "document_frequency", "each_batch", "pick", "words_of"]
+__all__ = ["SPACES", "cut", "each_batch", "parts", "pick", "release", "scratch"]
 
 #: A word is a run of anything but these characters.
 SPACES = " \t\n\x0b\f\r"
-JAVA_SPACES = "[\\x20\\x09-\\x0D]+"
+#: Bytes of a batch that are worked on at once; a longer text is one part.
+PART = 4 << 20
 
 
 def pick(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -23,23 +24,31 @@ def pick(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
 
+def release() -> None:
+    """Hands memory that batches no longer use back to the system; Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about PART bytes."""
+    rows = max(1, batch.num_rows * PART // max(1, batch.nbytes))
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
-    """mapInArrow with one batch out for each batch in."""
+    """mapInArrow with one batch out for each part of a batch."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
-                yield out
+            for part in parts(batch):
+                if (out := work(part)) is not None:
+                    yield out
+        release()
 
     return df.mapInArrow(run, schema)
-
-
-def words_of(text: Column) -> Column:
-    """The words of a text as an array; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), JAVA_SPACES), lambda w: w != "")
-
-
-def document_frequency(docs: DataFrame, text: Column) -> DataFrame:
-    """(term, n_docs) over all documents: the words of each document once, counted with map-side combine."""
-    return docs.select(F.explode(F.array_distinct(words_of(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))

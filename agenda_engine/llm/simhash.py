@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.shipping import ship
-from agenda_engine.llm.common import cut, each_batch, pick
+from agenda_engine.llm.common import cut, each_batch, pick, release, scratch
 from agenda_engine.operators.components import components
 
 
@@ -126,7 +126,8 @@ def links(distinct: DataFrame, radius: int = 3, groups: int = GROUPS) -> DataFra
     point = embedding(F.col("fp"))
     cells = F.explode(F.array(*(F.struct(F.lit(i).alias("grid"), point.bitwiseAND(F.lit(m)).alias("cell")) for i, m in enumerate(masks(radius, groups)))))
     dealt = distinct.select("fp", "node", cells.alias("c")).select("c.*", "fp", "node")
-    crowded = dealt.groupBy("grid", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a written table, so that the join has two shuffles of its own and a crowded cell can be split
+    crowded = cut(dealt.groupBy("grid", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = dealt.join(crowded, ["grid", "cell"]).withColumn("blocks", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).alias("mine")
     pairs = met.select("grid", "cell", "fp", "node", "blocks", mine).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
@@ -145,6 +146,8 @@ def links(distinct: DataFrame, radius: int = 3, groups: int = GROUPS) -> DataFra
                 rest = rest.slice(int(new[-1]) + 1)
         if rest is not None and rest.num_rows:
             yield solve(rest)
+        del rest
+        release()
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         key = np.stack([rows.column(c).to_numpy() for c in ("grid", "cell", "i", "j")])
@@ -162,7 +165,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int
     """doc_id, text_hash, fp and component_id (the smallest doc_id that links reach) of every row."""
     marked = cut(fingerprints(docs, words, seed, id_col, text_col))
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    linked = components(links(distinct.where("node is not null"), radius))
+    with scratch(docs.sparkSession) as keep:
+        linked = keep(components(links(distinct.where("node is not null"), radius)))
     known = distinct.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return marked.join(known, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
@@ -172,7 +176,8 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "do
 
     A row without an id goes if its component has an id.
     """
-    marked = cut(near_duplicates(docs, words, radius, id_col=id_col, text_col=text_col))
+    with scratch(docs.sparkSession) as keep:
+        marked = keep(near_duplicates(docs, words, radius, id_col=id_col, text_col=text_col))
     same = marked.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id"))
     known = same.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("rows") > 1))
     known = known.select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
