@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.shipping import ship
-from agenda_engine.llm.common import cut, pick
+from agenda_engine.llm.common import cut, parts, pick, release
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text that are hashed at once, at eight bytes for each length of string; rows that are dealt to buckets at once.
 CHUNK, GATHER = 1 << 18, 400_000
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hashes of single bytes; 256 stands for what is beyond a text.
-TABLE = np.random.default_rng(50).integers(1, 2**63, 257, dtype=np.uint64)
+TABLE, TABLE2 = np.random.default_rng(50).integers(1, 2**63, (2, 257), dtype=np.uint64)
 NO_ID = np.int64(2**63 - 1)
 
 
@@ -58,8 +58,8 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Hashes:
     """Hashes of all strings of some lengths in a sequence of symbols."""
 
-    def __init__(self, symbols: np.ndarray):
-        self.by: dict[int, np.ndarray] = {1: TABLE[symbols]}
+    def __init__(self, symbols: np.ndarray, table: np.ndarray = TABLE):
+        self.by: dict[int, np.ndarray] = {1: table[symbols]}
 
     def of(self, size: int) -> np.ndarray:
         """The hash of the string of that length at each position where there is one."""
@@ -125,7 +125,7 @@ def slices(n: int, length: int = LENGTH) -> Iterator[tuple[int, int, int, int]]:
 def chunks(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[list[tuple[int, int, int, int, int, bytes]]]:
     """Groups of about CHUNK bytes of doc, row, start, first and last position to answer for, and bytes; a long text is several of these."""
     group, size = [], 0
-    for batch in batches:
+    for batch in (p for b in batches for p in parts(b)):
         for doc, row, text in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "text")), strict=True):
             data = text.encode()
             for start, end, lo, hi in slices(len(data), length):
@@ -197,7 +197,7 @@ def _blobs(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 SUFFIX = {"name": "<u8", "context": "<u4", "more": "<u2", "left": "<u2", "right": "<u2", "doc": "<i8", "row": "<i8", "at": "<i4"}
 SPOT = {"row": "<i8", "at": "<i4", "open": "u1"}
-WINDOW = {"name": "<u8", "doc": "<i8", "row": "<i8", "at": "<i4"}
+WINDOW = {"name": "<u8", "more": "<u8", "doc": "<i8", "row": "<i8", "at": "<i4"}
 BLOB = "bucket int, data binary"
 
 
@@ -239,30 +239,31 @@ def compare(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 def repeated(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """The windows of a bucket that a smaller document has."""
-    order = np.lexsort((rows["doc"], rows["name"]))
-    name, doc = rows["name"][order], rows["doc"][order]
-    first = np.flatnonzero(_new(name))
+    order = np.lexsort((rows["doc"], rows["more"], rows["name"]))
+    name, more, doc = (rows[k][order] for k in ("name", "more", "doc"))
+    first = np.flatnonzero(_new(name, more))
     chosen = order[doc > np.repeat(doc[first], np.diff(np.append(first, len(name))))]
     return {"row": rows["row"][chosen], "at": rows["at"][chosen], "open": np.zeros(len(chosen), np.uint8)}
 
 
-def windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and names of the windows whose sampled suffix is one of some sorted positions, on the sides that are asked for."""
+def windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and names (128 bits in two) of the windows whose sampled suffix is one of some sorted positions, on the sides that are asked for."""
     parts = []
     for start, end, lo, hi in slices(len(text), length):
         a, b = np.searchsorted(at, [lo, hi])
         if a < b:
-            starts, names = _windows(text[start:end], at[a:b] - start, sides[a:b], length, gram)
-            parts.append((starts + start, names))
+            starts, *names = _windows(text[start:end], at[a:b] - start, sides[a:b], length, gram)
+            parts.append((starts + start, *names))
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     starts, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
-    return starts, np.concatenate([p[1] for p in parts])[first]
+    return starts, np.concatenate([p[1] for p in parts])[first], np.concatenate([p[2] for p in parts])[first]
 
 
-def _windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+def _windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     width, half = length - gram + 1, (length - gram) // 2
-    hashes = Hashes(np.frombuffer(text, np.uint8).astype(np.int16))
+    symbols = np.frombuffer(text, np.uint8).astype(np.int16)
+    hashes = Hashes(symbols)
     grams = hashes.of(gram)
     least = _slide(grams, width, np.minimum)
     back = np.broadcast_to(np.arange(width)[None, :], (len(at), width))
@@ -271,7 +272,7 @@ def _windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int, gram:
     ok &= ((sides[:, None] & 1 > 0) & (back >= half)) | ((sides[:, None] & 2 > 0) & (width - 1 - back >= half))
     ok &= least[np.where(ok, start, 0)] == grams[at][:, None]
     starts = np.unique(start[ok])
-    return starts, hashes.of(length)[starts]
+    return starts, hashes.of(length)[starts], Hashes(symbols, TABLE2).of(length)[starts]
 
 
 def covered_bytes(n: int, contexts: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
@@ -301,7 +302,10 @@ def _by_bucket(df: DataFrame, kinds: dict[str, str], work) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         found = work(unpack(table.column("data").to_pylist(), kinds))
-        return pa.Table.from_batches([_blobs(dealt(_of(found["row"], by_row), found))])
+        out = pa.Table.from_batches([_blobs(dealt(_of(found["row"], by_row), found))])
+        del found
+        release()
+        return out
 
     return df.groupBy("bucket").applyInArrow(run, BLOB)
 
@@ -328,9 +332,10 @@ def zipped(rows: DataFrame) -> DataFrame:
     kinds = ", ".join("zipped binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             data = pa.array([zlib.compress(t.encode(), 1) for t in batch.column(place).to_pylist()], pa.binary())
             yield pa.record_batch([data if i == place else c for i, c in enumerate(batch.columns)], names)
+        release()
 
     return rows.mapInArrow(run, kinds)
 
@@ -343,17 +348,21 @@ def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in gathered((suffixes(g, length, gram) for g in chunks(batches, length)), GATHER):
             yield _blobs(dealt(_of(columns["name"], buckets), columns))
+            del columns
+        release()
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[dict[str, np.ndarray]]:
             for batch in batches:
                 for doc, row, text, at, opened in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "zipped", "at", "open")), strict=True):
                     where, sides = np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(opened, "u1")
-                    starts, names = windows(zlib.decompress(text), where[sides > 0], sides[sides > 0], length, gram)
-                    yield dict(zip(WINDOW, (names, np.full(len(starts), doc), np.full(len(starts), row), starts.astype(np.int32)), strict=True))
+                    starts, names, more = windows(zlib.decompress(text), where[sides > 0], sides[sides > 0], length, gram)
+                    yield dict(zip(WINDOW, (names, more, np.full(len(starts), doc), np.full(len(starts), row), starts.astype(np.int32)), strict=True))
 
         for columns in gathered(each(), GATHER):
             yield _blobs(dealt(_of(columns["name"], buckets), columns))
+            del columns
+        release()
 
     long = rows.where(F.octet_length("text") >= length)
     found = cut(_by_row(_by_bucket(long.mapInArrow(sampled, BLOB), SUFFIX, compare)))
@@ -379,7 +388,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text", *own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             out = []
             for doc, data, at, opened, starts in zip(*(batch.column(k).to_pylist() for k in ("doc", "zipped", "at", "open", "starts")), strict=True):
                 text = zlib.decompress(data)
@@ -392,6 +401,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.record_batch([*columns, *(batch.column(k) for k in own)], names)
+        release()
 
     kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
     kinds += "".join(f", carried_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
