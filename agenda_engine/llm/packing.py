@@ -2,9 +2,9 @@
 
 A pattern is a multiset of one to three piece lengths that fills a sequence exactly. The histogram of lengths,
 at most one number for each length up to the capacity, is all that the plan needs: non-negative least squares
-fit a repeat count to each pattern, by coordinate descent on the pattern that explains most of what is left, so
-few patterns get a count. Counts are rounded down as far as the histogram allows, and the pieces that remain
-are packed best fit by decreasing length, on the histogram too.
+fit a repeat count to every pattern, up to the optimum. Counts are rounded so that what one pattern loses its neighbour gets,
+and the pieces that remain, about as many as there are lengths whatever the input, are packed best fit by decreasing
+length, on the histogram too.
 
 The plan then says which ranks of a length go where; ranks are given within hashed parts of each length, so a
 length that a third of all pieces have is not ranked in one task.
@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from agenda_engine.llm.bpe import PATTERN, byte_letters, encoder
 from agenda_engine.llm.common import cut, each_batch, pick
 
-#: Segments that a worker remembers; steps of the fit; pieces of one length that are ranked together, about.
-MEMORY, STEPS, RANKED = 500_000, 6_000, 2_000
-#: Power of the length that weighs it in the fit; repeat counts below which a pattern rounds to none, to choose from.
-WEIGHT, ROUNDING = 8, (1, 2, 4, 8, 16)
+#: Segments that a worker remembers; pieces of one length that are ranked together, about.
+MEMORY, RANKED = 100_000, 2_000
+#: Steps of the fit, at most, and the gradient at which it ends; reserves of short pieces to choose from, in 64ths of a sequence.
+STEPS, SLACK, RESERVES = 5_000, 0.01, (0, 4, 8, 12)
 
 
 class _Known(dict):
@@ -112,28 +112,63 @@ def patterns(capacity: int, present: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
 
 
-def fit(counts: np.ndarray, ways: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Repeat counts x >= 0 of the patterns, with the sum of x * pattern near the histogram in weighted least squares.
+def fit(counts: np.ndarray, ways: np.ndarray, steps: int = STEPS, least: float = SLACK) -> np.ndarray:
+    """Repeat counts x >= 0 of the patterns that minimise the squared distance of the sum of x * pattern to the histogram.
 
-    Long pieces weigh most: what is left of them fits nowhere, while short ones fill what the residual leaves.
+    Projected gradient steps with momentum, which starts anew where it leads away, until no pattern's gradient breaks
+    the optimality conditions by more than `least`: none below 0, and 0 for each pattern in use.
     """
-    x, left = np.zeros(len(ways)), counts.astype(float)
-    weight = (np.arange(len(counts)) / max(1, len(counts) - 1)) ** WEIGHT
-    weight[0] = 0.0
-    of_slot = weight[ways]
-    a, b, c = ways.T
-    size = of_slot.sum(axis=1)  # of each pattern: the weighted sum of its squared multiplicities
-    size += 2 * ((a == b) * of_slot[:, 1] + (b == c) * of_slot[:, 2] + (a == c) * of_slot[:, 2])
-    for _ in range(steps if len(ways) else 0):
-        step = np.maximum((left[ways] * of_slot).sum(axis=1) / size, -x)
-        best = int(np.argmax(step * step * size))
-        if abs(step[best]) < 0.5:
-            break
-        x[best] += step[best]
-        np.subtract.at(left, ways[best][ways[best] > 0], step[best])
+    wanted, n = counts.astype(float), len(counts)
+    wanted[0] = 0.0
+
+    def total(x: np.ndarray) -> np.ndarray:
+        out = np.bincount(ways.ravel(), np.repeat(x, ways.shape[1]), n)
+        out[0] = 0.0
+        return out
+
+    x = np.zeros(len(ways))
+    if not len(ways):
+        return x
+    turned = np.ones(len(ways))
+    for _ in range(30):  # the largest eigenvalue bounds a step
+        turned = total(turned)[ways].sum(axis=1)
+        largest = float(np.linalg.norm(turned))
+        turned /= largest
+    largest *= 1.05
+    ahead, pace = x, 1.0
+    for k in range(steps):
+        new = np.maximum(ahead - (total(ahead) - wanted)[ways].sum(axis=1) / largest, 0.0)
+        if ((ahead - new) * (new - x)).sum() > 0:
+            x, ahead, pace = new, new, 1.0
+        else:
+            faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
+            x, ahead, pace = new, new + (pace - 1) / faster * (new - x), faster
+        if k % 50 == 49:
+            slope = (total(x) - wanted)[ways].sum(axis=1)
+            if slope.min() > -least and np.abs(slope[x > 0]).max(initial=0.0) < least:
+                break
     return x
 
 
+def rounded(x: np.ndarray, ways: np.ndarray, counts: np.ndarray) -> tuple[list[tuple[int, list[int]]], np.ndarray]:
+    """Whole repeat counts of the patterns, and the histogram that they leave.
+
+    Patterns go by their longest piece and then by the next, and each takes what the running sum has grown by in whole
+    numbers, so what rounding takes from one pattern its neighbour gets; no length is used more often than it occurs.
+    """
+    left, out = counts.astype(np.int64).copy(), []
+    order = np.lexsort((ways[:, 1], -ways[:, 0]))
+    whole = np.diff(np.floor(np.cumsum(x[order]) + 0.5 + 1e-9).astype(np.int64), prepend=0)
+    for p, n in zip(order[whole > 0].tolist(), whole[whole > 0].tolist(), strict=True):
+        inside = [int(v) for v in ways[p] if v]
+        repeats = min(n, *(int(left[v]) // inside.count(v) for v in inside))
+        if repeats > 0:
+            out.append((repeats, inside))
+            for v in inside:
+                left[v] -= repeats
+    return out, left
+
+
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:
     """Best fit by decreasing length, on counts: (sequences, lengths in each)."""
     free: dict[int, list[tuple[int, list[int]]]] = {}
@@ -158,26 +193,30 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:
 
 
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:
-    """(sequences, lengths in each) for a whole histogram: fitted patterns, rounded down, and the residual.
+    """(sequences, lengths in each) for a whole histogram: fitted patterns, rounded, and then the residual, best fit."""
+    fitted, rest = plans(counts, capacity)
+    return fitted + rest
+
 
-    Small repeat counts are mostly noise of the histogram; of a few levels below which they round to nothing,
-    the one with the fewest sequences is taken.
+def plans(counts: np.ndarray, capacity: int) -> tuple[list[tuple[int, list[int]]], list[tuple[int, list[int]]]]:
+    """The sequences of fitted patterns, and those of the residual.
+
+    Pieces shorter than a reserve stay out of the patterns, to fill what the residual leaves. Of a few reserves the one
+    with the fewest sequences is taken, and of equals the one whose patterns place the most pieces.
     """
-    ways = patterns(capacity, np.flatnonzero(counts))
-    x = fit(counts, ways)
-    order = np.argsort(-x, kind="stable")
-    plans = []
-    for least in ROUNDING:
-        left, out = counts.astype(np.int64).copy(), []
-        for p in order[: int((x >= least).sum())]:
-            inside = [int(v) for v in ways[p] if v]
-            repeats = min(int(x[p] + 1e-9), *(int(left[v]) // inside.count(v) for v in inside))
-            if repeats:
-                out.append((repeats, inside))
-                for v in inside:
-                    left[v] -= repeats
-        plans.append(out + best_fit(left, capacity))
-    return min(plans, key=lambda p: sum(n for n, _ in p))
+    best, volume = None, -(-int((counts * np.arange(len(counts))).sum()) // capacity)
+    for reserve in sorted({capacity * part // 64 for part in RESERVES}):
+        kept = counts.astype(np.int64).copy()
+        kept[:reserve] = 0
+        ways = patterns(capacity, np.flatnonzero(kept))
+        fitted, left = rounded(fit(kept, ways), ways, kept)
+        rest = best_fit(counts - kept + left, capacity)
+        key = (sum(n for n, _ in fitted) + sum(n for n, _ in rest), -sum(n * len(inside) for n, inside in fitted))
+        if best is None or key < best[0]:
+            best = (key, fitted, rest)
+        if key[0] == volume:  # no packing has fewer
+            break
+    return best[1], best[2]
 
 
 def places(filled: list[tuple[int, list[int]]]) -> np.ndarray:
