@@ -1,31 +1,37 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two bigram models, one of toxic and one of ordinary texts, share their lowest order. With D the discount,
-  P_c(w | h) = max(c_c(hw) - D, 0) / c_c(h) + sum_x min(D, c_c(hx)) / c_c(h) P_c(w),
-  P_c(w)     = max(n_c(w) - D, 0) / N_c + sum_x min(D, n_c(x)) / N_c P(w),
-where c counts the documents that hold a bigram, n_c(w) the words seen before w, and P(w) is the share of w in the
-document counts of the whole corpus, labelled or not. A word that neither class has seen thus weighs nothing by
-itself, and a rare one little.
-
-The log ratio of the two models is summed over the words of a text and divided by the root of their number. A
-ratio within the evidence threshold is what topic, language and chance make of any word, and counts as 0:
-for such a word both classes are taken to share one probability. Training rows that gave no counts choose
-discount and threshold and calibrate the logistic that gives the score.
-
-Class counts come from a bounded sample, at most SAMPLE documents of each class chosen by a hash of their id,
-and the model keeps at most WORDS words and BIGRAMS bigrams, those seen most; whatever is beyond backs off, and
-so does a history that either class has seldom seen.
-The shared counts cover all documents. Scoring reads every text whole and is one pass without a shuffle.
+Two models, one of toxic and one of ordinary texts, spell words character by character, so that an expression is known
+in forms that no labelled text has. Both back off to one shared model. With g a gram of at most ORDER characters of
+a word (its start and end are characters too), h all of g but the last, and D a discount between 0 and 1,
+  P_c(g) = max(c_c(g) - D, 0) / c_c(h) + D types_c(h) / c_c(h) P(g),
+  P(g)   = max(n(g) - D, 0) / n(h) + D types(h) / n(h) P(g without its first character),
+where c_c counts the grams in the words of a class, and n in the words of all documents, labelled or not, each word
+once a document, at the highest order; at lower orders n counts the characters seen before a gram, down to single
+characters, behind which all characters are alike. A gram that neither class has seen in its surroundings
+weighs nothing: both classes give it the same shared probability.
+
+The ratio of a word is that of the products over its grams. A toxic text is mostly ordinary words, so its
+likelihood takes a word as toxic with a chance of SHARE and as ordinary else. The log-likelihoods of both are
+divided by the number of words and compared; training rows that gave no counts calibrate the logistic that turns the
+difference into the score.
+
+Class counts come from a bounded sample, at most SAMPLE documents of each class chosen by a hash of their id. The
+model holds the grams of that sample and nothing else of the corpus, since all others cancel out; no gram
+of the sample is left out, however rare. The shared counts cover all documents. Scoring reads every text whole and is
+one pass without a shuffle.
 
 Defined results: a null text counts as empty; a text without words gets the score of a difference of 0; a
-label that is null or no 0 or 1 teaches nothing; with a class missing every score is the share of toxic rows
-(0.5 without labels); repeated rows keep a row each; any further columns of the input are ignored.
+label that is null or no 0 or 1 teaches nothing; a document that is labelled twice counts twice; with a class missing
+every score is the share of toxic rows (0.5 without labels); repeated rows keep a row each; any further columns of the
+input are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,16 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agenda_engine.llm.common import cut, each_batch, pick
-from agenda_engine.llm.quality import held_out
+from agenda_engine.functions.shipping import ship
+from agenda_engine.llm.common import cut, each_batch, parts, pick, release, scratch
+from agenda_engine.llm.quality import held_out, logistic
 
 WORD = re.compile(r"[^\W_]+")
-JAVA_WORD = "[\\p{L}\\p{N}\\p{M}]+"
-SAMPLE, WORDS, BIGRAMS = 4_000, 200_000, 400_000
-#: Bigrams that a history must have in each class before it counts.
-HISTORY = 100
-#: What the calibration chooses from.
-DISCOUNTS, EVIDENCE = (0.75, 2.0, 4.0), (1.0, 1.5, 2.0, 2.25, 2.5, 3.0)
+#: Documents of each class, at most; characters of a gram; the chance of a toxic word in a toxic text; words that a worker remembers.
+SAMPLE, ORDER, SHARE, MEMORY = 4_000, 5, 0.03, 300_000
 
 
 def words(text: str | None) -> list[str]:
@@ -50,57 +53,127 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def grams(word: str, order: int = ORDER) -> list[str]:
+    """One gram for each character of a word and for its end; a space stands for start and end."""
+    said = f" {word} "
+    return [said[:k] for k in range(2, min(order, len(said) + 1))] + [said[i : i + order] for i in range(len(said) - order + 1)]
+
+
+def counted(of_words: dict[str, int]) -> Counter:
+    """The grams of some words, each as often as its word."""
+    out: Counter = Counter()
+    for word, n in of_words.items():
+        for g in grams(word):
+            out[g] += n
+    return out
+
+
+class _Words(dict):
+    """What a worker remembers of words: the log ratio of the two mixtures for each."""
+
+    def __init__(self, ratio):
+        super().__init__()
+        self.ratio = ratio
+
+    def __missing__(self, word: str) -> float:
+        x = self[word] = math.log1p(SHARE * math.expm1(min(self.ratio(word), 50.0)))
+        return x
+
+
 @dataclass
 class Model:
-    """Both models as arrays by word, a table of bigrams, and the calibration. Word 0 is any unknown one."""
-
-    vocabulary: list[str]
-    unigram: np.ndarray  # (2, words): P_c(w)
-    backoff: np.ndarray  # (2, words): the weight behind each history
-    keys: np.ndarray  # sorted history << 32 | word
-    seen: np.ndarray  # (2, bigrams): the discounted share of each bigram
-    evidence: float = 0.0
+    """Log ratios of toxic to ordinary: of each gram that a class has seen, and of any other gram behind a known beginning; and the calibration."""
+
+    seen: dict[str, float]
+    behind: dict[str, float]
     slope: float = 0.0
     offset: float = 0.0
 
-    def index(self) -> dict[str, int]:
-        """Word to number."""
-        return {w: i for i, w in enumerate(self.vocabulary, 1)}
-
-    def differences(self, texts: list[str | None], index: dict[str, int], evidence: tuple[float, ...]) -> np.ndarray:
-        """For each text and threshold, the length-normalised sum of the log ratios beyond the threshold."""
-        get = index.get
-        ids = [np.fromiter((get(w, 0) for w in words(t)), np.int64) for t in texts]
-        size = np.array([len(x) for x in ids])
-        flat = np.concatenate(ids) if len(ids) else np.zeros(0, np.int64)
-        out = np.zeros((len(texts), len(evidence)))
-        if not flat.size:
-            return out
-        before = np.concatenate([[0], flat[:-1]])
-        before[np.cumsum([0, *size[:-1]])[size > 0]] = 0
-        p = [self.backoff[c][before] * self.unigram[c][flat] for c in (0, 1)]
-        if len(self.keys):
-            key = (before << 32) | flat
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[at] == key
-            p = [x + np.where(known, self.seen[c][at], 0.0) for c, x in enumerate(p)]
-        ratio = np.log(p[1]) - np.log(p[0])
-        ends = np.cumsum(size)
-        for k, least in enumerate(evidence):
-            total = np.concatenate([[0.0], np.cumsum(np.where(np.abs(ratio) > least, ratio, 0.0))])
-            out[:, k] = (total[ends] - total[ends - size]) / np.sqrt(np.maximum(size, 1))
-        return out
-
-    def score(self, texts: list[str | None], index: dict[str, int]) -> np.ndarray:
+    def ratio(self, word: str) -> float:
+        """The log ratio of a word's probabilities."""
+        behind, total = self.behind, 0.0
+        each = grams(word)
+        for g, x in zip(each, map(self.seen.get, each), strict=True):
+            total += behind.get(g[:-1], 0.0) if x is None else x
+        return total
+
+    def differences(self, texts: Iterable[str | None], known: _Words | None = None) -> np.ndarray:
+        """For each text the difference of the two log-likelihoods, toxic less ordinary, per word; 0 without words."""
+        out, known = [], _Words(self.ratio) if known is None else known
+        for text in texts:
+            said = words(text)
+            if len(known) > MEMORY:
+                known.clear()
+            out.append(math.fsum(map(known.__getitem__, said)) / len(said) if said else 0.0)
+        return np.array(out, float)
+
+    def score(self, texts: Iterable[str | None], known: _Words | None = None) -> np.ndarray:
         """Between 0 and 1, higher for the toxic."""
-        x = self.differences(texts, index, (self.evidence,))[:, 0]
-        return 1 / (1 + np.exp(-np.clip(self.slope * x + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * squeezed(self.differences(texts, known)) + self.offset, -30, 30)))
+
+
+def squeezed(x: np.ndarray) -> np.ndarray:
+    """Differences on a scale that is even on both sides of what words have by chance."""
+    return np.arcsinh(x / SHARE)
 
 
 def shared_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n_docs) over all documents: each word once a document."""
-    each = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(docs[text_col]), F.lit(JAVA_WORD), F.lit(0)))).alias("word"))
-    return each.groupBy("word").agg(F.count(F.lit(1)).alias("n_docs"))
+    """(gram, n) over all documents: grams of the highest order, each word once a document."""
+
+    ship(docs.sparkSession)
+
+    def told(held: Counter) -> pa.RecordBatch:
+        found = counted(held)
+        return pa.record_batch([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["gram", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        for part in (p for b in batches for p in parts(b)):
+            for text in part.column(0).to_pylist():
+                held.update(set(words(text)))
+            if len(held) > MEMORY:
+                yield told(held)
+                held.clear()
+        yield told(held)
+        del held
+        release()
+
+    return docs.select(docs[text_col].alias("text")).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def lower(level: DataFrame, order: int) -> DataFrame:
+    """The counts of the order below: of each gram the characters seen before it; grams at the start of a word have none and keep their counts."""
+    longer = F.length("gram") == order
+    each = level.select(F.when(longer, F.expr("substring(gram, 2)")).otherwise(F.col("gram")).alias("gram"), F.when(longer, F.lit(1).cast("long")).otherwise(F.col("n")).alias("n"))
+    return each.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def discount(once: int, twice: int) -> float:
+    """The discount that grams seen once and twice suggest, kept off 0 and 1."""
+    return min(0.95, max(0.1, once / (once + 2 * twice) if once else 0.5))
+
+
+def shared_model(top: DataFrame, wanted: DataFrame) -> dict[str, float]:
+    """P(g) of each wanted gram. To the driver go counts for the ends of wanted grams only."""
+    found, discounts, level = {}, {}, top
+    for order in range(ORDER, 0, -1):
+        if order < ORDER:
+            level = cut(lower(level, order + 1))
+        split = level.select("gram", "n", F.expr("substring(gram, 1, length(gram) - 1)").alias("h"))
+        before = split.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
+        ends = wanted.select(F.expr(f"right(gram, {order})").alias("gram")).distinct().withColumn("h", F.expr("substring(gram, 1, length(gram) - 1)"))
+        rows = ends.join(split.select("gram", "n"), "gram", "left").join(before, "h", "left").na.fill(0).select("gram", "n", "total", "types").toArrow().to_pydict()
+        found[order] = dict(zip(rows["gram"], zip(rows["n"], rows["total"], rows["types"], strict=True), strict=True))
+        once, twice, all_grams = level.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count(F.lit(1))).first()
+        discounts[order] = discount(once, twice)
+    out, alike = {}, 1 / (all_grams + 1)  # the last level is that of single characters
+    for g in found[ORDER]:
+        p = alike
+        for order in range(1, len(g) + 1):
+            n, total, types = found[order][g[-order:]]
+            p = (max(n - discounts[order], 0) + discounts[order] * types * p) / total if total else p
+        out[g] = p
+    return out
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str, text_col: str) -> DataFrame:
@@ -113,114 +186,87 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Counts, chooses and calibrates. To the driver go at most WORDS words, BIGRAMS bigrams and a vector for each tuning row."""
+    """Counts and calibrates. To the driver go the grams of the sample and a number for each tuning row."""
+    with scratch(docs.sparkSession):
+        return _train(docs, labels, label, sample, id_col, text_col)
+
+
+def _train(docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str, text_col: str) -> Model:
     rows = cut(_sample(docs, labels, label, sample, id_col, text_col))
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = [Counter(), Counter()]
         for text, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            w = words(text)
-            n[kind].update(set(zip(["", *w], w, strict=False)))
-        pairs = list({**n[0], **n[1]})
-        columns = [[h for h, _ in pairs], [w for _, w in pairs], [n[0][x] for x in pairs], [n[1][x] for x in pairs]]
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "w", "c0", "c1"])
-
-    def held(column: str, name: str) -> list:
-        """What each discount takes off counts."""
-        return [F.coalesce(F.sum(F.least(F.col(column).cast("double"), F.lit(d))), F.lit(0.0)).alias(f"{name}_{i}") for i, d in enumerate(DISCOUNTS)]
-
-    counted = each_batch(rows.where("not tuning").select("text", "label"), work, "h string, w string, c0 long, c1 long")
-    pairs = cut(counted.groupBy("h", "w").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
-    as_word = pairs.groupBy(F.col("w").alias("word")).agg(*(F.count_if(F.col(f"c{c}") > 0).alias(f"n{c}") for c in (0, 1)), F.sum(F.col("c0") + F.col("c1")).alias("n"))
-    as_history = pairs.groupBy(F.col("h").alias("word")).agg(*(x for c in (0, 1) for x in (F.sum(f"c{c}").alias(f"s{c}"), *held(f"c{c}", f"t{c}"))))
-    totals = as_word.agg(*(x for c in (0, 1) for x in (F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"N{c}"), *held(f"n{c}", f"V{c}")))).first()
-    shared = cut(shared_counts(docs, text_col))
-    all_docs, all_words = shared.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.count(F.lit(1))).first()
-    top = as_word.where("n > 1").orderBy(F.col("n").desc(), "word").limit(WORDS).join(as_history, "word", "left").join(shared, "word", "left").na.fill(0)
-    vocabulary = top.orderBy("word").toPandas()
-    kept = pairs.where("c0 + c1 > 1").orderBy((F.col("c0") + F.col("c1")).desc(), "h", "w").limit(BIGRAMS).toPandas()
-    models = [_model(vocabulary, kept, totals, all_docs, all_words, i) for i in range(len(DISCOUNTS))]
+            n[kind].update(words(text))
+        found = [counted(c) for c in n]
+        every = list({**found[0], **found[1]})
+        return pa.record_batch([pa.array(every, pa.string()), *(pa.array([c[g] for g in every], pa.int64()) for c in found)], ["gram", "c0", "c1"])
+
+    taught = each_batch(rows.where("not tuning").select("text", "label"), work, "gram string, c0 long, c1 long")
+    taught = cut(taught.groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
     shares = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if not (totals["N0"] and totals["N1"]):
-        return _constant(models[0], shares)
-    packed = docs.sparkSession.sparkContext.broadcast(models)
+    counts = taught.toArrow().to_pydict()
+    if not (any(counts["c0"]) and any(counts["c1"])):
+        return _constant(shares)
+    model = class_models(counts["gram"], (counts["c0"], counts["c1"]), shared_model(cut(shared_counts(docs, text_col)), taught.select("gram")))
+    packed = docs.sparkSession.sparkContext.broadcast(model)
 
     def differ(batch: pa.RecordBatch) -> pa.RecordBatch:
-        models, texts = packed.value, batch.column(0).to_pylist()
-        index = models[0].index()
-        x = np.concatenate([m.differences(texts, index, EVIDENCE) for m in models], axis=1)
-        return pa.record_batch([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
+        return pa.record_batch([batch.column(1), pa.array(packed.value.differences(batch.column(0).to_pylist()))], ["label", "x"])
 
-    tuned = each_batch(rows.where("tuning").select("text", "label"), differ, "label int, x array<double>").toPandas()
+    tuned = each_batch(rows.where("tuning").select("text", "label"), differ, "label int, x double").toPandas()
+    packed.destroy()
     if tuned["label"].nunique() < 2:
-        return _constant(models[0], shares)
-    y, x = tuned["label"].to_numpy(float), np.stack(tuned["x"])
-    order = np.argsort(np.argsort(x, axis=0, kind="stable"), axis=0)  # the mean rank of the toxic is their AUC
-    best = int(np.argmax(order[y == 1].mean(axis=0)))
-    model = models[best // len(EVIDENCE)]
-    model.evidence = EVIDENCE[best % len(EVIDENCE)]
-    model.slope, model.offset = _logistic(x[:, best], y)
+        return _constant(shares)
+    model.slope, model.offset = logistic(squeezed(tuned["x"].to_numpy(float)), tuned["label"].to_numpy(float))
     return model
 
 
-def _model(vocabulary, kept, totals, all_docs: int, all_words: int, i: int) -> Model:
-    """Turns counts into the arrays of a model with the i-th discount."""
-    n, discount = len(vocabulary) + 1, DISCOUNTS[i]
-    index = {w: k for k, w in enumerate(vocabulary["word"], 1)}
-    share = np.concatenate([[1.0], vocabulary["n_docs"].to_numpy(float) + 1]) / (all_docs + all_words + 1)
-    unigram, backoff, s = np.ones((2, n)), np.ones((2, n)), np.ones((2, n))
-    for c in (0, 1):
-        followed = np.concatenate([[0.0], vocabulary[f"n{c}"].to_numpy(float)])
-        total = max(1, totals[f"N{c}"])
-        unigram[c] = np.maximum(followed - discount, 0) / total + max(discount, totals[f"V{c}_{i}"]) / total * share
-        s[c, 1:] = vocabulary[f"s{c}"]
-        backoff[c, 1:] = vocabulary[f"t{c}_{i}"] / np.maximum(s[c, 1:], 1)
-    backoff[:, s.min(axis=0) < HISTORY] = 1.0  # too few to tell what follows: the word speaks for itself
-    h = np.array([index.get(x, 0) for x in kept["h"]], np.int64)
-    w = np.array([index.get(x, 0) for x in kept["w"]], np.int64)
-    ok = (h > 0) & (w > 0) & (s.min(axis=0)[h] >= HISTORY)  # history 0 is the start or an unknown word and has no bigrams of its own
-    key = (h[ok] << 32) | w[ok]
-    order = np.argsort(key)
-    seen = np.stack([np.maximum(kept[f"c{c}"].to_numpy(float)[ok] - discount, 0) / np.maximum(s[c][h[ok]], 1) for c in (0, 1)])[:, order]
-    return Model(list(vocabulary["word"]), unigram, np.maximum(backoff, 1e-6), key[order], seen)
-
-
-def _constant(model: Model, shares: dict[int, int]) -> Model:
+def class_models(every: list[str], counts: tuple[list[int], list[int]], shared: dict[str, float]) -> Model:
+    """The log ratios of the two class models over the grams of either class."""
+    discounts, totals, types = [], [], []
+    for c in counts:
+        discounts.append(discount(sum(x == 1 for x in c), sum(x == 2 for x in c)))
+        total, kinds = defaultdict(int), defaultdict(int)
+        for g, x in zip(every, c, strict=True):
+            total[g[:-1]] += x
+            kinds[g[:-1]] += x > 0
+        totals.append(total)
+        types.append(kinds)
+
+    def backoff(c: int, h: str) -> float:
+        return discounts[c] * types[c][h] / totals[c][h] if totals[c][h] else 1.0
+
+    behind = {h: math.log(backoff(1, h) / backoff(0, h)) for h in {g[:-1] for g in every}}
+    seen = {}
+    for i, g in enumerate(every):
+        h = g[:-1]
+        p = [(max(counts[c][i] - discounts[c], 0) / totals[c][h] if totals[c][h] else 0.0) + backoff(c, h) * shared[g] for c in (0, 1)]
+        seen[g] = math.log(p[1] / p[0])
+    return Model(seen, behind)
+
+
+def _constant(shares: dict[int, int]) -> Model:
     """The same score for every text: the share of toxic rows."""
     toxic, ordinary = shares.get(1, 0), shares.get(0, 0)
     share = toxic / (toxic + ordinary) if toxic + ordinary else 0.5
-    model.slope, model.offset = 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-    return model
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps, with both classes weighted alike and a small penalty on the standardised slope."""
-    mean, spread = x.mean(), max(1e-9, x.std())
-    z = np.stack([(x - mean) / spread, np.ones(len(x))])
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    b = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(b @ z, -30, 30)))
-        grad = z @ (weight * (y - p)) - np.array([0.1, 0.0]) * b
-        hess = (z * (weight * p * (1 - p) + 1e-9)) @ z.T + np.diag([0.1, 1e-6])
-        b = b + np.clip(np.linalg.solve(hess, grad), -2, 2)
-    return float(b[0] / spread), float(b[1] - b[0] * mean / spread)
+    return Model({}, {}, 0.0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score of every row; one pass, no shuffle."""
     packed = docs.sparkSession.sparkContext.broadcast(model)
-    indexes: list[dict[str, int]] = []
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, texts = packed.value, batch.column(1).to_pylist()
-        if not indexes:
-            indexes.append(model.index())
-        scores = [model.score(texts[lo : lo + 256], indexes[0]) for lo in range(0, len(texts), 256)]
-        return pa.record_batch([batch.column(0), pa.array(np.concatenate(scores).astype(float))], ["doc_id", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = packed.value
+        known = _Words(model.ratio)
+        for part in (p for b in batches for p in parts(b)):
+            yield pa.record_batch([part.column(0), pa.array(model.score(part.column(1).to_pylist(), known))], ["doc_id", "score"])
+        del known
+        release()
 
-    return each_batch(pick(docs, id_col, text_col), work, "doc_id long, score double")
+    ship(docs.sparkSession)
+    return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
