@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agenda_engine.llm.common import cut
+from agenda_engine.llm.common import cut, scratch
 
 LOCAL, LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 PATTERNS = {
@@ -47,23 +47,71 @@ KINDS = tuple(PATTERNS)
 TERM = "\\p{L}{4,}"
 #: Least share of a value's information; largest probability of chance.
 THRESHOLD, DOUBT = 0.8, 0.01
+#: Elements that an array grows by at once, at least.
+BLOCK = 256
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def gathered(items: Column, measure: Callable[[Column], Column], combine: Callable[[Column, Column], Column], step: Callable[[Column, Column], Column], none: Column) -> Column:
+    """What a fold over items (a lambda's variable) puts out: its state is a place (at) and a growing array (out).
+
+    An array is copied for each element that it grows by, so items go by blocks, about as many as a block has items. The
+    place at the start of a block is what combine() makes of the measures of all items before it, starting from 0.
+    """
+    size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.size(items)))).cast("int")
+    count = F.ceil(F.size(items) / size).cast("int")
+    blocks = F.slice(F.sequence(F.lit(0), count), F.lit(1), count)
+
+    def block(i: Column) -> Column:
+        return F.slice(items, i * size + 1, size)
+
+    def after(acc: Column, m: Column) -> Column:
+        return F.struct(combine(acc["at"], m).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out"))
+
+    sums = F.transform(blocks, lambda i: F.aggregate(block(i), F.lit(0), lambda a, x: combine(a, measure(x))))
+    starts = F.aggregate(sums, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), after)["out"]
+    return bound(starts, lambda at: F.flatten(F.transform(blocks, lambda i: F.aggregate(block(i), F.struct(F.get(at, i).alias("at"), none.alias("out")), step)["out"])))
+
+
 def spans(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
     """The matches of a pattern, or those of wanted values, as structs of start, end (code points, end exclusive) and value."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    pairs = F.zip_with(gaps, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
-    empty = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), SPAN).alias("out"))
+    none = F.from_json(F.lit("[]"), SPAN)
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.length(x["value"])
-        more = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))
+        more = F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))
         return F.struct(end.alias("at"), (F.when(wanted(x["value"]), more).otherwise(acc["out"]) if wanted else more).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(pairs, empty, add, lambda acc: acc["out"])).otherwise(F.from_json(F.lit("[]"), SPAN))
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        pairs = F.zip_with(gaps, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
+        whole = bound(pairs, lambda p: gathered(p, lambda x: x["gap"] + F.length(x["value"]), lambda a, b: a + b, add, none))
+        return F.when(F.size(found) > 0, whole).otherwise(none)
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+
+
+def replaced(text: Column, spots: Column, name: Callable[[Column, Column], Column]) -> Column:
+    """The text with name(spot, first code point not yet replaced) in place of each of some sorted spots of start and end."""
+
+    def put(wide: Column, items: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:  # four bytes a code point, so that no part has to be looked for from the start
+            return F.decode(F.substring(wide, start * 4 + 1, (end - start) * 4), "UTF-32")
+
+        def add(acc: Column, s: Column) -> Column:
+            gap = F.when(s["start"] > acc["at"], part(acc["at"], s["start"])).otherwise("")
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.array_append(acc["out"], F.concat(gap, name(s, acc["at"]))).alias("out"))
+
+        pieces = gathered(items, lambda s: s["end"], F.greatest, add, F.array().cast("array<string>"))
+        return F.concat(F.array_join(pieces, ""), part(F.aggregate(items, F.lit(0), lambda a, s: F.greatest(a, s["end"])), (F.octet_length(wide) / 4).cast("int")))
+
+    return F.when(F.size(spots) > 0, bound(F.encode(text, "UTF-32"), lambda wide: bound(spots, lambda items: put(wide, items)))).otherwise(text)
 
 
 def base(text: Column) -> list[Column]:
@@ -90,21 +138,8 @@ def _base_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _blanked(text: Column) -> Column:
     """The text with every base span as blanks, so that places stay."""
-    for kind in KINDS:
-        text = _without(text, kind)
-    return text
-
-
-def _without(text: Column, kind: str) -> Column:
-    """The text with the spans of one kind, which do not overlap, as blanks."""
-    found, last = F.col(kind), F.element_at(kind, -1)["end"]
-
-    def piece(s: Column, i: Column) -> Column:
-        after = F.when(i == 0, F.lit(0)).otherwise(F.element_at(found, F.greatest(i, F.lit(1)))["end"])
-        return F.concat(F.substring(text, after + 1, s["start"] - after), F.repeat(F.lit(" "), s["end"] - s["start"]))
-
-    rest = F.substring(text, last + 1, F.lit(2**31 - 1) - last)
-    return F.when(F.size(found) > 0, F.concat(F.array_join(F.transform(found, piece), ""), rest)).otherwise(text)
+    every = F.sort_array(F.concat(*(F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS)))
+    return replaced(text, every, lambda s, at: F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], at))))
 
 
 def _words(text: Column) -> Column:
@@ -148,7 +183,8 @@ def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresho
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """doc_id, the spans of each base kind and those of disclosing terms, for every input row."""
     rows = cut(_base_rows(docs, id_col, text_col).withColumn("text", F.when(F.greatest(*(F.size(k) for k in KINDS)) > 0, F.col("text"))))
-    extra = disclosing(docs, rows, text_col, threshold, doubt).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    with scratch(docs.sparkSession) as keep:
+        extra = keep(disclosing(docs, rows, text_col, threshold, doubt)).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
     joined = rows.drop("text").join(extra, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")), "left")
     return joined.select("doc_id", *KINDS, F.coalesce("terms", F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")).alias("terms"))
 
@@ -171,20 +207,14 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     Overlapping spans are replaced together, by the name of the one that starts first. Other columns stay.
     """
     found = cut(_base_rows(docs, id_col, text_col).withColumn("text", F.when(F.greatest(*(F.size(k) for k in KINDS)) > 0, F.col("text"))))
-    extra = cut(disclosing(docs, found, text_col, threshold, doubt)).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    with scratch(docs.sparkSession) as keep:
+        extra = keep(disclosing(docs, found, text_col, threshold, doubt)).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
     base_spans = F.concat(*(F.expr(f"transform({k}, s -> struct(s.start as start, s.end as end, '[{k.upper()}]' as name))") for k in KINDS))
     known = found.where("text is not null").select("doc_id", "text_hash", base_spans.alias("base_spans")).dropDuplicates(["doc_id", "text_hash"])
     joined = known.join(extra, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text")), "left")
     term_spans = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("[TERM]").alias("name")))
-    spots = joined.select(F.col("doc_id").alias("spot_doc"), F.col("text_hash").alias("spot_text"), F.array_sort(F.concat("base_spans", F.coalesce(term_spans, F.array()))).alias("spots"))
+    spots = joined.select(F.col("doc_id").alias("spot_doc"), F.col("text_hash").alias("spot_text"), F.sort_array(F.concat("base_spans", F.coalesce(term_spans, F.array()))).alias("spots"))
     text = docs[text_col]
     met = docs.join(spots, docs[id_col].eqNullSafe(F.col("spot_doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("spot_text")), "left")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def put(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), s["name"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(piece).alias("out"))
-
-    clean = F.aggregate("spots", start, put, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1) - acc["at"])))
+    clean = replaced(text, F.col("spots"), lambda s, at: F.when(s["start"] < at, "").otherwise(s["name"]))
     return met.withColumn("clean_text", F.when(F.col("spots").isNull() | text.isNull(), text).otherwise(clean)).drop("spot_doc", "spot_text", "spots").drop(text).withColumnRenamed("clean_text", text_col).select(*docs.columns)
