@@ -1,15 +1,17 @@
 """Nearest neighbours by largest inner product, over randomly rotated one-bit codes.
 
 A vector is stored as the signs of its randomly rotated direction, packed, with two correction scalars: its
-length, and the inner product of its direction with the sign vector. The rotation is that of a space of D = BITS
-dimensions, in which the vectors are padded with zeros, so a code has more bits than the vector has components
-and a smaller error. For a rotated query direction q and signs s / sqrt(D), <s, q> / <s, o> estimates <o, q>
+length, and the inner product of its direction with the sign vector. The rotation is that of a space of D dimensions, four
+times those of the vectors and at least BITS, in which the vectors are padded with zeros, so a code has more bits than the
+vector has components and a smaller error. For a rotated query direction q and signs s / sqrt(D), <s, q> / <s, o> estimates <o, q>
 without bias, and the error exceeds EPS * sqrt((1 - <s, o>^2) / (<s, o>^2 * (D - 1))) with a chance that falls as
-exp(-c * EPS^2). The vectors that look best are scored exactly; whatever has an upper bound under the K-th
-best of these scores is no neighbour, and all others are reranked with the original vectors.
+exp(-c * EPS^2). A vector whose upper bound is under the lower bounds of enough others is no neighbour; all others are
+reranked, with the original vectors, in double precision. A neighbour is thus lost only where its estimate is off by about
+twice the bound.
 
-Queries and vectors are dealt out in blocks of bounded size; a task holds one block of each and passes on the
-K best, exactly scored, of its block for each query.
+Vectors are encoded once. Packed codes and their scalars, not vectors, are dealt out in blocks of bounded size to meet the
+blocks of queries, and a task passes on what it cannot rule out. The bounds of all blocks together then
+choose what meets the original vectors. Equal vectors are one candidate with its smallest ids, as many as an answer can hold.
 
 Defined results: vectors that are null, zero, of another dimension than the most common one, or with a null
 or non-finite component take no part, as query or candidate; a query's own id is never its neighbour, in
@@ -19,23 +21,26 @@ score; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.shipping import ship
-from agenda_engine.llm.common import cut
+from agenda_engine.llm.common import cut, each_batch, release
 
-#: Rows of a block of candidates and of queries; queries that are estimated at once; width of the bounds.
-CANDIDATES, QUERIES, STEP, EPS = 16384, 2048, 64, 4.0
-#: Bits of a code, at least; vectors that set the bar for the others, as a multiple of k.
-BITS, FIRST = 256, 3
+#: Rows of a block of candidates and of queries, at most; rows of either that are estimated at once.
+CANDIDATES, QUERIES, CHUNK, STEP = 65_536, 16_384, 4096, 512
+#: Bits of a code, at least; width of the bounds.
+BITS, EPS = 1024, 2.0
 
 
+@lru_cache(maxsize=2)
 def rotation(dim: int, bits: int = BITS, seed: int = 7) -> np.ndarray:
-    """The first `dim` rows of a random orthogonal matrix of max(dim, bits) rows, the same everywhere."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((max(dim, bits), dim)))
+    """The first `dim` rows of a random orthogonal matrix of a multiple of 8 rows, at least `bits` and four times `dim`, the same everywhere."""
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((-(-max(4 * dim, bits) // 8) * 8, dim)))
     return (q * np.sign(np.diag(r))).T
 
 
@@ -46,44 +51,63 @@ def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.packbits(turned > 0, axis=1), length, np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows in double precision, added from the first component to the last."""
-    out = np.zeros(len(a))
-    for i in range(a.shape[1]):
-        out += a[:, i] * b[:, i]
-    return out
-
-
-def search(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, eps: float = EPS) -> pd.DataFrame:
-    """query_id, vec_id, score of the k best of one block for each query."""
-    turn = rotation(queries.shape[1])
-    bits = turn.shape[1]
-    codes, length, own = encode(vectors, turn)
-    signs = (np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1).T / np.float32(np.sqrt(bits))
-    error = (eps * np.sqrt(np.maximum(1 - own**2, 0) / (own**2 * max(bits - 1, 1))) * length).astype(np.float32)
-    scale = (length / own).astype(np.float32)
-    turned = (queries @ turn).astype(np.float32)
-    q_length = np.sqrt((queries * queries).sum(axis=1)).astype(np.float32)
-    first = min(FIRST * k, len(ids))
-    out = []
-    for lo in range(0, len(queries), STEP):
-        q = queries[lo : lo + STEP]
-        estimate = (turned[lo : lo + STEP] @ signs) * scale
-        estimate[q_ids[lo : lo + STEP, None] == ids[None, :]] = -np.inf
-        likely = np.argpartition(-estimate, first - 1, axis=1)[:, :first]
-        scores = exact(np.repeat(q, first, axis=0), vectors[likely.ravel()]).reshape(likely.shape)
-        scores[np.take_along_axis(estimate, likely, axis=1) == -np.inf] = -np.inf
-        bar = np.partition(scores, first - k, axis=1)[:, first - k] if first >= k else np.full(len(q), -np.inf)
-        slack = 1e-4 * q_length[lo : lo + STEP] * length.max()  # estimates are in single precision
-        estimate += error * q_length[lo : lo + STEP, None]
-        at, who = np.nonzero((estimate >= (bar - slack)[:, None]) & (estimate > -np.inf))
-        score = exact(q[at], vectors[who])
-        order = np.lexsort((ids[who], -score, at))
-        at, who, score = at[order], who[order], score[order]
-        rank = np.arange(len(at)) - np.searchsorted(at, at)
-        best = rank < k
-        out.append(pd.DataFrame({"query_id": q_ids[lo + at[best]], "vec_id": ids[who[best]], "score": score[best]}))
-    return pd.concat(out)
+def bounds(turned: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bound of the inner product of each rotated query and each code."""
+    bits = turned.shape[1]
+    signs = (np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(bits))
+    estimate = (turned @ signs.T) * (length / own).astype(np.float32)
+    error = (eps * np.sqrt(np.maximum(1 - own**2, 0) / (own**2 * max(bits - 1, 1))) + 1e-5) * length  # estimates are in single precision
+    error = np.sqrt((turned * turned).sum(axis=1))[:, None] * error.astype(np.float32)
+    return estimate - error, estimate + error
+
+
+def survivors(queries: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, k: int, eps: float = EPS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Query, candidate, lower and upper bound of all pairs of a block whose upper bound reaches the k-th lower bound of the query."""
+    turned = (queries @ rotation(queries.shape[1])).astype(np.float32)
+    bar = np.full((len(queries), k), -np.inf, np.float32)  # the k best lower bounds so far, the least first
+    found = []
+    for at in range(0, len(codes), CHUNK):
+        part = slice(at, at + CHUNK)
+        for lo in range(0, len(queries), STEP):
+            rows = slice(lo, lo + STEP)
+            low, high = bounds(turned[rows], codes[part], length[part], own[part], eps)
+            both = np.concatenate([bar[rows], low], axis=1)
+            bar[rows] = np.sort(np.partition(both, both.shape[1] - k, axis=1)[:, -k:], axis=1)
+            q, c = np.nonzero(high >= bar[rows, :1])
+            found.append((q + lo, c + at, low[q, c], high[q, c]))
+    q, c, low, high = (np.concatenate([f[i] for f in found]) for i in range(4)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32))
+    still = high >= bar[q, 0]
+    return q[still], c[still], low[still], high[still]
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as rows of doubles."""
+    flat = column.combine_chunks()
+    flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+    return flat.flatten().to_numpy().astype(np.float64).reshape(len(flat), -1)
+
+
+def _sound(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> DataFrame:
+    """vec_id, v and q of all rows that take part."""
+    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
+    rows = rows.where("vec_id is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
+    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "dim").limit(1).collect()
+    return rows.where(F.size("v") == (dims[0].dim if dims else 0))
+
+
+def encoded(sound: DataFrame, k: int) -> DataFrame:
+    """vid, v, ids (its k + 1 smallest), code, length and own of each distinct vector, as a written table."""
+    order = Window.partitionBy("v").orderBy("vec_id")
+    few = sound.select("vec_id", "v").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    distinct = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        vectors = _matrix(pa.chunked_array([batch.column(0)]))
+        codes, length, own = encode(vectors, rotation(vectors.shape[1]))
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(length), pa.array(own)], ["v", "ids", "code", "length", "own"])
+
+    kinds = f"v {distinct.schema['v'].dataType.simpleString()}, ids array<bigint>, code binary, length double, own double"
+    return cut(each_batch(distinct, work, kinds).withColumn("vid", F.monotonically_increasing_id()))
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", eps: float = EPS) -> DataFrame:
@@ -91,27 +115,43 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     is_query is a condition on id_col. One number goes to the driver for each dimension found, and two counts.
     """
-    ship(vectors.sparkSession)
-    rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].cast("array<double>").alias("v"), is_query.alias("q"))
-    sound = rows.where("vec_id is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
-    sound = cut(sound.dropDuplicates(["vec_id", "v"]))
-    kinds = sound.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("q").cast("int")).alias("nq")).orderBy(F.col("n").desc(), "dim").limit(1).collect()
-    dim, n, nq = kinds[0] if kinds else (1, 0, 0)
-    candidate_blocks, query_blocks = max(1, -(-n // CANDIDATES)), max(1, -(-(nq or 0) // QUERIES))
-    sound = sound.where(F.size("v") == dim)
-
-    def blocks(of: int):
+    spark = vectors.sparkSession
+    ship(spark)
+    sound = _sound(vectors, is_query, id_col, vector_col)
+    base = encoded(sound, k)
+    asked = cut(sound.where("q").select(F.col("vec_id").alias("query_id"), "v").distinct().withColumn("qid", F.monotonically_increasing_id()))
+    n, nq = base.count(), asked.count()
+    spread = 2 * spark.sparkContext.defaultParallelism
+    candidate_blocks = max(1, -(-n // CANDIDATES), min(spread, -(-n // CHUNK)))
+    query_blocks = max(1, -(-nq // QUERIES), min(-(-spread // candidate_blocks), -(-nq // STEP)))
+
+    def blocks(of: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
 
-    candidates = sound.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(candidate_blocks)).cast("int").alias("cb"), blocks(query_blocks).alias("qb"))
-    queries = sound.where("q").select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("qb"), blocks(candidate_blocks).alias("cb"))
-
-    def pair(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return search(q["vec_id"].to_numpy(), np.stack(q["v"]), c["vec_id"].to_numpy(), np.stack(c["v"]), k, eps)
-
-    found = queries.groupBy("cb", "qb").cogroup(candidates.groupBy("cb", "qb")).applyInPandas(pair, "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    def mine(of: str, many: int) -> Column:
+        return F.pmod(F.xxhash64(of), F.lit(many)).cast("int")
+
+    candidates = base.select("vid", "code", "length", "own", mine("vid", candidate_blocks).alias("cb"), blocks(query_blocks).alias("qb"))
+    queries = asked.select("qid", "v", mine("qid", query_blocks).alias("qb"), blocks(candidate_blocks).alias("cb"))
+
+    def pair(q: pa.Table, c: pa.Table) -> pa.Table:
+        if not q.num_rows or not c.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float32(), pa.float32())], names)
+        codes = np.frombuffer(b"".join(c.column("code").to_pylist()), np.uint8).reshape(c.num_rows, -1)
+        at, who, low, high = survivors(_matrix(q.column("v")), codes, c.column("length").to_numpy(), c.column("own").to_numpy(), k + 1, eps)
+        out = pa.table([pa.array(q.column("qid").to_numpy()[at]), pa.array(c.column("vid").to_numpy()[who]), pa.array(low), pa.array(high)], names)
+        release()
+        return out
+
+    names = ["qid", "vid", "low", "high"]
+    found = queries.groupBy("cb", "qb").cogroup(candidates.groupBy("cb", "qb")).applyInArrow(pair, "qid long, vid long, low float, high float")
+    # one of the k + 1 best may be the query itself
+    of_query = Window.partitionBy("qid")
+    placed = found.withColumn("n", F.row_number().over(of_query.orderBy(F.col("low").desc(), "vid")))
+    barred = placed.withColumn("bar", F.max(F.when(F.col("n") == k + 1, F.col("low"))).over(of_query)).where("bar is null or high >= bar").select("qid", "vid")
+    met = barred.join(asked.withColumnRenamed("v", "asked"), "qid").join(base.select("vid", "v", "ids"), "vid")
+    product = F.zip_with("asked", "v", lambda a, b: a.cast("double") * b.cast("double"))
+    scored = met.select("query_id", F.aggregate(product, F.lit(0.0), lambda a, x: a + x).alias("score"), F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
+    best = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
