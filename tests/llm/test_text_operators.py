@@ -352,3 +352,45 @@ def test_queries_read_whole_tables(spark):
     from agenda_engine.llm.queries import QUERIES
 
     assert [n for n in QUERIES if n.startswith("op")] and len(QUERIES) == 10
+
+
+def test_many_matches_in_one_text_cost_about_their_number(spark):
+    text = " ".join(f"é a{i}@b{i % 97}.example.com" for i in range(3000))
+    docs = spark.createDataFrame([(1, text, None, None, None), (2, text + "!", None, None, None)], SCHEMA)
+    found = {r.doc_id: r for r in pii.find(docs).collect()}
+    want = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    assert len(want) == 3000 > pii.BLOCK and all([tuple(s) for s in found[i].email] == want for i in (1, 2))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[2] == " ".join(["é [EMAIL]"] * 3000) + "!"
+
+
+def test_patterns_place_most_pieces():
+    rng = np.random.default_rng(4)
+    counts = np.bincount(np.clip(rng.lognormal(5.5, 1.1, 20_000).astype(int), 1, 1024), minlength=1025)
+    fitted, rest = packing.plans(counts, 1024)
+    back = np.zeros(1025, int)
+    for n, inside in fitted + rest:
+        assert sum(inside) <= 1024
+        np.add.at(back, inside, n)
+    assert (back == counts).all() and all(sum(inside) == 1024 for _, inside in fitted)
+    assert sum(n * len(inside) for n, inside in fitted) > 0.5 * counts.sum()
+    assert sum(n for n, _ in fitted + rest) <= fewest_sequences(counts, 1024) + 1
+
+
+def test_fit_is_the_least_squares_optimum():
+    rng = np.random.default_rng(6)
+    counts = np.bincount(rng.integers(1, 25, 300), minlength=25)
+    ways = packing.patterns(24, np.flatnonzero(counts))
+    x = packing.fit(counts, ways)
+    matrix = np.zeros((25, len(ways)))
+    for j, way in enumerate(ways):
+        np.add.at(matrix[:, j], way[way > 0], 1)
+    slope = matrix.T @ (matrix @ x - np.where(np.arange(25) > 0, counts, 0))
+    assert (x >= 0).all() and slope.min() > -0.1 and np.abs(slope[x > 0]).max() < 0.1  # no descent is left
+
+
+def test_hot_pretokens_are_cut_by_a_step(spark):
+    rows = [(f"t{i}", 1 if i > 20 else 1000 - i, 1) for i in range(500)]
+    known = spark.createDataFrame(rows, "key string, n_docs long, n_pieces long")
+    assert {r.key for r in tokens.often(known, 100).collect()} == {f"t{i}" for i in range(21)}
+    assert tokens.often(known, 5).count() == 0 and tokens.often(known, 500).count() == 500
