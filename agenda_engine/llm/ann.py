@@ -9,9 +9,9 @@ exp(-c * EPS^2). A vector whose upper bound is under the lower bounds of enough
 reranked, with the original vectors, in double precision. A neighbour is thus lost only where its estimate is off by about
 twice the bound.
 
-Vectors are encoded once. Packed codes and their scalars, not vectors, are dealt out in blocks of bounded size to meet the
-blocks of queries, and a task passes on what it cannot rule out. The bounds of all blocks together then
-choose what meets the original vectors. Equal vectors are one candidate with its smallest ids, as many as an answer can hold.
+Vectors are encoded once. Codes, scalars and original vectors are dealt out in blocks of bounded size to meet the
+blocks of queries; a task rules out by codes what it can, reranks the rest and passes on the best of each query, so what it
+passes on does not grow with the vectors. Equal vectors are one candidate with its smallest ids, as many as an answer can hold.
 
 Defined results: vectors that are null, zero, of another dimension than the most common one, or with a null
 or non-finite component take no part, as query or candidate; a query's own id is never its neighbour, in
@@ -33,6 +33,8 @@ from agenda_engine.llm.common import cut, each_batch, release
 
 #: Rows of a block of candidates and of queries, at most; rows of either that are estimated at once.
 CANDIDATES, QUERIES, CHUNK, STEP = 65_536, 16_384, 4096, 512
+#: Queries of a block where there are few; numbers that are multiplied at once in reranking.
+FEW, EXACT = 1024, 1 << 22
 #: Bits of a code, at least; width of the bounds.
 BITS, EPS = 1024, 2.0
 
@@ -80,6 +82,24 @@ def survivors(queries: np.ndarray, codes: np.ndarray, length: np.ndarray, own: n
     return q[still], c[still], low[still], high[still]
 
 
+def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows in double precision, added from the first component to the last."""
+    out = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        out += a[:, i] * b[:, i]
+    return out
+
+
+def reranked(queries: np.ndarray, vectors: np.ndarray, least: np.ndarray, at: np.ndarray, who: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, candidate and score of the k best pairs of each query, ties to the smaller of `least`."""
+    many = max(1, EXACT // queries.shape[1])
+    score = np.concatenate([exact(queries[at[lo : lo + many]], vectors[who[lo : lo + many]]) for lo in range(0, len(at), many)] or [np.zeros(0)])
+    order = np.lexsort((least[who], -score, at))
+    at, who, score = at[order], who[order], score[order]
+    best = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return at[best], who[best], score[best]
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     """Lists of one length as rows of doubles."""
     flat = column.combine_chunks()
@@ -122,8 +142,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     asked = cut(sound.where("q").select(F.col("vec_id").alias("query_id"), "v").distinct().withColumn("qid", F.monotonically_increasing_id()))
     n, nq = base.count(), asked.count()
     spread = 2 * spark.sparkContext.defaultParallelism
-    candidate_blocks = max(1, -(-n // CANDIDATES), min(spread, -(-n // CHUNK)))
-    query_blocks = max(1, -(-nq // QUERIES), min(-(-spread // candidate_blocks), -(-nq // STEP)))
+    candidate_blocks = max(1, -(-n // CANDIDATES))
+    query_blocks = max(1, -(-nq // QUERIES), min(-(-spread // candidate_blocks), -(-nq // FEW)))
 
     def blocks(of: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
@@ -131,27 +151,26 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     def mine(of: str, many: int) -> Column:
         return F.pmod(F.xxhash64(of), F.lit(many)).cast("int")
 
-    candidates = base.select("vid", "code", "length", "own", mine("vid", candidate_blocks).alias("cb"), blocks(query_blocks).alias("qb"))
+    candidates = base.select("vid", "v", "code", "length", "own", F.get("ids", F.lit(0)).alias("least"), mine("vid", candidate_blocks).alias("cb"), blocks(query_blocks).alias("qb"))
     queries = asked.select("qid", "v", mine("qid", query_blocks).alias("qb"), blocks(candidate_blocks).alias("cb"))
 
     def pair(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float32(), pa.float32())], names)
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())], names)
+        asked_for, vectors, ids, least = _matrix(q.column("v")), _matrix(c.column("v")), c.column("vid").to_numpy(), c.column("least").to_numpy()
         codes = np.frombuffer(b"".join(c.column("code").to_pylist()), np.uint8).reshape(c.num_rows, -1)
-        at, who, low, high = survivors(_matrix(q.column("v")), codes, c.column("length").to_numpy(), c.column("own").to_numpy(), k + 1, eps)
-        out = pa.table([pa.array(q.column("qid").to_numpy()[at]), pa.array(c.column("vid").to_numpy()[who]), pa.array(low), pa.array(high)], names)
+        at, who, _, _ = survivors(asked_for, codes, c.column("length").to_numpy(), c.column("own").to_numpy(), k + 1, eps)
+        at, who, score = reranked(asked_for, vectors, least, at, who, k + 1)
+        out = pa.table([pa.array(q.column("qid").to_numpy()[at]), pa.array(ids[who]), pa.array(least[who]), pa.array(score)], names)
         release()
         return out
 
-    names = ["qid", "vid", "low", "high"]
-    found = queries.groupBy("cb", "qb").cogroup(candidates.groupBy("cb", "qb")).applyInArrow(pair, "qid long, vid long, low float, high float")
+    names = ["qid", "vid", "least", "score"]
+    found = queries.groupBy("cb", "qb").cogroup(candidates.groupBy("cb", "qb")).applyInArrow(pair, "qid long, vid long, least long, score double")
     # one of the k + 1 best may be the query itself
-    of_query = Window.partitionBy("qid")
-    placed = found.withColumn("n", F.row_number().over(of_query.orderBy(F.col("low").desc(), "vid")))
-    barred = placed.withColumn("bar", F.max(F.when(F.col("n") == k + 1, F.col("low"))).over(of_query)).where("bar is null or high >= bar").select("qid", "vid")
-    met = barred.join(asked.withColumnRenamed("v", "asked"), "qid").join(base.select("vid", "v", "ids"), "vid")
-    product = F.zip_with("asked", "v", lambda a, b: a.cast("double") * b.cast("double"))
-    scored = met.select("query_id", F.aggregate(product, F.lit(0.0), lambda a, x: a + x).alias("score"), F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
+    first = found.withColumn("n", F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc(), "least"))).where(F.col("n") <= k + 1)
+    met = first.select("qid", "vid", "score").join(asked.select("qid", "query_id"), "qid").join(base.select("vid", "ids"), "vid")
+    scored = met.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     best = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
