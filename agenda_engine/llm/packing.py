@@ -29,7 +29,7 @@ from agenda_engine.llm.bpe import PATTERN, byte_letters, encoder
 from agenda_engine.llm.common import cut, each_batch, pick
 
 #: Segments that a worker remembers; pieces of one length that are ranked together, about.
-MEMORY, RANKED = 100_000, 2_000
+MEMORY, RANKED = 300_000, 2_000
 #: Steps of the fit, at most, and the gradient at which it ends; reserves of short pieces to choose from, in 64ths of a sequence.
 STEPS, SLACK, RESERVES = 5_000, 0.01, (0, 4, 8, 12)
 
