@@ -32,7 +32,7 @@ from agenda_engine.llm.common import SPACES, cut, each_batch, pick, scratch
 SAMPLE, VALUES, SPACE, RANK = 6_000, 8_000_000, 1 << 16, 6
 EPOCHS, RATE, DECAY, BATCH = 6, 0.15, 2e-5, 64
 #: Words that a worker remembers the slots of.
-MEMORY = 100_000
+MEMORY = 300_000
 EDGES = np.array([0.002, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9])
 STATS = ("upper", "digit", "mark", "symbol", "pipe", "shout", "space", "repeat_words", "repeat_windows", "repeat_lines", "line_length", "word_length", "size")
 WIDTH = len(EDGES) + 1
