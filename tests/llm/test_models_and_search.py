@@ -129,3 +129,84 @@ def test_pipeline_keeps_its_promises(spark, tmp_path):
     assert 300 not in seen["personal_data"] or "[EMAIL]" in seen["personal_data"][300].text
     assert set(seen["packing"]) == set(seen["personal_data"])
     assert pipeline.run(spark, str(tmp_path)).count() == at.count()
+
+
+@pytest.mark.parametrize(("dim", "n"), [(64, 3000), (768, 1500)])
+def test_recall_of_the_search(spark, monkeypatch, dim, n):
+    monkeypatch.setattr(ann, "CANDIDATES", 700)
+    monkeypatch.setattr(ann, "CHUNK", 256)
+    rng = np.random.default_rng(dim)
+    data = rng.normal(size=(n, dim))
+    data[: n // 4] += 2 * data[0]  # a crowded direction
+    data = data.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>").repartition(5)
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    found = 0
+    for q in range(0, n, 20):
+        score = data @ data[q]
+        score[q] = -np.inf
+        want = np.lexsort((np.arange(n), -score))[:20]
+        found += len({v for v, _ in got[q].values()} & set(want.tolist()))
+        assert all(s == pytest.approx(score[v], rel=1e-9) for v, s in got[q].values())
+    assert found / (20 * len(range(0, n, 20))) >= 0.99
+
+
+@pytest.mark.parametrize(("judge", "label", "kind"), [(quality.judge, "quality", 1), (toxicity.judge, "toxic", 0), (toxicity.judge, "toxic", 1)])
+def test_labels_of_one_class_give_their_share(spark, judge, label, kind):
+    docs = spark.createDataFrame([(k, f"some words in text {k}") for k in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, kind, kind) for k in range(30)], "doc_id long, quality int, toxic int")
+    scores = [r.score for r in judge(docs, labels).collect()]
+    assert len(scores) == 30 and all(abs(s - kind) < 1e-3 for s in scores)
+
+
+def test_character_models_follow_their_definition(spark):
+    """The ratio of a word against a plain recursion over counts, on a small corpus."""
+    from collections import Counter
+
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 7))) for _ in range(12)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = [Counter(), Counter()]
+    for k, t in enumerate(texts[:40]):
+        for w in t.split():
+            counts[k % 2].update(toxicity.grams(w))
+    every = sorted({*counts[0], *counts[1]})
+    wanted = spark.createDataFrame([(g,) for g in every], "gram string")
+    shared = toxicity.shared_model(toxicity.shared_counts(docs), wanted)
+
+    levels = {toxicity.ORDER: Counter()}
+    for t in texts:
+        for w in set(t.split()):
+            levels[toxicity.ORDER].update(toxicity.grams(w))
+    for n in range(toxicity.ORDER - 1, 0, -1):
+        levels[n] = Counter()
+        for g, c in levels[n + 1].items():
+            levels[n][g[1:] if len(g) > n else g] += 1 if len(g) > n else c
+
+    def d(c):
+        return toxicity.discount(sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values()))
+
+    def p(g, n):
+        if n == 0:
+            return 1 / (len(levels[1]) + 1)
+        e = g[-n:]
+        behind = {x: c for x, c in levels[n].items() if x[:-1] == e[:-1]}
+        total = sum(behind.values())
+        return (max(levels[n][e] - d(levels[n]), 0) + d(levels[n]) * len(behind) * p(g, n - 1)) / total if total else p(g, n - 1)
+
+    assert all(shared[g] == pytest.approx(p(g, len(g))) for g in every)
+    model = toxicity.class_models(every, ([counts[0][g] for g in every], [counts[1][g] for g in every]), shared)
+
+    def own(c, g):
+        behind = {x: n for x, n in counts[c].items() if x[:-1] == g[:-1]}
+        total = sum(behind.values())
+        return (max(counts[c][g] - d(counts[c]), 0) + d(counts[c]) * len(behind) * shared[g]) / total if total else shared[g]
+
+    for w in ("abca", "d", "bbbbbbb"):
+        known = [g for g in toxicity.grams(w) if g in shared]
+        rest = sum(model.behind.get(g[:-1], 0.0) for g in toxicity.grams(w) if g not in shared)
+        assert model.ratio(w) == pytest.approx(sum(math.log(own(1, g) / own(0, g)) for g in known) + rest)
+    x = model.differences(["abca d", ""])
+    assert x[1] == 0 and x[0] == pytest.approx(sum(math.log1p(toxicity.SHARE * math.expm1(model.ratio(w))) for w in ("abca", "d")) / 2)
