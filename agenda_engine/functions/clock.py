@@ -22,6 +22,37 @@ def iso_moment(iso: Column) -> Column:
     return F.when(sound, F.try_to_timestamp(iso))
 
 
+ISO = r"^\s*(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2})?(?:\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?\s*$"
+
+
+def wall_moment(iso: Column) -> Column:
+    """The wall-clock moment that an ISO text writes, in whatever offset; midnight for a bare day, null for anything else."""
+    part = [F.regexp_extract(iso, ISO, k) for k in (1, 2, 3)]
+    time = F.concat(F.when(part[1] == "", "00:00").otherwise(part[1]), F.when(part[2] == "", ":00").otherwise(part[2]))
+    return F.when(iso.rlike(ISO), F.try_to_timestamp(F.concat(part[0], F.lit(" "), time), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))
+
+
+def offset_text(iso: Column) -> Column:
+    """The offset that an ISO text writes, as '+HH:MM'; null for none."""
+    said = F.regexp_replace(F.nullif(F.regexp_extract(iso, ISO, 4), F.lit("")), "^Z$", "+00:00")
+    return F.regexp_replace(said, r"^([+-]\d{2})(\d{2})$", "$1:$2")
+
+
+def local_moment(iso: Column, offset_minutes: int) -> Column:
+    """The wall-clock moment, at an offset, of an ISO text; one without an offset of its own is taken as it stands."""
+    said = offset_text(iso)
+    own = F.substring(said, 2, 2).cast("int") * 60 + F.substring(said, 5, 2).cast("int")
+    own = F.when(F.startswith(said, F.lit("-")), -own).otherwise(own)
+    shift = F.coalesce(F.lit(offset_minutes) - own, F.lit(0))
+    return wall_moment(iso) + F.make_dt_interval(F.lit(0), F.lit(0), shift)
+
+
+def epoch_ms(moment: Column, offset_minutes: int = 0) -> Column:
+    """Milliseconds since 1970 of a wall-clock moment at an offset."""
+    day, second = F.unix_date(F.to_date(moment)).cast("long"), F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return ((day * 86400 + second - offset_minutes * 60) * 1000).cast("long")
+
+
 def iso_day(iso: Column) -> Column:
     """The calendar day that an ISO text names, in its own offset."""
     return F.try_to_date(F.substring(iso, 1, 10), "yyyy-MM-dd")

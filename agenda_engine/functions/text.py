@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import lru_cache
@@ -28,16 +29,76 @@ def _folding() -> tuple[str, str, str]:
     return "".join(source), "".join(target), "".join(marks)
 
 
-def fold(text: Column) -> Column:
-    """Compatibility characters to their bases, accents off, lower case, white space collapsed and trimmed; null is empty.
+@lru_cache(maxsize=1)
+def _spelled() -> dict[str, str]:
+    """Characters that decompose into several letters, with these letters; syllables of Hangul stay."""
+    out = {}
+    for point in range(0x80, sys.maxunicode + 1):
+        if not (0xAC00 <= point <= 0xD7A3 or 0xD800 <= point <= 0xDFFF) and not unicodedata.combining(chr(point)):
+            base = "".join(c for c in unicodedata.normalize("NFKD", chr(point)) if not unicodedata.combining(c))
+            if len(base) != 1:
+                out[chr(point)] = base
+    return out
 
-    Characters that decompose into several stay as they are.
-    """
+
+@lru_cache(maxsize=1)
+def _composed() -> tuple[str, str, dict[str, str]]:
+    """translate() arguments of the characters that stand for one other, and what other characters, or letters with marks, stand for."""
+    source, target, several = [], [], {}
+    for point in range(0x80, sys.maxunicode + 1):
+        char = chr(point)
+        if 0xAC00 <= point <= 0xD7A3 or 0xD800 <= point <= 0xDFFF:
+            continue
+        same = unicodedata.normalize("NFKC", char)
+        if same != char and len(same) == 1 and not unicodedata.combining(char):
+            source.append(char)
+            target.append(same)
+        elif same != char:
+            several[char] = same
+        elif len(apart := unicodedata.normalize("NFD", char)) > 1:
+            several[apart] = char
+    return "".join(source), "".join(target), several
+
+
+def _any_of(characters: list[str]) -> str:
+    """A character class, written as ranges."""
+    points, ranges = sorted(map(ord, characters)), []
+    for p in points:
+        if ranges and p == ranges[-1][1] + 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
+def _looked_up(table: dict[str, str]) -> Column:
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def fold(text: Column) -> Column:
+    """Compatibility characters to their letters, accents off, lower case, white space collapsed and trimmed; null is empty."""
     source, target, marks = _folding()
-    plain = F.lower(F.translate(F.coalesce(text, F.lit("")), source + marks, target))
+    spelled = _spelled()
+    plain = F.translate(F.coalesce(text, F.lit("")), source + marks, target)
+    table = _looked_up(spelled)
+    apart = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    plain = F.lower(F.when(plain.rlike(_any_of(list(spelled))), apart).otherwise(plain))
     return F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))
 
 
+def compatible(text: Column) -> Column:
+    """Compatibility characters to what they stand for, letters and their marks composed, runs of blanks and tabs to one blank, trimmed; lines stay. Null is empty.
+
+    Several marks on one letter stay where no single character has them all.
+    """
+    source, target, several = _composed()
+    plain = F.translate(F.coalesce(text, F.lit("")), source, target)
+    table = _looked_up(several)
+    whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0)), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    plain = F.when(plain.rlike(_any_of([k for k in several if len(k) == 1]) + r"|\p{M}"), whole).otherwise(plain)
+    return F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), r"(?U)^\s+|\s+$", "")
+
+
 def words(folded: Column, least: int = 1) -> Column:
     """The distinct runs of a-z and 0-9 of a folded text, in order, of at least some length."""
     return F.array_distinct(F.filter(F.split(F.regexp_replace(folded, "[^a-z0-9]+", " "), " "), lambda w: F.length(w) >= least))

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from agenda_engine.functions.lexicon import MONTHS, WEEKDAYS
 
+# Days of grace, and the words of the grammar.
 GRACE_DAYS = 3
 _MONTH = "(" + "|".join(sorted(MONTHS, key=len, reverse=True)) + ")"
 _WEEKDAY = "(" + "|".join(WEEKDAYS) + ")"
 _YEAR = r"(?:\s+(?:de[l]?\s+)?(\d{4}))?"
-# How posters write days and hours; groups are numbered from 1.
+# Fixed values too: how posters write days and hours; groups are numbered from 1.
 ISO = r"\b(20\d{2})-([01]\d)-([0-3]\d)\b"
 ACROSS = rf"\b(?:del?\s+)?([0-3]?\d)\s+de\s+{_MONTH}{_YEAR}\s*(?:al|hasta el|-|–|—)\s*([0-3]?\d)\s+de\s+{_MONTH}{_YEAR}"
 WITHIN = rf"\b(?:del?\s+)?([0-3]?\d)\s*(?:al|hasta el|a|-|–|—)\s*([0-3]?\d)\s+de\s+{_MONTH}\b{_YEAR}"
@@ -135,8 +136,17 @@ def hours(rows: DataFrame, folded: str) -> DataFrame:
     return step.select(*own, "doors_time", F.coalesce("_show", other, "doors_time").alias("start_time"))
 
 
+def _said(text: Column) -> Column:
+    """The words that a day was read from, by its form."""
+    forms = {"iso": ISO, "range": f"{ACROSS}|{WITHIN}", "day": SINGLE, "numeric": NUMERIC, "relative": rf"\bpasado\s+manana\b|\bmanana\b|\bhoy\b|{NAMED}"}
+    out = F.lit(None).cast("string")
+    for kind, pattern in forms.items():
+        out = F.when(F.col("day_kind") == kind, F.trim(F.regexp_extract(text, pattern, 0))).otherwise(out)
+    return out
+
+
 def when(rows: DataFrame, folded: str, anchor: str) -> DataFrame:
-    """Adds starts, ends, doors, all_day, multi_day and confidence (desconocida where no day is found).
+    """Adds starts, ends, doors, all_day, multi_day, confidence (desconocida where no day is found) and said, the words of the day.
 
     anchor is the day that relative words and unsaid years count from: that of publication, or today.
     """
@@ -148,5 +158,5 @@ def when(rows: DataFrame, folded: str, anchor: str) -> DataFrame:
     sure = F.when(F.col("day_kind") == "relative", "relativa").when(time.isNotNull(), "exacta").otherwise("aproximada")
     return step.select(
         *rows.columns, F.when(first.isNotNull(), starts).alias("starts"), F.when(ranged, ends).alias("ends"), F.when(first.isNotNull(), F.col("doors_time")).alias("doors"),
-        (first.isNotNull() & time.isNull()).alias("all_day"), ranged.alias("multi_day"), F.when(first.isNull(), "desconocida").otherwise(sure).alias("confidence"),
+        (first.isNotNull() & time.isNull()).alias("all_day"), ranged.alias("multi_day"), F.when(first.isNull(), "desconocida").otherwise(sure).alias("confidence"), _said(F.col(folded)).alias("said"),
     )

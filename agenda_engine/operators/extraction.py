@@ -93,12 +93,12 @@ def artists(text: Column) -> Column:
     return first_distinct(F.filter(neat, lambda v: F.length(v).between(3, 60) & ~F.startswith(F.lower(v), F.lit("todos"))), 6)
 
 
-def analyse(items: DataFrame, text: str = "text") -> DataFrame:
-    """Adds what the text says; the folded text is computed once, below everything that reads it."""
+def analyse(items: DataFrame, text: str = "text", extra: str | None = None) -> DataFrame:
+    """Adds what the text says (and, of links, a further list); the folded text is computed once, below everything that reads it."""
     raw, plain = F.coalesce(F.col(text), F.lit("")), F.col("plain")
     step = items.withColumn("plain", fold(F.col(text)))
     said = step.withColumns({
-        "kind": category(plain), "price": prices(plain), "links": links(raw), "status": state(plain), "outlets": outlets(plain), "phones": phones(raw),
+        "kind": category(plain), "price": prices(plain), "links": links(raw, F.col(extra) if extra else None), "status": state(plain), "outlets": outlets(plain), "phones": phones(raw),
         "hashtags": hashtags(raw), "artists": artists(raw), "calls": hits(plain, lexicon.CALLS), "past": hits(plain, lexicon.PAST), "off_topic": hits(plain, lexicon.OFF_TOPIC),
     })
     return said.select("*", "kind.category", "kind.secondary", "price.is_free", "price.price_from", "price.price_to", "price.currency", "links.all_urls", "links.ticket_urls").drop("kind", "price", "links")
