@@ -1,32 +1,29 @@
 """Entity resolution: the same happening reported by several sources becomes one row.
 
-Matching pairs come from joins on what a match must share, never from all pairs; connected components of the
-matches bound what clustering has to look at together, and within a component rows join the first cluster that
-holds a match, in order of arrival.
+Matching pairs come from joins on what a match must share, never from all pairs. Rows join the first cluster that holds a
+match, in order of arrival, found by rounds of joins over all matches at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agenda_engine.functions.durable import cut
-from agenda_engine.functions.text import first_distinct, fold, jaccard, without_urls, words
-from agenda_engine.operators.components import components
+from agenda_engine.functions.durable import cut, scratch
+from agenda_engine.functions.text import fold, jaccard, without_urls, words
 
 # Words that tell nothing, words that all posters share, and thresholds.
 STOP_WORDS = (
-    "de la el los las en a y del por para un una se con que al su sus es esta este desde hasta sobre gran nuevo nueva bolivia boliviano boliviana "
-    "evento entrada entradas vivo presenta"
-).split()
+    "de", "la", "el", "los", "las", "en", "a", "y", "del", "por", "para", "un", "una", "se", "con", "que", "al", "su", "sus", "es", "esta", "este", "desde", "hasta",
+    "sobre", "gran", "nuevo", "nueva", "bolivia", "boliviano", "boliviana", "evento", "entrada", "entradas", "vivo", "presenta",
+)
 GENERIC_WORDS = (
-    "enero febrero marzo abril mayo junio julio agosto septiembre setiembre octubre noviembre diciembre lunes martes miercoles jueves viernes sabado domingo "
-    "concierto festival feria teatro show funcion obra espectaculo evento eventos fiesta taller curso expo entrada entradas preventa boleteria puertas horas "
-    "esperamos pierdas presentan presentamos invitamos vivo tour gira informes reserva reservas cupos venta ingreso gratis gratuito libre noche tarde hora"
-).split()
+    "enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "setiembre", "octubre", "noviembre", "diciembre",
+    "lunes", "martes", "miercoles", "jueves", "viernes", "sabado", "domingo",
+    "concierto", "festival", "feria", "teatro", "show", "funcion", "obra", "espectaculo", "evento", "eventos", "fiesta", "taller", "curso", "expo",
+    "entrada", "entradas", "preventa", "boleteria", "puertas", "horas", "esperamos", "pierdas", "presentan", "presentamos", "invitamos", "vivo", "tour", "gira",
+    "informes", "reserva", "reservas", "cupos", "venta", "ingreso", "gratis", "gratuito", "libre", "noche", "tarde", "hora",
+)
 DESCRIPTION_CHARS, LEAST_WORD = 600, 4
 THRESHOLD, ONE_DATED, UNDATED, OTHER_VENUE, IDENTITY = 0.30, 0.62, 0.55, 0.70, 0.20
 SAME_VENUE_FLOOR, SAME_VENUE_EASE = 0.16, 0.14
@@ -85,25 +82,39 @@ def matches(a: str, b: str, threshold: float = THRESHOLD) -> Column:
     )
 
 
-def candidates(rows: DataFrame) -> DataFrame:
+def rare_words(rows: DataFrame, list_col: str, share: float) -> DataFrame:
+    """The rows with a word each: those of a list that two rows of a Jaccard similarity of `share` cannot both be without.
+
+    In the order of their frequency, the words beyond the first n - ceil(share n) + 1 cannot be all that such rows have in common.
+    """
+    each = rows.withColumn("n", F.size(list_col)).withColumn("word", F.explode(list_col)).drop(list_col)
+    df = each.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("position").orderBy("df", "word")
+    ranked = each.join(df, "word").withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(share)) + 1).drop("n", "df", "rank")
+
+
+def candidates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b), a < b: pairs of positions that can match, from equi-joins only.
 
-    Dated rows meet where the start of one is a day of the other's span; spans beyond LONGEST_SPAN days are cut to their
-    months for the join. A pair with an undated row needs a Jaccard of at least 0.55, so it shares one of the
-    rarest words of either: the words beyond the first half, in corpus order of frequency, cannot be all it shares.
+    Dated rows meet where the start of one is a day of the other's span and both share a word: past the rules on places a
+    match needs a Jaccard of all words, or of the words of the names, above a bound, so one of the rarest words of either
+    is shared. Spans beyond LONGEST_SPAN days are cut to their months for the join. A pair with an undated row needs a
+    Jaccard of at least 0.55 and meets on its rarest words alone.
     """
-    dated = rows.where("k_first is not null").select("position", "k_first", "k_last")
+    least = max(SAME_VENUE_FLOOR, threshold - SAME_VENUE_EASE)
+    dated = rows.where("k_first is not null")
+    said = rare_words(dated.select("position", "k_first", "k_last", "k_said"), "k_said", min(least, threshold, OTHER_VENUE)).withColumn("of", F.lit("said"))
+    named = rare_words(dated.select("position", "k_first", "k_last", "k_name"), "k_name", IDENTITY).withColumn("of", F.lit("name"))
+    keys = said.unionByName(named)
     short = F.datediff("k_last", "k_first") <= LONGEST_SPAN
-    by_day = dated.where(short).select(F.col("position").alias("p"), F.explode(F.sequence("k_first", "k_last")).alias("day"))
-    starts = dated.select(F.col("position").alias("q"), F.col("k_first").alias("day"))
-    spans = by_day.join(starts, "day").where("p <> q").select("p", "q")
+    by_day = keys.where(short).select("of", "word", F.col("position").alias("p"), F.explode(F.sequence("k_first", "k_last")).alias("day"))
+    starts = keys.select("of", "word", F.col("position").alias("q"), F.col("k_first").alias("day"))
+    spans = by_day.join(starts, ["of", "word", "day"]).where("p <> q").select("p", "q")
     months = F.explode(F.sequence(F.trunc("k_first", "month"), F.trunc("k_last", "month"), F.expr("interval 1 month")))
-    long = dated.where(~short).select(F.col("position").alias("p"), "k_first", "k_last", months.alias("month"))
-    long_spans = long.join(starts.withColumn("month", F.trunc("day", "month")), "month").where("p <> q and day between k_first and k_last").select("p", "q")
-    each = rows.select("position", F.col("k_first").isNull().alias("undated"), F.size("k_said").alias("n"), F.explode("k_said").alias("word"))
-    order = Window.partitionBy("position").orderBy("df", "word")
-    ranked = each.join(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word").withColumn("rank", F.row_number().over(order))
-    rare = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(UNDATED)) + 1).select("position", "undated", "word")
+    long = keys.where(~short).select("of", "word", F.col("position").alias("p"), "k_first", "k_last", months.alias("month"))
+    long_spans = long.join(starts.withColumn("month", F.trunc("day", "month")), ["of", "word", "month"]).where("p <> q and day between k_first and k_last").select("p", "q")
+    rare = rare_words(rows.select("position", F.col("k_first").isNull().alias("undated"), "k_said"), "k_said", UNDATED)
     left, right = rare.where("undated").select(F.col("position").alias("p"), "word"), rare.select(F.col("position").alias("q"), "word")
     alike = left.join(right, "word").where("p <> q").select("p", "q")
     return spans.unionByName(long_spans).unionByName(alike).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
@@ -111,32 +122,31 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 def match_edges(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b) of all matching pairs of keyed rows."""
-    met = candidates(rows).join(rows.alias("l"), F.col("a") == F.col("l.position")).join(rows.alias("r"), F.col("b") == F.col("r.position"))
+    met = candidates(rows, threshold).join(rows.alias("l"), F.col("a") == F.col("l.position")).join(rows.alias("r"), F.col("b") == F.col("r.position"))
     return met.where(matches("l", "r", threshold)).select("a", "b")
 
 
-def first_fit(edges: DataFrame) -> DataFrame:
+def first_fit(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(position, cluster): each row joins the first cluster that holds a match of it, in order of position.
 
-    cluster is the position of its first member; rows without a match do not appear. Components are small, as
-    rows of one happening; the whole of one goes to one task, which only that order needs.
+    cluster is the position of its first member; rows without a match do not appear. A row joins the first of the clusters of
+    its earlier matches, and so ends in the smallest position that steps to ever earlier matches reach. A round takes for every row the
+    smallest that it, its matches or that position have reached so far, until nothing changes.
     """
-    edges = cut(edges)
-    grouped = components(edges)
-    labelled = edges.join(grouped, F.col("b") == F.col("node")).select("component", "a", "b")
-
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        met: dict[int, list[int]] = {}
-        for a, b in zip(rows["a"], rows["b"], strict=True):
-            met.setdefault(b, []).append(a)
-            met.setdefault(a, [])
-        cluster: dict[int, int] = {}
-        for p in sorted(met):
-            joined = [cluster[q] for q in met[p] if q in cluster]
-            cluster[p] = min(joined) if joined else p
-        return pd.DataFrame({"position": list(cluster), "cluster": list(cluster.values())})
-
-    return labelled.groupBy("component").applyInPandas(place, "position long, cluster long")
+    with scratch(edges.sparkSession) as keep:
+        met = cut(edges.select("a", "b"))
+        nodes = met.select(F.col("b").alias("position"), "a").unionByName(met.select(F.col("a").alias("position"), "a"))
+        now = cut(nodes.groupBy("position").agg(F.min("a").alias("cluster"), F.lit(True).alias("moved")))
+        for _ in range(rounds):
+            of = now.select(F.col("position").alias("at"), F.col("cluster").alias("reached"))
+            by_match = met.join(of, F.col("a") == F.col("at")).select(F.col("b").alias("position"), "reached")
+            by_place = now.join(of, F.col("cluster") == F.col("at")).select("position", "reached")
+            best = by_match.unionByName(by_place).groupBy("position").agg(F.min("reached").alias("best"))
+            least = F.least("cluster", "best")
+            now = cut(now.join(best, "position", "left").select("position", least.alias("cluster"), (least < F.col("cluster")).alias("moved")))
+            if not now.where("moved").limit(1).count():
+                return keep(now.select("position", "cluster"))
+    raise RuntimeError(f"clusters did not settle in {rounds} rounds")
 
 
 def clusters(events: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -167,17 +177,73 @@ def _filled(column: str, empty: Column) -> Column:
     return F.min_by(F.when(~empty, F.col(column)), F.when(~empty, F.col("rank")))
 
 
-def merge(rows: DataFrame, texts: list[str], lists: dict[str, int], values: list[str] = ()) -> DataFrame:
+def ordered_unions(rows: DataFrame, lists: dict[str, int]) -> DataFrame:
+    """The cluster and, for each list column, the values of all versions in rank order, the first of each regardless of case, up to its limit.
+
+    What a cluster brings to one task is bounded by the limits.
+    """
+    said = F.array(*(F.struct(F.lit(c).alias("list"), F.lit(n).alias("most"), F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")).alias("values")) for c, n in lists.items()))
+    each = rows.select("cluster", "rank", F.explode(said).alias("l")).select("cluster", "rank", "l.list", "l.most", F.posexplode("l.values").alias("i", "value"))
+    each = each.withColumn("key", F.lower(F.trim("value"))).where("key <> ''")
+    once = each.withColumn("n", F.row_number().over(Window.partitionBy("cluster", "list", "key").orderBy("rank", "i"))).where("n = 1")
+    first = once.withColumn("n", F.row_number().over(Window.partitionBy("cluster", "list").orderBy("rank", "i"))).where("n <= most")
+    placed = first.groupBy("cluster").agg(*(F.sort_array(F.collect_list(F.when(F.col("list") == c, F.struct("n", "value")))).alias(c) for c in lists))
+    return placed.select("cluster", *(F.col(f"{c}.value").alias(c) for c in lists))
+
+
+def merged_sources(rows: DataFrame, most: int = 12) -> DataFrame:
+    """cluster, sources (each once, the most official first) and all_urls (in the same order, each once, at most `most`).
+
+    rows: ranked, with source_id, source_name, source_class, source_tier, source_url, url, source_icon_url and published_at.
+    """
+    told = F.struct(
+        "source_tier", "rank", F.col("source_id").alias("id"), F.col("source_name").alias("name"), F.col("source_class").alias("class"), F.col("source_tier").alias("tier"),
+        F.col("source_url").alias("page_url"), F.col("url").alias("post_url"), F.col("source_icon_url").alias("icon_url"), "published_at",
+    )
+    by_tier = [F.col("source_tier"), F.col("rank")]
+    own = rows.withColumn("n", F.row_number().over(Window.partitionBy("cluster", "source_id").orderBy(*by_tier))).where("n = 1")
+    sources = own.groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(told)), lambda s: s.dropFields("source_tier", "rank")).alias("sources"))
+    urls = rows.where("url <> ''").withColumn("n", F.row_number().over(Window.partitionBy("cluster", "url").orderBy(*by_tier))).where("n = 1")
+    urls = urls.withColumn("n", F.row_number().over(Window.partitionBy("cluster").orderBy(*by_tier))).where(F.col("n") <= most)
+    listed = urls.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("n", "url"))).alias("u")).select("cluster", F.col("u.url").alias("all_urls"))
+    return sources.join(listed, "cluster", "left").withColumn("all_urls", F.coalesce("all_urls", F.array().cast("array<string>")))
+
+
+def merged_videos(rows: DataFrame, most: int = 8) -> DataFrame:
+    """cluster and videos: the videos of all versions in rank order, each address once, at most `most`."""
+    own = rows.where("video_url <> ''").withColumn("n", F.row_number().over(Window.partitionBy("cluster", "video_url").orderBy("rank"))).where("n = 1")
+    own = own.withColumn("n", F.row_number().over(Window.partitionBy("cluster").orderBy("rank"))).where(F.col("n") <= most)
+    shown = F.struct("n", video(F.col("video_url"), F.col("video_thumbnail_url"), F.col("video_type"), F.col("source_id")).alias("v"))
+    return own.groupBy("cluster").agg(F.sort_array(F.collect_list(shown)).alias("s")).select("cluster", F.col("s.v").alias("videos"))
+
+
+def video(url: Column, thumbnail: Column, kind: Column, source_id: Column) -> Column:
+    """A video as a card needs it: social ones play in their own player only."""
+    own = F.coalesce(F.startswith(kind, F.lit("facebook")), F.lit(False))
+    return F.struct(
+        url.alias("url"), thumbnail.alias("thumbnail_url"), kind.alias("type"), F.when(own, "facebook").otherwise("web").alias("provider"),
+        own.alias("use_official_embed"), source_id.alias("source_id"),
+    )
+
+
+def dated_columns(columns: list[str]) -> list[Column]:
+    """Aggregates over ranked rows: columns that follow from the date, of the best version, or of the best dated one where that has no date."""
+    base, dated = F.min_by(F.struct("starts_at", *columns), "rank"), F.min_by(F.struct("starts_at", *columns), F.when(F.coalesce("starts_at", F.lit("")) != "", F.col("rank")))
+    chosen = F.when(F.coalesce(base["starts_at"], F.lit("")) != "", base).otherwise(F.coalesce(dated, base))
+    return [chosen[c].alias(c) for c in columns]
+
+
+def merge(rows: DataFrame, texts: list[str], lists: dict[str, int], values: list[str] = (), of_date: list[str] = ()) -> DataFrame:
     """One row for each cluster of ranked rows, from partial aggregates.
 
-    texts and values are taken from the best version that has them; lists are joined in rank order, the first of
-    each regardless of case, up to their limit. The state is the gravest of any version; free entry needs a version
+    texts and values are taken from the best version that has them, of_date columns with the date; lists are joined in rank
+    order, the first of each regardless of case, up to their limit. The state is the gravest of any version; free entry needs a version
     that says so and none with a price; confidence grows with sources, in whole hundredths.
     """
     made = rows.groupBy("cluster").agg(
         *(_filled(c, F.coalesce(F.col(c), F.lit("")) == "").alias(c) for c in texts),
         *(_filled(c, F.col(c).isNull()).alias(c) for c in values),
-        *(F.sort_array(F.collect_list(F.struct("rank", F.coalesce(c, F.array().cast("array<string>")).alias("v")))).alias(c) for c in lists),
+        *dated_columns(list(of_date)),
         *(F.bool_or(F.col("status") == s).alias(f"_{s}") for s in ("cancelado", "postergado", "agotado")),
         F.min_by("status", "rank").alias("_status"), F.bool_or(F.coalesce("is_free", F.lit(False))).alias("_free"),
         _filled("price_from", F.col("price_from").isNull()).alias("price_from"),
@@ -186,8 +252,10 @@ def merge(rows: DataFrame, texts: list[str], lists: dict[str, int], values: list
     )
     more = F.when(F.col("source_count") >= 2, 8).otherwise(0) + F.when(F.col("source_count") >= 3, 5).otherwise(0) + F.when(F.col("_tier1"), 4).otherwise(0)
     hundredths = F.round(F.col("_confidence") * 100).cast("int") + more
+    if lists:
+        made = made.join(ordered_unions(rows, lists), "cluster", "left")
     return made.select(
-        "cluster", *texts, *values, *(first_distinct(F.flatten(F.col(f"{c}.v")), n).alias(c) for c, n in lists.items()),
+        "cluster", *texts, *values, *of_date, *(F.coalesce(c, F.array().cast("array<string>")).alias(c) for c in lists),
         F.when(F.col("_cancelado"), "cancelado").when(F.col("_postergado"), "postergado").when(F.col("_agotado"), "agotado").otherwise(F.col("_status")).alias("status"),
         (F.col("_free") & F.col("price_from").isNull()).alias("is_free"), "price_from", "source_count", (F.col("source_count") >= 2).alias("corroborated"),
         verification(F.coalesce("_tier1", F.lit(False)), F.coalesce("_tier2", F.lit(False)), F.col("source_count")).alias("verification"), "merged_count",

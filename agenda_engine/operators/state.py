@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
-from agenda_engine.functions.durable import cut
+from agenda_engine.functions.durable import cut, scratch
 from agenda_engine.functions.text import fold, jaccard, words
-from agenda_engine.operators.components import components
+from agenda_engine.operators.resolve import rare_words
 
 # Words that tell nothing here, points of a match, and limits.
-STOP_WORDS = "de la el los las en y del con por para un una gran evento bolivia vivo presenta entrada".split()
+STOP_WORDS = ("de", "la", "el", "los", "las", "en", "y", "del", "con", "por", "para", "un", "una", "gran", "evento", "bolivia", "vivo", "presenta", "entrada")
 POINTS = {"day": 0.30, "venue": 0.22, "other_venue": -0.12, "city": 0.08, "category": 0.06, "url": 0.20, "words": 0.34}
 THRESHOLD, KEEP_DAYS, HISTORY_LENGTH, CAP, DESCRIPTION_CHARS = 0.62, 4, 40, 3000, 500
+#: Pairs that one task may settle in turn.
+FINISH = 100_000
 HISTORY = "array<struct<at:string,reason:string,status:string,lifecycle:string,starts_at:string,price_from:double,source_count:int,changes:array<string>>>"
 
 
@@ -63,44 +67,77 @@ def stable_id(events: DataFrame) -> Column:
     return F.concat(F.lit("evt_"), F.substring(F.sha1(F.concat_ws("|", "m_day", "m_city", "m_venue", F.coalesce("category", F.lit("")), head)), 1, 14))
 
 
-def candidates(now: DataFrame, old: DataFrame) -> DataFrame:
-    """(n, o): pairs that can reach the threshold. Dated rows share the day; with an undated one they share a venue, an address or a word."""
-    n = now.select(F.col("position").alias("n"), "m_day", "m_venue", "m_urls", "m_words")
-    o = old.select(F.col("position").alias("o"), F.col("m_day").alias("o_day"), F.col("m_venue").alias("o_venue"), F.col("m_urls").alias("o_urls"), F.col("m_words").alias("o_words"))
-    free = "m_day = '' or o_day = ''"
-    dated = n.where("m_day <> ''").join(o.where("o_day <> ''"), F.col("m_day") == F.col("o_day"))
-    parts = [dated.select("n", "o"), n.where("m_venue <> ''").join(o, F.col("m_venue") == F.col("o_venue")).where(free).select("n", "o")]
-    for a, b in (("m_urls", "o_urls"), ("m_words", "o_words")):
-        left, right = n.select("n", "m_day", F.explode(a).alias("k")), o.select("o", "o_day", F.explode(b).alias("k"))
-        parts.append(left.join(right, "k").where(free).select("n", "o"))
+def candidates(now: DataFrame, old: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(n, o): pairs that can reach the threshold, from equi-joins on what their points need.
+
+    Two dated rows share the day, and a venue, an address or so many words that the rest of the points does not suffice without;
+    rows of which one is undated share a venue or an address, and a word where the threshold is so low that words suffice.
+    """
+    told = ["m_day", "m_venue", "m_urls", "m_words"]
+    n, o = now.select("position", *told), old.select("position", *told)
+    n_dated, o_dated, n_bare, o_bare = n.where("m_day <> ''"), o.where("m_day <> ''"), n.where("m_day = ''"), o.where("m_day = ''")
+
+    def met(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+        return a.withColumnRenamed("position", "n").join(b.withColumnRenamed("position", "o"), list(keys)).select("n", "o")
+
+    def venues(rows: DataFrame) -> DataFrame:
+        return rows.where("m_venue <> ''").select("position", "m_day", "m_venue")
+
+    def urls(rows: DataFrame) -> DataFrame:
+        return rows.select("position", "m_day", F.explode("m_urls").alias("url"))
+
+    needed = threshold - POINTS["day"] - POINTS["city"] - POINTS["category"]
+    if needed > 0:
+        both = n_dated.select((F.col("position") * 2).alias("position"), "m_day", "m_words").unionByName(o_dated.select((F.col("position") * 2 + 1).alias("position"), "m_day", "m_words"))
+        rare = rare_words(both, "m_words", min(needed, POINTS["words"]) * (1 - 1e-9))
+        sides = [rare.where(F.col("position") % 2 == k).withColumn("position", F.expr("position div 2")) for k in (0, 1)]
+        parts = [met(*sides, "m_day", "word"), met(venues(n_dated), venues(o_dated), "m_day", "m_venue"), met(urls(n_dated), urls(o_dated), "m_day", "url")]
+    else:
+        parts = [met(n_dated.select("position", "m_day"), o_dated.select("position", "m_day"), "m_day")]
+    for a, b in ((n_bare, o), (n_dated, o_bare)):
+        parts += [met(venues(a).drop("m_day"), venues(b).drop("m_day"), "m_venue"), met(urls(a).drop("m_day"), urls(b).drop("m_day"), "url")]
+        if threshold <= POINTS["words"] + POINTS["city"] + POINTS["category"]:
+            parts.append(met(a.select("position", F.explode("m_words").alias("word")), b.select("position", F.explode("m_words").alias("word")), "word"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.distinct()
 
 
-def greedy(scored: DataFrame) -> DataFrame:
+def greedy(scored: DataFrame, finish: int = FINISH) -> DataFrame:
     """(n, o): current rows in order take the best archive row that is left, the earlier one on ties.
 
-    Only pairs at the threshold matter, and rows that share none are independent, so each connected component
-    is solved by itself; it holds the rows of a few happenings.
+    In a round every row that is still free looks at its best archive row, and takes it if no earlier free row has a pair with
+    that one at all, since only such a row could take it first. The pairs of what is settled go, and the next round begins. At most `finish`
+    pairs that are left are settled one after the other in a single task.
     """
-    edges = cut(scored.select("n", "o", "score"))
-    nodes = edges.select((F.col("n") * 2).alias("a"), (F.col("o") * 2 + 1).alias("b"))
-    grouped = components(nodes)
-    both = edges.join(grouped, F.col("n") * 2 == F.col("node"), "left")
-    labelled = both.select("n", "o", "score", F.coalesce("component", F.col("n") * 2).alias("component"))
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        taken, out = set(), []
-        for n, mine in rows.sort_values(["n"]).groupby("n", sort=True):
-            free = mine[~mine["o"].isin(taken)].sort_values(["score", "o"], ascending=[False, True])
-            if len(free):
-                taken.add(int(free["o"].iloc[0]))
-                out.append((n, int(free["o"].iloc[0])))
-        return pd.DataFrame(out, columns=["n", "o"])
-
-    return labelled.groupBy("component").applyInPandas(solve, "n long, o long")
+    with scratch(scored.sparkSession) as keep:
+        left, done = cut(scored.select("n", "o", "score")), None
+        while (pairs := left.count()) > finish:
+            best = left.groupBy("n").agg(F.max(F.struct("score", (-F.col("o")).alias("o"))).alias("b")).select("n", (-F.col("b.o")).alias("o"))
+            first = left.groupBy("o").agg(F.min("n").alias("n"))
+            settled = cut(best.join(first, ["n", "o"]).select("n", "o"))
+            done = settled if done is None else done.unionByName(settled)
+            left = cut(left.join(settled.select("n"), "n", "left_anti").join(settled.select("o"), "o", "left_anti").select("n", "o", "score"))
+        if pairs:
+            rest = in_turn(left)
+            done = rest if done is None else done.unionByName(rest)
+        return keep(done if done is not None else left.select("n", "o"))
+
+
+def in_turn(pairs: DataFrame) -> DataFrame:
+    """The greedy choice over few pairs, in one task."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        taken, settled = set(), {}
+        for n, o, _ in sorted(rows, key=lambda r: (r[0], -r[2], r[1])):
+            if n not in settled and o not in taken:
+                settled[n] = o
+                taken.add(o)
+        yield pa.record_batch([pa.array(list(settled), pa.int64()), pa.array(list(settled.values()), pa.int64())], ["n", "o"])
+
+    return pairs.select(F.col("n").cast("long"), F.col("o").cast("long"), "score").coalesce(1).mapInArrow(solve, "n long, o long")
 
 
 def changes(old: str, new: str) -> Column:
@@ -129,6 +166,13 @@ def appended(history: Column, entry: Column, add: Column) -> Column:
     return F.slice(whole, F.greatest(F.lit(1), F.size(whole) - (HISTORY_LENGTH - 1)), F.lit(HISTORY_LENGTH))
 
 
+def last_entries(rows: DataFrame, key: str, order: str, entry: str, most: int = HISTORY_LENGTH) -> DataFrame:
+    """(key, history): the last entries of each key in order; the others never leave their partition."""
+    last = Window.partitionBy(key).orderBy(F.col(order).desc())
+    kept = rows.select(key, order, entry).withColumn("n", F.row_number().over(last)).where(F.col("n") <= most)
+    return kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, entry))).alias("h")).select(key, F.transform("h", lambda s: s[entry]).alias("history"))
+
+
 def with_time(events: DataFrame, now: str) -> DataFrame:
     """Recomputes what depends on the moment: lifecycle, days_until, is_upcoming."""
     at, starts, ends = clock.moment(now), F.to_timestamp_ntz(F.substring("starts_at", 1, 16), F.lit("yyyy-MM-dd'T'HH:mm")), F.to_timestamp_ntz(F.substring("ends_at", 1, 16), F.lit("yyyy-MM-dd'T'HH:mm"))
@@ -160,10 +204,11 @@ def reconcile(current: DataFrame, archive: DataFrame, at: str, threshold: float
     """
     stamp = at.replace(" ", "T")
     now, old = cut(with_time(keyed(current), at)), cut(keyed(archive))
-    met = candidates(now, old).join(now.alias("a"), F.col("n") == F.col("a.position")).join(old.alias("b"), F.col("o") == F.col("b.position"))
+    met = candidates(now, old, threshold).join(now.alias("a"), F.col("n") == F.col("a.position")).join(old.alias("b"), F.col("o") == F.col("b.position"))
     pairs = cut(greedy(met.select("n", "o", score("a", "b").alias("score")).where(F.col("score") >= threshold)))
     joined = now.alias("a").join(pairs, F.col("a.position") == F.col("n"), "left").join(old.alias("b"), F.col("o") == F.col("b.position"), "left")
-    base = [c for c in current.columns if c not in ("position", "source_count", "event_id", "first_seen_at", "last_seen_at", "history")]
+    made = ("position", "source_count", "event_id", "first_seen_at", "last_seen_at", "history", "lifecycle", "days_until", "is_upcoming", "seen_this_run", "changed_this_run", "history_count")
+    base = [c for c in current.columns if c not in made]
     told = joined.select(
         "a.position", *(F.col(f"a.{c}") for c in base), "a.lifecycle", "a.days_until", "a.is_upcoming", *(F.col(f"a.m_{c}") for c in ("day", "city", "venue", "words")),
         F.greatest(F.coalesce("a.source_count", F.lit(1)), F.coalesce("b.source_count", F.lit(1))).cast("int").alias("source_count"),
