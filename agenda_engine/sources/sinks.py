@@ -4,24 +4,67 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_snapshot(events: DataFrame, folder: str) -> str:
-    """Writes a new version of the catalogue beside the old ones and then names it; readers see the old one until then."""
-    spark = events.sparkSession
-    version = f"{folder.rstrip('/')}/v{time.time_ns()}"
-    events.write.parquet(version)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{folder.rstrip('/')}/current")
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def write_snapshot(events: DataFrame, folder: str, version: str | None = None) -> str:
+    """Writes a version of the catalogue beside the others and then names it; readers see the one before until then.
+
+    The name is a small table of its own under a number that grows, moved into place in one step, so readers find the last or
+    the one before. A version that is given its name is written once: a second call finds it and names it again.
+    """
+    spark, base = events.sparkSession, folder.rstrip("/")
+    files, make = _files(spark, base)
+    version = f"{base}/{version or f'v{time.time_ns()}'}"
+    if not files.exists(make(f"{version}/_SUCCESS")):
+        events.write.mode("overwrite").parquet(version)
+    number = max([0, *_numbers(spark, base)]) + 1
+    draft = f"{base}/.names-{uuid.uuid4().hex}"
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.json(draft)
+    files.mkdirs(make(f"{base}/names"))
+    if not files.rename(make(draft), make(f"{base}/names/{number:09d}")):
+        raise RuntimeError("another writer named a version at the same time")
     return version
 
 
+def _numbers(spark: SparkSession, base: str) -> list[int]:
+    files, make = _files(spark, base)
+    return [int(s.getPath().getName()) for s in files.listStatus(make(f"{base}/names"))] if files.exists(make(f"{base}/names")) else []
+
+
 def current_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The version that the folder names."""
-    return spark.read.parquet(spark.read.schema("version string").json(f"{folder.rstrip('/')}/current").first()["version"])
+    """The version that the folder's last name stands for."""
+    base = folder.rstrip("/")
+    return spark.read.parquet(spark.read.schema("version string").json(f"{base}/names/{max(_numbers(spark, base)):09d}").first()["version"])
+
+
+def has_snapshot(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder names any version."""
+    return bool(_numbers(spark, folder.rstrip("/")))
+
+
+def write_rotation(rotation: DataFrame, at: str, path: str) -> None:
+    """Writes the rotation as one JSON document, keys sorted: configuration of sources, so it is small."""
+    names = {
+        "bloqueos": "blocks", "exitos": "successes", "fallos_seguidos": "failures", "ultimo_bloqueo": "last_block", "ultimo_error": "last_error", "ultimo_estado": "state",
+        "ultimo_exito": "last_success", "ultimo_intento": "last_try",
+    }
+    rows = rotation.orderBy("source_id").collect()
+
+    def told(value: object) -> object:
+        return f"{value.isoformat(timespec='seconds')}-04:00" if hasattr(value, "isoformat") else value
+
+    write_document({"actualizado": at, "fuentes": {r["source_id"]: {k: told(r[c]) for k, c in names.items()} for r in rows}}, path)
 
 
 def csv_rows(events: DataFrame, columns: list[str]) -> DataFrame:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agenda_engine.functions.durable import cut
+
 # Event types of the structured vocabulary, keys that nest events, words that make a link worth following.
 EVENT_TYPES = (
-    "event businessevent childrensevent comedyevent courseinstance danceevent deliveryevent educationevent exhibitionevent festival foodevent "
-    "hackathon literaryevent musicevent publicationevent saleevent screeningevent socialevent sportsevent theaterevent visualartsevent"
-).split()
+    "event", "musicevent", "theaterevent", "festival", "sportsevent", "socialevent", "businessevent", "educationevent", "exhibitionevent", "screeningevent",
+    "comedyevent", "danceevent", "foodevent", "childrensevent", "literaryevent", "visualartsevent",
+)
 NESTING = ("@graph", "itemListElement", "item", "subEvent", "events")
-DROPPED = ("script", "style", "nav", "footer", "header", "noscript", "form")
-DEEPEST = 6
+DROPPED = ("script", "style", "noscript", "svg", "header", "footer", "nav")
 
 
 def ld_blocks(html: Column) -> Column:
@@ -20,14 +21,28 @@ def ld_blocks(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
 
 
-def flatten_events(pages: DataFrame, html: str = "html", depth: int = DEEPEST) -> DataFrame:
-    """Adds event (a VARIANT), a row for each structured event with a name, nested ones included; blocks that are no JSON are skipped.
+def flatten_events(pages: DataFrame, html: str = "html", step: int = 4) -> DataFrame:
+    """Adds event (a VARIANT), a row for each structured event with a name, however deep it is nested; blocks that are no JSON are skipped.
 
-    Nesting is unrolled level by level with native variant functions, up to `depth`, in one pass over the pages.
+    Nesting is unrolled level by level with native variant functions, `step` levels in one pass; passes over a written table
+    follow while any block has deeper levels.
     """
     own = [c for c in pages.columns if c != html]
     found = pages.select(*own, F.explode(ld_blocks(F.col(html))).alias("block")).select(*own, F.try_parse_json("block").alias("v"), F.lit(True).alias("fresh")).where("v is not null")
-    for _ in range(depth + 1):
+    found = _levels(found, own, step)
+    while True:
+        found = cut(found.withColumn("v", F.to_json("v"))).withColumn("v", F.parse_json("v"))
+        if not found.where("fresh").limit(1).count():
+            break
+        found = _levels(found, own, step)
+    kind = F.coalesce(F.try_variant_get("v", "$['@type']", "array<string>"), F.array(F.try_variant_get("v", "$['@type']", "string")))
+    named = F.trim(F.coalesce(F.try_variant_get("v", "$.name", "string"), F.lit(""))) != ""
+    return found.where(F.exists(kind, lambda t: F.lower(t).isin(*EVENT_TYPES)) & named).select(*own, F.col("v").alias("event"))
+
+
+def _levels(found: DataFrame, own: list[str], many: int) -> DataFrame:
+    """Unrolls some levels of nesting."""
+    for _ in range(many):
         # one step: a fresh array becomes its elements, a fresh object stays and brings what it nests, all else stays
         elements = F.transform(F.try_variant_get("v", "$", "array<variant>"), lambda x: F.struct(x.alias("v"), F.lit(True).alias("fresh")))
         inner = F.flatten(F.array_compact(F.array(*(F.coalesce(F.try_variant_get("v", f"$['{k}']", "array<variant>"), F.array_compact(F.array(F.try_variant_get("v", f"$['{k}']", "variant")))) for k in NESTING))))
@@ -36,9 +51,7 @@ def flatten_events(pages: DataFrame, html: str = "html", depth: int = DEEPEST) -
         is_array = F.startswith(F.schema_of_variant("v"), F.lit("ARRAY"))
         step = F.when(~F.col("fresh"), itself).when(is_array, elements).otherwise(nested)
         found = found.select(*own, F.explode(step).alias("s")).select(*own, "s.v", "s.fresh").where("v is not null")
-    kind = F.coalesce(F.try_variant_get("v", "$['@type']", "array<string>"), F.array(F.try_variant_get("v", "$['@type']", "string")))
-    named = F.trim(F.coalesce(F.try_variant_get("v", "$.name", "string"), F.lit(""))) != ""
-    return found.where(F.exists(kind, lambda t: F.lower(t).isin(*EVENT_TYPES)) & named).select(*own, F.col("v").alias("event"))
+    return found
 
 
 def _text(v: Column, path: str) -> Column:
@@ -56,9 +69,9 @@ def offers(v: Column) -> Column:
 
     amounts = F.array_compact(F.transform(F.concat(of("$.price", "string"), of("$.lowPrice", "string"), of("$.highPrice", "string")), lambda p: F.replace(p, F.lit(","), F.lit(".")).try_cast("double")))
     return F.struct(
-        F.array_min(amounts).alias("price_from"), F.when(F.array_max(amounts) > F.array_min(amounts), F.array_max(amounts)).alias("price_to"),
+        F.array_min(amounts).alias("price_from"), F.array_max(amounts).alias("price_to"),
         F.get(of("$.priceCurrency", "string"), 0).alias("currency"), ((F.size(amounts) > 0) & (F.array_max(amounts) == 0)).alias("is_free"),
-        F.array_distinct(of("$.url", "string")).alias("urls"),
+        F.slice(F.array_distinct(of("$.url", "string")), 1, 8).alias("urls"),
     )
 
 
@@ -77,7 +90,7 @@ def event_columns(v: Column) -> list[Column]:
 
 
 def title(html: Column) -> Column:
-    """The page's title, tags and entities out, white space collapsed."""
+    """What stands in the page's title element, white space collapsed; entities stay as they are written."""
     raw = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
     return F.trim(F.regexp_replace(raw, r"\s+", " "))
 

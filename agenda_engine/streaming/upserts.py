@@ -5,25 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agenda_engine.operators.state import KEEP_DAYS, reconcile
-from agenda_engine.sources.sinks import current_snapshot, write_snapshot
+from agenda_engine.operators.state import HISTORY, KEEP_DAYS, reconcile
+from agenda_engine.sources.sinks import current_snapshot, has_snapshot, write_snapshot
+
+
+def empty_archive(events: DataFrame) -> DataFrame:
+    """An archive of no rows with the columns of some events and those of the state."""
+    state = f"event_id string, first_seen_at string, last_seen_at string, history {HISTORY}"
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema if f.name not in ("event_id", "first_seen_at", "last_seen_at", "history")]
+    return events.sparkSession.createDataFrame([], ", ".join([*own, state]))
 
 
 def start(events: DataFrame, folder: str, checkpoint: str, clock: str = "at", keep_days: int = KEEP_DAYS):
-    """Starts a query that takes what is there and stops; the batch's own `at` is its moment, so replays give the same rows.
+    """Starts a query that takes what is there and stops; the batch's own `at` is its moment.
 
-    A batch that is replayed after a failure writes a new version of the same content.
+    A batch writes the version of its number. One that is replayed after a failure finds that version and names it again, so it never
+    reconciles with its own output; the first batch begins with an empty archive.
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
         at = rows.agg(F.max(clock)).first()[0]
         if at is None:
             return
-        write_snapshot(reconcile(rows.drop(clock), current_snapshot(rows.sparkSession, folder), str(at), keep_days=keep_days), folder)
+        new = rows.drop(clock)
+        old = current_snapshot(spark, folder) if has_snapshot(spark, folder) else empty_archive(new)
+        write_snapshot(reconcile(new, old, str(at), keep_days=keep_days), folder, f"batch-{batch_id:09d}")
 
     return events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def windowed_counts(events: DataFrame, time: str, kind: str, length: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """Counts by kind and window of a stream; rows later than the watermark are left out, windows close behind it."""
-    return events.withWatermark(time, late).groupBy(F.window(time, length).alias("w"), kind).agg(F.count(F.lit(1)).alias("count")).select(F.col("w.start").alias("from"), kind, "count")
