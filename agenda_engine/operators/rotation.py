@@ -89,6 +89,13 @@ def update(rotation: DataFrame, outcomes: DataFrame, at: str, forget_days: int =
     return after.where(clock.hours_since(F.col("last_try"), now) <= 24 * max(1, forget_days))
 
 
+def unreached(sources: DataFrame, rotation: DataFrame) -> DataFrame:
+    """(list, source_id): the three lists of coverage() as rows, for catalogues of sources that are too long for a row."""
+    met = sources.select("source_id").join(rotation, "source_id", "left")
+    lists = {"never_seen": F.col("last_success").isNull(), "blocked_last_time": F.col("state") == "bloqueada", "failing": F.col("failures") >= 3}
+    return met.select(F.explode(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in lists.items())))).alias("list"), "source_id")
+
+
 def coverage(sources: DataFrame, rotation: DataFrame, now: str) -> DataFrame:
     """One row: how much of the catalogue of sources is being reached. The lists hold source ids of a configuration."""
     met = sources.select("source_id").join(rotation, "source_id", "left")
