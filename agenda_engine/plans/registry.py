@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
 from agenda_engine.functions.text import fold, hits, jaccard, words
-from agenda_engine.operators import dates, extraction, resolve, rotation, serving, state
+from agenda_engine.operators import dates, events, extraction, resolve, rotation, serving, state
 from agenda_engine.operators.facets import list_facet, value_facet
+from agenda_engine.plans.book import ORACLES, QUERIES, query
 from agenda_engine.plans.lifted import CATALOGUE, NOW, catalogue, table, timed
 from agenda_engine.sources import sinks, web
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with its SQL where SQL can express it."""
-
-    def add(make):
-        QUERIES[make.__name__] = make
-        if sql is not None:
-            ORACLES[make.__name__] = sql
-        return make
-
-    return add
-
+__all__ = ["ORACLES", "QUERIES"]
 
 # Facets, sections and coverage
 
@@ -243,7 +228,7 @@ def outcome_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value, min(event_id) AS first_pos FROM events GROUP BY user_id, event_type""")
 def last_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last row of each key, at the place of its first."""
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max("event_id").alias("event_id"), F.max_by("value", "event_id").alias("value"), F.min("event_id").alias("first_pos"))
+    return events.last_wins(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id", ["event_id", "value"])
 
 
 @query("""SELECT user_id, event_id, n FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id)::INTEGER AS n FROM events WHERE event_type = 'click') WHERE n <= 3""")
@@ -360,7 +345,7 @@ def html_strip_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, 'Show ' || o_orderkey AS title, strftime(o_orderdate, '%Y-%m-%d') AS starts_at, 'Teatro ' || (o_orderkey % 7) AS venue, round(o_totalprice)::DOUBLE AS price_from,
-    CASE WHEN o_orderkey % 2 = 0 THEN (round(o_totalprice) + 50)::DOUBLE END AS price_to, 'BOB' AS currency, false AS is_free FROM orders WHERE round(o_totalprice) > 0""")
+    CASE WHEN o_orderkey % 2 = 0 THEN (round(o_totalprice) + 50)::DOUBLE ELSE round(o_totalprice)::DOUBLE END AS price_to, 'BOB' AS currency, false AS is_free FROM orders WHERE round(o_totalprice) > 0""")
 def jsonld_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured events, nested in a graph, read back from pages."""
     price = F.round("o_totalprice").cast("long")
@@ -372,7 +357,7 @@ def jsonld_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     html = F.concat(F.lit('<html><script type="application/ld+json">{"@graph":[{"@type":"WebSite","name":"x"},'), event, F.lit(']}</script><script type="application/ld+json">{bad</script></html>'))
     pages = table(spark, sf_dir, "orders").where(price > 0).select("o_orderkey", html.alias("html"))
-    found = web.flatten_events(pages, depth=2).select("o_orderkey", *web.event_columns(F.col("event")))
+    found = web.flatten_events(pages).select("o_orderkey", *web.event_columns(F.col("event")))
     return found.select("o_orderkey", "title", "starts_at", "venue", "offer.price_from", "offer.price_to", "offer.currency", "offer.is_free")
 
 
@@ -403,20 +388,64 @@ def day_span_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy("department").agg(F.count(F.lit(1)).alias("pairs"))
 
 
+POSTS = """
+WITH RECURSIVE posts AS (
+  SELECT p_partkey AS position, 'Banda' || (p_partkey // 4 % 997) || ' y Grupo' || (p_partkey // 4 % 89) || CASE p_partkey % 3 WHEN 0 THEN ' en concierto' WHEN 1 THEN ' presentan su gira' ELSE '' END AS title,
+    p_name AS description, CASE WHEN p_partkey % 7 <> 0 THEN 'Sala ' || (p_partkey // 4 % 60) END AS venue,
+    CASE WHEN p_partkey % 5 <> 0 THEN CASE p_partkey // 4 % 3 WHEN 0 THEN 'La Paz' WHEN 1 THEN 'Oruro' ELSE 'Sucre' END END AS city,
+    CASE WHEN p_partkey % 11 <> 0 THEN strftime(DATE '2026-08-01' + (p_partkey // 4 % 120)::INTEGER, '%Y-%m-%d') || 'T20:00:00-04:00' END AS starts_at,
+    CASE WHEN p_partkey % 13 = 0 AND p_partkey % 11 <> 0 THEN strftime(DATE '2026-08-03' + (p_partkey // 4 % 120)::INTEGER, '%Y-%m-%d') || 'T20:00:00-04:00' END AS ends_at,
+    p_retailprice AS price_from FROM part
+)
+"""
+
+
+def _sql_words(text: str, least: int, but: tuple[str, ...]) -> str:
+    """SQL for the distinct words of a text that has no accents, of some length, but for some."""
+    listed = ", ".join(f"'{w}'" for w in but)
+    return f"list_filter(list_distinct(string_split(regexp_replace(lower({text}), '[^a-z0-9]+', ' ', 'g'), ' ')), lambda w: length(w) >= {least} AND NOT list_contains([{listed}], w))"
+
+
+def _sql_jaccard(a: str, b: str) -> str:
+    """SQL for the Jaccard similarity of two lists without repeats."""
+    both = f"len(list_intersect({a}, {b}))::DOUBLE"
+    return f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0::DOUBLE ELSE {both} / (len({a}) + len({b}) - {both}) END"
+
+
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as posts of several sources: alike names on one day and place tell of one happening."""
-    none = F.lit(None).cast("string")
-    name = F.concat(F.lit("Gran noche con "), F.col("p_name"))
+    """Parts as posts: four in a row tell of one happening, with its own artists, day, venue and city; some leave out what others say."""
+    none, k = F.lit(None).cast("string"), F.col("p_partkey")
+    h = F.floor(k / 4)
+
+    def moment(first: str) -> Column:
+        return F.concat(F.date_add(F.lit(first).cast("date"), (h % 120).cast("int")).cast("string"), F.lit("T20:00:00-04:00"))
+
+    name = F.concat(F.lit("Banda"), h % 997, F.lit(" y Grupo"), h % 89, F.when(k % 3 == 0, " en concierto").when(k % 3 == 1, " presentan su gira").otherwise(""))
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("position"), name.alias("title"), F.array().cast("array<string>").alias("artists"), F.col("p_type").alias("description"), F.col("p_brand").alias("venue"),
-        F.lit("La Paz").alias("city"), none.alias("department"), F.when(F.col("p_partkey") % 10 != 0, F.concat(F.lit("2026-08-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"), F.lit("T20:00:00-04:00"))).alias("starts_at"),
-        none.alias("ends_at"), F.col("p_retailprice").alias("price_from"), (F.col("p_partkey") % 3 + 1).cast("int").alias("source_tier"), (F.col("p_partkey") % 6).cast("string").alias("source_id"),
-        F.lit(0.6).alias("confidence"), (F.col("p_partkey") % 100).cast("int").alias("relevance_score"), F.array().cast("array<string>").alias("image_urls"), F.lit("programado").alias("status"),
-        F.lit(False).alias("is_free"), F.array("p_type").alias("tags"),
+        k.alias("position"), name.alias("title"), F.array().cast("array<string>").alias("artists"), F.col("p_name").alias("description"), F.when(k % 7 != 0, F.concat(F.lit("Sala "), h % 60)).alias("venue"),
+        F.when(k % 5 != 0, F.when(h % 3 == 0, "La Paz").when(h % 3 == 1, "Oruro").otherwise("Sucre")).alias("city"), none.alias("department"), F.when(k % 11 != 0, moment("2026-08-01")).alias("starts_at"),
+        F.when((k % 13 == 0) & (k % 11 != 0), moment("2026-08-03")).alias("ends_at"), F.col("p_retailprice").alias("price_from"), (k % 3 + 1).cast("int").alias("source_tier"), (k % 6).cast("string").alias("source_id"),
+        F.lit(0.6).alias("confidence"), (k % 100).cast("int").alias("relevance_score"), F.array().cast("array<string>").alias("image_urls"), F.lit("programado").alias("status"),
+        F.lit(False).alias("is_free"), F.array("p_type").alias("tags"), F.col("p_brand").alias("brand"), F.col("p_name").alias("part_name"),
     )
 
 
-@query()
+_NAMES = _sql_words("title", 4, (*resolve.STOP_WORDS, *resolve.GENERIC_WORDS))
+
+
+@query(POSTS + f""", k AS (SELECT *, {_sql_words("title || '  ' || description || ' ' || coalesce(venue, '')", 4, resolve.STOP_WORDS)} AS said,
+    list_filter({_NAMES}, lambda w: NOT list_contains(string_split(lower(coalesce(venue, '') || ' ' || coalesce(city, '')), ' '), w)) AS name, lower(coalesce(venue, '')) AS v, lower(coalesce(city, '')) AS c,
+    substr(starts_at, 1, 10)::DATE AS first, coalesce(substr(ends_at, 1, 10), substr(starts_at, 1, 10))::DATE AS last FROM posts
+  ), j AS (
+    SELECT a.position AS a, b.position AS b, a.first AS f1, b.first AS f2, a.last AS l1, b.last AS l2, a.v AS v1, b.v AS v2, a.c AS c1, b.c AS c2, a.name AS n1, b.name AS n2, {_sql_jaccard('a.said', 'b.said')} AS s, {_sql_jaccard('a.name', 'b.name')} AS n
+    FROM k a JOIN k b ON a.position < b.position AND len(list_intersect(a.said, b.said)) > 0
+  ), e AS MATERIALIZED (
+    SELECT a, b FROM j WHERE CASE WHEN f1 IS NOT NULL AND f2 IS NOT NULL AND NOT (f2 BETWEEN f1 AND l1 OR f1 BETWEEN f2 AND l2) THEN false WHEN f1 IS NULL AND f2 IS NULL THEN s >= 0.55::DOUBLE
+      WHEN f1 IS NULL OR f2 IS NULL THEN s >= 0.62::DOUBLE WHEN v1 <> '' AND v2 <> '' AND v1 <> v2 THEN s >= 0.70::DOUBLE WHEN c1 <> '' AND c2 <> '' AND c1 <> c2 THEN false
+      WHEN len(n1) > 0 AND len(n2) > 0 AND len(list_intersect(n1, n2)) = 0 THEN false WHEN len(n1) > 0 AND len(n2) > 0 THEN n >= 0.20::DOUBLE OR s >= 0.30::DOUBLE
+      ELSE s >= CASE WHEN v1 <> '' AND v1 = v2 THEN 0.16::DOUBLE ELSE 0.30::DOUBLE END END
+  ), r AS (SELECT b AS p, a AS q FROM e UNION SELECT r.p, e.a FROM r JOIN e ON e.b = r.q)
+  SELECT position, least(position, coalesce(min(q), position)) AS cluster FROM posts LEFT JOIN r ON p = position GROUP BY position""")
 def cluster_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of every post: first fit in order of arrival, over the matches."""
     return resolve.clusters(_posts(spark, sf_dir)).select("position", "cluster")
@@ -428,24 +457,48 @@ def cluster_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN bool_or(p_partkey % 3 = 1) THEN 'confirmado_por_ticketera' ELSE 'varios_medios' END AS verification FROM part GROUP BY p_brand""")
 def merge_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of each cluster merged into one row; here a cluster is a brand."""
-    rows = _posts(spark, sf_dir).withColumns({"cluster": F.col("venue"), "title": F.substring("title", 16, 1000), "description": F.lit("")})
+    rows = _posts(spark, sf_dir).withColumns({"cluster": F.col("brand"), "title": F.col("part_name"), "description": F.lit("")})
     merged = resolve.merge(resolve.ranked(rows), ["title"], {"tags": 24})
     return merged.select("cluster", "title", "merged_count", "source_count", "confidence", "verification")
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Posts as a current run and as an archive, with what each carries."""
+    """Posts as a current run and as an archive, with what each carries; every post is on a side, and a third on both."""
+    k = F.col("position")
     posts = _posts(spark, sf_dir).withColumns({
-        "url": F.lit(None).cast("string"), "all_urls": F.array(F.concat(F.lit("https://x/"), F.col("position").cast("string"))), "category": F.when(F.col("position") % 2 == 0, "concierto"), "source_count": F.lit(1),
+        "url": F.lit(None).cast("string"), "all_urls": F.array(F.concat(F.lit("https://x/"), k.cast("string"))), "category": F.when(k % 2 == 0, "concierto"), "source_count": F.lit(1),
     })
     old = posts.where("position % 3 <> 0").withColumns({
-        "event_id": F.concat(F.lit("evt_old"), F.col("position").cast("string")), "first_seen_at": F.lit("2026-07-01T00:00:00"), "last_seen_at": F.lit("2026-08-01T00:00:00"), "history": F.array().cast(state.HISTORY),
-        "price_from": F.when(F.col("position") % 5 == 0, F.col("price_from") + 1).otherwise(F.col("price_from")),
+        "event_id": F.concat(F.lit("evt_old"), k.cast("string")), "first_seen_at": F.lit("2026-07-01T00:00:00"), "last_seen_at": F.lit("2026-08-01T00:00:00"), "history": F.array().cast(state.HISTORY),
+        "price_from": F.when(k % 5 == 0, F.col("price_from") + 1).otherwise(F.col("price_from")),
     })
-    return posts.where("position % 2 = 0"), old
-
-
-@query()
+    return posts.where("position % 3 <> 1"), old
+
+
+@query(POSTS + f""", m AS (SELECT *, coalesce(substr(starts_at, 1, 10), '') AS day, lower(coalesce(city, '')) AS c, lower(coalesce(venue, '')) AS v, CASE WHEN position % 2 = 0 THEN 'concierto' END AS category,
+    {_sql_words("title || '  ' || description || ' ' || coalesce(venue, '')", 4, state.STOP_WORDS)} AS words FROM posts
+  ), n AS (SELECT *, row_number() OVER (ORDER BY position) AS turn FROM m WHERE position % 3 <> 1), o AS (SELECT * REPLACE (price_from + CASE WHEN position % 5 = 0 THEN 1 ELSE 0 END AS price_from) FROM m WHERE position % 3 <> 0),
+  j AS (SELECT n.turn, n.position AS n, o.position AS o, n.day AS d1, o.day AS d2, n.v AS v1, o.v AS v2, n.c AS c1, o.c AS c2, n.category AS g1, o.category AS g2, {_sql_jaccard('n.words', 'o.words')} AS w
+    FROM n, o WHERE (n.day = '' OR o.day = '' OR n.day = o.day) AND (n.c = '' OR o.c = '' OR n.c = o.c)),
+  e AS (SELECT turn, n, o, greatest(0::DOUBLE, least(1::DOUBLE, CASE WHEN d1 <> '' AND d1 = d2 THEN 0.30::DOUBLE ELSE 0 END + CASE WHEN v1 <> '' AND v1 = v2 THEN 0.22::DOUBLE WHEN v1 <> '' AND v2 <> '' THEN -0.12::DOUBLE ELSE 0 END
+      + CASE WHEN c1 <> '' AND c1 = c2 THEN 0.08::DOUBLE ELSE 0 END + CASE WHEN g1 IS NOT DISTINCT FROM g2 THEN 0.06::DOUBLE ELSE 0 END + CASE WHEN n = o THEN 0.20::DOUBLE ELSE 0 END + least(w, 0.34::DOUBLE))) AS score FROM j),
+  b AS (SELECT * FROM e WHERE score >= 0.62::DOUBLE),
+  c AS MATERIALIZED (SELECT turn, list(o ORDER BY score DESC, o) AS options, row_number() OVER (ORDER BY turn) AS k FROM b GROUP BY turn),
+  t AS (SELECT 0::BIGINT AS step, []::BIGINT[] AS taken, 0::BIGINT AS turn, NULL::BIGINT AS o
+    UNION ALL SELECT step + 1, CASE WHEN pick IS NULL THEN taken ELSE list_append(taken, pick) END, turn, pick FROM (
+      SELECT t.step, t.taken, q.turn, list_filter(q.options, lambda y: NOT list_contains(t.taken, y))[1] AS pick FROM t JOIN c AS q ON q.k = t.step + 1)),
+  p AS (SELECT n.position AS n, t.o FROM n JOIN t USING (turn) WHERE t.o IS NOT NULL),
+  life AS (SELECT *, strptime(substr(starts_at, 1, 16), '%Y-%m-%dT%H:%M') AS s, strptime(substr(ends_at, 1, 16), '%Y-%m-%dT%H:%M') AS x FROM m),
+  lived AS (SELECT position, CASE WHEN s IS NULL THEN 'sin_fecha' WHEN s <= TIMESTAMP '2026-08-14 10:00:00' AND TIMESTAMP '2026-08-14 10:00:00' <= x THEN 'en_curso' WHEN s::DATE = DATE '2026-08-14' THEN 'hoy'
+    WHEN s > TIMESTAMP '2026-08-14 10:00:00' THEN 'proximo' ELSE 'finalizado' END AS lifecycle, coalesce(x, s) >= TIMESTAMP '2026-08-10 10:00:00' AS alive FROM life),
+  seen AS (SELECT n.position, CASE WHEN p.o IS NULL THEN 'evt_' || substr(sha1(n.day || '|' || n.c || '|' || n.v || '|' || coalesce(n.category, '') || '|' || array_to_string(list_sort(n.words)[1:6], ' ')), 1, 14) ELSE 'evt_old' || p.o END AS event_id,
+      CASE WHEN p.o IS NULL THEN '2026-08-14T10:00:00' ELSE '2026-07-01T00:00:00' END AS first_seen_at, p.o IS NOT NULL AS known,
+      CASE WHEN p.o IS NULL THEN [] ELSE list_filter([CASE WHEN n.day <> o.day THEN 'fecha_cambiada' END, CASE WHEN n.price_from <> o.price_from THEN 'precio_cambiado' END,
+        CASE WHEN n.venue IS DISTINCT FROM o.venue AND n.v <> '' THEN 'sede_cambiada' END], lambda y: y IS NOT NULL) END AS changed FROM n LEFT JOIN p ON p.n = n.position LEFT JOIN o ON o.position = p.o),
+  every AS (SELECT position, event_id, first_seen_at, true AS seen_this_run, changed AS changed_this_run, CASE WHEN NOT known OR len(changed) > 0 THEN 1 ELSE 0 END AS history_count FROM seen
+    UNION ALL SELECT position, 'evt_old' || position, '2026-07-01T00:00:00', false, [], 0 FROM o WHERE position NOT IN (SELECT o FROM p) AND position IN (SELECT position FROM lived WHERE alive)),
+  once AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY seen_this_run DESC, position) AS k FROM every)
+  SELECT event_id, first_seen_at, seen_this_run, changed_this_run, lifecycle, history_count::INTEGER AS history_count FROM once JOIN lived USING (position) WHERE k = 1""")
 def reconcile_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run against the archive: ids kept, changes noted, the rest carried or let go."""
     new, old = _halves(spark, sf_dir)
@@ -490,8 +543,7 @@ def change_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT user_id, least(n + 1, 40)::INTEGER AS history_count, CASE WHEN n + 1 > 40 THEN l[n + 1 - 39] ELSE l[1] END AS oldest FROM (SELECT user_id, count(*) AS n, list(event_type ORDER BY event_id) AS l FROM events GROUP BY user_id)""")
 def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history with one more entry, the last forty kept."""
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))), lambda s: s["event_type"]).alias("h"))
-    kept = rows.select("user_id", state.appended(F.col("h"), F.lit("new"), F.lit(True)).alias("h"))
+    kept = state.last_entries(table(spark, sf_dir, "events"), "user_id", "event_id", "event_type").select("user_id", state.appended(F.col("history"), F.lit("new"), F.lit(True)).alias("h"))
     return kept.select("user_id", F.size("h").alias("history_count"), F.get("h", F.lit(0)).alias("oldest"))
 
 
@@ -501,12 +553,15 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CATALOGUE + "SELECT event_id, category, starts, days_until, lifecycle, city, department, is_free, price_from, status FROM up WHERE is_upcoming")
 def lite_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compact columns of upcoming events that this catalogue has."""
-    rows = timed(spark, sf_dir)
-    return serving.lite(rows).select("event_id", "category", "days_until", "lifecycle", "city", "department", "is_free", "price_from", "status").join(rows.select("event_id", "starts"), "event_id")
+    return serving.lite(timed(spark, sf_dir), "starts").select("event_id", "category", "starts", "days_until", "lifecycle", "city", "department", "is_free", "price_from", "status")
 
 
-@query("""SELECT user_id::VARCHAR AS user_id, coalesce(array_to_string(list(event_type ORDER BY event_id), ' | '), '') AS kinds FROM events GROUP BY user_id""")
+@query("""SELECT o_orderkey::VARCHAR AS order_id, array_to_string(string_split(o_orderpriority, '-'), ' | ') AS kinds, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE '' END AS status FROM orders""")
 def csv_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as the CSV file has them."""
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))), lambda s: s["event_type"]).alias("kinds"))
-    return sinks.csv_rows(rows, ["user_id", "kinds"])
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("order_id"), F.split("o_orderpriority", "-").alias("kinds"), F.when(k % 2 == 0, F.col("o_orderstatus")).alias("status"))
+    return sinks.csv_rows(rows, ["order_id", "kinds", "status"])
+
+
+from agenda_engine.plans import reading  # noqa: E402, F401 -- registers its queries in the same book
