@@ -102,10 +102,10 @@ def summary_of_run(rows: DataFrame, sources: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("events_total"), F.count_if(up).alias("events_upcoming"), F.count_if(F.col("lifecycle").eqNullSafe("hoy")).alias("events_today"),
         F.count_if(present("starts_at")).alias("events_with_date"), F.count_if(up & _true("is_free")).alias("events_free"), F.count_if(_true("has_image")).alias("events_with_image"),
         F.count_if(_true("has_video")).alias("events_with_video"), F.count_if(_true("corroborated")).alias("events_corroborated"), F.count_if(_true("seen_this_run")).alias("events_seen_this_run"),
-        F.lit(1).alias("one"),
     )
     states = (F.count_if(F.col("status").eqNullSafe(s)).alias(f"sources_{s}") for s in ("ok", "blocked", "error", "skipped"))
-    return events.join(sources.agg(F.count(F.lit(1)).alias("sources_total"), *states, F.lit(1).alias("one")), "one").drop("one")
+    both = events.unionByName(sources.agg(F.count(F.lit(1)).alias("sources_total"), *states), allowMissingColumns=True)
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
 def facets(rows: DataFrame, now: str, position: str = "position", starts: str = "starts", ends: str = "ends") -> DataFrame:

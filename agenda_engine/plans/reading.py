@@ -416,7 +416,7 @@ def coverage_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CATALOGUE + """, q AS (SELECT *, 24 + CASE WHEN has_image THEN 14 ELSE 0 END + CASE WHEN has_video THEN 7 ELSE 0 END + CASE WHEN city <> '' THEN 6 ELSE 0 END + CASE WHEN is_free OR price_from IS NOT NULL THEN 8 ELSE 0 END
       + CASE source_tier WHEN 1 THEN 9 WHEN 2 THEN 5 ELSE 0 END + CASE WHEN event_id % 3 = 0 THEN 8 ELSE 0 END AS quality_score FROM up WHERE is_upcoming)
     SELECT event_id, 'Evento ' || event_id AS title, category, 'Otros' AS category_label, lifecycle, CASE lifecycle WHEN 'hoy' THEN 'Hoy' WHEN 'en_curso' THEN 'En curso' ELSE 'Próximos' END AS lifecycle_label, days_until, city, department, is_free, price_from,
-      quality_score::INTEGER AS quality_score, is_upcoming AND status = 'programado' AND quality_score >= 65 AS is_featured, status, [] AS showtimes FROM q""")
+      quality_score::INTEGER AS quality_score, is_upcoming AND status = 'programado' AND quality_score >= 65 AS is_featured, status, []::VARCHAR[] AS showtimes FROM q""")
 def lite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compact form with its labels, scores and empty lists."""
     return serving.lite(serving.enriched(_published(spark, sf_dir))).select(
