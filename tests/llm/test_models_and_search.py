@@ -210,3 +210,58 @@ def test_character_models_follow_their_definition(spark):
         assert model.ratio(w) == pytest.approx(sum(math.log(own(1, g) / own(0, g)) for g in known) + rest)
     x = model.differences(["abca d", ""])
     assert x[1] == 0 and x[0] == pytest.approx(sum(math.log1p(toxicity.SHARE * math.expm1(model.ratio(w))) for w in ("abca", "d")) / 2)
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_path):
+    """Each stage, and run() whole, against plain versions on a small corpus with copies, passages and personal data."""
+    import corpus_pipeline as pipeline
+    from test_text_operators import BPE, brute_near_copies
+    from tokenizers import Tokenizer
+
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(700)]
+
+    def prose(n):
+        return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+    passage, good = prose(40), []
+    for k in range(50):
+        text = f"{prose(60)} {passage} {prose(60)}." if k % 9 == 4 else f"{prose(150)}."
+        good.append((k, text + (f" Mail a{k}@b.example.com or call +1 555 010 9{k:03d}." if k % 10 == 3 else ""), "en", "s0", 0))
+    good += [(100 + k, good[k][1].replace(" ", "  ", 1), "en", "s1", 0) for k in range(3)]
+    bad = [(200 + k, " ".join(w.upper() + "!!" for w in prose(60).split()), "en", "s2", 0) for k in range(40)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, 1, 0) for k in range(50)] + [(200 + k, 0, 0) for k in range(40)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    at, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in pipeline.STAGES:
+        stage(spark, at, str(tmp_path)).write.parquet(str(tmp_path / name))
+        at = spark.read.parquet(str(tmp_path / name))
+        seen[name] = at.collect()
+    kept = {r.doc_id: r.text for r in seen["quality"]}
+    assert {i for i, *_ in good} <= set(kept) and not set(kept) & {i for i, *_ in bad}
+    assert sorted(r.doc_id for r in seen["near_copies"]) == brute_near_copies([(i, t) for i, t in kept.items()])
+    first: dict[bytes, int] = {}
+    texts = {r.doc_id: r.text.encode() for r in seen["near_copies"]}
+    for i in sorted(texts):
+        for s in range(len(texts[i]) - 49):
+            first.setdefault(texts[i][s : s + 50], i)
+    for r in seen["repeated_passages"]:
+        data, gone = texts[r.doc_id], set()
+        for s in range(len(data) - 49):
+            if first[data[s : s + 50]] < r.doc_id:
+                gone.update(range(s, s + 50))
+        assert r.text == bytes(b for i, b in enumerate(data) if i not in gone).decode("utf-8", "ignore") and r.n_chars == len(r.text)
+    clean = {r.doc_id: r.text for r in seen["personal_data"]}
+    assert set(clean) == set(texts) and not any("@" in t or "+1 555" in t for t in clean.values()) and sum("[EMAIL]" in t and "[PHONE]" in t for t in clean.values()) == 5
+    library = Tokenizer.from_file(BPE)
+    want = {}
+    for i, t in clean.items():
+        ids = library.encode(t, add_special_tokens=False).ids + [2]
+        head = len(ids) % 1024 or min(len(ids), 1024)
+        for p, (lo, hi) in enumerate([(0, head), *((s, s + 1024) for s in range(head, len(ids), 1024))]):
+            want[i, p] = (lo, hi - lo, zlib.crc32(np.array(ids[lo:hi], "<u4").tobytes()))
+    told = {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in seen["packing"]}
+    assert told == want
+    ran = pipeline.run(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in ran} == want
