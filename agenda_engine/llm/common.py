@@ -40,8 +40,8 @@ def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(lo, rows)
 
 
-def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
-    """mapInArrow with one batch out for each part of a batch."""
+def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, done: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow with one batch out for each part of a batch; done() ends a task."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,6 +49,8 @@ def each_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
             for part in parts(batch):
                 if (out := work(part)) is not None:
                     yield out
+        if done:
+            done()
         release()
 
     return df.mapInArrow(run, schema)

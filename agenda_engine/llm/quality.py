@@ -84,6 +84,11 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 _slots: dict[bytes, int] = {}
 
 
+def forget() -> None:
+    """Ends what this worker remembers of words."""
+    _slots.clear()
+
+
 @dataclass
 class Machine:
     """The parameters of a factorisation machine, and the calibration of its margins."""
@@ -202,7 +207,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([rows.column(0), pa.array(scores(rows.column(1).to_pylist()))], ["doc_id", "score"])
 
-    return each_batch(pick(docs, id_col, text_col), work, "doc_id long, score double")
+    return each_batch(pick(docs, id_col, text_col), work, "doc_id long, score double", forget)
 
 
 def keep(docs: DataFrame, machine: Machine, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -212,7 +217,7 @@ def keep(docs: DataFrame, machine: Machine, threshold: float = 0.3, text_col: st
     def work(rows: pa.RecordBatch) -> pa.RecordBatch:
         return rows.filter(pa.array(scores(rows.column(place).to_pylist()) >= threshold))
 
-    return each_batch(docs, work, docs.schema)
+    return each_batch(docs, work, docs.schema, forget)
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
