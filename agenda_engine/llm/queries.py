@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agenda_engine.llm import ann, bpe, packing, pii, quality, rules, simhash, suffix, tokens, toxicity
+from agenda_engine.llm import ann, bpe, clusters, lexical, packing, pii, quality, rules, secret_scan, simhash, suffix, tokens, toxicity
 
 #: The folder of the tokenizer files, or None for the installed package's own.
 TOKENIZERS: str | None = None
@@ -102,6 +102,24 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of secrets of every document, and all spans with those of what it wraps."""
+    return secret_scan.digests(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after three rounds of sixteen centroids."""
+    return clusters.assigned(table(spark, sf_dir, "embeddings")).drop("computed")
+
+
+@query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents of the highest score of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op10_nearest"] = """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
@@ -144,3 +162,50 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits::BIGINT AS fail_bits FROM b
 """
+
+
+def _centroid_sql(k: int, rounds: int) -> str:
+    """Rounds of assignment and replacement, each spelled out."""
+    far = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    steps = [f"""c0 AS MATERIALIZED (SELECT n - 1 AS c, v FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) AS n FROM v) WHERE n <= {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED (SELECT r, vec_id, v, min(t) AS t FROM (SELECT r, vec_id, v.v AS v, {{'d': {far}, 'c': c.c}} AS t FROM v, c{i} AS c) GROUP BY ALL)")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT c, i, sum(x)::BIGINT AS x, count(*) AS n FROM (SELECT t.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) GROUP BY c, i)""")
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} AS c LEFT JOIN (SELECT c, list((x - ((x % n) + n) % n) // n ORDER BY i) AS v FROM s{i} GROUP BY c) AS m ON m.c = c.c)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), {", ".join(steps)}
+SELECT vec_id, t.c::INTEGER AS cluster, t.d AS distance, (sum(t.d) OVER (PARTITION BY t.c))::BIGINT AS cluster_inertia, (sum(t.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} AS c ON c.c = t.c
+"""
+
+
+ORACLES["op12_centroids"] = _centroid_sql(16, 3)
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op13_lexical"] = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents
+), s AS (
+  SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM d WHERE len(t) > 0
+), q AS MATERIALIZED (
+  SELECT i, item_id, term, count(*) AS c FROM (SELECT i, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS i, item_id, {_TERMS} AS t FROM benchmark)) GROUP BY ALL
+), p AS MATERIALIZED (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, docs
+), m AS (
+  SELECT r, doc_id, 75 + (25 * len(t) * docs) // terms AS m FROM d, s
+), f AS (
+  SELECT i, item_id, doc_id, r, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM f WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
