@@ -37,6 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
     return _write(df, _scopes[-1])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in as many parts as there are cores, where it has fewer; costly expressions over a small file then run side by side."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _drop(spark: SparkSession, paths: list[str]) -> None:
     while paths:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())

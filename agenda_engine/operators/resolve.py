@@ -1,7 +1,7 @@
 """Entity resolution: the same happening reported by several sources becomes one row.
 
-Matching pairs come from joins on what a match must share, never from all pairs. Rows join the first cluster that holds a
-match, in order of arrival, found by rounds of joins over all matches at once.
+Rows that matching cannot tell apart are one class. Matching pairs of classes come from joins on what a match must share, never from all
+pairs. Rows join the first cluster that holds a match, in order of arrival.
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agenda_engine.functions.durable import cut, scratch
+from agenda_engine.functions.durable import cut, spread
 from agenda_engine.functions.text import fold, jaccard, without_urls, words
+from agenda_engine.operators.turns import BOUND, first_fit
 
 # Words that tell nothing, words that all posters share, and thresholds.
 STOP_WORDS = (
@@ -28,6 +29,8 @@ DESCRIPTION_CHARS, LEAST_WORD = 600, 4
 THRESHOLD, ONE_DATED, UNDATED, OTHER_VENUE, IDENTITY = 0.30, 0.62, 0.55, 0.70, 0.20
 SAME_VENUE_FLOOR, SAME_VENUE_EASE = 0.16, 0.14
 LONGEST_SPAN = 400
+#: A word that more rows have is frequent.
+COMMON = 256
 
 
 def _joined(*parts: Column) -> Column:
@@ -82,42 +85,80 @@ def matches(a: str, b: str, threshold: float = THRESHOLD) -> Column:
     )
 
 
+def _by_rarity(rows: DataFrame, list_col: str) -> DataFrame:
+    """A row for each word of a list, with the list's length n, the rows that have the word (df) and its rank in the list, the rarest first."""
+    each = rows.withColumn("n", F.size(list_col)).withColumn("word", F.explode(list_col)).drop(list_col)
+    df = each.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return each.join(df, "word").withColumn("rank", F.row_number().over(Window.partitionBy("position").orderBy("df", "word")))
+
+
+def _left_out(share: float, more: int) -> Column:
+    """How many of a list's n words come first such that `more` of those that two rows of a similarity have in common are among them."""
+    return F.col("n") - F.ceil(F.col("n") * F.lit(share) - 1e-9) + more
+
+
 def rare_words(rows: DataFrame, list_col: str, share: float) -> DataFrame:
     """The rows with a word each: those of a list that two rows of a Jaccard similarity of `share` cannot both be without.
 
     In the order of their frequency, the words beyond the first n - ceil(share n) + 1 cannot be all that such rows have in common.
     """
-    each = rows.withColumn("n", F.size(list_col)).withColumn("word", F.explode(list_col)).drop(list_col)
-    df = each.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("position").orderBy("df", "word")
-    ranked = each.join(df, "word").withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(share)) + 1).drop("n", "df", "rank")
+    return _by_rarity(rows, list_col).where(F.col("rank") <= _left_out(share, 1)).drop("n", "df", "rank")
+
+
+def rare_keys(rows: DataFrame, list_col: str, share: float, common: int = COMMON) -> DataFrame:
+    """(position, n, key): keys of which rows of a Jaccard similarity of `share` (0.5 at least) have one in common, selective where words are frequent.
+
+    Such rows of three words or more share two of their first n - ceil(share n) + 2 words by rarity. The rarer of the two is a key if at
+    most `common` rows have it; if more have it, both are frequent, and the two together are a key. Rows of up to three words have single words as keys.
+    """
+    ranked = _by_rarity(rows, list_col).where(F.col("rank") <= _left_out(share, 2))
+    one = F.col("rank") <= _left_out(share, 1)
+    short = ranked.where(F.col("n") <= 3).where(one).select("position", "n", F.concat(F.lit("1 "), "word").alias("key"))
+    rare = ranked.where((F.col("n") >= 3) & (F.col("df") <= common)).select("position", "n", F.concat(F.lit("2 "), "word").alias("key"))
+    often = ranked.where((F.col("n") >= 3) & (F.col("df") > common)).groupBy("position", "n").agg(F.array_sort(F.collect_list("word")).alias("w"))
+    twos = F.flatten(F.transform("w", lambda x, i: F.transform(F.slice("w", i + 2, F.size("w")), lambda y: F.concat_ws(" ", F.lit("3"), x, y))))
+    return short.unionByName(rare).unionByName(often.select("position", "n", F.explode(twos).alias("key")))
+
+
+def _by_span(held: DataFrame, started: DataFrame) -> DataFrame:
+    """(p, q): rows of the first table with a row of the second that has a word of theirs and begins within their span.
+
+    Both have of, word, position, k_first and k_last. Spans beyond LONGEST_SPAN days are cut to their months for the join.
+    """
+    short = F.datediff("k_last", "k_first") <= LONGEST_SPAN
+    starts = started.select("of", "word", F.col("position").alias("q"), F.col("k_first").alias("day"))
+    by_day = held.where(short).select("of", "word", F.col("position").alias("p"), F.explode(F.sequence("k_first", "k_last")).alias("day"))
+    months = F.explode(F.sequence(F.trunc("k_first", "month"), F.trunc("k_last", "month"), F.expr("interval 1 month")))
+    long = held.where(~short).select("of", "word", F.col("position").alias("p"), "k_first", "k_last", months.alias("month"))
+    by_month = long.join(starts.withColumn("month", F.trunc("day", "month")), ["of", "word", "month"]).where("p <> q and day between k_first and k_last")
+    return by_day.join(starts, ["of", "word", "day"]).where("p <> q").select("p", "q").unionByName(by_month.select("p", "q"))
 
 
 def candidates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b), a < b: pairs of positions that can match, from equi-joins only.
 
-    Dated rows meet where the start of one is a day of the other's span and both share a word: past the rules on places a
-    match needs a Jaccard of all words, or of the words of the names, above a bound, so one of the rarest words of either
-    is shared. Spans beyond LONGEST_SPAN days are cut to their months for the join. A pair with an undated row needs a
-    Jaccard of at least 0.55 and meets on its rarest words alone.
+    Dated rows meet where the start of one is a day of the other's span and both share a word that their rule needs: at two
+    venues one of the rarest words of a Jaccard of OTHER_VENUE; with names on both sides a word of the names; with a name on one side at most, one of the
+    rarest words of the least bar. A pair with an undated row needs a Jaccard of at least 0.55 and meets on its rarest words alone, two at a time
+    where these are frequent.
     """
     least = max(SAME_VENUE_FLOOR, threshold - SAME_VENUE_EASE)
     dated = rows.where("k_first is not null")
-    said = rare_words(dated.select("position", "k_first", "k_last", "k_said"), "k_said", min(least, threshold, OTHER_VENUE)).withColumn("of", F.lit("said"))
-    named = rare_words(dated.select("position", "k_first", "k_last", "k_name"), "k_name", IDENTITY).withColumn("of", F.lit("name"))
-    keys = said.unionByName(named)
-    short = F.datediff("k_last", "k_first") <= LONGEST_SPAN
-    by_day = keys.where(short).select("of", "word", F.col("position").alias("p"), F.explode(F.sequence("k_first", "k_last")).alias("day"))
-    starts = keys.select("of", "word", F.col("position").alias("q"), F.col("k_first").alias("day"))
-    spans = by_day.join(starts, ["of", "word", "day"]).where("p <> q").select("p", "q")
-    months = F.explode(F.sequence(F.trunc("k_first", "month"), F.trunc("k_last", "month"), F.expr("interval 1 month")))
-    long = keys.where(~short).select("of", "word", F.col("position").alias("p"), "k_first", "k_last", months.alias("month"))
-    long_spans = long.join(starts.withColumn("month", F.trunc("day", "month")), ["of", "word", "month"]).where("p <> q and day between k_first and k_last").select("p", "q")
-    rare = rare_words(rows.select("position", F.col("k_first").isNull().alias("undated"), "k_said"), "k_said", UNDATED)
-    left, right = rare.where("undated").select(F.col("position").alias("p"), "word"), rare.select(F.col("position").alias("q"), "word")
-    alike = left.join(right, "word").where("p <> q").select("p", "q")
-    return spans.unionByName(long_spans).unionByName(alike).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    told = ["position", "k_first", "k_last"]
+
+    def rare(table: DataFrame, share: float, of: str) -> DataFrame:
+        return rare_words(table.select(*told, "k_said"), "k_said", share).withColumn("of", F.lit(of))
+
+    names = dated.select(*told, F.explode("k_name").alias("word"), F.lit("name").alias("of"))
+    sure = names.unionByName(rare(dated.where("k_venue <> ''"), OTHER_VENUE, "venue"))
+    any_ = rare(dated, min(least, threshold), "said")
+    bare = any_.join(dated.where(F.size("k_name") == 0).select("position"), "position", "left_semi")
+    spans = _by_span(sure, sure).unionByName(_by_span(any_, bare)).unionByName(_by_span(bare, any_))
+    keys = rare_keys(rows.select("position", "k_said"), "k_said", UNDATED)
+    bare_days = rows.where("k_first is null").select("position")
+    left, right = keys.join(bare_days, "position", "left_semi").select(F.col("position").alias("p"), F.col("n").alias("m"), "key"), keys.select(F.col("position").alias("q"), "n", "key")
+    alike = left.join(right, "key").where((F.col("p") != F.col("q")) & (F.least("m", "n") >= F.greatest("m", "n") * F.lit(UNDATED * (1 - 1e-9)))).select("p", "q")
+    return spans.unionByName(alike).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
 def match_edges(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -126,33 +167,23 @@ def match_edges(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return met.where(matches("l", "r", threshold)).select("a", "b")
 
 
-def first_fit(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(position, cluster): each row joins the first cluster that holds a match of it, in order of position.
+def alike(rows: DataFrame, keys: list[str], name: str = "of") -> DataFrame:
+    """Rows with the smallest position of those that their keys do not tell apart; arrays of keys are sets."""
+    kinds = dict(rows.dtypes)
+    told = F.struct(*(F.array_sort(k) if kinds[k].startswith("array") else F.col(k) for k in keys))
+    marked = rows.withColumn("_mark", F.sha2(F.to_json(told), 256))
+    return marked.join(marked.groupBy("_mark").agg(F.min("position").alias(name)), "_mark").drop("_mark")
+
+
+def clusters(events: DataFrame, threshold: float = THRESHOLD, bound: int = BOUND) -> DataFrame:
+    """events with a cluster each, that of a row without matches being its own position.
 
-    cluster is the position of its first member; rows without a match do not appear. A row joins the first of the clusters of
-    its earlier matches, and so ends in the smallest position that steps to ever earlier matches reach. A round takes for every row the
-    smallest that it, its matches or that position have reached so far, until nothing changes.
+    Rows join the first cluster that holds a match of theirs, in order of position. Rows with equal keys are a class: candidates, matches
+    and the choice work on classes, whose rows match each other if they have a word at all.
     """
-    with scratch(edges.sparkSession) as keep:
-        met = cut(edges.select("a", "b"))
-        nodes = met.select(F.col("b").alias("position"), "a").unionByName(met.select(F.col("a").alias("position"), "a"))
-        now = cut(nodes.groupBy("position").agg(F.min("a").alias("cluster"), F.lit(True).alias("moved")))
-        for _ in range(rounds):
-            of = now.select(F.col("position").alias("at"), F.col("cluster").alias("reached"))
-            by_match = met.join(of, F.col("a") == F.col("at")).select(F.col("b").alias("position"), "reached")
-            by_place = now.join(of, F.col("cluster") == F.col("at")).select("position", "reached")
-            best = by_match.unionByName(by_place).groupBy("position").agg(F.min("reached").alias("best"))
-            least = F.least("cluster", "best")
-            now = cut(now.join(best, "position", "left").select("position", least.alias("cluster"), (least < F.col("cluster")).alias("moved")))
-            if not now.where("moved").limit(1).count():
-                return keep(now.select("position", "cluster"))
-    raise RuntimeError(f"clusters did not settle in {rounds} rounds")
-
-
-def clusters(events: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """events with a cluster each, that of a row without matches being its own position."""
-    rows = cut(keyed(events))
-    placed = first_fit(match_edges(rows, threshold))
+    rows = cut(alike(cut(spread(keyed(events))), ["k_said", "k_name", "k_venue", "k_city", "k_first", "k_last"]))
+    edges = match_edges(rows.where(F.col("position") == F.col("of")), threshold)
+    placed = first_fit(rows.where(F.size("k_said") > 0).select("position", "of"), edges, bound)
     return events.join(placed, "position", "left").withColumn("cluster", F.coalesce("cluster", "position"))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
+from agenda_engine.operators.order import ranks
 
 # Weights and dampings of the priority.
 CLASS_WEIGHT = {"ticketera": 2.0, "eventos": 1.8, "venue": 1.5, "cultura_oficial": 1.3, "municipio": 1.1, "media": 1.0}
@@ -32,12 +33,12 @@ def priority(last_success: Column, source_class: Column, tier: Column, failures:
 def plan_wave(scored: DataFrame, id_col: str = "source_id", score: str = "score", size: int = 2, groups: int = 20, alone: int = 6) -> DataFrame:
     """(source_id, rank, slot, group_no): the first sources alone, the next dealt round-robin over the other groups, the rest deferred.
 
-    The catalogue of sources is configuration, so one global ranking is small; the count comes from the same window.
+    Sources are ranked by sampled ranges, so no task sees them all; their number comes with one count.
     """
     size, groups = max(1, size), max(1, groups)
     alone = max(0, min(alone, groups))
-    order = Window.orderBy(F.col(score).desc(), F.col(id_col))
-    ranked = scored.select(id_col, score, F.row_number().over(order).alias("rank"), F.count(F.lit(1)).over(Window.partitionBy()).alias("total"))
+    ranked = ranks(scored.select(id_col, score), [F.col(score).desc(), F.col(id_col)]).withColumn("rank", F.col("rank").cast("int"))
+    ranked = ranked.withColumn("total", F.lit(scored.count()).cast("int"))
     shared = F.least(F.greatest(F.col("total") - F.least(F.col("total"), F.lit(alone)), F.lit(0)), F.lit((groups - alone) * size))
     solos = F.least(F.col("total"), F.lit(alone))
     dealt = F.greatest(F.least(F.lit(groups) - solos, F.ceil(shared / size)), F.lit(1))

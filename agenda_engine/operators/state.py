@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
-from agenda_engine.functions.durable import cut, scratch
+from agenda_engine.functions.durable import cut, spread
 from agenda_engine.functions.text import fold, jaccard, words
-from agenda_engine.operators.resolve import rare_words
+from agenda_engine.operators.resolve import alike, rare_words
+from agenda_engine.operators.turns import BOUND, greedy
 
 # Words that tell nothing here, points of a match, and limits.
 STOP_WORDS = ("de", "la", "el", "los", "las", "en", "y", "del", "con", "por", "para", "un", "una", "gran", "evento", "bolivia", "vivo", "presenta", "entrada")
 POINTS = {"day": 0.30, "venue": 0.22, "other_venue": -0.12, "city": 0.08, "category": 0.06, "url": 0.20, "words": 0.34}
 THRESHOLD, KEEP_DAYS, HISTORY_LENGTH, CAP, DESCRIPTION_CHARS = 0.62, 4, 40, 3000, 500
-#: Pairs that one task may settle in turn.
-FINISH = 100_000
+#: What the score of a row reads.
+KEYS = ["m_day", "m_city", "m_venue", "m_urls", "m_words", "category"]
 HISTORY = "array<struct<at:string,reason:string,status:string,lifecycle:string,starts_at:string,price_from:double,source_count:int,changes:array<string>>>"
 
 
@@ -104,40 +102,11 @@ def candidates(now: DataFrame, old: DataFrame, threshold: float = THRESHOLD) ->
     return out.distinct()
 
 
-def greedy(scored: DataFrame, finish: int = FINISH) -> DataFrame:
-    """(n, o): current rows in order take the best archive row that is left, the earlier one on ties.
-
-    In a round every row that is still free looks at its best archive row, and takes it if no earlier free row has a pair with
-    that one at all, since only such a row could take it first. The pairs of what is settled go, and the next round begins. At most `finish`
-    pairs that are left are settled one after the other in a single task.
-    """
-    with scratch(scored.sparkSession) as keep:
-        left, done = cut(scored.select("n", "o", "score")), None
-        while (pairs := left.count()) > finish:
-            best = left.groupBy("n").agg(F.max(F.struct("score", (-F.col("o")).alias("o"))).alias("b")).select("n", (-F.col("b.o")).alias("o"))
-            first = left.groupBy("o").agg(F.min("n").alias("n"))
-            settled = cut(best.join(first, ["n", "o"]).select("n", "o"))
-            done = settled if done is None else done.unionByName(settled)
-            left = cut(left.join(settled.select("n"), "n", "left_anti").join(settled.select("o"), "o", "left_anti").select("n", "o", "score"))
-        if pairs:
-            rest = in_turn(left)
-            done = rest if done is None else done.unionByName(rest)
-        return keep(done if done is not None else left.select("n", "o"))
-
-
-def in_turn(pairs: DataFrame) -> DataFrame:
-    """The greedy choice over few pairs, in one task."""
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        taken, settled = set(), {}
-        for n, o, _ in sorted(rows, key=lambda r: (r[0], -r[2], r[1])):
-            if n not in settled and o not in taken:
-                settled[n] = o
-                taken.add(o)
-        yield pa.record_batch([pa.array(list(settled), pa.int64()), pa.array(list(settled.values()), pa.int64())], ["n", "o"])
-
-    return pairs.select(F.col("n").cast("long"), F.col("o").cast("long"), "score").coalesce(1).mapInArrow(solve, "n long, o long")
+def class_scores(now: DataFrame, old: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, score): pairs of classes of current and archived rows that reach the threshold, each by its first row."""
+    a, b = (rows.where(F.col("position") == F.col("m_class")) for rows in (now, old))
+    met = candidates(a, b, threshold).join(a.alias("a"), F.col("n") == F.col("a.position")).join(b.alias("b"), F.col("o") == F.col("b.position"))
+    return met.select(F.col("n").alias("a"), F.col("o").alias("b"), score("a", "b").alias("score")).where(F.col("score") >= threshold)
 
 
 def changes(old: str, new: str) -> Column:
@@ -197,15 +166,14 @@ def read_snapshot(spark: SparkSession, path: str, schema, missing_ok: bool = Tru
     return spark.read.schema(schema).parquet(path)
 
 
-def reconcile(current: DataFrame, archive: DataFrame, at: str, threshold: float = THRESHOLD, keep_days: int = KEEP_DAYS, cap: int | None = CAP) -> DataFrame:
+def reconcile(current: DataFrame, archive: DataFrame, at: str, threshold: float = THRESHOLD, keep_days: int = KEEP_DAYS, cap: int | None = CAP, bound: int = BOUND) -> DataFrame:
     """The whole catalogue after a run: what was seen, with the ids and histories of what it matches, and what is carried.
 
     Both sides have a position. `at` is 'YYYY-MM-DD HH:MM:SS'; rows carry it as an ISO text.
     """
     stamp = at.replace(" ", "T")
-    now, old = cut(with_time(keyed(current), at)), cut(keyed(archive))
-    met = candidates(now, old, threshold).join(now.alias("a"), F.col("n") == F.col("a.position")).join(old.alias("b"), F.col("o") == F.col("b.position"))
-    pairs = cut(greedy(met.select("n", "o", score("a", "b").alias("score")).where(F.col("score") >= threshold)))
+    now, old = (cut(alike(cut(spread(rows)), KEYS, "m_class")) for rows in (with_time(keyed(current), at), keyed(archive)))
+    pairs = cut(greedy(now.select(F.col("position").alias("n"), F.col("m_class").alias("a")), old.select(F.col("position").alias("o"), F.col("m_class").alias("b")), class_scores(now, old, threshold), bound))
     joined = now.alias("a").join(pairs, F.col("a.position") == F.col("n"), "left").join(old.alias("b"), F.col("o") == F.col("b.position"), "left")
     made = ("position", "source_count", "event_id", "first_seen_at", "last_seen_at", "history", "lifecycle", "days_until", "is_upcoming", "seen_this_run", "changed_this_run", "history_count")
     base = [c for c in current.columns if c not in made]

@@ -199,20 +199,6 @@ def test_csv_has_a_mark_and_joined_lists(spark, tmp_path):
     assert text == "﻿title,urls,venue\nAño,a | b,\"\"\n"
 
 
-@pytest.mark.parametrize("finish", [0, 1000])
-def test_greedy_rounds_equal_the_sequence(spark, finish):
-    rng = random.Random(9)
-    pairs = {(n, o): round(rng.choice([0.62, 0.7, 0.7, 0.81, 0.93]), 2) for n in range(40) for o in rng.sample(range(30), rng.randint(0, 6))}
-    taken, want = set(), {}
-    for n in range(40):
-        free = [(s, -o) for (m, o), s in pairs.items() if m == n and o not in taken]
-        if free:
-            want[n] = -max(free)[1]
-            taken.add(want[n])
-    df = spark.createDataFrame([(n, o, s) for (n, o), s in pairs.items()], "n long, o long, score double")
-    assert {r.n: r.o for r in state.greedy(df, finish).collect()} == want
-
-
 def test_reconcile_candidates_lose_no_pair(spark):
     rows = []
     for p, title, _, said, venue, city, _, start, end in _events(random.Random(11), 50):
