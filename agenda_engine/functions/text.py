@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -109,6 +110,11 @@ def without_urls(text: Column) -> Column:
     return F.regexp_replace(text, r"https?://\S+", " ")
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """What a function makes of a value that is computed once, however often the function reads it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """The Jaccard similarity of two arrays as sets; 0 where either is empty."""
     both = F.size(F.array_intersect(a, b)).cast("double")

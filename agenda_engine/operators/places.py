@@ -2,34 +2,26 @@
 
 from __future__ import annotations
 
-import re
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.gazetteer import ADDRESS_PATTERN, CITIES, COUNTRY, DEPARTMENT_ALIASES, DEPARTMENTS, VENUE_PATTERN, VENUES
 from agenda_engine.functions.text import fold
+from agenda_engine.functions.trie import Lexicon
 
 TRIMMED = r"^[ .,;:\-]+|[ .,;:\-]+$"
 
 
-def whole_words(aliases: list[str] | tuple[str, ...]) -> str:
-    """A pattern for any of some aliases that no letter, digit or underscore touches."""
-    return r"(?U)(?<!\w)(?:" + "|".join(re.sub(r"([^\w\s])", r"\\\1", a) for a in aliases) + r")(?!\w)"
-
-
-def _first(folded: Column, found: list[tuple[str, str]]) -> Column:
-    """The value of the first alias that stands in a text; neighbours of one value are one pattern."""
-    runs: list[tuple[str, list[str]]] = []
-    for alias, value in found:
-        if runs and runs[-1][0] == value:
-            runs[-1][1].append(alias)
-        else:
-            runs.append((value, [alias]))
-    out = F.lit(None).cast("string")
-    for value, aliases in reversed(runs):
-        out = F.when(folded.rlike(whole_words(aliases)), value).otherwise(out)
-    return out
+@lru_cache(maxsize=1)
+def lexicons() -> dict[str, Lexicon]:
+    """The gazetteer as lexicons: venues and cities by the longest alias, departments and the cities of hints in the order of their lists."""
+    cities = [(a, name) for name, (aliases, _) in CITIES.items() for a in aliases]
+    return {
+        "venue": Lexicon(_longest_first([(a, name) for name, (aliases, _, _) in VENUES.items() for a in aliases])), "city": Lexicon(_longest_first(cities)), "city_hint": Lexicon(cities),
+        "department": Lexicon([(a, name) for name, aliases in DEPARTMENT_ALIASES.items() for a in aliases]),
+    }
 
 
 def _longest_first(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -38,7 +30,7 @@ def _longest_first(pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 def known_venue(folded: Column) -> Column:
     """The known venue with the longest alias in a folded text; of equals the first of the list."""
-    return _first(folded, _longest_first([(a, name) for name, (aliases, _, _) in VENUES.items() for a in aliases]))
+    return lexicons()["venue"].first(folded)
 
 
 def _looked_up(key: Column, table: dict[str, str]) -> Column:
@@ -53,15 +45,13 @@ def named_venue(text: Column) -> Column:
 
 def city(folded: Column, hint: Column) -> Column:
     """The city that a text names, longest alias first, else that of the source's hint."""
-    every = [(a, name) for name, (aliases, _) in CITIES.items() for a in aliases]
-    return F.coalesce(_first(folded, _longest_first(every)), _first(hint, every))
+    return F.coalesce(lexicons()["city"].first(folded), lexicons()["city_hint"].first(hint))
 
 
 def department(folded: Column, hint: Column) -> Column:
     """The first department that a text tells of, else the hint itself, else what the hint tells of."""
-    every = [(a, name) for name, aliases in DEPARTMENT_ALIASES.items() for a in aliases]
     own = _looked_up(hint, {_plain(d): d for d in DEPARTMENTS})
-    return F.coalesce(_first(folded, every), own, _first(hint, every))
+    return F.coalesce(lexicons()["department"].first(folded), own, lexicons()["department"].first(hint))
 
 
 def _plain(name: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.durable import cut
+from agenda_engine.functions.text import let
 
 # Event types of the structured vocabulary, keys that nest events, words that make a link worth following.
 EVENT_TYPES = (
@@ -13,6 +14,8 @@ EVENT_TYPES = (
     "comedyevent", "danceevent", "foodevent", "childrensevent", "literaryevent", "visualartsevent",
 )
 NESTING = ("@graph", "itemListElement", "item", "subEvent", "events")
+#: Steps up and in place of an address that are resolved, at most.
+DOTTED = 4
 DROPPED = ("script", "style", "noscript", "svg", "header", "footer", "nav")
 
 
@@ -21,14 +24,39 @@ def ld_blocks(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
 
 
-def flatten_events(pages: DataFrame, html: str = "html", step: int = 4) -> DataFrame:
-    """Adds event (a VARIANT), a row for each structured event with a name, however deep it is nested; blocks that are no JSON are skipped.
+def absolute(base: Column, href: Column) -> Column:
+    """An address seen from a page, as browsers resolve it; null for anything but the web."""
+    return let(F.struct(base.alias("base"), F.trim(href).alias("href")), lambda x: let(_joined(x["base"], x["href"]), _plain))
 
-    Nesting is unrolled level by level with native variant functions, `step` levels in one pass; passes over a written table
+
+def _joined(base: Column, href: Column) -> Column:
+    """The address of a page with a reference in the place that the reference's form says."""
+    root, path, page = F.regexp_extract(base, r"^(https?://[^/?#]*)", 1), F.regexp_extract(base, r"^https?://[^/?#]*([^?#]*)", 1), F.regexp_replace(base, "#.*$", "")
+    folder = F.concat(root, F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", "")))
+    return (
+        F.when(href == "", page).when(href.rlike("^(?i:https?)://"), href).when(href.startswith("//"), F.concat(F.regexp_extract(base, "^(https?:)", 1), href)).when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(href.startswith("/"), F.concat(root, href)).when(href.startswith("?"), F.concat(root, path, href)).when(href.startswith("#"), F.concat(page, href)).otherwise(F.concat(folder, href))
+    )
+
+
+def _plain(url: Column) -> Column:
+    """An address without steps up and in place, and null for an empty one."""
+    plain = url
+    for _ in range(DOTTED):
+        plain = F.regexp_replace(F.regexp_replace(plain, r"/[.](?=/|$)", ""), r"^(https?://[^/?#]+(?:/[^/?#]+)*?)/(?![.][.](?:/|$))[^/?#]+/[.][.](?=/|$)", "$1")
+    plain = F.regexp_replace(plain, r"^(https?://[^/?#]+)(?:/[.][.])+(?=/|$)", "$1")
+    return F.nullif(F.when(url.rlike(r"/[.]{1,2}(/|$)"), plain).otherwise(url), F.lit(""))
+
+
+def flatten_events(pages: DataFrame, html: str = "html", step: int = 4, blocks: str | None = None) -> DataFrame:
+    """Adds event (a VARIANT) and at (its place), a row for each structured event with a name, however deep it is nested; blocks that are no JSON are skipped.
+
+    blocks names a column of linked-data texts, where the page has been read already. Nesting is unrolled level by level with native variant functions, `step` levels in one pass; passes over a written table
     follow while any block has deeper levels.
     """
-    own = [c for c in pages.columns if c != html]
-    found = pages.select(*own, F.explode(ld_blocks(F.col(html))).alias("block")).select(*own, F.try_parse_json("block").alias("v"), F.lit(True).alias("fresh")).where("v is not null")
+    own = [c for c in pages.columns if c not in (html, blocks)]
+    texts = F.col(blocks) if blocks else ld_blocks(F.col(html))
+    found = pages.select(*own, F.posexplode(texts).alias("n", "block")).select(*own, F.array("n").alias("at"), F.try_parse_json("block").alias("v"), F.lit(True).alias("fresh")).where("v is not null")
     found = _levels(found, own, step)
     while True:
         found = cut(found.withColumn("v", F.to_json("v"))).withColumn("v", F.parse_json("v"))
@@ -37,20 +65,21 @@ def flatten_events(pages: DataFrame, html: str = "html", step: int = 4) -> DataF
         found = _levels(found, own, step)
     kind = F.coalesce(F.try_variant_get("v", "$['@type']", "array<string>"), F.array(F.try_variant_get("v", "$['@type']", "string")))
     named = F.trim(F.coalesce(F.try_variant_get("v", "$.name", "string"), F.lit(""))) != ""
-    return found.where(F.exists(kind, lambda t: F.lower(t).isin(*EVENT_TYPES)) & named).select(*own, F.col("v").alias("event"))
+    return found.where(F.exists(kind, lambda t: F.lower(t).isin(*EVENT_TYPES)) & named).select(*own, "at", F.col("v").alias("event"))
 
 
 def _levels(found: DataFrame, own: list[str], many: int) -> DataFrame:
     """Unrolls some levels of nesting."""
     for _ in range(many):
         # one step: a fresh array becomes its elements, a fresh object stays and brings what it nests, all else stays
-        elements = F.transform(F.try_variant_get("v", "$", "array<variant>"), lambda x: F.struct(x.alias("v"), F.lit(True).alias("fresh")))
+        def below(values: Column) -> Column:
+            return F.transform(values, lambda x, i: F.struct(x.alias("v"), F.lit(True).alias("fresh"), F.array_append("at", i).alias("at")))
+
         inner = F.flatten(F.array_compact(F.array(*(F.coalesce(F.try_variant_get("v", f"$['{k}']", "array<variant>"), F.array_compact(F.array(F.try_variant_get("v", f"$['{k}']", "variant")))) for k in NESTING))))
-        itself = F.array(F.struct(F.col("v").alias("v"), F.lit(False).alias("fresh")))
-        nested = F.concat(itself, F.transform(inner, lambda x: F.struct(x.alias("v"), F.lit(True).alias("fresh"))))
+        itself = F.array(F.struct(F.col("v").alias("v"), F.lit(False).alias("fresh"), F.col("at").alias("at")))
         is_array = F.startswith(F.schema_of_variant("v"), F.lit("ARRAY"))
-        step = F.when(~F.col("fresh"), itself).when(is_array, elements).otherwise(nested)
-        found = found.select(*own, F.explode(step).alias("s")).select(*own, "s.v", "s.fresh").where("v is not null")
+        step = F.when(~F.col("fresh"), itself).when(is_array, below(F.try_variant_get("v", "$", "array<variant>"))).otherwise(F.concat(itself, below(inner)))
+        found = found.select(*own, F.explode(step).alias("s")).select(*own, "s.at", "s.v", "s.fresh").where("v is not null")
     return found
 
 
@@ -71,7 +100,7 @@ def offers(v: Column) -> Column:
     return F.struct(
         F.array_min(amounts).alias("price_from"), F.array_max(amounts).alias("price_to"),
         F.get(of("$.priceCurrency", "string"), 0).alias("currency"), ((F.size(amounts) > 0) & (F.array_max(amounts) == 0)).alias("is_free"),
-        F.slice(F.array_distinct(of("$.url", "string")), 1, 8).alias("urls"),
+        F.slice(F.array_distinct(of("$.url", "string")), 1, 8).alias("urls"), of("$.url", "string").alias("every_url"),
     )
 
 
@@ -89,6 +118,24 @@ def event_columns(v: Column) -> list[Column]:
     ]
 
 
+def event_extras(v: Column) -> list[Column]:
+    """Further fields of a structured event: audience, genre, pictures, what its offers say, and its video."""
+    def many(path: str) -> Column:
+        return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array_compact(F.array(F.try_variant_get(v, path, "variant"))))
+
+    said = F.array_compact(F.flatten(F.transform(many("$.offers"), lambda o: F.array(*(F.try_variant_get(o, f"$.{k}", "string") for k in ("price", "lowPrice", "highPrice"))))))
+    said = F.array_sort(F.array_distinct(F.filter(said, lambda s: s != "")))
+    moving = F.get(many("$.video"), F.lit(0))
+    stated = [_text(moving, f"$.{k}") for k in ("embedUrl", "contentUrl", "url")]
+    return [
+        F.coalesce(_text(v, "$.audience.name"), _text(v, "$.audience[0].name"), _text(v, "$.audience")).alias("audience"), _text(v, "$.genre").alias("content_genre"),
+        F.array_compact(F.transform(many("$.image"), lambda p: F.coalesce(_text(p, "$.url"), _text(p, "$")))).alias("pictures"),
+        F.when(F.size(said) > 0, F.concat(F.lit("Bs "), F.array_join(said, " - "))).alias("price_said"),
+        F.coalesce(*stated, _text(moving, "$")).alias("moving"), F.coalesce(*stated).isNotNull().alias("framed"),
+        F.coalesce(*(_text(moving, f"$.{k}") for k in ("thumbnailUrl[0]", "thumbnailUrl", "thumbnail[0]", "thumbnail"))).alias("still"),
+    ]
+
+
 def title(html: Column) -> Column:
     """What stands in the page's title element, white space collapsed; entities stay as they are written."""
     raw = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
