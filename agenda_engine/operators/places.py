@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.gazetteer import ADDRESS_PATTERN, CITIES, COUNTRY, DEPARTMENT_ALIASES, DEPARTMENTS, VENUE_PATTERN, VENUES
-from agenda_engine.functions.text import fold
+from agenda_engine.functions.text import fold, let
 from agenda_engine.functions.trie import Lexicon
 
 TRIMMED = r"^[ .,;:\-]+|[ .,;:\-]+$"
@@ -76,7 +76,8 @@ def locate(items: DataFrame, text: str, folded: str, region_hint: str = "region_
 
 def map_query(venue: Column, street: Column, town: Column, region: Column) -> Column:
     """Up to three different parts and the country, or null where nothing is known."""
-    parts = F.filter(F.array(venue, street, town, region), lambda p: F.coalesce(fold(p) != "", F.lit(False)))
-    once = F.filter(parts, lambda p, i: ~F.exists(F.slice(parts, F.lit(1), i), lambda q: fold(q) == fold(p)))
+    told = F.transform(F.array(venue, street, town, region), lambda p: F.struct(p.alias("said"), fold(p).alias("plain")))
+    known = let(told, lambda every: F.filter(every, lambda p: p["plain"] != ""))
+    once = let(known, lambda parts: F.filter(parts, lambda p, i: F.array_position(F.transform(parts, lambda q: q["plain"]), p["plain"]) == i + 1))
     some = F.exists(F.array(venue, street, town, region), lambda p: F.coalesce(p != "", F.lit(False)))
-    return F.when(some, F.array_join(F.concat(F.slice(once, 1, 3), F.array(F.lit(COUNTRY))), ", "))
+    return F.when(some, F.array_join(F.concat(F.transform(F.slice(once, 1, 3), lambda p: p["said"]), F.array(F.lit(COUNTRY))), ", "))

@@ -36,10 +36,11 @@ def test_addresses_equal_the_standard_library(spark):
     got = spark.createDataFrame(rows, "base string, href string").select("base", "href", web.absolute(F.col("base"), F.col("href")).alias("url")).collect()
     for r in got:
         want = urljoin(r.base, r.href.strip())
-        if want.lower().startswith(("http://", "https://")) and ".." not in want and "/./" not in want:
-            clean = (r.url or "").replace("HTTPS:", "https:")
-            assert clean.rstrip("/") == want.rstrip("/") or ("otro.bo/a/../b" in r.href), (r, want)
-        elif not want.startswith("http"):
+        if "a/../b" in r.href and "://" in r.href:
+            continue  # the standard library leaves an address that is whole as it is
+        if want.lower().startswith(("http://", "https://")):
+            assert r.url.lower().rstrip("/") == want.lower().rstrip("/"), (r, want)
+        else:
             assert r.url is None
     assert spark.range(1).select(web.absolute(F.lit("https://a.bo"), F.lit(None)).alias("u")).first().u is None
 
