@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
 from agenda_engine.functions.text import fold, hits, jaccard, words
-from agenda_engine.operators import dates, events, extraction, resolve, rotation, serving, state
+from agenda_engine.operators import dates, events, extraction, feed, resolve, rotation, serving, state
 from agenda_engine.operators.facets import list_facet, value_facet
 from agenda_engine.plans.book import ORACLES, QUERIES, query
 from agenda_engine.plans.lifted import CATALOGUE, NOW, catalogue, table, timed
@@ -547,6 +547,25 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("user_id", F.size("h").alias("history_count"), F.get("h", F.lit(0)).alias("oldest"))
 
 
+@query("""WITH o AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 5 <> 0), n AS (SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 7 <> 0)
+    SELECT CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS op, coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey, n.o_totalprice, n.o_orderstatus
+    FROM n FULL JOIN o ON o.o_orderkey = n.o_orderkey WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_totalprice <> n.o_totalprice""")
+def version_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two versions of a table, with a tombstone for each row that went."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k, "o_totalprice", "o_orderstatus")
+    new = rows.where(k % 7 != 0).withColumn("o_totalprice", F.col("o_totalprice") + F.when(k % 3 == 0, 1).otherwise(0))
+    return feed.difference(rows.where(k % 5 != 0), new, "o_orderkey").withColumnRenamed(feed.OP, "op")
+
+
+@query(_SOURCES + """SELECT unnest(['never_seen', 'blocked_last_time', 'failing']) AS list, source_id, last_success, state, failures FROM h""".replace("SELECT unnest", "SELECT list, source_id FROM (SELECT unnest") + """)
+    WHERE CASE list WHEN 'never_seen' THEN last_success IS NULL WHEN 'blocked_last_time' THEN state = 'bloqueada' ELSE failures >= 3 END""")
+def rotation_unreached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that were never seen, were blocked last time, or keep failing: a row for each list and source."""
+    rows = _sources(spark, sf_dir)
+    return rotation.unreached(rows.select("source_id"), rows.select("source_id", "last_success", "state", "failures"))
+
+
 # Sinks
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +14,30 @@ facebook_event_url:string,external_links:array<string>,structured_data:string>""
 CAPTURE = f"scraped_at string, results map<string,struct<items:array<{ITEM}>,error:string>>, _corrupt_record string"
 
 
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The content of capture files in one scan, with the place of each file in the list: of a path that is given twice the last."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def named(path: Column) -> Column:
+        return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+    places = [(str(make(p).getFileSystem(conf).makeQualified(make(p)).toUri().toString()), i, p) for i, p in enumerate(paths)]
+    order = spark.createDataFrame(places, "uri string, file int, path string").groupBy(named(F.col("uri")).alias("uri")).agg(F.max(F.struct("file", "path")).alias("f")).select("uri", "f.*")
+    content = spark.read.schema(CAPTURE).option("multiLine", True).option("mode", "PERMISSIVE").json(paths)
+    return content.select(named(F.col("_metadata.file_path")).alias("uri"), "results", "_corrupt_record").join(order, "uri").drop("uri")
+
+
 def read_captures(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(source_id, items, error) of several capture files: of a source in two files the later one counts, unreadable files are left out."""
-    files = [
-        spark.read.schema(CAPTURE).option("multiLine", True).option("mode", "PERMISSIVE").json(p).select(F.lit(i).alias("file"), "results") for i, p in enumerate(paths)
-    ]
-    every = reduce(DataFrame.unionByName, files)
-    named = every.where("results is not null").select("file", F.explode("results").alias("source_id", "r"))
+    """(source_id, items, error) of several capture files: of a source in two files the later one counts, unreadable files are left out (see rejected)."""
+    named_ = _read(spark, paths).where("results is not null").select("file", F.explode("results").alias("source_id", "r"))
     last = Window.partitionBy("source_id").orderBy(F.col("file").desc())
-    return named.withColumn("n", F.row_number().over(last)).where("n = 1").select("source_id", "r.items", "r.error")
+    return named_.withColumn("n", F.row_number().over(last)).where("n = 1").select("source_id", "r.items", "r.error")
+
+
+def rejected(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, path) of the capture files that hold no results that can be read."""
+    return _read(spark, paths).groupBy("file", "path").agg(F.bool_or(F.col("results").isNotNull()).alias("read")).where("not read").select("file", "path")
 
 
 def items(captures: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ import time
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agenda_engine.operators.order import ranks
+
 
 def _files(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and a maker of its paths."""
@@ -48,6 +50,15 @@ def current_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(spark.read.schema("version string").json(f"{base}/names/{max(_numbers(spark, base)):09d}").first()["version"])
 
 
+def versions(spark: SparkSession, folder: str) -> dict[int, str]:
+    """The place of every version that a folder names, by its number."""
+    base = folder.rstrip("/")
+    if not _numbers(spark, base):
+        return {}
+    named = spark.read.schema("version string").json(f"{base}/names/*").select(F.regexp_extract("_metadata.file_path", "/names/([0-9]+)/", 1).cast("int").alias("n"), "version")
+    return {r.n: r.version for r in named.collect()}
+
+
 def has_snapshot(spark: SparkSession, folder: str) -> bool:
     """Whether a folder names any version."""
     return bool(_numbers(spark, folder.rstrip("/")))
@@ -79,6 +90,55 @@ def write_csv(events: DataFrame, columns: list[str], folder: str) -> None:
     named.write.option("header", True).option("quoteAll", False).mode("overwrite").csv(folder)
 
 
+def write_joined(path: str, pieces: list[str | DataFrame], spark: SparkSession) -> None:
+    """Writes one file of texts and tables, in order, on any file system that Spark knows.
+
+    A table has a column `line` and a `rank` that orders it; it is written in parallel, in ranges of its rank, and its parts are then
+    copied into the file as streams of bytes, so no row comes to the driver. The file appears under its name when it is whole.
+    """
+    files, make = _files(spark, path)
+    jvm, draft = spark.sparkContext._jvm, f"{path}.{uuid.uuid4().hex}"
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = files.create(make(f"{draft}/whole"))
+    for i, piece in enumerate(pieces):
+        if isinstance(piece, str):
+            out.write(bytearray(piece.encode()))
+            continue
+        piece.repartitionByRange(many, "rank").sortWithinPartitions("rank").select("line").write.text(f"{draft}/{i}")
+        for part in sorted(s.getPath().toString() for s in files.listStatus(make(f"{draft}/{i}")) if s.getPath().getName().startswith("part-")):
+            held = files.open(make(part))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(held, out, 1 << 16, False)
+            held.close()
+    out.close()
+    files.delete(make(path), True)
+    moved = files.rename(make(f"{draft}/whole"), make(path))
+    files.delete(make(draft), True)
+    if not moved:
+        raise RuntimeError(f"{path} could not be written")
+
+
+def write_csv_file(events: DataFrame, columns: list[str], order: list[str | Column], path: str) -> None:
+    """Writes the rows as one CSV file in an order, with a header and one byte order mark before it."""
+    ranked = ranks(events, order)
+    lines = csv_rows(ranked.select("rank", *columns), ["rank", *columns]).select(F.col("rank").cast("long"), F.to_csv(F.struct(*columns), {"emptyValue": ""}).alias("line"))
+    write_joined(path, ["\ufeff" + ",".join(columns) + "\n", lines], events.sparkSession)
+
+
+def write_payload(path: str, document: dict, spark: SparkSession) -> None:
+    """Writes one JSON document; a value that is a (table, order) becomes a list of its rows in that order, other values are small and written as they are."""
+    pieces: list[str | DataFrame] = []
+    for i, (name, value) in enumerate(document.items()):
+        pieces.append(("{\n" if not i else ",\n") + json.dumps(name, ensure_ascii=False) + ": ")
+        if isinstance(value, tuple):
+            rows, order = value
+            ranked = ranks(rows, order)
+            told = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+            pieces += ["[\n", ranked.select("rank", F.concat(F.when(F.col("rank") == 1, "").otherwise(","), told).alias("line")), "]"]
+        else:
+            pieces.append(json.dumps(value, ensure_ascii=False, indent=2))
+    write_joined(path, [*pieces, "\n}\n" if document else "{}\n"], spark)
+
+
 def write_lines(events: DataFrame, folder: str) -> None:
     """Writes rows as JSON lines, in parallel."""
     events.write.mode("overwrite").json(folder)
