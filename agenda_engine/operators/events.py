@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
 from agenda_engine.functions.durable import cut
+from agenda_engine.functions.free_dates import free_moment
 from agenda_engine.functions.text import compatible, fold
 from agenda_engine.operators import dates, extraction, places
 from agenda_engine.operators.resolve import video
@@ -40,19 +41,16 @@ def whole(items: DataFrame) -> DataFrame:
 
 
 def published(said: Column, now: Column) -> Column:
-    """When an item was published, as a wall-clock moment: 'hace 2 h', 'ayer', 'hoy', ISO forms, and days with an English month; null for anything else."""
+    """When an item was published, as a wall-clock moment: 'hace 2 h', 'ayer', 'hoy', ISO forms, and free forms in English or Spanish; null where nothing dates."""
     plain, form = fold(said), r"\bhace\s+(\d+)\s*(min|minuto|h|hora|d|dia)"
     count, unit = F.regexp_extract(plain, form, 1).try_cast("int"), F.regexp_extract(plain, form, 2)
     minutes = count * F.when(unit == "min", 1).when(unit == "h", 60).otherwise(1440)
     zero = F.lit("yyyy-MM-dd HH:mm:ss")
     ago = F.to_timestamp_ntz(F.date_format(F.timestamp_add("MINUTE", -minutes, now.cast("timestamp")), "yyyy-MM-dd HH:mm:ss"), zero)
     yesterday = now - F.expr("interval 1 day")
-    worded = F.coalesce(
-        *(F.try_to_date(F.regexp_replace(F.trim(said), r"^[A-Za-z]+,\s*", ""), f) for f in ("d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
-    )
     return (
         F.when(plain == "", F.lit(None)).when(unit != "", ago).when(plain.contains("ayer"), yesterday).when(plain.contains("hoy"), now)
-        .otherwise(F.coalesce(clock.local_moment(said, OFFSET_MINUTES), worded.cast("timestamp_ntz")))
+        .otherwise(F.coalesce(clock.local_moment(said, OFFSET_MINUTES), free_moment(said, now, OFFSET_MINUTES)))
     )
 
 

@@ -20,6 +20,8 @@ def _cases(column: str, values: list, key: str) -> Column:
         out = F.when(F.col(key) % len(values) == i, F.lit(v)).otherwise(out)
     return out.alias(column)
 
+ENGLISH_MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+
 
 def _sql_cases(values: list, key: str) -> str:
     told = " ".join(f"WHEN {i} THEN " + ("NULL" if v is None else "'" + v.replace("'", "''") + "'") for i, v in enumerate(values))
@@ -81,6 +83,21 @@ def publication_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(k, events.published(said, clock.moment(NOW)).alias("published"))
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 7 THEN NULL ELSE o_orderdate::DATE + CASE o_orderkey % 8 WHEN 0 THEN INTERVAL 15 HOUR + INTERVAL 30 MINUTE WHEN 1 THEN INTERVAL 21 HOUR + INTERVAL 5 MINUTE
+    WHEN 3 THEN INTERVAL 8 HOUR + INTERVAL 45 MINUTE WHEN 6 THEN INTERVAL 20 HOUR ELSE INTERVAL 0 HOUR END END AS published FROM orders""")
+def free_publication_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publication times in free forms, English and Spanish, written from dates and read back."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    spanish, english = (F.element_at(F.array(*map(F.lit, names)), F.month(day)) for names in (clock.MONTHS, ENGLISH_MONTHS))
+    said = [
+        F.date_format(day, "EEE, d MMM yyyy '19:30:00 GMT'"), F.concat(F.lit("Posted on "), english, F.lit(" "), F.dayofmonth(day), F.lit("th, "), F.year(day), F.lit(" at 9:05 PM")), F.date_format(day, "MM/dd/yyyy"),
+        F.concat(F.lit("Publicado el "), F.dayofmonth(day), F.lit(" de "), spanish, F.lit(" de "), F.year(day), F.lit(", 08:45")), F.date_format(day, "dd.MM.yyyy"), F.concat(F.dayofmonth(day), F.lit(" "), F.upper(F.substring(english, 1, 3)), F.lit(". "), F.year(day)),
+        F.concat(spanish, F.lit(" "), F.dayofmonth(day), F.lit(", "), F.year(day), F.lit(" a las 8 pm")), F.lit("en algún momento"),
+    ]
+    text = F.coalesce(*(F.when(k % 8 == i, s) for i, s in enumerate(said)))
+    return table(spark, sf_dir, "orders").select(k, events.published(text, clock.moment(NOW)).alias("published"))
+
+
 @query("SELECT c_custkey, 'Año ' || c_custkey || chr(10) || 'fin ½ 1⁄2 ... TM A' AS text FROM customer".replace("½ ", ""))
 def compatible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts in compatibility form: letters and marks composed, look-alikes to what they stand for, lines kept."""
