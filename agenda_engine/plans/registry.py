@@ -370,9 +370,9 @@ _WORDS = "list_distinct(list_filter(string_split(regexp_replace(strip_accents(lo
     FROM t a JOIN t b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey) SELECT a, b, round(i / (x + y - i), 6) AS similarity FROM j WHERE i > 0 AND i / (x + y - i) >= 0.5""")
 def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similar part names within a brand."""
-    t = table(spark, sf_dir, "part").select("p_partkey", "p_brand", words(fold(F.col("p_name")), 3).alias("w"))
-    each = t.select("p_partkey", "p_brand", "w", F.explode("w").alias("word"))
-    a, b = each.alias("a"), each.alias("b")
+    t = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("position"), "p_brand", words(fold(F.col("p_name")), 3).alias("w"))
+    rare = resolve.rare_words(t, "w", 0.5).join(t.select("position", "w"), "position")  # one of the rarest words is shared
+    a, b = rare.withColumnRenamed("position", "p_partkey").alias("a"), rare.withColumnRenamed("position", "p_partkey").alias("b")
     met = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.p_partkey") < F.col("b.p_partkey")))
     pairs = met.select(F.col("a.p_partkey").alias("a"), F.col("b.p_partkey").alias("b"), F.col("a.w").alias("x"), F.col("b.w").alias("y")).dropDuplicates(["a", "b"])
     return pairs.select("a", "b", jaccard(F.col("x"), F.col("y")).alias("s")).where("s >= 0.5").select("a", "b", F.round("s", 6).alias("similarity"))
@@ -381,11 +381,12 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CATALOGUE + """, s AS (SELECT event_id, department, city, starts::DATE AS first, coalesce(ends::DATE, starts::DATE) AS last FROM cat)
     SELECT department, count(*) AS pairs FROM (SELECT a.department FROM s a JOIN s b ON a.department = b.department AND a.city = b.city AND a.event_id <> b.event_id AND b.first BETWEEN a.first AND a.last) GROUP BY department""")
 def day_span_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that start within another's span in the same place, counted; spans are exploded to days for an equi-join."""
-    rows = catalogue(spark, sf_dir).select("event_id", "department", "city", F.to_date("starts").alias("first"), F.coalesce(F.to_date("ends"), F.to_date("starts")).alias("last"))
-    held = rows.select(F.col("event_id").alias("a"), "department", "city", F.explode(F.sequence("first", "last")).alias("day"))
-    met = held.join(rows.select(F.col("event_id").alias("b"), "department", "city", F.col("first").alias("day")), ["department", "city", "day"]).where("a <> b")
-    return met.groupBy("department").agg(F.count(F.lit(1)).alias("pairs"))
+    """Events that start within another's span in the same place, counted: on each day, those that are on times those that start, but for each with itself."""
+    rows = catalogue(spark, sf_dir).select("department", "city", F.to_date("starts").alias("first"), F.coalesce(F.to_date("ends"), F.to_date("starts")).alias("last")).where("first <= last")
+    held = rows.select("department", "city", F.explode(F.sequence("first", "last")).alias("day")).groupBy("department", "city", "day").agg(F.count(F.lit(1)).alias("held"))
+    begun = rows.groupBy("department", "city", F.col("first").alias("day")).agg(F.count(F.lit(1)).alias("begun"))
+    met = held.join(begun, ["department", "city", "day"])
+    return met.groupBy("department").agg(F.sum((F.col("held") - 1) * F.col("begun")).alias("pairs")).where("pairs > 0")
 
 
 POSTS = """

@@ -30,10 +30,15 @@ def write_snapshot(events: DataFrame, folder: str, version: str | None = None) -
     version = f"{base}/{version or f'v{time.time_ns()}'}"
     if not files.exists(make(f"{version}/_SUCCESS")):
         events.write.mode("overwrite").parquet(version)
-    number = max([0, *_numbers(spark, base)]) + 1
+    number, claimed = max([0, *_numbers(spark, base)]) + 1, 0
     draft = f"{base}/.names-{uuid.uuid4().hex}"
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.json(draft)
     files.mkdirs(make(f"{base}/names"))
+    # a number is claimed by a file that only one writer can create; a rename onto a folder that exists would nest inside it on some file systems
+    while not files.createNewFile(make(f"{base}/claims/{number:09d}")):
+        if number in _numbers(spark, base) or claimed >= 3:
+            raise RuntimeError("another writer named a version at the same time")
+        number, claimed = number + 1, claimed + 1  # left by a writer that was lost before it named anything
     if not files.rename(make(draft), make(f"{base}/names/{number:09d}")):
         raise RuntimeError("another writer named a version at the same time")
     return version
