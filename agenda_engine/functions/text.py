@@ -61,6 +61,49 @@ def _composed() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), several
 
 
+@lru_cache(maxsize=1)
+def _marking() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """What characters decompose into, the class of each combining mark, and what two characters compose to; syllables of Hangul stay."""
+    apart, classes, pairs = {}, {}, {}
+    for point in range(0x80, sys.maxunicode + 1):
+        char = chr(point)
+        if 0xAC00 <= point <= 0xD7A3 or 0xD800 <= point <= 0xDFFF:
+            continue
+        if (same := unicodedata.normalize("NFKD", char)) != char:
+            apart[char] = same
+        if of := unicodedata.combining(char):
+            classes[char] = str(of)
+        two = unicodedata.decomposition(char).split()
+        if len(two) == 2 and not two[0].startswith("<") and unicodedata.normalize("NFC", char) == char:
+            pairs["".join(chr(int(c, 16)) for c in two)] = char
+    return apart, classes, pairs
+
+
+def _composed_run(run: Column) -> Column:
+    """A letter with any marks in canonical order, composed two by two: a mark joins its letter unless one of its own class or a higher one stands between."""
+    apart, classes, pairs = map(_looked_up, _marking())
+    chars = F.flatten(F.transform(F.split(run, ""), lambda c: F.split(F.coalesce(F.try_element_at(apart, c), c), "")))
+    told = F.transform(chars, lambda c, i: F.struct(i.alias("i"), c.alias("c"), F.coalesce(F.try_element_at(classes, c).cast("int"), F.lit(0)).alias("k")))
+
+    def ordered(all_: Column) -> Column:
+        # marks change places within the stretch that no character of class 0 interrupts
+        return F.array_sort(F.transform(all_, lambda x: F.struct(F.size(F.filter(all_, lambda y: (y["k"] == 0) & (y["i"] <= x["i"]))).alias("part"), x["k"].alias("k"), x["i"].alias("i"), x["c"].alias("c"))))
+
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("letter"), F.lit("").alias("tail"), F.lit(0).alias("last"))
+
+    def step(acc: Column, x: Column) -> Column:
+        both = F.try_element_at(pairs, F.concat(acc["letter"], x["c"]))
+        joins = both.isNotNull() & ((acc["tail"] == "") | (acc["last"] < x["k"]))
+
+        def state(out: Column, letter: Column, tail: Column, last: Column) -> Column:
+            return F.struct(out.alias("out"), letter.alias("letter"), tail.alias("tail"), last.alias("last"))
+
+        fresh = state(F.concat(acc["out"], acc["letter"], acc["tail"]), x["c"], F.lit(""), F.lit(0))
+        return F.when(joins, state(acc["out"], both, acc["tail"], acc["last"])).when(x["k"] == 0, fresh).otherwise(state(acc["out"], acc["letter"], F.concat(acc["tail"], x["c"]), x["k"]))
+
+    return F.reduce(let(told, ordered), start, step, lambda acc: F.concat(acc["out"], acc["letter"], acc["tail"]))
+
+
 def _any_of(characters: list[str]) -> str:
     """A character class, written as ranges."""
     points, ranges = sorted(map(ord, characters)), []
@@ -90,12 +133,12 @@ def fold(text: Column) -> Column:
 def compatible(text: Column) -> Column:
     """Compatibility characters to what they stand for, letters and their marks composed, runs of blanks and tabs to one blank, trimmed; lines stay. Null is empty.
 
-    Several marks on one letter stay where no single character has them all.
+    Equal to the standard compatibility composition, but for blanks and for syllables of Hangul that are written in letters.
     """
     source, target, several = _composed()
     plain = F.translate(F.coalesce(text, F.lit("")), source, target)
     table = _looked_up(several)
-    whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0)), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0)), lambda c: F.coalesce(F.try_element_at(table, c), F.when(c.rlike(r"\p{M}"), _composed_run(c)), c)), "")
     plain = F.when(plain.rlike(_any_of([k for k in several if len(k) == 1]) + r"|\p{M}"), whole).otherwise(plain)
     return F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), r"(?U)^\s+|\s+$", "")
 
