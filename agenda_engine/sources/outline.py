@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from agenda_engine.functions.durable import spread
 from agenda_engine.functions.shipping import ship
 from agenda_engine.functions.text import let
 
@@ -111,7 +112,7 @@ def outlined(pages: DataFrame, html: str = "html") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), made], [*kept, "outline"])
 
     told = ", ".join([*(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept), OUTLINE])
-    return pages.select(*kept, html).mapInArrow(run, told)
+    return spread(pages.select(*kept, html)).mapInArrow(run, told)
 
 
 # Reading an outline
