@@ -1,12 +1,21 @@
 """Personal data, and terms that give it away, with DataFrame functions only.
 
-Base kinds are matched by patterns and checks. Around them works information-theoretic sanitisation: for a
-protected value v and a term t, the corpus gives how many documents hold v (k), hold t (m) and hold
+Base kinds are matched by patterns and checks. Around them works information-theoretic sanitisation. A protected entity v
+is a value, or what values have in common: the domain of an address, a network, the first digits of a card or a number.
+For v and a term t, the corpus gives how many documents hold v (k), hold t outside of base values (m) and hold
 both (j) among N. t discloses v to the degree PMI(v; t) / IC(v) = ln(jN / km) / ln(N / k): 1 if t is
-seen with v alone, 0 if they are independent. Terms that reach the threshold, and whose j is no chance, become
-spans of kind "term" wherever they stand in a document that holds v; sanitising removes base values for the name of their kind and generalises such terms. Chance is
-bounded by Chernoff: j or more of independent v and t have a probability of at most exp(j - e + j ln(e / j)) with e = km / N. A
-value of a single document can thus disclose too, in a corpus that is large enough to tell.
+seen with v alone, 0 if they are independent. A term becomes a span of kind "term" wherever it
+stands in a document that holds v if
+
+* the degree reaches the threshold,
+* j is no chance: j or more of independent v and t have a probability of at most exp(j - e + j ln(e / j)) with e = km / N
+  (Chernoff), and the expected number of such pairs by chance, over all pairs of the corpus, stays within DOUBT;
+* unlike documents say so: copies of one text, with few changes or none, are one witness. A document's witness is one of 64 bits, from the
+  smallest hash of its terms, which near copies mostly share; at least two bits, and half of what j unlike documents set, have to be there;
+* or, in place of the last two, the term is spelled out in the address (ana.ruiz@... and Ruiz).
+
+Sanitising removes base values for the name of their kind and generalises such terms. A term is a word of four letters, or a capitalised
+one of two.
 
 The patterns run as they are defined, leftmost and non-overlapping, but written so that a long run is tried
 once: runs are possessive, and a match may only start where a run starts or where the match before ended.
@@ -44,9 +53,16 @@ CHECKS = {
     "phone": "length(translate(s.value, '+ ().-', '')) between 9 and 15",
 }
 KINDS = tuple(PATTERNS)
-TERM = "\\p{L}{4,}"
-#: Least share of a value's information; largest probability of chance.
-THRESHOLD, DOUBT = 0.8, 0.01
+TERM = "\\p{L}{4,}|(?<!\\p{L})\\p{Lu}\\p{L}{1,2}(?!\\p{L})"
+#: Least share of an entity's information; largest expected number of pairs by chance in a corpus; bits of witnesses.
+THRESHOLD, DOUBT, WITNESSES = 0.8, 0.05, 64
+#: What the values of a kind have in common with others.
+COMMON = {
+    "email": "concat('@', lower(substring_index(s.value, '@', -1)))",
+    "ip": "concat(substring_index(s.value, '.', 3), '.')",
+    "card": "concat('card ', substr(translate(s.value, ' -', ''), 1, 6))",
+    "phone": "concat('+', substr(translate(s.value, '+ ().-', ''), 1, 6))",
+}
 #: Elements that an array grows by at once, at least.
 BLOCK = 256
 SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -150,12 +166,16 @@ def _words(text: Column) -> Column:
 def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """(doc_id, text_hash, terms): the spans of disclosing terms of each document that has any.
 
-    Counts cover all documents, with map-side combine. A pair of a value and a term of its document is formed only if m
-    lets it reach the threshold: j is at most k, so m is at most N (k / N) ** threshold.
+    Counts cover all documents, with map-side combine; witnesses are bits, so a hot entity combines as well. A pair of an entity and a term
+    of its document is formed only if m lets it reach the threshold: j is at most k, so m is at most N (k / N) ** threshold.
     """
     key = ["doc_id", "text_hash"]
-    held = rows.where(" or ".join(f"size({k}) > 0" for k in KINDS))
-    every = F.array_distinct(F.concat(*(F.transform(k, lambda s: s["value"]) for k in KINDS)))
+    held = rows.where(" or ".join(f"size({k}) > 0" for k in KINDS)).withColumn("blanked", _blanked(F.col("text")))
+    before, after = _words(F.col("text")), _words(F.col("blanked"))  # blanks may part a word from what a value took of it, which makes words of its own
+    held = cut(held.select(*key, *KINDS, "blanked", F.array_except(before, after).alias("lost"), F.array_except(after, before).alias("won")))
+    exact = (F.expr(f"transform({k}, s -> s.value)") for k in KINDS)
+    common = (F.expr(f"transform({k}, s -> {COMMON[k]})") for k in KINDS)
+    every = F.array_distinct(F.concat(*exact, *common))
     values = cut(held.select(*key, F.explode(every).alias("value")).groupBy(*key, "value").agg(F.count(F.lit(1)).alias("rows")))
     k = cut(values.groupBy("value").agg(F.sum("rows").alias("k")))
     total, most = rows.count(), k.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]
@@ -163,19 +183,25 @@ def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresho
     def bound(k: Column) -> Column:
         return F.lit(total * (1 + 1e-9)) * F.pow(k / F.lit(float(max(total, 1))), F.lit(threshold))
 
-    m = docs.select(F.explode(_words(docs[text_col])).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") <= bound(F.lit(most)))
-    terms = held.withColumn("blanked", _blanked(F.col("text"))).select(*key, F.explode(_words(F.col("blanked"))).alias("term"))
-    terms = terms.join(m, "term").dropDuplicates([*key, "term"]).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    seen = docs.select(F.explode(_words(docs[text_col])).alias("term"), F.lit(1).alias("n"))
+    lost, won = (held.select(F.explode(c).alias("term"), F.lit(n).alias("n")) for c, n in (("lost", -1), ("won", 1)))
+    m = seen.unionAll(lost).unionAll(won).groupBy("term").agg(F.sum("n").alias("m")).where((F.col("m") > 0) & (F.col("m") <= bound(F.lit(most))))
+    said = held.select(*key, _words(F.col("blanked")).alias("words")).dropDuplicates(key)
+    witness = F.expr(f"shiftleft(1L, int(pmod(array_min(transform(words, w -> xxhash64(w))), {WITNESSES})))")
+    terms = said.select(*key, witness.alias("witness"), F.explode("words").alias("term")).join(m, "term").withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text"))
     told = values.join(k, "value").where(F.lit(total) > F.col("k"))
-    pairs = cut(told.join(terms, same & (F.col("m") <= bound(F.col("k")))).select(*key, "rows", "value", "k", "term", "m"))
-    joint = pairs.groupBy("value", "term").agg(F.sum("rows").alias("j"), F.max("k").alias("k"), F.max("m").alias("m"))
-    degree = F.log(F.col("j") * F.lit(float(total)) / (F.col("k") * F.col("m"))) / F.log(F.lit(float(total)) / F.col("k"))
-    chance = F.col("k") * F.col("m") / F.lit(float(total))
-    unlikely = F.col("j") * (1 + F.log(chance / F.col("j"))) - chance <= math.log(doubt)
-    flagged = joint.where((degree >= threshold) & (F.col("j") > chance) & unlikely).select("value", "term")
+    pairs = cut(told.join(terms, same & (F.col("m") <= bound(F.col("k")))).select(*key, "rows", "value", "k", "term", "m", "witness"))
+    joint = pairs.groupBy("value", "term").agg(F.sum("rows").alias("j"), F.max("k").alias("k"), F.max("m").alias("m"), F.bit_count(F.bit_or("witness")).alias("witnesses"))
+    j, n = F.col("j"), F.lit(float(total))
+    degree = F.log(j * n / (F.col("k") * F.col("m"))) / F.log(n / F.col("k"))
+    chance = F.col("k") * F.col("m") / n
+    unlikely = j * (1 + F.log(chance / j)) - chance <= math.log(doubt / max(1, pairs.count()))
+    unlike = F.col("witnesses") >= F.greatest(F.lit(2.0), F.lit(WITNESSES / 2) * (1 - F.pow(F.lit(1 - 1 / WITNESSES), j)))
+    spelled = F.expr("position('@', value) > 1 and array_contains(split(lower(substring_index(value, '@', 1)), '[^\\\\p{L}]+'), term)")
+    flagged = joint.where((degree >= threshold) & (spelled | (j > chance) & unlikely & unlike)).select("value", "term")
     hits = pairs.join(flagged, ["value", "term"]).groupBy(*key).agg(F.collect_set("term").alias("flagged")).withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
-    found = held.join(hits, same).withColumn("blanked", _blanked(F.col("text")))
+    found = held.join(hits, same)
     found = found.select(*key, spans(F.col("blanked"), TERM, lambda value: F.array_contains("flagged", F.lower(value))).alias("all"))
     return found.select(*key, F.transform("all", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("terms")).dropDuplicates(key)
 

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -296,46 +297,95 @@ def test_personal_data_equals_patterns(spark, odd):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.base_sha256) for r in got.collect()) == want
 
 
-def test_disclosing_terms_are_found_and_generalised(spark):
-    rows = [(k, f"filler{k} text number{k} then Quixoteman wrote boss@corp.example.com about thing{k}", "l", "w", k) for k in range(6)] + [(50 + k, f"common words and thing{k} about other filler{k}", "l", "w", k) for k in range(30)]
-    rows.append((99, None, None, None, None))
-    docs = spark.createDataFrame(rows, SCHEMA)
-    found = {r.doc_id: r for r in pii.find(docs).collect()}
-    n, value, holds = len(rows), "boss@corp.example.com", [set(re.findall(r"[^\W\d_]{4,}", (r[1] or "").lower())) for r in rows]
-    k = sum(value in (r[1] or "") for r in rows)
-
-    def degree(term):
-        j, m = sum(term in h and value in (r[1] or "") for h, r in zip(holds, rows, strict=True)), sum(term in h for h in holds)
-        return math.log(j * n / (k * m)) / math.log(n / k)
-
-    want = [t for t in re.findall(r"[^\W\d_]{4,}", rows[0][1].replace(value, "")) if degree(t.lower()) >= pii.THRESHOLD]
-    assert [rows[0][1][s.start : s.end] for s in found[0].terms] == want == ["text", "number", "then", "Quixoteman", "wrote"]
-    assert found[55].terms == []
-    clean = {r.doc_id: r for r in pii.sanitise(docs).collect()}
-    assert clean[2].text == "filler2 [TERM] [TERM]2 [TERM] [TERM] [TERM] [EMAIL] about thing2" and clean[2].piece == 2
-    assert clean[99].text is None and clean[60].text == rows[16][1]
-
-
-def test_a_value_of_one_document_is_disclosed(spark):
+def _disclosed(spark, rows):
+    """What pii.disclosing is to find, pair by pair: for each row the terms as text."""
+    term = re.compile(r"[^\W\d_]{4,}|(?<![^\W\d_])[A-ZÑ][^\W\d_]{1,2}(?![^\W\d_])")
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, SCHEMA)).collect()}
+    docs = []
+    for i, t, *_ in rows:
+        text, every = t or "", set()
+        for kind in pii.KINDS:
+            for s in found[i][kind]:
+                v, digits = s.value, re.sub(r"\D", "", s.value)
+                every |= {v, {"email": "@" + v.split("@")[-1].lower(), "ip": ".".join(v.split(".")[:3]) + ".", "card": "card " + digits[:6], "phone": "+" + digits[:6]}[kind]}
+                text = text[: s.start] + " " * len(v) + text[s.end :]
+        docs.append((i, text, every, {w.lower() for w in term.findall(text)}))
+    n, k, m, j = len(rows), Counter(), Counter(), {}
+    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in {w for d in docs for w in d[3]}], "w string").selectExpr("w", "xxhash64(w) as h").collect()}
+    for _, _, every, words in docs:
+        k.update(every)
+        m.update(words)
+        for v in every:
+            for w in words:
+                j.setdefault((v, w), []).append(min(hashes[x] for x in words) % 64)
+    close = {vw: x for vw, x in j.items() if m[vw[1]] <= n * (1 + 1e-9) * (k[vw[0]] / n) ** pii.THRESHOLD and k[vw[0]] < n}
+    tested, flagged = sum(map(len, close.values())), set()
+    for (v, w), x in close.items():
+        e, c = k[v] * m[w] / n, len(x)
+        degree = math.log(c * n / (k[v] * m[w])) / math.log(n / k[v])
+        unlikely = c > e and c * (1 + math.log(e / c)) - e <= math.log(pii.DOUBT / tested)
+        unlike = len(set(x)) >= max(2, 32 * (1 - (63 / 64) ** c))
+        spelled = v.find("@") > 0 and w in re.split(r"[\W\d_]+", v.split("@")[0].lower())
+        if degree >= pii.THRESHOLD and (spelled or unlikely and unlike):
+            flagged.add((v, w))
+    want = {i: [x for x in term.findall(text) if any((v, x.lower()) in flagged for v in every)] for i, text, every, _ in docs}
+    text = {i: t or "" for i, t, *_ in rows}
+    assert {i: [text[i][s.start : s.end] for s in r.terms] for i, r in found.items()} == want
+    return want
+
+
+def _babble(seed, size=40, many=4000):
+    """A text of words that other texts use too, the lower numbers more often."""
+    rng = random.Random(seed)
+    return " ".join("w" + "".join(chr(97 + int(c)) for c in f"{int(many * rng.random() ** 3):05d}") for _ in range(size))
+
+
+def test_identities_are_found_over_unlike_documents(spark):
+    """Of the documents of an identity all are caught, by name, by a short name and by a nickname; of other words hardly any."""
+    rows = [(k, _babble(k), None, None, None) for k in range(600)]
+    for who, (name, value) in enumerate([("Quixoteman Ng", "boss@corp.example.com"), ("Zurbriggen Al", "+44 20 7946 0958"), ("Ostrovskaya Wu", "10.77.3.9")]):
+        for k in range(who * 50, who * 50 + 5):
+            rows[k] = (k, f"{_babble(k)} {name} {_babble(k + 7000, 9)} {value} {_babble(k + 9000, 9)}", None, None, None)
+    for k in range(200, 230):  # values of one document tell nothing
+        rows[k] = (k, f"{_babble(k)} once{k}@mail{k}.example.org", None, None, None)
+    rows.append((999, None, None, None, None))
+    want = _disclosed(spark, rows)
+    for who, name in enumerate(["Quixoteman Ng", "Zurbriggen Al", "Ostrovskaya Wu"]):
+        assert all(set(name.split()) <= set(want[k]) for k in range(who * 50, who * 50 + 5))
+    names, words = {"Quixoteman", "Ng", "Zurbriggen", "Al", "Ostrovskaya", "Wu"}, sum(len((t or "").split()) for i, t, *_ in rows if want[i] or 200 <= i < 230)
+    assert sum(t not in names for w in want.values() for t in w) < 0.01 * words
+
+
+def test_an_organisation_is_found_over_the_addresses_of_its_domain(spark):
+    rows = [(k, _babble(k), None, None, None) for k in range(600)]
+    for k in range(6):
+        rows[k] = (k, f"{_babble(k)} person{k}@acme.example.net {_babble(k + 9000, 9)} Acmeworks", None, None, None)
+    want = _disclosed(spark, rows)
+    assert all("Acmeworks" in want[k] for k in range(6))
+
+
+def test_copies_are_one_witness(spark):
+    """A text that is copied, with a word changed or none, does not disclose its own rare words."""
+    said = f"{_babble(1, 60)} Quixoteman wrote {_babble(2, 60)} rare@corp.example.com"
+    rows = [(k, _babble(100 + k), None, None, None) for k in range(500)]
+    for k in range(40):
+        words = said.split()
+        if k % 2:
+            words[(k * 7) % 100] = f"changed{'abcdefghij'[k % 10]}"
+        rows[k] = (k, " ".join(words), None, None, None)
+    want = _disclosed(spark, rows)
+    assert not any(want.values())
+
+
+def test_a_name_that_the_address_spells_is_found_in_one_document(spark):
     rows = [(k, f"common words and thing about other filler {k}", None, None, None) for k in range(400)]
-    rows[7] = (7, "common words Quixoteman wrote rare@corp.example.com about other", None, None, None)
-    found = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.terms] for r in pii.find(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert found[7] == ["Quixoteman", "wrote"]
-    assert not any(v for k, v in found.items() if k != 7)
-    few = spark.createDataFrame(rows[:20], SCHEMA)  # too few documents to tell
-    assert not any(r.terms for r in pii.find(few).collect())
-
-
-def test_disclosing_terms_are_found_throughout_the_document(spark):
-    rows = [(k, f"common words and thing about other filler {k}", None, None, None) for k in range(400)]
-    rows[7] = (7, "QuixotemaN ñ 10.0.0.1 " + "common words about " * 20 + "rare@corp.example.com+44 20 7946 0958 " + "about other thing " * 20 + "quixoteman", None, None, None)
-    text, docs = rows[7][1], spark.createDataFrame([*rows, rows[7]], SCHEMA)
-    found = [r for r in pii.find(docs).collect() if r.doc_id == 7]
-    assert len(found) == 2
-    for r in found:
-        assert [text[s.start : s.end] for s in r.terms] == ["QuixotemaN", "quixoteman"]
-    clean = [r.text for r in pii.sanitise(docs).collect() if r.doc_id == 7]
-    assert len(clean) == 2 and all(t.startswith("[TERM] ñ [IP] common") and t.endswith("thing [TERM]") and "[EMAIL][PHONE]" in t for t in clean)
+    rows[7] = (7, "Ana Zurbriggen ñ 10.0.0.1 " + "common words about " * 20 + "ana.zurbriggen@x.example.org+44 20 7946 0958 " + "about other thing " * 20 + "zurbriggeN", None, None, None)
+    want = _disclosed(spark, rows)
+    assert want.pop(7) == ["Ana", "Zurbriggen", "zurbriggeN"] and not any(want.values())
+    text, docs = rows[7][1], spark.createDataFrame([*rows, (999, None, "l", "w", 5)], SCHEMA)
+    clean = {r.doc_id: r for r in pii.sanitise(docs).collect()}
+    assert clean[7].text.startswith("[TERM] [TERM] ñ [IP] common") and clean[7].text.endswith("thing [TERM]") and "[EMAIL][PHONE]" in clean[7].text
+    assert clean[999].text is None and clean[999].piece == 5 and clean[60].text == rows[60][1] and len(text) > 0
 
 
 def test_packed_ids_are_the_documents(odd):
