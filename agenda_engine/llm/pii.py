@@ -163,6 +163,12 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def _witness(words: Column) -> Column:
+    """One of the bits of a long, from the smallest hash of some words; null without words."""
+    place = F.pmod(F.array_min(F.transform(words, lambda w: F.xxhash64(w))), F.lit(WITNESSES)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
 def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """(doc_id, text_hash, terms): the spans of disclosing terms of each document that has any.
 
@@ -171,8 +177,9 @@ def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresho
     """
     key = ["doc_id", "text_hash"]
     held = rows.where(" or ".join(f"size({k}) > 0" for k in KINDS)).withColumn("blanked", _blanked(F.col("text")))
-    before, after = _words(F.col("text")), _words(F.col("blanked"))  # blanks may part a word from what a value took of it, which makes words of its own
-    held = cut(held.select(*key, *KINDS, "blanked", F.array_except(before, after).alias("lost"), F.array_except(after, before).alias("won")))
+    # blanks may part a word from what a value took of it, which makes words of its own
+    told = bound(F.struct(_words(F.col("text")).alias("before"), _words(F.col("blanked")).alias("after")), lambda w: F.struct(F.array_except(w["before"], w["after"]).alias("lost"), F.array_except(w["after"], w["before"]).alias("won"), _witness(w["after"]).alias("witness")))
+    held = cut(held.select(*key, *KINDS, "blanked", told.alias("told")).select(*key, *KINDS, "blanked", "told.*"))
     exact = (F.expr(f"transform({k}, s -> s.value)") for k in KINDS)
     common = (F.expr(f"transform({k}, s -> {COMMON[k]})") for k in KINDS)
     every = F.array_distinct(F.concat(*exact, *common))
@@ -180,18 +187,17 @@ def disclosing(docs: DataFrame, rows: DataFrame, text_col: str = "text", thresho
     k = cut(values.groupBy("value").agg(F.sum("rows").alias("k")))
     total, most = rows.count(), k.agg(F.coalesce(F.max("k"), F.lit(0))).first()[0]
 
-    def bound(k: Column) -> Column:
+    def frequent(k: Column) -> Column:
         return F.lit(total * (1 + 1e-9)) * F.pow(k / F.lit(float(max(total, 1))), F.lit(threshold))
 
     seen = docs.select(F.explode(_words(docs[text_col])).alias("term"), F.lit(1).alias("n"))
     lost, won = (held.select(F.explode(c).alias("term"), F.lit(n).alias("n")) for c, n in (("lost", -1), ("won", 1)))
-    m = seen.unionAll(lost).unionAll(won).groupBy("term").agg(F.sum("n").alias("m")).where((F.col("m") > 0) & (F.col("m") <= bound(F.lit(most))))
-    said = held.select(*key, _words(F.col("blanked")).alias("words")).dropDuplicates(key)
-    witness = F.expr(f"shiftleft(1L, int(pmod(array_min(transform(words, w -> xxhash64(w))), {WITNESSES})))")
-    terms = said.select(*key, witness.alias("witness"), F.explode("words").alias("term")).join(m, "term").withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
+    m = seen.unionAll(lost).unionAll(won).groupBy("term").agg(F.sum("n").alias("m")).where((F.col("m") > 0) & (F.col("m") <= frequent(F.lit(most))))
+    said = held.select(*key, "witness", "blanked").dropDuplicates(key)
+    terms = said.select(*key, "witness", F.explode(_words(F.col("blanked"))).alias("term")).join(m, "term").withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text"})
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text"))
-    told = values.join(k, "value").where(F.lit(total) > F.col("k"))
-    pairs = cut(told.join(terms, same & (F.col("m") <= bound(F.col("k")))).select(*key, "rows", "value", "k", "term", "m", "witness"))
+    entities = values.join(k, "value").where(F.lit(total) > F.col("k"))
+    pairs = cut(entities.join(terms, same & (F.col("m") <= frequent(F.col("k")))).select(*key, "rows", "value", "k", "term", "m", "witness"))
     joint = pairs.groupBy("value", "term").agg(F.sum("rows").alias("j"), F.max("k").alias("k"), F.max("m").alias("m"), F.bit_count(F.bit_or("witness")).alias("witnesses"))
     j, n = F.col("j"), F.lit(float(total))
     degree = F.log(j * n / (F.col("k") * F.col("m"))) / F.log(n / F.col("k"))

@@ -401,7 +401,7 @@ def test_no_python_in_the_native_plan(odd):
 def test_queries_read_whole_tables(spark):
     from agenda_engine.llm.queries import QUERIES
 
-    assert [n for n in QUERIES if n.startswith("op")] and len(QUERIES) == 10
+    assert [n for n in QUERIES if n.startswith("op")] and len(QUERIES) == 13
 
 
 def test_many_matches_in_one_text_cost_about_their_number(spark):
