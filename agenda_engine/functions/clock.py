@@ -102,4 +102,5 @@ def display_date(starts: Column, ends: Column, multi_day: Column, all_day: Colum
 def hours_since(seen: Column, now: Column) -> Column:
     """Hours from a moment to now, at least 0; a large fixed number where there is none."""
     micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(seen.cast("timestamp"))
-    return F.coalesce(F.greatest(F.lit(0.0), micros / F.lit(3.6e9)), F.lit(NEVER_SEEN_HOURS))
+    # greatest() passes over nulls, so a missing moment is told apart before it
+    return F.when(micros.isNull(), NEVER_SEEN_HOURS).otherwise(F.greatest(F.lit(0.0), micros / F.lit(3.6e9)))

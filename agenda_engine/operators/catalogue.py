@@ -37,17 +37,29 @@ def merged(rows: DataFrame, threshold: float = resolve.THRESHOLD) -> DataFrame:
     return met.select(*kept, *shown)
 
 
-def build(items: DataFrame, archive: DataFrame | None, at: str, threshold: float = resolve.THRESHOLD, keep_days: int = state.KEEP_DAYS, cap: int | None = state.CAP) -> DataFrame:
+def build(
+    items: DataFrame, archive: DataFrame | None, at: str, threshold: float = resolve.THRESHOLD, keep_days: int = state.KEEP_DAYS, cap: int | None = state.CAP, archive_threshold: float = state.THRESHOLD,
+) -> DataFrame:
     """The served catalogue after a run over captured items (with a position each); archive: the last catalogue, None for the first run.
 
     Of events with one id the last counts, at the place of the first.
     """
-    scraped = at.replace(" ", "T") + "-04:00"
-    made = events.construct(items, scraped, at)
+    return settled(events.construct(items, stamped(at), at), archive, at, threshold, keep_days, cap, archive_threshold)
+
+
+def stamped(at: str) -> str:
+    """A run's moment as the catalogue tells it."""
+    return at.replace(" ", "T") + "-04:00"
+
+
+def settled(
+    made: DataFrame, archive: DataFrame | None, at: str, threshold: float = resolve.THRESHOLD, keep_days: int = state.KEEP_DAYS, cap: int | None = state.CAP, archive_threshold: float = state.THRESHOLD,
+) -> DataFrame:
+    """build() from events that are made already."""
     own = [c for c in made.columns if c not in ("id", "position")]
     once = events.last_wins(made, ["id"], "position", own).withColumnRenamed("first_pos", "position")
     current = cut(merged(cut(once), threshold))
     if archive is None:
         kinds = f"event_id string, first_seen_at string, last_seen_at string, history {state.HISTORY}"
-        archive = items.sparkSession.createDataFrame([], ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema), kinds]))
-    return serving.enriched(state.reconcile(current, archive, at, keep_days=keep_days, cap=cap))
+        archive = made.sparkSession.createDataFrame([], ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in current.schema), kinds]))
+    return serving.enriched(state.reconcile(current, archive, at, archive_threshold, keep_days=keep_days, cap=cap))

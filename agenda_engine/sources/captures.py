@@ -30,6 +30,8 @@ def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_captures(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(source_id, items, error) of several capture files: of a source in two files the later one counts, unreadable files are left out (see rejected)."""
+    if not paths:
+        return spark.createDataFrame([], f"source_id string, items array<{ITEM}>, error string")
     named_ = _read(spark, paths).where("results is not null").select("file", F.explode("results").alias("source_id", "r"))
     last = Window.partitionBy("source_id").orderBy(F.col("file").desc())
     return named_.withColumn("n", F.row_number().over(last)).where("n = 1").select("source_id", "r.items", "r.error")
@@ -45,18 +47,22 @@ def items(captures: DataFrame) -> DataFrame:
     return captures.select("source_id", F.posexplode("items").alias("item_no", "item")).select(F.col("source_id").alias("captured_from"), "item_no", "item.*")
 
 
-def read_sources(spark: SparkSession, path: str) -> DataFrame:
-    """The catalogue of sources from a YAML or JSON file: configuration, so it is small and read on the driver."""
+def read_config(spark: SparkSession, path: str) -> dict:
+    """The document of settings and sources, a YAML or JSON file: configuration, so it is small and read on the driver."""
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
     if path.endswith(".json"):
-        content = json.loads(text)
-    else:
-        import yaml
+        return json.loads(text)
+    import yaml
+
+    return yaml.safe_load(text) or {}
 
-        content = yaml.safe_load(text)
+
+def read_sources(spark: SparkSession, path: str) -> DataFrame:
+    """The catalogue of sources from a YAML or JSON file, with the place of each in it."""
     columns = "id string, name string, type string, source_class string, tier int, url string, region string, city string, icon_url string, parser string, max_items int, max_salas int, follow_links boolean"
     names = [c.split()[0] for c in columns.split(", ")]
-    return spark.createDataFrame([tuple(s.get(n) for n in names) for s in content.get("sources", [])], columns)
+    listed = read_config(spark, path).get("sources") or []
+    return spark.createDataFrame([(*(s.get(n) for n in names), i) for i, s in enumerate(listed)], columns + ", place int")
 
 
 def source_status(error: Column) -> Column:

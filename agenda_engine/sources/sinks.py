@@ -70,17 +70,18 @@ def has_snapshot(spark: SparkSession, folder: str) -> bool:
 
 
 def write_rotation(rotation: DataFrame, at: str, path: str) -> None:
-    """Writes the rotation as one JSON document, keys sorted: configuration of sources, so it is small."""
+    """Writes the rotation as one JSON document, keys sorted, on any file system that Spark knows; its rows are written in parallel."""
     names = {
         "bloqueos": "blocks", "exitos": "successes", "fallos_seguidos": "failures", "ultimo_bloqueo": "last_block", "ultimo_error": "last_error", "ultimo_estado": "state",
         "ultimo_exito": "last_success", "ultimo_intento": "last_try",
     }
-    rows = rotation.orderBy("source_id").collect()
-
-    def told(value: object) -> object:
-        return f"{value.isoformat(timespec='seconds')}-04:00" if hasattr(value, "isoformat") else value
-
-    write_document({"actualizado": at, "fuentes": {r["source_id"]: {k: told(r[c]) for k, c in names.items()} for r in rows}}, path)
+    moments = {f.name for f in rotation.schema if f.dataType.typeName().startswith("timestamp")}
+    told = {k: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-04:00")) if c in moments else F.col(c) for k, c in names.items()}
+    ranked = ranks(rotation, [F.col("source_id")])
+    key = F.to_json(F.array("source_id"))
+    entry = F.concat(F.when(F.col("rank") == 1, "").otherwise(","), F.substr(key, F.lit(2), F.length(key) - 2), F.lit(": "), F.to_json(F.struct(*(c.alias(k) for k, c in told.items())), {"ignoreNullFields": "false"}))
+    head = f'{{\n"actualizado": {json.dumps(at)},\n"fuentes": {{\n'
+    write_joined(path, [head, ranked.select("rank", entry.alias("line")), "}\n}\n"], rotation.sparkSession)
 
 
 def csv_rows(events: DataFrame, columns: list[str]) -> DataFrame:
@@ -129,19 +130,31 @@ def write_csv_file(events: DataFrame, columns: list[str], order: list[str | Colu
     write_joined(path, ["\ufeff" + ",".join(columns) + "\n", lines], events.sparkSession)
 
 
+def _pieces(value: object) -> list[str | DataFrame]:
+    """The parts of a document in order: texts, and tables of lines."""
+    if isinstance(value, dict) and value:
+        out: list[str | DataFrame] = []
+        for i, (name, held) in enumerate(value.items()):
+            out += [("{\n" if not i else ",\n") + json.dumps(name, ensure_ascii=False) + ": ", *_pieces(held)]
+        return [*out, "\n}"]
+    if not isinstance(value, tuple):
+        return [json.dumps(value, ensure_ascii=False, indent=2)]
+    rows, order = value
+    ranked = rows if order is None else ranks(rows, order)
+    least = ranked.agg(F.min("rank")).first()[0]
+    told = [c for c in rows.columns if c != "rank" or order is not None]
+    alone = F.to_json(F.array("value")) if told == ["value"] else None
+    said = F.to_json(F.struct(*told), {"ignoreNullFields": "false"}) if alone is None else F.substr(alone, F.lit(2), F.length(alone) - 2)
+    return ["[\n", ranked.select("rank", F.concat(F.when(F.col("rank") == least, "").otherwise(","), said).alias("line")), "]"]
+
+
 def write_payload(path: str, document: dict, spark: SparkSession) -> None:
-    """Writes one JSON document; a value that is a (table, order) becomes a list of its rows in that order, other values are small and written as they are."""
-    pieces: list[str | DataFrame] = []
-    for i, (name, value) in enumerate(document.items()):
-        pieces.append(("{\n" if not i else ",\n") + json.dumps(name, ensure_ascii=False) + ": ")
-        if isinstance(value, tuple):
-            rows, order = value
-            ranked = ranks(rows, order)
-            told = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-            pieces += ["[\n", ranked.select("rank", F.concat(F.when(F.col("rank") == 1, "").otherwise(","), told).alias("line")), "]"]
-        else:
-            pieces.append(json.dumps(value, ensure_ascii=False, indent=2))
-    write_joined(path, [*pieces, "\n}\n" if document else "{}\n"], spark)
+    """Writes one JSON document; other values than tables are small and written as they are.
+
+    A (table, order) at any depth becomes a list of its rows in that order, or of its values where `value` is its only column; (table, None) is
+    a table that has its own `rank`, without ties, which is not told.
+    """
+    write_joined(path, [*_pieces(document), "\n"], spark)
 
 
 def write_lines(events: DataFrame, folder: str) -> None:

@@ -96,6 +96,16 @@ def test_rotation_deals_every_source_in_turn(spark):
     assert rotation.wave_matrix(rotation.plan_wave(rows.limit(3))).first().matrix == '{"include":[{"nombre":"g01","orden":0,"fuentes":"s00"},{"nombre":"g02","orden":1,"fuentes":"s01"},{"nombre":"g03","orden":2,"fuentes":"s02"}]}'
 
 
+def test_what_was_never_seen_goes_first_and_what_was_never_tried_is_forgotten(spark):
+    at, seen = "2026-08-14 10:00:00", dt.datetime(2026, 8, 1, 10)
+    rows = spark.createDataFrame([("never", None), ("long", seen), ("ahead", dt.datetime(2026, 8, 20))], "source_id string, last_success timestamp_ntz")
+    hours = {r.source_id: r.h for r in rows.select("source_id", clock.hours_since(F.col("last_success"), clock.moment(at)).alias("h")).collect()}
+    assert hours == {"never": clock.NEVER_SEEN_HOURS, "long": 312.0, "ahead": 0.0}
+    known = "source_id string, last_try timestamp_ntz, last_success timestamp_ntz, state string, failures int, blocks int, last_block timestamp_ntz, successes int, last_error string"
+    kept = rotation.update(spark.createDataFrame([("a", seen, *(None,) * 7), ("b", *(None,) * 8)], known), spark.createDataFrame([], "source_id string, n_items int, error string"), at)
+    assert [r.source_id for r in kept.collect()] == ["a"]
+
+
 def test_quality_score_is_a_hundred_when_all_is_there(spark):
     full = {"starts_at": "x", "has_image": True, "has_video": True, "venue": "v", "city": "c", "is_free": True, "price_from": 1.0, "ticket_urls": ["u"], "source_tier": 1, "corroborated": True, "organizer": "o", "showtimes": ["s"], "occurrences": ["x"], "formats": ["f"], "address": "a", "location_query": "q"}
     assert spark.createDataFrame([full]).select(serving.quality_score().alias("q")).first().q == 100
