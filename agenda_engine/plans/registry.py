@@ -584,4 +584,4 @@ def csv_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.csv_rows(rows, ["order_id", "kinds", "status"])
 
 
-from agenda_engine.plans import reading  # noqa: E402, F401 -- registers its queries in the same book
+from agenda_engine.plans import page_sql, reading  # noqa: E402, F401 -- they register their queries in the same book
