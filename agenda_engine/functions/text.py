@@ -12,6 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Ranges of characters under one test, and parts of a table of characters.
+GUARDED, DEALT = 12, 512
+
+
 @lru_cache(maxsize=1)
 def _folding() -> tuple[str, str, str]:
     """translate() arguments that decompose: characters with a one-character base, their bases, and combining marks."""
@@ -82,8 +86,8 @@ def _marking() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
 def _composed_run(run: Column) -> Column:
     """A letter with any marks in canonical order, composed two by two: a mark joins its letter unless one of its own class or a higher one stands between."""
     apart, classes, pairs = map(_looked_up, _marking())
-    chars = F.flatten(F.transform(F.split(run, ""), lambda c: F.split(F.coalesce(F.try_element_at(apart, c), c), "")))
-    told = F.transform(chars, lambda c, i: F.struct(i.alias("i"), c.alias("c"), F.coalesce(F.try_element_at(classes, c).cast("int"), F.lit(0)).alias("k")))
+    chars = F.flatten(F.transform(F.split(run, ""), lambda c: F.split(F.coalesce(apart(c), c), "")))
+    told = F.transform(chars, lambda c, i: F.struct(i.alias("i"), c.alias("c"), F.coalesce(classes(c).cast("int"), F.lit(0)).alias("k")))
 
     def ordered(all_: Column) -> Column:
         # marks change places within the stretch that no character of class 0 interrupts
@@ -92,7 +96,7 @@ def _composed_run(run: Column) -> Column:
     start = F.struct(F.lit("").alias("out"), F.lit("").alias("letter"), F.lit("").alias("tail"), F.lit(0).alias("last"))
 
     def step(acc: Column, x: Column) -> Column:
-        both = F.try_element_at(pairs, F.concat(acc["letter"], x["c"]))
+        both = pairs(F.concat(acc["letter"], x["c"]))
         joins = both.isNotNull() & ((acc["tail"] == "") | (acc["last"] < x["k"]))
 
         def state(out: Column, letter: Column, tail: Column, last: Column) -> Column:
@@ -105,18 +109,31 @@ def _composed_run(run: Column) -> Column:
 
 
 def _any_of(characters: list[str]) -> str:
-    """A character class, written as ranges."""
+    """A character class, written as ranges under spans that hold GUARDED of them; what is in no span, as ASCII is, costs one test and not one for each range."""
     points, ranges = sorted(map(ord, characters)), []
     for p in points:
         if ranges and p == ranges[-1][1] + 1:
             ranges[-1][1] = p
         else:
             ranges.append([p, p])
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+    def told(a: int, b: int) -> str:
+        return f"\\x{{{a:x}}}-\\x{{{b:x}}}"
+
+    def span(parts: list[list[int]], held: str) -> str:
+        return f"[{told(parts[0][0], parts[-1][1])}&&[{held}]]"
+
+    groups = [ranges[i : i + GUARDED] for i in range(0, len(ranges), GUARDED)]
+    return span(ranges, "".join(span(g, "".join(told(*r) for r in g)) for g in groups))
 
 
-def _looked_up(table: dict[str, str]) -> Column:
-    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+def _looked_up(table: dict[str, str]) -> Callable[[Column], Column]:
+    """What a table has for a text, or null. The table is dealt by the first character, as a map is searched from its beginning."""
+    dealt: list[dict[str, str]] = [{} for _ in range(DEALT)]
+    for k, v in table.items():
+        dealt[ord(k[0]) % DEALT][k] = v
+    maps = F.from_json(F.lit(json.dumps(dealt)), "array<map<string,string>>")
+    return lambda c: F.try_element_at(F.get(maps, F.ascii(c) % DEALT), c)
 
 
 def fold(text: Column) -> Column:
@@ -125,7 +142,7 @@ def fold(text: Column) -> Column:
     spelled = _spelled()
     plain = F.translate(F.coalesce(text, F.lit("")), source + marks, target)
     table = _looked_up(spelled)
-    apart = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    apart = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(table(c), c)), "")
     plain = F.lower(F.when(plain.rlike(_any_of(list(spelled))), apart).otherwise(plain))
     return F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))
 
@@ -138,7 +155,7 @@ def compatible(text: Column) -> Column:
     source, target, several = _composed()
     plain = F.translate(F.coalesce(text, F.lit("")), source, target)
     table = _looked_up(several)
-    whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0)), lambda c: F.coalesce(F.try_element_at(table, c), F.when(c.rlike(r"\p{M}"), _composed_run(c)), c)), "")
+    whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0)), lambda c: F.coalesce(table(c), F.when(c.rlike(r"\p{M}"), _composed_run(c)), c)), "")
     plain = F.when(plain.rlike(_any_of([k for k in several if len(k) == 1]) + r"|\p{M}"), whole).otherwise(plain)
     return F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), r"(?U)^\s+|\s+$", "")
 
