@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
+from agenda_engine.functions.durable import dealt
 from agenda_engine.functions.text import compatible, fold
 from agenda_engine.operators import catalogue as whole
 from agenda_engine.operators import events, places, posts, resolve, serving
@@ -50,7 +51,7 @@ _FOUND = {
 def places_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Venue, city, department, address and map query of announcements."""
     k = F.col("c_custkey")
-    said = table(spark, sf_dir, "customer").select(k, _cases("text", _SAID, "c_custkey"), F.when(k % 7 == 3, "Tarija").alias("region_hint"), F.when(k % 7 == 3, "Yacuiba").alias("city_hint"))
+    said = dealt(table(spark, sf_dir, "customer").select(k)).select(k, _cases("text", _SAID, "c_custkey"), F.when(k % 7 == 3, "Tarija").alias("region_hint"), F.when(k % 7 == 3, "Yacuiba").alias("city_hint"))
     found = places.locate(said.withColumn("plain", fold(F.col("text"))), "text", "plain")
     return found.select("c_custkey", "venue", "city", "department", "address", places.map_query(*(F.col(c) for c in ("venue", "address", "city", "department"))).alias("location_query"))
 
@@ -68,7 +69,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     own = F.when(k % 3 == 0, F.concat(F.lit("  Título propio "), k))
     text = F.when(k % 3 == 2, "¡hey!\n# # #").otherwise(F.concat(F.lit("***\n♪ Banda "), k, F.lit(" en vivo, hoy ♪\nmás")))
-    return table(spark, sf_dir, "customer").select(k, events.title(own, text, F.lit("feria"), F.lit("Sábado 1 de agosto · 20:00")).alias("title"))
+    return dealt(table(spark, sf_dir, "customer").select(k)).select(k, events.title(own, text, F.lit("feria"), F.lit("Sábado 1 de agosto · 20:00")).alias("title"))
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN TIMESTAMP '1997-06-14 10:00:00' - (c_custkey % 50) * INTERVAL 1 MINUTE WHEN 1 THEN TIMESTAMP '1997-06-14 10:00:00' - (c_custkey % 20) * INTERVAL 1 HOUR
@@ -80,7 +81,7 @@ def publication_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 6 == 0, F.concat(F.lit("Hace "), k % 50, F.lit(" min"))).when(k % 6 == 1, F.concat(F.lit("hace "), k % 20, F.lit(" h"))).when(k % 6 == 2, "Ayer a las 19:30")
         .when(k % 6 == 3, "hoy").when(k % 6 == 4, "1997-06-01T19:30:00+00:00").otherwise("quién sabe")
     )
-    return table(spark, sf_dir, "customer").select(k, events.published(said, clock.moment(NOW)).alias("published"))
+    return dealt(table(spark, sf_dir, "customer").select(k)).select(k, events.published(said, clock.moment(NOW)).alias("published"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 7 THEN NULL ELSE o_orderdate::DATE + CASE o_orderkey % 8 WHEN 0 THEN INTERVAL 15 HOUR + INTERVAL 30 MINUTE WHEN 1 THEN INTERVAL 21 HOUR + INTERVAL 5 MINUTE
@@ -95,14 +96,14 @@ def free_publication_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(spanish, F.lit(" "), F.dayofmonth(day), F.lit(", "), F.year(day), F.lit(" a las 8 pm")), F.lit("en algún momento"),
     ]
     text = F.coalesce(*(F.when(k % 8 == i, s) for i, s in enumerate(said)))
-    return table(spark, sf_dir, "orders").select(k, events.published(text, clock.moment(NOW)).alias("published"))
+    return dealt(table(spark, sf_dir, "orders").select(k, day)).select(k, events.published(text, clock.moment(NOW)).alias("published"))
 
 
 @query("SELECT c_custkey, 'Año ' || c_custkey || chr(10) || 'fin ½ 1⁄2 ... TM A' AS text FROM customer".replace("½ ", ""))
 def compatible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts in compatibility form: letters and marks composed, look-alikes to what they stand for, lines kept."""
     text = F.concat(F.lit(" Año \t "), F.col("c_custkey"), F.lit("\nﬁn ½ … ™ Ａ "))
-    return table(spark, sf_dir, "customer").select("c_custkey", compatible(text).alias("text"))
+    return dealt(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", compatible(text).alias("text"))
 
 
 @query("""SELECT c_custkey, 'Gran noche ' || c_custkey || chr(10) || 'Te esperamos' AS text, c_custkey % 2 = 0 AS hint, CASE WHEN c_custkey % 3 = 0 THEN 'https://x.bo/a.jpg' END AS image, c_custkey % 4 = 0 AS relevant FROM customer""")
@@ -111,7 +112,7 @@ def post_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     parts = F.array(F.lit("Me gusta"), F.concat(F.lit("Gran   noche "), k), F.lit("12K"), F.lit("Mi Fuente"), F.lit("Te esperamos"), F.lit("te esperamos."), F.lit(" · "), F.lit("Ver más"))
     link = F.when(k % 3 == 0, " https://x.bo/a.jpg").when(k % 3 == 1, "https://x.bo/emoji.php?x").otherwise("data:x")
-    return table(spark, sf_dir, "customer").select(
+    return dealt(table(spark, sf_dir, "customer").select(k)).select(
         k, posts.without_noise(parts, F.lit(" mi fuente ")).alias("text"), posts.hints_at_event(F.when(k % 2 == 0, "Súper CONCIERTOS").otherwise("nada")).alias("hint"), posts.image(link).alias("image"),
         F.lower(F.when(k % 4 == 0, "Las Actividades").otherwise("nada")).rlike(posts.any_of(pages.RELEVANT)).alias("relevant"),
     )
