@@ -193,3 +193,25 @@ def first_distinct(values: Column, limit: int | None = None) -> Column:
 def hits(folded: Column, patterns: list[str]) -> Column:
     """How many of some patterns occur."""
     return sum((folded.rlike(p).cast("int") for p in patterns), F.lit(0))
+def ascii_bounds(pattern: str) -> str:
+    """A pattern whose boundaries of words are those of ASCII letters, digits and the underscore, as in SQL engines; Java takes all letters for letters of words."""
+    return pattern.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))")
+
+
+def _plain_choice(pattern: str) -> bool:
+    """Whether a pattern has no choice outside of brackets."""
+    depth = 0
+    for c in re.sub(r"\\.|\[[^\]]*\]", "", pattern):
+        depth += (c == "(") - (c == ")")
+        if c == "|" and depth == 0:
+            return False
+    return True
+
+
+def any_hit(patterns: list[str]) -> str:
+    """One pattern that occurs where any of some does; those that begin at a boundary of words are tried at such only."""
+    bound = [p for p in patterns if p.startswith(r"\b") and _plain_choice(p)]
+    rest = [f"(?:{p})" for p in patterns if p not in bound]
+    return "|".join(([r"\b(?:" + "|".join(p[2:] for p in bound) + ")"] if bound else []) + rest)
+
+

@@ -33,3 +33,36 @@ def test_tables_of_characters_are_dealt(spark):
     rows = spark.createDataFrame([(f"x{c}y",) for c in chars], "t string").select("t", text.compatible(F.col("t")).alias("c")).collect()
     told = {r.t: r.c for r in rows}
     assert [t for t, c in told.items() if c != unicodedata.normalize("NFKC", t)] == []
+
+
+def test_boundaries_of_words_as_sql_has_them(spark, tmp_path):
+    """A letter that is not of ASCII ended no word: 'ßund' has a boundary before 'und' in SQL."""
+    import duckdb
+
+    from agenda_engine.plans.registry import ORACLES
+
+    texts = ["xßund y", "auf und ab", "pørque que", "queß", "theł", "ment", "momentœ", "lesз", "日the本", "la la", "la dede", "ctionø tion", "", "the_ und", "ðthe"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    told = {r.doc_id: r.hits for r in QUERIES["pattern_hits"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert told == dict(con.execute(ORACLES["pattern_hits"]).fetchall())
+
+
+def test_pairs_are_made_from_classes(spark, tmp_path):
+    """Parts of one name are one class: no more than classes meet, and every pair comes out once, over blocks too."""
+    from agenda_engine.operators import resolve
+
+    members = spark.createDataFrame([(c, c * 100 + k, n) for c, n in ((1, 7), (2, 5), (3, 1)) for k in range(n)], "class long, p_partkey long, n long")
+    pairs = spark.createDataFrame([(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (1, 2, 0.5)], "c long, d long, s double")
+    got = [(r.a, r.b, r.s) for r in resolve.expanded(members, pairs, block=2).collect()]
+    one, two = [100 + k for k in range(7)], [200 + k for k in range(5)]
+    want = [(a, b, 1.0) for g in (one, two) for a in g for b in g if a < b] + [(a, b, 0.5) for a in one for b in two]
+    assert sorted(got) == sorted(want)
+    plan = QUERIES["jaccard_pairs"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan
+
+
+def test_a_span_costs_two_rows(spark):
+    """Days of a span are not laid out."""
+    assert "sequence(" not in QUERIES["day_span_join"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
