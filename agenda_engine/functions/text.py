@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Callable
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Ranges of characters under one test, and parts of a table of characters.
 GUARDED, DEALT = 12, 512
+#: Patterns that are looked for together first.
+MANY = 6
 
 
 @lru_cache(maxsize=1)
@@ -190,9 +193,6 @@ def first_distinct(values: Column, limit: int | None = None) -> Column:
     return kept if limit is None else F.slice(kept, 1, limit)
 
 
-def hits(folded: Column, patterns: list[str]) -> Column:
-    """How many of some patterns occur."""
-    return sum((folded.rlike(p).cast("int") for p in patterns), F.lit(0))
 def ascii_bounds(pattern: str) -> str:
     """A pattern whose boundaries of words are those of ASCII letters, digits and the underscore, as in SQL engines; Java takes all letters for letters of words."""
     return pattern.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))")
@@ -215,3 +215,7 @@ def any_hit(patterns: list[str]) -> str:
     return "|".join(([r"\b(?:" + "|".join(p[2:] for p in bound) + ")"] if bound else []) + rest)
 
 
+def hits(folded: Column, patterns: list[str]) -> Column:
+    """How many of some patterns occur; of many, one look tells whether any does."""
+    count = sum((folded.rlike(p).cast("int") for p in patterns), F.lit(0))
+    return F.when(folded.rlike(any_hit(patterns)), count).when(folded.isNotNull(), 0) if len(patterns) >= MANY else count

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
-from agenda_engine.functions.durable import cut
+from agenda_engine.functions.durable import cut, dealt
 from agenda_engine.functions.free_dates import free_moment
 from agenda_engine.functions.text import compatible, fold
 from agenda_engine.operators import dates, extraction, places
@@ -85,7 +85,7 @@ def analysed(items: DataFrame, now: str) -> DataFrame:
     pushed back through all of its expressions.
     """
     at = clock.moment(now)
-    step = whole(items).withColumn("text", compatible(F.col("text"))).withColumn("_anchor", F.to_date(F.coalesce(published(F.col("published_at"), at), at)))
+    step = whole(dealt(items)).withColumn("text", compatible(F.col("text"))).withColumn("_anchor", F.to_date(F.coalesce(published(F.col("published_at"), at), at)))
     step = extraction.analyse(step.withColumn("_links", F.col("external_links")), extra="_links").drop("_links")
     step = dates.when(step, "plain", "_anchor").withColumnRenamed("confidence", "date_confidence")
     step = places.locate(step, "text", "plain").withColumnsRenamed({c: f"t_{c}" for c in ("venue", "city", "department", "address")})

@@ -66,3 +66,14 @@ def test_pairs_are_made_from_classes(spark, tmp_path):
 def test_a_span_costs_two_rows(spark):
     """Days of a span are not laid out."""
     assert "sequence(" not in QUERIES["day_span_join"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_items_are_analysed_in_many_tasks(spark):
+    """What is analysed is a written table: one file each task, and there was one."""
+    assert len(QUERIES["relevance_reasons"](spark, SF).inputFiles()) > 1
+
+
+def test_one_look_tells_whether_any_pattern_occurs():
+    patterns = [r"\bferia\b", r"\bexpo", r"\b(?:un|dos) circos?\b", r"sin borde|con borde", r"\ba|b\b", r"\b[|(]x"]
+    for said in ("la feria", "laferia", "expone", "un circo", "con borde", "xb", "(x", "nada", ""):
+        assert bool(re.search(text.any_hit(patterns), said)) == any(re.search(p, said) for p in patterns)
