@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Folders that this process has written and not dropped, by scope; the outermost list is the process itself.
 _scopes: list[list[str]] = [[]]
+#: Spark drops the shuffles of a statement at its end where this is set, else when the driver happens to collect garbage.
+FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +30,15 @@ def _write(df: DataFrame, scope: list[str]) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/agenda-{uuid.uuid4().hex}"
     scope.append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(FREES, None)
+    spark.conf.set(FREES, "true")  # what is written is read from its table from here on
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FREES)
+        else:
+            spark.conf.set(FREES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,8 +11,8 @@ those of the difference-cover algorithm, each a shuffle:
    the gram;
 2. sort by name and context, and compare neighbours: a context that a smaller document holds too is covered
    whole, and only the first document of each context is looked at further, where its name has other contexts;
-3. merge the remaining suffixes: the windows around those positions are named themselves, and each window that a
-   smaller document has is covered;
+3. merge the remaining suffixes: those with one name meet again with the bytes around them, the windows of these are
+   named themselves, and each window that a smaller document has is covered;
 4. join what is covered to the texts.
 
 Sampled suffixes travel as packed arrays, a few for each task and bucket of names. Buckets are as many as four
@@ -40,6 +40,8 @@ from agenda_engine.llm.common import cut, parts, pick, release
 LENGTH, GRAM = 50, 16
 #: Bytes of text that are hashed at once, at eight bytes for each length of string; rows that are dealt to buckets at once.
 CHUNK, GATHER = 1 << 18, 400_000
+#: Sampled suffixes whose windows are named at once.
+AROUND = 4096
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hashes of single bytes; 256 stands for what is beyond a text.
 TABLE, TABLE2 = np.random.default_rng(50).integers(1, 2**63, (2, 257), dtype=np.uint64)
@@ -197,7 +199,7 @@ def _blobs(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 SUFFIX = {"name": "<u8", "context": "<u4", "more": "<u2", "left": "<u2", "right": "<u2", "doc": "<i8", "row": "<i8", "at": "<i4"}
 SPOT = {"row": "<i8", "at": "<i4", "open": "u1"}
-WINDOW = {"name": "<u8", "more": "<u8", "doc": "<i8", "row": "<i8", "at": "<i4"}
+AROUND_KINDS = {"name": "<u8", "doc": "<i8", "row": "<i8", "at": "<i4", "open": "u1", "before": "<u2", "after": "<u2"}
 BLOB = "bucket int, data binary"
 
 
@@ -246,33 +248,57 @@ def repeated(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {"row": rows["row"][chosen], "at": rows["at"][chosen], "open": np.zeros(len(chosen), np.uint8)}
 
 
-def windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and names (128 bits in two) of the windows whose sampled suffix is one of some sorted positions, on the sides that are asked for."""
-    parts = []
-    for start, end, lo, hi in slices(len(text), length):
-        a, b = np.searchsorted(at, [lo, hi])
-        if a < b:
-            starts, *names = _windows(text[start:end], at[a:b] - start, sides[a:b], length, gram)
-            parts.append((starts + start, *names))
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    starts, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
-    return starts, np.concatenate([p[1] for p in parts])[first], np.concatenate([p[2] for p in parts])[first]
-
-
-def _windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def around(text: bytes, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all windows that hold the gram at each position, a row each with the gram in the middle, and how many of them lie in the text before and from the position on."""
+    width = length - gram + 1
+    data = np.concatenate([np.zeros(width - 1, np.uint8), np.frombuffer(text, np.uint8), np.zeros(length, np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(data, length + width - 1)[at] if len(at) else np.zeros((0, length + width - 1), np.uint8)
+    return rows, np.minimum(at, width - 1), np.minimum(len(text) - at, length)
+
+
+def named_windows(rows: np.ndarray, before: np.ndarray, after: np.ndarray, sides: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Row, start from the sampled position, and name (128 bits in two) of the windows whose sampled suffix is in the middle of a row, on the sides that are asked for."""
     width, half = length - gram + 1, (length - gram) // 2
-    symbols = np.frombuffer(text, np.uint8).astype(np.int16)
-    hashes = Hashes(symbols)
-    grams = hashes.of(gram)
-    least = _slide(grams, width, np.minimum)
-    back = np.broadcast_to(np.arange(width)[None, :], (len(at), width))
-    start = at[:, None] - back
-    ok = (start >= 0) & (start < len(least))
-    ok &= ((sides[:, None] & 1 > 0) & (back >= half)) | ((sides[:, None] & 2 > 0) & (width - 1 - back >= half))
-    ok &= least[np.where(ok, start, 0)] == grams[at][:, None]
-    starts = np.unique(start[ok])
-    return starts, hashes.of(length)[starts], Hashes(symbols, TABLE2).of(length)[starts]
+    found = []
+    for lo in range(0, len(rows), AROUND):
+        own = slice(lo, lo + AROUND)
+        symbols = rows[own].ravel()
+        hashes = Hashes(symbols)
+        grams = hashes.of(gram)
+        back = np.arange(width)[None, :]
+        middle = np.arange(len(rows[own]))[:, None] * rows.shape[1] + width - 1
+        ok = (back <= before[own, None]) & (length - back <= after[own, None])
+        ok &= ((sides[own, None] & 1 > 0) & (back >= half)) | ((sides[own, None] & 2 > 0) & (width - 1 - back >= half))
+        ok &= _slide(grams, width, np.minimum)[middle - back] == grams[middle]
+        number, back = np.nonzero(ok)
+        start = middle[number, 0] - back
+        found.append((number + lo, -back, hashes.of(length)[start], Hashes(symbols, TABLE2).of(length)[start]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def windows(text: bytes, at: np.ndarray, sides: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and names (128 bits in two) of the windows whose sampled suffix is one of some positions, on the sides that are asked for."""
+    number, start, name, more = named_windows(*around(text, at, length, gram), sides, length, gram)
+    starts, first = np.unique(at[number] + start, return_index=True)
+    return starts, name[first], more[first]
+
+
+def met_windows(rows: dict[str, np.ndarray], length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
+    """The windows around the suffixes of a bucket that a smaller document has; those of few names at once, since equal windows have one sampled gram."""
+    order = np.argsort(rows["name"], kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(rows["name"][order])) + 1, len(order))
+    found, lo = [], 0
+    while lo < len(order):
+        hi = int(ends[np.searchsorted(ends, min(lo + AROUND, len(order)))])
+        own = order[lo:hi]
+        texts = np.frombuffer(rows["text"][own].tobytes(), np.uint8).reshape(len(own), -1)
+        number, start, name, more = named_windows(texts, rows["before"][own], rows["after"][own], rows["open"][own], length, gram)
+        mine = own[number]
+        found.append(repeated({"name": name, "more": more, "doc": rows["doc"][mine], "row": rows["row"][mine], "at": (rows["at"][mine] + start).astype(np.int32)}))
+        lo = hi
+    return {k: np.concatenate([f[k] for f in found]) if found else np.zeros(0, t) for k, t in SPOT.items()}
 
 
 def covered_bytes(n: int, contexts: np.ndarray, starts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
@@ -344,6 +370,7 @@ def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     """For rows of doc, row and text: (row, at, open) of sampled suffixes and (row, starts) of covered windows."""
     ship(rows.sparkSession)
     buckets, _ = _buckets(rows)
+    width = length - gram + 1
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in gathered((suffixes(g, length, gram) for g in chunks(batches, length)), GATHER):
@@ -354,12 +381,15 @@ def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[dict[str, np.ndarray]]:
             for batch in batches:
-                for doc, row, text, at, opened in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "zipped", "at", "open")), strict=True):
-                    where, sides = np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(opened, "u1")
-                    starts, names, more = windows(zlib.decompress(text), where[sides > 0], sides[sides > 0], length, gram)
-                    yield dict(zip(WINDOW, (names, more, np.full(len(starts), doc), np.full(len(starts), row), starts.astype(np.int32)), strict=True))
-
-        for columns in gathered(each(), GATHER):
+                for doc, row, data, at, opened in zip(*(batch.column(k).to_pylist() for k in ("doc", "row", "zipped", "at", "open")), strict=True):
+                    sides = np.frombuffer(opened, "u1")
+                    where = np.frombuffer(at, "<i4")[sides > 0]
+                    texts, before, after = around(zlib.decompress(data), where, length, gram)
+                    name = Hashes(np.ascontiguousarray(texts[:, width - 1 : length]).ravel()).of(gram)[::gram] if len(where) else np.zeros(0, np.uint64)
+                    found = (name, np.full(len(where), doc), np.full(len(where), row), where, sides[sides > 0], before, after, texts)
+                    yield {k: v.astype(t, copy=False) for (k, t), v in zip((AROUND_KINDS | {"text": "u1"}).items(), found, strict=True)}
+
+        for columns in gathered(each(), GATHER // 4):
             yield _blobs(dealt(_of(columns["name"], buckets), columns))
             del columns
         release()
@@ -368,7 +398,8 @@ def spots(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[Data
     found = cut(_by_row(_by_bucket(long.mapInArrow(sampled, BLOB), SUFFIX, compare)))
     opened = found.where(F.translate(F.hex("open"), "0", "") != "")
     met = zipped(long).join(opened, "row")
-    again = cut(_by_row(_by_bucket(met.mapInArrow(named, BLOB), WINDOW, repeated)))
+    met_again = _by_bucket(met.mapInArrow(named, BLOB), AROUND_KINDS | {"text": f"V{length + width - 1}"}, lambda found: met_windows(found, length, gram))
+    again = cut(_by_row(met_again))
     return found, again.select("row", F.col("at").alias("starts"))
 
 

@@ -261,6 +261,31 @@ def test_passages_of_long_texts_are_found_in_slices(spark, monkeypatch):
         assert all((a == b).all() for a, b in zip(want, suffix.windows(text, at, np.full(len(at), 3)), strict=True))
 
 
+def test_windows_meet_by_the_bytes_around_a_suffix(monkeypatch):
+    """A window cost 36 bytes in a shuffle, and a suffix has up to 35 of them; now a suffix brings its bytes, and what is found is the same."""
+    rng = random.Random(4)
+    parts = ["".join(rng.choice("abcd") for _ in range(rng.randint(20, 90))) for _ in range(6)]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 5))).encode() for _ in range(40)] + [b"z" * 130] * 2
+    rows, plain = [], []
+    for k, t in enumerate(texts):
+        at = suffix.sample([t])[1].astype(np.int32)
+        sides = np.array([rng.randint(1, 3) for _ in at], np.uint8)
+        around, before, after = suffix.around(t, at)
+        names = suffix.Hashes(np.frombuffer(t, np.uint8)).of(16)[at] if len(at) else np.zeros(0, np.uint64)
+        told = {"name": names, "doc": np.full(len(at), k), "row": np.full(len(at), k), "at": at, "open": sides, "before": before, "after": after, "text": np.frombuffer(around.tobytes(), "V84")}
+        rows.append(told)
+        plain += [(t[s : s + 50], k, s) for s in suffix.windows(t, at, sides)[0].tolist()]
+    first = {}
+    for w, k, _ in plain:
+        first[w] = min(k, first.get(w, k))
+    held = {c: np.concatenate([r[c] for r in rows]) for c in rows[0]}
+    assert sum(np.dtype(t).itemsize for t in suffix.AROUND_KINDS.values()) + 84 < 36 * 4
+    for most in (1, 4096):
+        monkeypatch.setattr(suffix, "AROUND", most)
+        found = suffix.met_windows(held)
+        assert set(zip(found["row"].tolist(), found["at"].tolist(), strict=True)) == {(k, s) for w, k, s in plain if first[w] < k}
+
+
 def test_rules_measure_and_ablate(spark, odd):
     got = by_id(rules.ledger(odd))
     assert len(got) == len(ODD)

@@ -91,3 +91,22 @@ def test_rows_of_one_venue_meet_by_name_only(spark):
     met = {(r.a, r.b) for r in resolve.candidates(resolve.keyed(rows.withColumn("artists", F.col("artists").cast("array<string>")))).collect()}
     assert (7, 100) in met
     assert not any(b < 100 for _, b in met)
+
+
+def test_a_written_table_leaves_no_shuffle(spark):
+    """What a step had shuffled stayed on disk beside the table that it wrote, until the driver collected garbage."""
+    import time
+
+    from agenda_engine.functions import durable
+
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in str(blocks.mkString(" ")).split() if b.startswith("shuffle_")}
+
+    before, set_before = shuffles(), spark.conf.get(durable.FREES, None)
+    table = durable.cut(spark.range(20_000).repartition(8).groupBy((F.col("id") % 999).alias("k")).count())
+    until = time.monotonic() + 5
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and table.count() == 999
+    assert spark.conf.get(durable.FREES, None) == set_before
