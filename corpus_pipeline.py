@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agenda_engine.llm import copies, packing, pii, quality, suffix
-from agenda_engine.llm.common import scratch
+from agenda_engine.llm import copies, packing, pii, quality, simhash, suffix
+from agenda_engine.llm.common import cut, scratch
 from agenda_engine.llm.queries import tokenizer
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,8 +23,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies (five-word Jaccard similarity of 0.8 or more)."""
-    return copies.keep_one(docs).select(*COLUMNS)
+    """Keeps the document with the smallest id of each group of near copies.
+
+    Groups are those of op1_simhash first; of what is left, texts that no fingerprint of 64 bits brings together but whose five-word
+    Jaccard similarity is 0.8 or more go as well.
+    """
+    left = cut(simhash.keep_one(docs.select(*COLUMNS)))
+    return copies.keep_one(left).select(*COLUMNS)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,3 +265,27 @@ def test_pipeline_stages_equal_brute_force(spark, tmp_path):
     assert told == want
     ran = pipeline.run(spark, str(tmp_path)).collect()
     assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in ran} == want
+
+
+def test_near_copies_of_the_pipeline_go_by_fingerprints_too(spark):
+    """Texts within three bits of each other are near copies of op1_simhash; the stage kept both where their Jaccard similarity was under 0.8."""
+    import corpus_pipeline as pipeline
+
+    from agenda_engine.llm import copies, simhash
+
+    def pair(seed):
+        rng = random.Random(seed)
+        base = [f"w{rng.randint(0, 900)}" for _ in range(400)]
+        changed = set(rng.sample(range(400), 11))
+        return " ".join(base), " ".join(f"z{i}" if i in changed else w for i, w in enumerate(base))
+
+    def linked(a, b):
+        bits = (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count()
+        return bits <= 3 and not copies.near(copies.shingle_set(a), copies.shingle_set(b))
+
+    a, b = next(p for p in map(pair, range(2000)) if linked(*p))
+    far = pair(5000)
+    rows = [(7, b, "en", "s", 0), (3, a, "en", "s", 0), (4, far[0], "en", "s", 0), (5, far[0] + " end", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert len(copies.keep_one(docs).collect()) == 3
+    assert sorted(r.doc_id for r in pipeline.keep_one_of_near_copies(spark, docs, "").collect()) == [3, 4]
