@@ -81,3 +81,14 @@ def test_prices_and_showings_of_sites(spark):
     said = spark.createDataFrame([("Sáb 1 de marzo, 9:30 y 31 de diciembre 21:00; 30 de febrero, 10:00; 3 de nada, 10:00",)], "t string")
     now = F.to_timestamp_ntz(F.lit("2026-08-27T09:00:00"), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     assert said.select(F.transform(sites.showings(F.col("t"), now), sites.iso).alias("m")).first().m == ["2027-03-01T09:30:00-04:00", "2026-12-31T21:00:00-04:00"]
+
+
+def test_no_outline_is_written(spark, monkeypatch):
+    """The lists of a page were written twice and shuffled before its fields were read; now what is read of them is written, once."""
+    from agenda_engine.plans.registry import QUERIES
+    from agenda_engine.sources import pages as reader
+
+    written, cut = [], reader.cut
+    monkeypatch.setattr(reader, "cut", lambda df: written.append(df.columns) or cut(df))
+    found = QUERIES["page_items"](spark, "/root/testdata/sf0.001")
+    assert found.count() == 180 and written and not any("outline" in c for c in written)
