@@ -26,19 +26,37 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of a session that hold inside it."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def shuffled(spark: SparkSession):
+    """What is written inside it joins by shuffles, but where a broadcast is asked for.
+
+    A table that grows with the input is estimated by its files and the columns that are read of it, often far below what its rows
+    take, and as a broadcast it would pass whole through the driver, several at once.
+    """
+    return _set(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+
+
 def _write(df: DataFrame, scope: list[str]) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/agenda-{uuid.uuid4().hex}"
     scope.append(path)
-    before = spark.conf.get(FREES, None)
-    spark.conf.set(FREES, "true")  # what is written is read from its table from here on
-    try:
+    with _set(spark, {FREES: "true"}):  # what is written is read from its table from here on
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(FREES)
-        else:
-            spark.conf.set(FREES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

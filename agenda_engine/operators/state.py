@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
-from agenda_engine.functions.durable import cut, dealt
+from agenda_engine.functions.durable import cut, dealt, shuffled
 from agenda_engine.functions.text import fold, jaccard, words
 from agenda_engine.operators.resolve import alike, rare_words
 from agenda_engine.operators.turns import BOUND, greedy
@@ -172,9 +172,10 @@ def reconcile(current: DataFrame, archive: DataFrame, at: str, threshold: float
     Both sides have a position. `at` is 'YYYY-MM-DD HH:MM:SS'; rows carry it as an ISO text.
     """
     stamp = at.replace(" ", "T")
-    now, old = (cut(alike(cut(rows), KEYS, "m_class")) for rows in (with_time(keyed(dealt(current)), at), keyed(dealt(archive))))
-    pairs = cut(greedy(now.select(F.col("position").alias("n"), F.col("m_class").alias("a")), old.select(F.col("position").alias("o"), F.col("m_class").alias("b")), class_scores(now, old, threshold), bound))
-    joined = now.alias("a").join(pairs, F.col("a.position") == F.col("n"), "left").join(old.alias("b"), F.col("o") == F.col("b.position"), "left")
+    with shuffled(current.sparkSession):
+        now, old = (cut(alike(cut(rows), KEYS, "m_class")) for rows in (with_time(keyed(dealt(current)), at), keyed(dealt(archive))))
+        pairs = cut(greedy(now.select(F.col("position").alias("n"), F.col("m_class").alias("a")), old.select(F.col("position").alias("o"), F.col("m_class").alias("b")), class_scores(now, old, threshold), bound))
+    joined = now.alias("a").join(pairs.hint("merge"), F.col("a.position") == F.col("n"), "left").join(old.alias("b").hint("merge"), F.col("o") == F.col("b.position"), "left")
     made = ("position", "source_count", "event_id", "first_seen_at", "last_seen_at", "history", "lifecycle", "days_until", "is_upcoming", "seen_this_run", "changed_this_run", "history_count")
     base = [c for c in current.columns if c not in made]
     told = joined.select(
@@ -190,7 +191,7 @@ def reconcile(current: DataFrame, archive: DataFrame, at: str, threshold: float
         "position", *base, "lifecycle", "days_until", "is_upcoming", "source_count", F.coalesce("old_id", stable_id(told)).alias("event_id"), "first_seen_at",
         F.lit(stamp).alias("last_seen_at"), F.lit(True).alias("seen_this_run"), "changed_this_run", appended(F.col("old_history"), entry, add).alias("history"),
     )
-    left = old.join(pairs.select(F.col("o").alias("position")), "position", "left_anti")
+    left = old.join(pairs.select(F.col("o").alias("position")).hint("merge"), "position", "left_anti")
     carried = with_time(left.where(alive(at, keep_days)), at).withColumns({
         "seen_this_run": F.lit(False), "changed_this_run": F.array().cast("array<string>"), "last_seen_at": F.coalesce("last_seen_at", "first_seen_at"),
         "position": F.col("position") + F.lit(1 << 40),

@@ -93,10 +93,10 @@ def _union(*parts: DataFrame) -> DataFrame:
 
 
 def _sized(sizes: DataFrame, bound: int) -> tuple[int, DataFrame | None]:
-    """The size of all components within the bound, and the components beyond it, if there are any."""
+    """The size of all components within the bound, and the components beyond it, if there are any; these are few, at most the whole size over the bound."""
     over = F.col("size") > bound
     told = sizes.agg(F.sum(F.when(~over, F.col("size"))).alias("few"), F.count_if(over).alias("many")).first()
-    return told.few or 0, sizes.where(over).select("component") if told.many else None
+    return told.few or 0, F.broadcast(sizes.where(over).select("component")) if told.many else None
 
 
 # First fit
@@ -157,7 +157,7 @@ def _blocks_fit(left: DataFrame, pairs: DataFrame, bound: int) -> list[DataFrame
     reached = None
     while left.limit(1).count():
         ends = _block_ends(left, F.col("degree") + 1, bound)
-        split = cut(left.join(ends, "component").withColumn("now", F.col("turn") <= F.col("last")).drop("last"))
+        split = cut(left.join(F.broadcast(ends), "component").withColumn("now", F.col("turn") <= F.col("last")).drop("last"))
         block, left = split.where("now").drop("now"), split.where("not now").drop("now")
         classes = block.select("component", "of").distinct()
         inside = pairs.join(classes.select(F.col("of").alias("a")), "a", "left_semi").join(classes.select(F.col("of").alias("b")), "b", "left_semi")
@@ -260,7 +260,7 @@ def _block_choice(wish: DataFrame, n: DataFrame, o: DataFrame, bound: int) -> tu
     degree = wish.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
     per_class = o.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.count_distinct("b")).alias("each"))
     weighed = n.join(degree, "a").join(per_class, "component").withColumn("turn", F.col("n"))
-    last = cut(_block_ends(weighed, 1 + F.col("degree") * F.col("each"), bound))
+    last = F.broadcast(cut(_block_ends(weighed, 1 + F.col("degree") * F.col("each"), bound)))
     block = cut(n.join(last, "component").where("n <= last"))
     most = block.groupBy("component").agg(F.count(F.lit(1)).alias("most"))
     wanted = cut(wish.join(block.select("a").distinct(), "a", "left_semi"))

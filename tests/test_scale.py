@@ -110,3 +110,18 @@ def test_a_written_table_leaves_no_shuffle(spark):
         time.sleep(0.1)
     assert not shuffles() - before and table.count() == 999
     assert spark.conf.get(durable.FREES, None) == set_before
+
+
+@pytest.mark.parametrize("name", ["reconcile_greedy", "cluster_greedy"])
+def test_tables_of_rows_do_not_pass_through_the_driver(spark, monkeypatch, name):
+    """Tables that grow with the input were estimated small and broadcast through the driver, eleven in one statement at sf0.1."""
+    from agenda_engine.operators import components, resolve, state, turns
+
+    plans = []
+    for module in (components, resolve, state, turns):
+        cut = module.cut
+        monkeypatch.setattr(module, "cut", lambda df, cut=cut: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    found = QUERIES[name](spark, SF)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and [p for p in plans if "BroadcastExchange" in p] == []
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
