@@ -92,3 +92,26 @@ def test_no_outline_is_written(spark, monkeypatch):
     monkeypatch.setattr(reader, "cut", lambda df: written.append(df.columns) or cut(df))
     found = QUERIES["page_items"](spark, "/root/testdata/sf0.001")
     assert found.count() == 180 and written and not any("outline" in c for c in written)
+
+
+def test_no_outline_of_a_site_is_written(spark, monkeypatch):
+    """The readers of sites wrote a page's lists up to four times, and those of pages that nothing links to as well."""
+    from agenda_engine.plans.registry import QUERIES
+
+    written, cut = [], sites.cut
+    monkeypatch.setattr(sites, "cut", lambda df: written.append(df.columns) or cut(df))
+    found = QUERIES["parser_dispatch"](spark, "/root/testdata/sf0.001")
+    assert sum(r["items"] for r in found.collect()) == 180 and written
+    assert not any("outline" in c for c in written) and [c for c in written if "html" in c] == [["source_id", "url", "place", "src_parser", "src_name", "src_city", "src_region", "html"]]
+
+
+def test_pages_at_one_place_keep_their_order(spark):
+    """Two roots whose first links differ: both pages stand at the first place, and the address decides."""
+    kinds = "source_id string, url string, html string, is_root boolean"
+    form = "https://s.bo/agendajiwaki/event/e%d"
+    rows = [("s", f"https://s.bo/{i}", f'<a href="{form % (9 - i)}">x</a>', True) for i in range(9)] + [("s", form % i, f"<h1>Charla {i}</h1>", False) for i in range(9)] + [("s", form % 77, "<h1>Suelta</h1>", False)]
+    sources = spark.createDataFrame([("s", "S", "https://s.bo", None, None, None, sites.CITY, 20, 8), ("t", "T", "https://t.bo", None, None, None, sites.CINEMA, 20, 8)], SOURCE)
+    more = [("t", "https://t.bo/", '<a href="/cine/sala-s1">x</a><a href="/cine/sala-s2">x</a>', True), ("t", "https://t.bo/cine/sala-s1", "<h1>Sala</h1>sin películas", False), ("t", "https://t.bo/cine/sala-s2", None, False)]
+    for parts in (1, 7):
+        got = sites.read_sites(spark.createDataFrame(rows + more, kinds).repartition(parts), sources, "2026-08-27T09:00:00").orderBy("item_no").collect()
+        assert [(r.item_no, r.title) for r in got] == [(i, f"Charla {i}") for i in range(1, 9)]
