@@ -151,16 +151,14 @@ def _pairs_of_blocks(met: DataFrame, linked: DataFrame) -> DataFrame:
     shares = known.groupBy("band", "cell", "of").agg(F.count(F.lit(1)).alias("n"))
     cells = shares.groupBy("band", "cell").agg(F.max(F.struct("n", "of")).alias("large"), F.sum("n").alias("all")).where(F.col("large.n") < F.col("all"))
     cells = cells.select("band", "cell", F.col("large.of").alias("large"), _blocks("large.n").alias("n_large"), _blocks("(all - large.n)").alias("n_small"))
-    rows = known.join(cells, ["band", "cell"])
-    small = F.sequence(F.lit(0), F.col("n_small") - 1)
-    inside = rows.where("of = large").select("*", _mine("n_large").alias("i"), F.explode(small).alias("j"))
-    outside = rows.where("of <> large").withColumn("mine", _mine("n_small"))
-    cross = outside.select("*", F.explode(F.sequence(F.lit(0), F.col("n_large") - 1)).alias("i"), F.col("mine").alias("j"))
+    small, mine = F.sequence(F.lit(0), F.col("n_small") - 1), F.col("mine")
+    inside = F.transform(small, lambda j: F.struct(mine.alias("i"), j.alias("j")))
+    cross = F.transform(F.sequence(F.lit(0), F.col("n_large") - 1), lambda i: F.struct(i.alias("i"), mine.alias("j")))
     # pairs of the others' blocks, under numbers below 0; a pair of a block with itself is part of its meeting the first large block
-    other = outside.select("*", F.explode(small).alias("other")).where("other <> mine")
-    other = other.select("*", (-1 - F.least("mine", "other")).alias("i"), F.greatest("mine", "other").alias("j"))
-    columns = [*CELL, "key", "of"]
-    return inside.select(columns).unionByName(cross.select(columns)).unionByName(other.select(columns))
+    other = F.transform(F.filter(small, lambda o: o != mine), lambda o: F.struct((-1 - F.least(mine, o)).alias("i"), F.greatest(mine, o).alias("j")))
+    rows = known.join(cells, ["band", "cell"]).withColumn("mine", F.when(F.col("of") == F.col("large"), _mine("n_large")).otherwise(_mine("n_small")))
+    met_in = F.when(F.col("of") == F.col("large"), inside).otherwise(F.concat(cross, other))
+    return rows.select("band", "cell", "key", "of", F.explode(met_in).alias("at")).select("band", "cell", "at.i", "at.j", "key", "of")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,8 +171,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     wanted = one.join(met.select("key").distinct(), "key").select("doc_id", "text_hash", "key")
     sets = cut(_sets(docs, wanted, id_col, text_col).dropDuplicates(["key"]))
     first = cut(_links(_random_blocks(met), sets))
-    second = _links(_pairs_of_blocks(met, cut(components(first))), sets)
-    linked = components(first.unionByName(second)).withColumnRenamed("node", "key")
+    linked = components(first)
+    second = _links(_pairs_of_blocks(met, linked), sets)
+    linked = components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)).withColumnRenamed("node", "key")
     return marked.join(linked, "key", "left").select("doc_id", "text_hash", F.coalesce("component", "key").alias("component"))
 
 

@@ -125,3 +125,26 @@ def test_tables_of_rows_do_not_pass_through_the_driver(spark, monkeypatch, name)
     plans.append(found._jdf.queryExecution().executedPlan().toString())
     assert len(plans) > 5 and [p for p in plans if "BroadcastExchange" in p] == []
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+
+
+def test_rounds_of_components_are_few_and_small(spark, monkeypatch):
+    """Edges that are settled cost no round, and a round shuffles three times: the driver keeps every statement's plan and tasks."""
+    from agenda_engine.operators import components as own
+
+    shuffles = []
+
+    def cut(df, real=own.cut):
+        df.collect()  # the plan that ran, where a shuffle that is read again is made once
+        ran = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        shuffles.append(ran.count(" Exchange hashpartitioning") - ran.count("ReusedExchange"))
+        return real(df)
+
+    monkeypatch.setattr(own, "cut", cut)
+    stars = [(10 * c + k, 10 * c) for c in range(5) for k in range(1, 9)]
+    got = {r.node: r.component for r in own.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == dict(stars) and len(shuffles) == 1
+    chain = [(k, k + 1) for k in range(9)] + [(9, 4), (7, 7)]
+    got = {r.node: r.component for r in own.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(1, 10), 0) and 3 <= len(shuffles) <= 6
+    assert max(shuffles) <= 3
+    assert own.components(spark.createDataFrame([], "a long, b long")).count() == 0
