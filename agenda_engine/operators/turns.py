@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agenda_engine.functions.durable import cut, scratch
@@ -101,23 +101,66 @@ def _sized(sizes: DataFrame, bound: int) -> tuple[int, DataFrame | None]:
 
 # First fit
 
+#: What a task is told: 0 position and class, 1 a pair of classes, 2 a class and what it can join already, 3 a class that lasts into the day of a group,
+#: 4 one that starts on it, 5 a group and the first cluster of those that started on its day, 6 or that lasted into it; with venue and town from 3 on.
+NOTED = ("component", "kind", "x", "y", "venue", "town")
+ANY = -2
+
 
 def _fit(table: pa.Table) -> pa.Table:
-    """(position, of, cluster) of told rows: 0 position and class, 1 a pair of classes, 2 a class and what it can join already."""
-    kind, x, y = (table.column(c).to_numpy() for c in ("kind", "x", "y"))
+    """(position, of, cluster) of told rows, see NOTED."""
+    kind, x, y, venue, town = (table.column(c).to_numpy() for c in NOTED[1:])
+
+    def of(*kinds: int) -> zip:
+        held = np.isin(kind, kinds)
+        return zip(kind[held].tolist(), x[held].tolist(), y[held].tolist(), venue[held].tolist(), town[held].tolist(), strict=True)
+
     beside: dict[int, list[int]] = {}
-    for a, b in zip(x[kind == 1].tolist(), y[kind == 1].tolist(), strict=True):
+    for _, a, b, _, _ in of(1):
         beside.setdefault(a, []).append(b)
         beside.setdefault(b, []).append(a)
-    joins = dict(zip(x[kind == 2].tolist(), y[kind == 2].tolist(), strict=True))  # the first cluster that holds a match of a class
+    joins = {c: cluster for _, c, cluster, _, _ in of(2)}  # the first cluster that holds a match of a class
+    days: dict[int, list[tuple[int, bool]]] = {}
+    place: dict[int, tuple[int, int]] = {}
+    for k, c, g, v, t in of(3, 4):
+        days.setdefault(c, []).append((g, k == 4))
+        place[c] = v, t
+    # the first cluster by group, venue and town, either of them also as ANY
+    started: dict[tuple[int, int, int], int] = {}
+    lasting: dict[tuple[int, int, int], int] = {}
+
+    def put(held: dict, g: int, v: int, t: int, cluster: int) -> None:
+        for key in ((g, v, t), (g, ANY, t), (g, v, ANY), (g, ANY, ANY)):
+            if held.get(key, cluster) >= cluster:
+                held[key] = cluster
+
+    def got(held: dict, g: int, v: int, t: int, most: int) -> int:
+        for w in (v, -1) if v >= 0 else (ANY,):
+            for u in (t, -1) if t >= 0 else (ANY,):
+                most = min(most, held.get((g, w, u), most))
+        return most
+
+    for k, g, cluster, v, t in of(5, 6):
+        put(lasting, g, v, t, cluster)
+        if k == 5:
+            put(started, g, v, t, cluster)
     order = np.argsort(x[kind == 0])
     positions, classes = x[kind == 0][order].tolist(), y[kind == 0][order].tolist()
     found = []
     for p, c in zip(positions, classes, strict=True):
         mine = min(p, joins.get(c, p))
+        own = days.get(c, ())
+        if own:
+            v, t = place[c]
+            for g, starts in own:
+                mine = got(lasting if starts else started, g, v, t, mine)
         found.append(mine)
         if mine < joins.get(c, p + 1):
             joins[c] = mine
+        for g, starts in own:
+            put(lasting, g, v, t, mine)
+            if starts:
+                put(started, g, v, t, mine)
         for other in beside.get(c, ()):
             if mine < joins.get(other, mine + 1):
                 joins[other] = mine
@@ -125,50 +168,89 @@ def _fit(table: pa.Table) -> pa.Table:
 
 
 FITTED = "position long, of long, cluster long"
+NO_GROUPS = "of long, group long, starts boolean, venue long, town long"
+
+
+def _note(df: DataFrame, kind: int | Column, x: str, y: str, placed: bool = False) -> DataFrame:
+    """Rows as _fit() reads them."""
+    where = [F.col(c).cast("long").alias(c) if placed else F.lit(-1).cast("long").alias(c) for c in ("venue", "town")]
+    return df.select("component", (F.lit(kind) if isinstance(kind, int) else kind).alias("kind"), F.col(x).alias("x"), F.col(y).alias("y"), *where)
+
+
+def _notes(rows: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    return _union(_note(rows, 0, "position", "of"), _note(pairs, 1, "a", "b"), _note(groups, F.when(F.col("starts"), 4).otherwise(3), "of", "group", True))
 
 
-def first_fit(rows: DataFrame, edges: DataFrame, bound: int = BOUND) -> DataFrame:
+def first_fit(rows: DataFrame, edges: DataFrame, bound: int = BOUND, groups: DataFrame | None = None) -> DataFrame:
     """(position, cluster): each row joins the first cluster that holds a match of it, in order of position.
 
     rows: position and of (its class, the smallest position of a row like it); rows of a class match each other. edges: (a, b), pairs of
-    different classes whose rows match. cluster is the position of its first member.
+    different classes whose rows match. groups: (of, group, starts, venue, town), classes that match the others of a group of which one or the other
+    starts there and neither venue nor town is another, -1 standing for any; these need not be among the edges. cluster is the position of its first member.
     """
     spark = rows.sparkSession
     ship(spark)
     with scratch(spark) as keep:
         pairs = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-        placed = cut(connected(pairs, bound).select(F.col("node").alias("of"), "component"))
-        degree = pairs.select(F.explode(F.array("a", "b")).alias("of")).groupBy("of").agg(F.count(F.lit(1)).alias("degree"))
-        told = cut(rows.select("position", "of").join(placed.join(degree, "of"), "of", "left"))
+        groups = spark.createDataFrame([], NO_GROUPS) if groups is None else cut(groups)
+        nodes = connected(_union(pairs.select((F.col("a") * 2).alias("a"), (F.col("b") * 2).alias("b")), groups.select((F.col("of") * 2).alias("a"), (F.col("group") * 2 + 1).alias("b"))), bound)
+        placed = cut(nodes.where(F.pmod("node", F.lit(2)) == 0).select(F.shiftright("node", 1).alias("of"), "component"))
+        degree = _union(pairs.select(F.col("b").alias("of")), groups.select("of")).groupBy("of").agg(F.count(F.lit(1)).alias("degree"))
+        told = cut(rows.select("position", "of").join(placed.join(degree, "of", "left"), "of", "left"))
         alone, told = told.where("component is null").select("position", F.col("of").alias("cluster")), told.where("component is not null")
-        pairs = cut(pairs.join(placed.withColumnRenamed("of", "a"), "a"))
-        sizes = cut(_union(*(t.groupBy("component").agg(F.count(F.lit(1)).alias("k")) for t in (told, pairs))).groupBy("component").agg(F.sum("k").alias("size")))
+        pairs, groups = cut(pairs.join(placed.withColumnRenamed("of", "a"), "a")), cut(groups.join(placed, "of"))
+        sizes = cut(_union(*(t.groupBy("component").agg(F.count(F.lit(1)).alias("k")) for t in (told, pairs, groups))).groupBy("component").agg(F.sum("k").alias("size")))
         total, large = _sized(sizes, bound)
-        few = (told, pairs) if large is None else tuple(t.join(large, "component", "left_anti") for t in (told, pairs))
-        done = [alone, _packed(_union(_tell(few[0], 0, "position", "of"), _tell(few[1], 1, "a", "b")), total, bound, _fit, FITTED).select("position", "cluster")]
+        few = (told, pairs, groups) if large is None else tuple(t.join(large, "component", "left_anti") for t in (told, pairs, groups))
+        done = [alone, _packed(_notes(*few), total, bound, _fit, FITTED).select("position", "cluster")]
         if large is not None:
-            done += _blocks_fit(told.join(large, "component"), pairs.join(large, "component"), bound)
+            done += _blocks_fit(*(t.join(large, "component") for t in (told, pairs, groups)), bound)
         return keep(_union(*done))
 
 
-def _blocks_fit(left: DataFrame, pairs: DataFrame, bound: int) -> list[DataFrame]:
-    """First fit over large components, a block of each at a time; what a class can join is carried from block to block."""
-    left, pairs, done = cut(left.withColumn("turn", F.col("position"))), cut(pairs), []
-    reached = None
-    while left.limit(1).count():
-        ends = _block_ends(left, F.col("degree") + 1, bound)
-        split = cut(left.join(F.broadcast(ends), "component").withColumn("now", F.col("turn") <= F.col("last")).drop("last"))
-        block, left = split.where("now").drop("now"), split.where("not now").drop("now")
+def _blocks(rows: DataFrame, weight: Column, bound: int) -> DataFrame:
+    """Rows with the number of their block, from 0 in each component by position, the weights of a block being about a bound."""
+    ranked = ranks(rows.withColumn("_w", weight), [F.col("position")], ("component",))
+    step = F.greatest(F.lit(1), F.floor(F.lit(bound / 8) / F.col("_mean")))
+    cells = ranked.join(ranked.groupBy("component").agg(F.mean("_w").alias("_mean")), "component").withColumn("_cell", F.floor((F.col("rank") - 1) / step)).drop("rank", "_mean")
+    before = Window.partitionBy("component").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cells.groupBy("component", "_cell").agg(F.sum("_w").alias("_w")).withColumn("block", F.floor(F.coalesce(F.sum("_w").over(before), F.lit(0)) / bound))
+    return cells.drop("_w").join(sums.drop("_w"), ["component", "_cell"]).drop("_cell")
+
+
+def _by_block(rows: DataFrame) -> DataFrame:
+    """Written in the order of blocks, so that a block is read without the others."""
+    return cut(rows.repartitionByRange("block").sortWithinPartitions("block"))
+
+
+def _blocks_fit(rows: DataFrame, pairs: DataFrame, groups: DataFrame, bound: int) -> list[DataFrame]:
+    """First fit over large components, a block of each at a time; what a class can join, and what a group holds, is carried from block to block.
+
+    What a block reads of pairs and groups is laid out by block before, each with the blocks that its classes have rows in.
+    """
+    rows = _by_block(_blocks(rows, F.coalesce("degree", F.lit(0)) + 1, bound))
+    of_class = cut(rows.select("block", "of").distinct())
+    sides = pairs.select("component", F.inline(F.array(F.struct(F.col("a").alias("of"), F.col("b").alias("other")), F.struct(F.col("b").alias("of"), F.col("a").alias("other")))))
+    beside, member = _by_block(sides.join(of_class, "of")), _by_block(groups.join(of_class, "of"))
+    last = of_class.agg(F.max("block")).first()[0]
+    done, reached, held = [], None, None
+    for k in range(last + 1):
+        block, near, inside = (t.where(F.col("block") == k).drop("block") for t in (rows, beside, member))
         classes = block.select("component", "of").distinct()
-        inside = pairs.join(classes.select(F.col("of").alias("a")), "a", "left_semi").join(classes.select(F.col("of").alias("b")), "b", "left_semi")
-        told = [_tell(block, 0, "position", "of"), _tell(inside, 1, "a", "b")]
-        if reached is not None:
-            told.append(_tell(reached.join(classes, "of"), 2, "of", "cluster"))
+        both = near.where("of < other").join(classes.select(F.col("of").alias("other")), "other", "left_semi").select("component", F.col("of").alias("a"), F.col("other").alias("b"))
+        told = [_notes(block, both, inside)]
+        if k:
+            told.append(_note(reached.join(classes, "of"), 2, "of", "cluster"))
+            told.append(_note(held.join(inside.select("component", "group").distinct(), "group"), F.when(F.col("starts"), 5).otherwise(6), "group", "cluster", True))
         fitted = cut(_packed(_union(*told), bound, bound, _fit, FITTED))
         done.append(fitted.select("position", "cluster"))
+        if k == last:
+            break
         own = fitted.groupBy("of").agg(F.min("cluster").alias("cluster"))
-        met = _union(own, *(pairs.join(own.withColumnRenamed("of", x), x).select(F.col(y).alias("of"), "cluster") for x, y in (("a", "b"), ("b", "a"))))
-        reached = cut((met if reached is None else met.unionByName(reached)).groupBy("of").agg(F.min("cluster").alias("cluster")))
+        met = [own, near.join(own, "of").select(F.col("other").alias("of"), "cluster"), *([reached] if k else [])]
+        reached = cut(_union(*met).groupBy("of").agg(F.min("cluster").alias("cluster")))
+        now = [inside.join(own, "of").select("group", "starts", "venue", "town", "cluster"), *([held] if k else [])]
+        held = cut(_union(*now).groupBy("group", "starts", "venue", "town").agg(F.min("cluster").alias("cluster")))
     return done
 
 

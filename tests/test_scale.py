@@ -148,3 +148,46 @@ def test_rounds_of_components_are_few_and_small(spark, monkeypatch):
     assert got == dict.fromkeys(range(1, 10), 0) and 3 <= len(shuffles) <= 6
     assert max(shuffles) <= 3
     assert own.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _told(spark, rows):
+    """Keyed rows of (position, title, description, venue, first day, last day)."""
+    from agenda_engine.operators import resolve
+
+    none = "cast(null as string)"
+    df = spark.createDataFrame(rows, "position long, title string, description string, venue string, starts_at string, ends_at string")
+    return resolve.keyed(df.selectExpr("*", "cast(array() as array<string>) as artists", f"{none} as city", f"{none} as department"))
+
+
+def test_rows_that_share_a_name_and_a_day_are_no_pairs(spark):
+    """A name's word and a day were a pair for each two rows that have them, with all that a match reads in each; they are a group."""
+    from agenda_engine.operators import resolve
+
+    rows = _told(spark, [(k, f"Luna Banda{k}", f"palabra{k} otra{k} cosa{k}", "Sala Uno", "2026-09-01", None) for k in range(40)])
+    assert resolve.match_pairs(rows).count() == 0
+    assert resolve.days(rows).count() == 40 and resolve.match_edges(rows).count() == 40 * 39 / 2
+
+
+def test_a_span_meets_another_venue_on_a_day_that_is_its_alone(spark):
+    """What lasted into a day on which one other venue begins something was never laid beside it."""
+    from agenda_engine.operators import resolve
+
+    rows = _told(spark, [(1, "Luna", "gran noche septiembre esperamos todos juntos", "Sala Uno", "2026-09-01", "2026-09-03"), (2, "Luna", "gran noche septiembre esperamos todos juntos", "Sala Dos", "2026-09-02", None)])
+    assert [(r.a, r.b) for r in resolve.match_edges(rows).collect()] == [(1, 2)]
+
+
+def test_undated_rows_meet_on_what_they_must_share(spark):
+    """Pairs of a Jaccard from words that are all frequent, of rows of any length, are those of a cross join."""
+    import random
+
+    from agenda_engine.operators import resolve
+
+    rng = random.Random(5)
+    sets = [rng.sample(range(9), rng.randint(1, 9)) for _ in range(70)] + [rng.sample(range(9, 30), rng.randint(10, 20)) for _ in range(40)]
+    sets += [s[:-1] + [99 + i] for i, s in enumerate(sets[60:])]
+    rows = spark.createDataFrame([(p, [f"w{x}" for x in s]) for p, s in enumerate(sets)], "position long, k_said array<string>")
+    for common in (0, 12, 1000):
+        told, rare = resolve.numbered(rows, "k_said", common)
+        got = [(r.a, r.b) for r in resolve.similar(told, told, 0.55, rare, F.col("s.position") < F.col("l.position")).collect()]
+        want = [(a, b) for a, s in enumerate(sets) for b, t in enumerate(sets) if a < b and len(set(s) & set(t)) / len(set(s) | set(t)) >= 0.55]
+        assert sorted(got) == want and len(want) > 50

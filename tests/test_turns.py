@@ -132,3 +132,19 @@ def test_ranks_equal_row_numbers(spark, n):
     kept = df.where("k is not null")
     want = kept.select("i", F.row_number().over(Window.partitionBy("k").orderBy(*by)).alias("rank")).collect()
     assert sorted((r.i, r.rank) for r in order.ranks(kept, by, ("k",), partitions=7).collect()) == sorted((r.i, r.rank) for r in want)
+
+
+@pytest.mark.parametrize("bound", BOUNDS)
+def test_groups_fit_as_their_pairs_would(spark, bound):
+    """Classes of a group match where one of them starts there and venue and town agree; no pair of them is laid out."""
+    rng = random.Random(3 + bound)
+    rows = [(p, p if rng.random() < 0.8 or p < 5 else rng.randrange(5)) for p in range(90)]
+    classes = sorted({c for _, c in rows})
+    place = {c: (rng.choice([-1, 7, 9]), rng.choice([-1, 3, 4])) for c in classes}
+    groups = [(c, g, rng.random() < 0.6, *place[c]) for c in classes for g in rng.sample(range(12), 2)]
+    edges = [tuple(rng.sample(classes, 2)) for _ in range(25)]
+    agree = [all(min(x, y) < 0 or x == y for x, y in zip(place[a[0]], place[b[0]], strict=True)) for a in groups for b in groups]
+    met = [(a[0], b[0]) for (a, b), ok in zip(((a, b) for a in groups for b in groups), agree, strict=True) if ok and a[0] < b[0] and a[1] == b[1] and (a[2] or b[2])]
+    told = frame(spark, groups, "of long, group long, starts boolean, venue long, town long")
+    got = turns.first_fit(frame(spark, rows, "position long, of long"), frame(spark, edges, "a long, b long"), bound, told)
+    assert {r.position: r.cluster for r in got.collect()} == fitted(rows, edges + met)
