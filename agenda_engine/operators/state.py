@@ -9,6 +9,7 @@ from agenda_engine.functions import clock
 from agenda_engine.functions.durable import cut, dealt, shuffled
 from agenda_engine.functions.text import fold, jaccard, words
 from agenda_engine.operators.resolve import alike, rare_words
+from agenda_engine.operators.taking import MOST, taken
 from agenda_engine.operators.turns import BOUND, greedy
 
 # Words that tell nothing here, points of a match, and limits.
@@ -109,6 +110,20 @@ def class_scores(now: DataFrame, old: DataFrame, threshold: float = THRESHOLD) -
     return met.select(F.col("n").alias("a"), F.col("o").alias("b"), score("a", "b").alias("score")).where(F.col("score") >= threshold)
 
 
+def matched(now: DataFrame, old: DataFrame, threshold: float = THRESHOLD, bound: int = BOUND, most: int = MOST) -> DataFrame:
+    """(n, o): current rows in order take the archived row that is left with the best score, the earlier one on ties; both sides keyed, with m_class.
+
+    Where words alone cannot reach the threshold no pair is laid out, but for rows that are linked to more than `most`.
+    """
+
+    def by_pairs(now: DataFrame, old: DataFrame) -> DataFrame:
+        return greedy(now.select(F.col("position").alias("n"), F.col("m_class").alias("a")), old.select(F.col("position").alias("o"), F.col("m_class").alias("b")), class_scores(now, old, threshold), bound)
+
+    if threshold <= POINTS["words"] + POINTS["city"] + POINTS["category"]:
+        return by_pairs(now, old)
+    return taken(now, old, threshold, POINTS, by_pairs, most)
+
+
 def changes(old: str, new: str) -> Column:
     """What a reader would want to hear of: state, day, price and venue."""
     o, n = (lambda c: F.col(f"{old}.{c}")), (lambda c: F.col(f"{new}.{c}"))
@@ -174,7 +189,7 @@ def reconcile(current: DataFrame, archive: DataFrame, at: str, threshold: float
     stamp = at.replace(" ", "T")
     with shuffled(current.sparkSession):
         now, old = (cut(alike(cut(rows), KEYS, "m_class")) for rows in (with_time(keyed(dealt(current)), at), keyed(dealt(archive))))
-        pairs = cut(greedy(now.select(F.col("position").alias("n"), F.col("m_class").alias("a")), old.select(F.col("position").alias("o"), F.col("m_class").alias("b")), class_scores(now, old, threshold), bound))
+        pairs = cut(matched(now, old, threshold, bound))
     joined = now.alias("a").join(pairs.hint("merge"), F.col("a.position") == F.col("n"), "left").join(old.alias("b").hint("merge"), F.col("o") == F.col("b.position"), "left")
     made = ("position", "source_count", "event_id", "first_seen_at", "last_seen_at", "history", "lifecycle", "days_until", "is_upcoming", "seen_this_run", "changed_this_run", "history_count")
     base = [c for c in current.columns if c not in made]

@@ -148,3 +148,26 @@ def test_groups_fit_as_their_pairs_would(spark, bound):
     told = frame(spark, groups, "of long, group long, starts boolean, venue long, town long")
     got = turns.first_fit(frame(spark, rows, "position long, of long"), frame(spark, edges, "a long, b long"), bound, told)
     assert {r.position: r.cluster for r in got.collect()} == fitted(rows, edges + met)
+
+
+def test_matches_are_settled_without_pairs(spark, monkeypatch):
+    """Scored pairs of a day and venue grew with the square of its rows and filled the disk; rows that are linked settle in one task, by the same choices."""
+    from agenda_engine.operators import state
+
+    rng = random.Random(21)
+    columns = "position long, title string, artists array<string>, description string, venue string, city string, category string, starts_at string, ends_at string, url string, all_urls array<string>"
+    names, rows = ["luna llena", "rio bravo", "sol naciente", "mar adentro"], []
+    for p in range(140):
+        day = None if rng.random() < 0.15 else f"2026-08-{rng.randint(1, 4):02d}T20:00:00-04:00"
+        urls = [f"u{rng.randint(0, 9)}"] if rng.random() < 0.3 else []
+        rows.append((p, f"{rng.choice(names)} {rng.choice(names)}", [], "gran noche orquesta", rng.choice(["Uno", "Dos", None, ""]), rng.choice(["La Paz", "Oruro", None]), rng.choice(["concierto", None, ""]), day, None, None, urls))
+    df = state.keyed(frame(spark, rows, columns))
+    now, old = (resolve.alike(df.where(f"position % 2 = {k}"), state.KEYS, "m_class").cache() for k in (0, 1))
+    every = now.alias("a").crossJoin(old.alias("b")).select(F.col("a.position").alias("n"), F.col("b.position").alias("o"), state.score("a", "b").alias("s"))
+    for threshold in (0.55, 0.62, 0.9):
+        scored = [tuple(r) for r in every.where(F.col("s") >= threshold).collect()]
+        want = chosen([(n, n) for n in range(0, 140, 2)], [(o, o) for o in range(1, 140, 2)], scored)
+        assert {r.n: r.o for r in state.matched(now, old, threshold, most=0).collect()} == want and len(want) > 5
+        with monkeypatch.context() as m:
+            m.setattr(state, "class_scores", None)  # no pair is scored
+            assert {r.n: r.o for r in state.matched(now, old, threshold).collect()} == want
