@@ -51,6 +51,11 @@ def shuffled(spark: SparkSession):
     return _set(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
 
 
+def in_small_methods(spark: SparkSession):
+    """What is written inside it runs in methods that the JVM compiles: many costly expressions in one stage become one method beyond its limit of 8000 bytes, which is interpreted."""
+    return _set(spark, {"spark.sql.codegen.hugeMethodLimit": "8000"})
+
+
 def _write(df: DataFrame, scope: list[str]) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/agenda-{uuid.uuid4().hex}"

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 #: Ranges of characters under one test, and parts of a table of characters.
 GUARDED, DEALT = 12, 512
-#: Patterns that are looked for together first.
-MANY = 6
 
 
 @lru_cache(maxsize=1)
@@ -68,6 +66,12 @@ def _composed() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), several
 
 
+@lru_cache(maxsize=1)
+def _stable() -> tuple[str, ...]:
+    """Characters of Western texts beside those of ASCII that stand for themselves; texts of such need no table."""
+    return tuple(c for c in map(chr, range(0x80, 0x100)) if unicodedata.normalize("NFKC", c) == c)
+
+
 @lru_cache(maxsize=1)
 def _marking() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
     """What characters decompose into, the class of each combining mark, and what two characters compose to; syllables of Hangul stay."""
@@ -160,6 +164,7 @@ def compatible(text: Column) -> Column:
     table = _looked_up(several)
     whole = F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0)), lambda c: F.coalesce(table(c), F.when(c.rlike(r"\p{M}"), _composed_run(c)), c)), "")
     plain = F.when(plain.rlike(_any_of([k for k in several if len(k) == 1]) + r"|\p{M}"), whole).otherwise(plain)
+    plain = F.when(text.rlike(rf"^[\x00-\x7f{''.join(_stable())}]*$"), text).otherwise(plain)
     return F.regexp_replace(F.regexp_replace(plain, r"[ \t]+", " "), r"(?U)^\s+|\s+$", "")
 
 
@@ -215,7 +220,33 @@ def any_hit(patterns: list[str]) -> str:
     return "|".join(([r"\b(?:" + "|".join(p[2:] for p in bound) + ")"] if bound else []) + rest)
 
 
+def needed(pattern: str) -> str:
+    """The longest run of characters that whatever a pattern matches holds; empty where none is sure."""
+    if re.search(r"\(\?[a-zA-Z-]", pattern) or not _plain_choice(pattern):
+        return ""
+    flat, depth = [], 0
+    for t in re.findall(r"\\.|\[(?:\\.|[^\]])*\]|\{[^}]*\}|.", pattern, re.DOTALL):  # groups, classes and escapes end a run
+        depth += t == "("
+        if depth == 0:
+            flat.append(t)
+        elif t == ")":
+            depth -= 1
+            flat.append("()")
+    runs = [""]
+    for t, behind in zip(flat, [*flat[1:], ""], strict=True):
+        if len(t) > 1 or t in ".^$?*+" or behind[:1] in ("?", "*", "{"):
+            runs.append("")
+        else:
+            runs[-1] += t
+    return max(runs, key=len)
+
+
+def occurs(text: Column, pattern: str) -> Column:
+    """Whether a pattern occurs; it is tried only where the characters that it needs stand, which a plain search tells at far less cost."""
+    run = needed(pattern)
+    return text.contains(run) & text.rlike(pattern) if len(run) > 1 else text.rlike(pattern)
+
+
 def hits(folded: Column, patterns: list[str]) -> Column:
-    """How many of some patterns occur; of many, one look tells whether any does."""
-    count = sum((folded.rlike(p).cast("int") for p in patterns), F.lit(0))
-    return F.when(folded.rlike(any_hit(patterns)), count).when(folded.isNotNull(), 0) if len(patterns) >= MANY else count
+    """How many of some patterns occur."""
+    return sum((occurs(folded, p).cast("int") for p in patterns), F.lit(0))

@@ -5,6 +5,9 @@ The grammar is laid out in steps of columns, so that no expression is repeated i
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,7 @@ _PART = r"de\s+la\s+(manana|tarde|noche)"
 CLOCK = rf"\b(?:a\s+(?:las|hrs\.?)\s+|horas?\s+|hrs\.?\s+)?([0-2]?\d)[:.]([0-5]\d)\s*{_SUFFIX}?"
 LED = rf"\b(?:a\s+las|desde\s+las|a\s+hrs\.?)\s+([0-2]?\d)\s*{_SUFFIX}?(?:\s*{_PART})?"
 TRAILED = rf"\b([0-2]?\d)\s*(?:{_SUFFIX}|{_PART})"
+LED_NEEDS, TRAILED_NEEDS = ("las", "hr"), ("am", "a.m", "pm", "p.m", "hr", "horas", "la")
 DOORS = r"\b(?:puertas?|apertura|ingreso|admision|acceso)\s*(?:se\s+abren?\s*)?(?:a\s+(?:las|hrs\.?)\s*)?[:\-]?\s*([0-2]?\d)(?:[:.]([0-5]\d))?"
 SHOW = r"\b(?:show|concierto|funcion|inicio|comienza|empieza|arranca|start)\s*(?:a\s+(?:las|hrs\.?)\s*)?[:\-]?\s*([0-2]?\d)(?:[:.]([0-5]\d))?"
 
@@ -63,16 +67,19 @@ def days(rows: DataFrame, folded: str, anchor: str) -> DataFrame:
 
     Of each form only its first match counts; if that is no day, the next form is tried.
     """
-    text, at = F.col(folded), F.col(anchor)
-    own = rows.columns
+    text, at, own = F.col(folded), F.col(anchor), rows.columns
+    # a form is looked for once, and what it says is read from the words that were found
+    found = {"across": ACROSS, "within": WITHIN, "single": SINGLE, "numeric": NUMERIC, "named": NAMED}
+    rows = rows.select(*own, *(_group(text, p, 0).alias(f"_{k}") for k, p in found.items()))
+    across, within, single, numeric, named = (F.col(f"_{k}") for k in found)
     read = {
         "iso": F.transform(F.regexp_extract_all(text, F.lit(ISO), F.lit(0)), lambda d: F.try_to_date(d, "yyyy-MM-dd")),
-        "a_d1": _number(text, ACROSS, 1), "a_m1": _month(_group(text, ACROSS, 2)), "a_y1": _number(text, ACROSS, 3),
-        "a_d2": _number(text, ACROSS, 4), "a_m2": _month(_group(text, ACROSS, 5)), "a_y2": _number(text, ACROSS, 6),
-        "w_d1": _number(text, WITHIN, 1), "w_d2": _number(text, WITHIN, 2), "w_m": _month(_group(text, WITHIN, 3)), "w_y": _number(text, WITHIN, 4),
-        "s_d": _number(text, SINGLE, 2), "s_m": _month(_group(text, SINGLE, 3)), "s_y": _number(text, SINGLE, 4),
-        "n_d": _number(text, NUMERIC, 1), "n_m": _number(text, NUMERIC, 2), "n_y": _number(text, NUMERIC, 3),
-        "r_how": _group(text, NAMED, 1), "r_day": F.element_at(F.create_map(*(F.lit(x) for pair in WEEKDAYS.items() for x in pair)), _group(text, NAMED, 2)),
+        "a_d1": _number(across, ACROSS, 1), "a_m1": _month(_group(across, ACROSS, 2)), "a_y1": _number(across, ACROSS, 3),
+        "a_d2": _number(across, ACROSS, 4), "a_m2": _month(_group(across, ACROSS, 5)), "a_y2": _number(across, ACROSS, 6),
+        "w_d1": _number(within, WITHIN, 1), "w_d2": _number(within, WITHIN, 2), "w_m": _month(_group(within, WITHIN, 3)), "w_y": _number(within, WITHIN, 4),
+        "s_d": _number(single, SINGLE, 2), "s_m": _month(_group(single, SINGLE, 3)), "s_y": _number(single, SINGLE, 4),
+        "n_d": _number(numeric, NUMERIC, 1), "n_m": _number(numeric, NUMERIC, 2), "n_y": _number(numeric, NUMERIC, 3),
+        "r_how": _group(named, NAMED, 1), "r_day": F.element_at(F.create_map(*(F.lit(x) for pair in WEEKDAYS.items() for x in pair)), _group(named, NAMED, 2)),
     }
     step = rows.select(*own, *(c.alias(f"_{k}") for k, c in read.items()))
 
@@ -112,9 +119,11 @@ def hour_24(hour: Column, minute: Column, suffix: Column, part: Column) -> Colum
     return F.when(h.between(0, 23) & minute.between(0, 59), F.format_string("%02d:%02d", h.cast("int"), minute.cast("int")))
 
 
-def _hours(folded: Column, pattern: str, minute: int | None, suffix: int | None, part: int | None) -> Column:
-    """All stated hours of a form, as 'HH:MM', in order."""
+def _hours(folded: Column, pattern: str, minute: int | None, suffix: int | None, part: int | None, needs: tuple[str, ...] = ()) -> Column:
+    """All stated hours of a form, as 'HH:MM', in order; a form that needs one of some texts is looked for where any of them stands."""
     whole = F.regexp_extract_all(folded, F.lit(pattern), F.lit(0))
+    if needs:
+        whole = F.when(reduce(or_, (folded.contains(n) for n in needs)), whole).otherwise(F.array().cast("array<string>"))
 
     def read(text: Column) -> Column:
         at = _number(text, pattern, minute) if minute else F.lit(0)
@@ -127,10 +136,12 @@ def _hours(folded: Column, pattern: str, minute: int | None, suffix: int | None,
 def hours(rows: DataFrame, folded: str) -> DataFrame:
     """Adds start_time and doors_time: an announced show, else the first clock time other than the doors', else an hour by its words, else the doors."""
     text, own, none, zero = F.col(folded), rows.columns, F.lit(None).cast("string"), F.lit(0)
+    rows = rows.select(*own, _group(text, DOORS, 0).alias("_doors"), _group(text, SHOW, 0).alias("_announced"))
+    doors, show = F.col("_doors"), F.col("_announced")
     step = rows.select(
-        *own, hour_24(_number(text, DOORS, 1), F.coalesce(_number(text, DOORS, 2), zero), none, none).alias("doors_time"),
-        hour_24(_number(text, SHOW, 1), F.coalesce(_number(text, SHOW, 2), zero), none, none).alias("_show"),
-        F.concat(_hours(text, CLOCK, 2, 3, None), _hours(text, LED, None, 2, 3), _hours(text, TRAILED, None, 2, 3)).alias("_stated"),
+        *own, hour_24(_number(doors, DOORS, 1), F.coalesce(_number(doors, DOORS, 2), zero), none, none).alias("doors_time"),
+        hour_24(_number(show, SHOW, 1), F.coalesce(_number(show, SHOW, 2), zero), none, none).alias("_show"),
+        F.concat(_hours(text, CLOCK, 2, 3, None), _hours(text, LED, None, 2, 3, LED_NEEDS), _hours(text, TRAILED, None, 2, 3, TRAILED_NEEDS)).alias("_stated"),
     )
     other = F.get(F.expr("filter(_stated, h -> doors_time is null or h <> doors_time)"), 0)
     return step.select(*own, "doors_time", F.coalesce("_show", other, "doors_time").alias("start_time"))

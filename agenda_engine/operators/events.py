@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import clock
-from agenda_engine.functions.durable import cut, dealt
+from agenda_engine.functions.durable import cut, dealt, in_small_methods
 from agenda_engine.functions.free_dates import free_moment
 from agenda_engine.functions.text import compatible, fold
 from agenda_engine.operators import dates, extraction, places
@@ -107,7 +107,8 @@ def analysed(items: DataFrame, now: str) -> DataFrame:
         "score": F.when(short, 0).otherwise(F.col("_score")), "reasons": F.when(short, F.array(F.lit(SHORT))).otherwise(F.array_compact(F.array(*told))),
         "reason": F.when(short, SHORT).otherwise(extraction.reject_reason(F.col("_score"), usable)), "category": F.when(short, "otro").otherwise(F.col("category")),
     })
-    return cut(step.withColumn("accepted", F.col("reason") == "aceptado").drop("_score", "_anchor"))
+    with in_small_methods(items.sparkSession):
+        return cut(step.withColumn("accepted", F.col("reason") == "aceptado").drop("_score", "_anchor"))
 
 
 def media(images: Column, videos: Column) -> list[Column]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agenda_engine.functions import lexicon
-from agenda_engine.functions.text import first_distinct, fold, hits
+from agenda_engine.functions.text import first_distinct, fold, hits, let, occurs
 
 # Patterns on folded text (prices, free entry) and on raw text (addresses, phones, hashtags, names).
 FREE = r"\b(?:entrada|ingreso|acceso|admision|evento)\s+(?:es\s+)?(?:libre|gratuita?|gratis|liberado|sin costo)\b|\bgratis\b|\bgratuito\b|\bfree\b|\bsin costo\b"
@@ -52,19 +52,22 @@ def state(folded: Column) -> Column:
 
 def outlets(folded: Column) -> Column:
     """Up to six outlets that are named."""
-    return F.slice(F.array_compact(F.array(*(F.when(folded.rlike(p), F.lit(name)) for name, p in lexicon.OUTLETS.items()))), 1, 6)
+    return F.slice(F.array_compact(F.array(*(F.when(occurs(folded, p), F.lit(name)) for name, p in lexicon.OUTLETS.items()))), 1, 6)
 
 
 def prices(folded: Column) -> Column:
     """struct<is_free, price_from, price_to, currency>: the least and, of several, the greatest sensible price."""
-    before, after = F.regexp_extract_all(folded, F.lit(PRICE), F.lit(1)), F.regexp_extract_all(folded, F.lit(PRICE), F.lit(2))
-    numbers = F.transform(F.zip_with(before, after, lambda a, b: F.when(a != "", a).otherwise(b)), lambda v: F.replace(v, F.lit(","), F.lit(".")).try_cast("double"))
-    sound = F.filter(numbers, lambda v: (v >= LOWEST_PRICE) & (v <= HIGHEST_PRICE))
-    some = F.size(sound) > 0
-    return F.struct(
-        (folded.rlike(FREE) & ~some).alias("is_free"), F.array_min(sound).alias("price_from"),
-        F.when(F.size(sound) > 1, F.array_max(sound)).alias("price_to"), F.when(some, "BOB").alias("currency"),
-    )
+    every = F.regexp_extract_all(folded, F.lit(PRICE), F.lit(0))
+    numbers = F.transform(every, lambda v: F.replace(F.regexp_extract(v, r"\d{1,4}(?:[.,]\d{1,2})?", 0), F.lit(","), F.lit(".")).try_cast("double"))
+
+    def told(sound: Column) -> Column:
+        some = F.size(sound) > 0
+        return F.struct(
+            (~some & folded.rlike(FREE)).alias("is_free"), F.array_min(sound).alias("price_from"),
+            F.when(F.size(sound) > 1, F.array_max(sound)).alias("price_to"), F.when(some, "BOB").alias("currency"),
+        )
+
+    return let(F.filter(numbers, lambda v: (v >= LOWEST_PRICE) & (v <= HIGHEST_PRICE)), told)
 
 
 def links(text: Column, extra: Column | None = None) -> Column:

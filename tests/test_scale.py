@@ -191,3 +191,28 @@ def test_undated_rows_meet_on_what_they_must_share(spark):
         got = [(r.a, r.b) for r in resolve.similar(told, told, 0.55, rare, F.col("s.position") < F.col("l.position")).collect()]
         want = [(a, b) for a, s in enumerate(sets) for b, t in enumerate(sets) if a < b and len(set(s) & set(t)) / len(set(s) | set(t)) >= 0.55]
         assert sorted(got) == want and len(want) > 50
+
+
+def test_a_pattern_is_tried_where_what_it_needs_stands(spark):
+    """Every pattern of a lexicon was tried on every text that any of them hits; a plain search for what it needs goes before, and counts stay."""
+    from agenda_engine.functions import lexicon
+
+    assert [text.needed(p) for p in (r"\bferia del libro\b", r"\bstand ?up\b", r"\bgastronomic", r"\b(?:un|dos) circos?\b", "a|b", r"(?i)abc", r"ab+c", r"x[abc]yz{2}w", r"\d{2,4}", "abc*")] == [
+        "feria del libro", "stand", "gastronomic", " circo", "", "", "ab", "x", "", "ab"]
+    every = [p for named in lexicon.CATEGORIES.values() for p in named] + [*lexicon.CALLS, *lexicon.PAST, *lexicon.OFF_TOPIC]
+    assert sum(len(text.needed(p)) > 1 for p in every) > len(every) * 0.8
+    said = ["gran concierto de banda en el teatro", "feria del libro y expo", "standup", "stand up", "se realizo la feria, gracias a todos", "corte de luz y bloqueo", "laferia", "", None]
+    rows = spark.createDataFrame([(t,) for t in said], "t string")
+    plain = sum((F.col("t").rlike(p).cast("int") for p in every), F.lit(0))
+    assert [r.a for r in rows.select(text.hits(F.col("t"), every).alias("a")).collect()] == [r.b for r in rows.select(plain.alias("b")).collect()]
+
+
+def test_an_analysis_runs_in_methods_that_are_compiled(spark, monkeypatch):
+    """All patterns of an item in one stage were one method that the JVM only interprets."""
+    from agenda_engine.operators import events
+
+    limits = []
+    monkeypatch.setattr(events, "cut", lambda df, real=events.cut: limits.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) or real(df))
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    assert QUERIES["relevance_reasons"](spark, SF).count() > 0
+    assert limits == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
